@@ -22,9 +22,14 @@ def let(value: Column, body) -> Column:
     """Evaluate ``value`` once and hand it to ``body``.
 
     An expression used inside a lambda is evaluated for every element; a
-    lambda variable is not.
+    lambda variable is not. ``body`` is a function of a column or the text of
+    a SQL lambda.
     """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    if isinstance(body, str):
+        bound = F.call_function("transform", F.array(value), F.expr(body))
+    else:
+        bound = F.transform(F.array(value), body)
+    return F.get(bound, F.lit(0))
 
 
 def is_blank(c: Column | str) -> Column:
@@ -96,17 +101,16 @@ def to_key(c: Column | str) -> Column:
     return F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
 
 
-def spread_key(key: Column | str, columns: list[str]) -> Column:
+def spread_key(key: Column | str) -> Column:
     """Text join key that scatters rows without a key instead of piling them up.
 
-    Rows with a null key can match nothing, so each gets a key of its own made
-    from its content and partition; the same task computes the same value when
-    it is run again. Other rows get ``k:<key>``.
+    Rows with a null key can match nothing; they get the number of the partition
+    they are in, so they end up in as many places as they come from. A task
+    that is run again computes the same keys. Other rows get ``k:<key>``.
     """
-    scattered = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in columns])
     return F.coalesce(
         F.concat(F.lit("k:"), _col(key).cast("string")),
-        F.concat(F.lit("-:"), scattered.cast("string")),
+        F.concat(F.lit("-:"), F.spark_partition_id().cast("string")),
     )
 
 

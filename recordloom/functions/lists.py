@@ -49,7 +49,7 @@ def clean_labels(c: Column | str) -> Column:
 
 
 def distinct_sorted(c: Column | str) -> Column:
-    return F.array_sort(F.array_distinct(_col(c)))
+    return F.sort_array(F.array_distinct(_col(c)))
 
 
 def append_missing(base: Column | str, extra: Column | str) -> Column:

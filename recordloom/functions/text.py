@@ -6,7 +6,24 @@ from pyspark.sql import Column, functions as F
 
 from .identifiers import _col, let
 
-GAP = "-"
+# Every (position, place of the word in the index, word), in text order.
+_PLACED = """e -> sort_array(flatten(transform(e, (w, i) ->
+    transform(w.value, p -> struct(p AS pos, i AS nth, w.key AS word)))))"""
+
+# Of several words at one position the last one stays.
+_LAST_PER_POSITION = "s -> filter(s, (x, i) -> coalesce(get(s, i + 1).pos != x.pos, true))"
+
+_JOINED = """s -> array_join(transform(s, (x, i) ->
+    repeat('- ', x.pos - coalesce(get(s, i - 1).pos, -1) - 1) || x.word), ' ')"""
+
+_PAIRS = "t -> sort_array(transform(t, (w, i) -> struct(w AS word, i AS pos)))"
+
+# Where each distinct word starts in the sorted pairs, then one slice per word.
+_STARTS = """s -> struct(s AS pairs, filter(transform(s, (x, i) ->
+    CASE WHEN i = 0 OR get(s, i - 1).word != x.word THEN i END), i -> i IS NOT NULL) AS starts)"""
+_SLICES = """c -> map_from_entries(transform(c.starts, (at, k) -> struct(
+    get(c.pairs, at).word AS key,
+    transform(slice(c.pairs, at + 1, coalesce(get(c.starts, k + 1), size(c.pairs)) - at), x -> x.pos) AS value)))"""
 
 
 def max_position(index: Column | str) -> Column:
@@ -17,57 +34,13 @@ def max_position(index: Column | str) -> Column:
 def rebuild_text(index: Column | str) -> Column:
     """Text of an inverted index; gaps become ``-``, a later word wins a position.
 
-    One sort of the positions per row, then one linear pass, so long texts cost
+    One sort of the positions per row, then linear passes, so long texts cost
     n log n and stay inside the row: nothing is exploded or shuffled.
     """
-    entries = F.map_entries(_col(index))
-    placed = F.flatten(
-        F.transform(
-            entries,
-            lambda e, i: F.transform(
-                e["value"],
-                lambda p: F.struct(p.alias("pos"), i.alias("nth"), e["key"].alias("word")),
-            ),
-        )
-    )
-
-    def last_word_per_position(s: Column) -> Column:
-        return F.filter(
-            s, lambda x, i: F.coalesce(F.get(s, i + 1)["pos"] != x["pos"], F.lit(True))
-        )
-
-    def joined(s: Column) -> Column:
-        def with_gap(x: Column, i: Column) -> Column:
-            before = F.coalesce(F.get(s, i - 1)["pos"], F.lit(-1))
-            return F.concat(F.repeat(F.lit(GAP + " "), x["pos"] - before - 1), x["word"])
-
-        return F.array_join(F.transform(s, with_gap), " ")
-
-    text = let(F.array_sort(placed), lambda s: let(last_word_per_position(s), joined))
-    return F.coalesce(text, F.lit(""))
+    placed = let(F.map_entries(_col(index)), _PLACED)
+    return F.coalesce(let(let(placed, _LAST_PER_POSITION), _JOINED), F.lit(""))
 
 
 def invert_text(words: Column | str) -> Column:
     """Inverted index of a list of words, by one sort and slices of it."""
-    pairs = F.array_sort(
-        F.transform(_col(words), lambda w, i: F.struct(w.alias("word"), i.alias("pos")))
-    )
-
-    def cut(s: Column) -> Column:
-        starts = F.filter(
-            F.transform(
-                s,
-                lambda x, i: F.when(
-                    (i == 0) | (F.get(s, i - 1)["word"] != x["word"]), i
-                ),
-            ),
-            lambda i: i.isNotNull(),
-        )
-        return let(starts, lambda b: F.map_from_entries(F.transform(b, lambda at, k: entry(s, b, at, k))))
-
-    def entry(s: Column, b: Column, at: Column, k: Column) -> Column:
-        end = F.coalesce(F.get(b, k + 1), F.size(s))
-        positions = F.transform(F.slice(s, at + 1, end - at), lambda x: x["pos"])
-        return F.struct(F.get(s, at)["word"].alias("key"), positions.alias("value"))
-
-    return let(pairs, cut)
+    return let(let(let(_col(words), _PAIRS), _STARTS), _SLICES)

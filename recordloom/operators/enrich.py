@@ -35,15 +35,11 @@ from .keys import first_per_key
 from .shaping import col_or_default
 
 WORK = "work"
+_FIELD = "_work_"
 MATCHED = "matched"
 UNDETERMINED = "undetermined"
 
 
-def _hashable(df: DataFrame) -> list[str]:
-    """Columns a content hash can be taken of (maps have none)."""
-    return [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
-
-
 def doi_from_pages(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """``(url, doi)`` per page, ``""`` where the page gives no DOI."""
     return (
@@ -67,7 +63,7 @@ def fill_dois(records: DataFrame, pages: DataFrame, on: str = "url", doi: str =
         .select(plain_key("url").alias("_key"), "_found")
     )
     wanted = F.when(is_blank(doi), F.col(on))
-    keyed = records.withColumn("_key", spread_key(wanted, _hashable(records)))
+    keyed = records.withColumn("_key", spread_key(wanted))
     filled = F.coalesce(F.col("_found"), F.col(doi))
     return keyed.join(found, "_key", "left").withColumn(doi, filled).select(*records.columns)
 
@@ -90,16 +86,16 @@ def works_by_key(works: DataFrame, order: list[str] | None = None) -> DataFrame:
             for kind, key in _lookup_kinds(short, doi)
         ]
     )
+    # The fields stay flat until after the join, so that those nobody reads are
+    # pruned at the scan.
     listed = works.select(
         F.inline(F.filter(keys, lambda k: ~is_blank(k["value"]))).alias("_kind", "_value"),
-        *[F.col(c) for c in dict.fromkeys(order or ["id"])],
-        F.struct(*works.columns).alias(WORK),
+        *[F.col(c).alias(_FIELD + c) for c in works.columns],
         doi.alias("_found_doi"),
     )
-    first = first_per_key(listed, ["_kind", "_value"], order or ["id"])
-    return first.select(
-        F.concat_ws(":", "_kind", "_value").alias("_key"), WORK, "_found_doi"
-    )
+    order = [_FIELD + c for c in (order or ["id"])]
+    first = first_per_key(listed, ["_kind", "_value"], order)
+    return first.withColumn("_key", F.concat_ws(":", "_kind", "_value")).drop("_kind", "_value")
 
 
 def enrich_works(
@@ -112,8 +108,8 @@ def enrich_works(
 ) -> DataFrame:
     """Left lookup of each record's work: by work id if it has one, else by DOI.
 
-    Adds the struct ``work`` and the flag ``matched``; the DOI of the work, if
-    any, replaces the record's own. With ``require_doi`` records without a DOI
+    Adds the flag ``matched`` and the struct ``work``, its fields null without a
+    match; the DOI of the work, if any, replaces the record's own. With ``require_doi`` records without a DOI
     are not looked up, even if they have an id.
 
     Each record has exactly one key, so there is one join and one exchange of
@@ -129,14 +125,19 @@ def enrich_works(
     )
     if require_doi:
         key = F.when(own_doi.isNotNull(), key)
-    keyed = records.withColumn("_key", spread_key(key, _hashable(records)))
-    lookup = works_by_key(works, order).withColumn("_key", plain_key("_key"))
+    keyed = records.withColumn("_key", spread_key(key))
+    lookup = (
+        works_by_key(works, order)
+        .withColumn("_key", plain_key("_key"))
+        .withColumn("_hit", F.lit(True))
+    )
     canonical = F.when(~is_blank("_found_doi"), F.col("_found_doi"))
     return (
         keyed.join(lookup, "_key", "left")
-        .withColumn(MATCHED, F.col(WORK).isNotNull())
+        .withColumn(MATCHED, F.col("_hit").isNotNull())
+        .withColumn(WORK, F.struct(*[F.col(_FIELD + c).alias(c) for c in works.columns]))
         .withColumn(doi_col, F.coalesce(canonical, F.col(doi_col)))
-        .drop("_key", "_found_doi")
+        .select(*records.columns, MATCHED, WORK)
     )
 
 

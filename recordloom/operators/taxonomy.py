@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ..functions.lists import distinct_sorted, or_empty
-from ..functions.identifiers import is_blank, let, plain_key
+from ..functions.identifiers import let, plain_key
+from ..functions.lists import or_empty
 from ..schemas import LABEL_MAP_SCHEMA
 
 # The actions of a map row; any other text renames the label.
 KEEP, RAISE, DELETE, MANUAL = "keep", "raise", "delete", "manual label"
 
 # A map up to this many labels becomes part of the expression; a larger one is joined.
-INLINE_LABELS = 2_000
+INLINE_LABELS = 500
 
 LEVELS = ("level1", "level2", "level3")
 SOURCE_LEVELS = ("source_level1", "source_level2", "source_level3")
@@ -67,31 +69,32 @@ def load_label_map(
     )
 
 
-def _converted(hits: Column, labels: Column) -> Column:
-    """Target and source lists out of the map rows that the labels hit."""
-    kept = F.filter(hits, lambda h: ~h["action"].isin(DELETE, MANUAL))
-    named = F.filter(kept, lambda h: h["action"] != RAISE)
+_KEPT = f"filter(r.hits, h -> h.action NOT IN ('{DELETE}', '{MANUAL}'))"
 
-    def values(rows: Column, pick) -> Column:
-        return distinct_sorted(F.transform(rows, pick))
 
-    def source(pick) -> Column:
-        return values(F.filter(hits, lambda h: ~is_blank(pick(h))), pick)
+def _values(rows: str, value: str) -> str:
+    return f"sort_array(array_distinct(transform({rows}, h -> {value})))"
+
+
+def _present(field: str) -> str:
+    return f"filter(r.hits, h -> coalesce(h.{field}, '') != '')"
 
-    return F.struct(
-        values(kept, lambda h: h["to1"]).alias(LEVELS[0]),
-        values(kept, lambda h: h["to2"]).alias(LEVELS[1]),
-        values(
-            named, lambda h: F.when(h["action"] == KEEP, h["label"]).otherwise(h["action"])
-        ).alias(LEVELS[2]),
-        source(lambda h: h["from1"]).alias(SOURCE_LEVELS[0]),
-        source(lambda h: h["from2"]).alias(SOURCE_LEVELS[1]),
-        source(lambda h: h["label"]).alias(SOURCE_LEVELS[2]),
-        F.exists(hits, lambda h: h["action"] == MANUAL).alias(NEEDS_REVIEW),
-        distinct_sorted(
-            F.array_except(labels, F.transform(hits, lambda h: h["label"]))
-        ).alias(UNMATCHED),
-    )
+
+# Target and source lists of one record, from its labels and the map rows they hit.
+_CONVERT = f"""r -> struct(
+    {_values(_KEPT, 'h.to1')} AS {LEVELS[0]},
+    {_values(_KEPT, 'h.to2')} AS {LEVELS[1]},
+    {_values(f"filter({_KEPT}, h -> h.action != '{RAISE}')",
+             f"CASE WHEN h.action = '{KEEP}' THEN h.label ELSE h.action END")} AS {LEVELS[2]},
+    {_values(_present('from1'), 'h.from1')} AS {SOURCE_LEVELS[0]},
+    {_values(_present('from2'), 'h.from2')} AS {SOURCE_LEVELS[1]},
+    {_values('r.hits', 'h.label')} AS {SOURCE_LEVELS[2]},
+    exists(r.hits, h -> h.action = '{MANUAL}') AS {NEEDS_REVIEW},
+    sort_array(array_except(r.labels, transform(r.hits, h -> h.label))) AS {UNMATCHED})"""
+
+
+def _converted(labels: Column, hits: Column) -> Column:
+    return let(F.struct(labels.alias("labels"), hits.alias("hits")), _CONVERT)
 
 
 def _entry() -> Column:
@@ -105,19 +108,17 @@ def _unpack(df: DataFrame, packed: str) -> DataFrame:
 
 
 def _map_inline(df: DataFrame, labels: Column, rows: list) -> DataFrame:
-    pairs = []
-    for row in rows:
-        fields = (row["from3"], row["to1"], row["to2"], row["action"], row["from1"], row["from2"])
-        entry = F.struct(*[F.lit(v).alias(f.name) for v, f in zip(fields, _ENTRY)])
-        pairs += [F.lit(row["from3"]), entry]
-    if pairs:
-        lookup = F.create_map(*pairs)
-    else:
-        lookup = F.create_map().cast(T.MapType(T.StringType(), _ENTRY))
+    # One JSON literal, which the optimizer folds into a map literal.
+    entries = {
+        row["from3"]: dict(zip(_ENTRY.names, (row["from3"], *row[:5]))) for row in rows
+    }
+    lookup = F.from_json(
+        F.lit(json.dumps(entries, ensure_ascii=False)), T.MapType(T.StringType(), _ENTRY)
+    )
 
     def convert(own: Column) -> Column:
         found = F.transform(own, lambda x: F.try_element_at(lookup, x))
-        return let(F.filter(found, lambda h: h.isNotNull()), lambda hits: _converted(hits, own))
+        return _converted(own, F.filter(found, lambda h: h.isNotNull()))
 
     return _unpack(df.withColumn("_converted", let(labels, convert)), "_converted")
 
@@ -139,7 +140,7 @@ def _map_joined(df: DataFrame, labels: Column, label_map: DataFrame) -> DataFram
     none = F.array().cast(T.ArrayType(_ENTRY))
     converted = (
         lists.join(hits, "_labels", "left")
-        .select("_labels", let(F.coalesce("_hits", none), lambda h: _converted(h, F.col("_labels"))).alias("_converted"))
+        .select("_labels", _converted(F.col("_labels"), F.coalesce("_hits", none)).alias("_converted"))
     )
     left = listed.withColumn("_text", F.to_json("_labels"))
     right = converted.select(F.to_json("_labels").alias("_text"), "_converted")

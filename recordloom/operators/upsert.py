@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.identifiers import plain_key, spread_key
-from .enrich import _hashable
 from .keys import assign_sequential_ids, last_per_key, next_key
 
 _NEW = "_new"
@@ -63,7 +62,7 @@ def update_master(
     elif small:
         joined = master.join(F.broadcast(winners), F.col(key) == F.col("_k"), "left")
     else:
-        left = master.withColumn("_at", spread_key(key, _hashable(master)))
+        left = master.withColumn("_at", spread_key(key))
         right = winners.withColumn("_at", plain_key("_k"))
         joined = left.join(right, "_at", "left")
 
@@ -84,7 +83,7 @@ def update_master(
 
 def new_rows(master: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     """Updates whose key is not in the master, rows without a key included."""
-    left = updates.withColumn("_at", spread_key(key, _hashable(updates)))
+    left = updates.withColumn("_at", spread_key(key))
     right = _master_keys(master, key, None).select(plain_key(key).alias("_at"))
     return left.join(right, "_at", "left_anti").drop("_at")
 

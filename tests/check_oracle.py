@@ -64,6 +64,7 @@ if __name__ == "__main__":
     wanted = sys.argv[2:] or list(contract.queries())
     spark = (
         SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g").config("spark.sql.shuffle.partitions", "8").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

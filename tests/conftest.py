@@ -15,6 +15,7 @@ def spark():
         SparkSession.builder.master("local[4]")
         .appName("recordloom-tests")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.shuffle.partitions", "4")
         .getOrCreate()
