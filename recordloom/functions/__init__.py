@@ -9,8 +9,6 @@ from .identifiers import (
     extract_work_id,
     is_blank,
     page_links,
-    plain_key,
-    spread_key,
     to_key,
 )
 from .lists import (

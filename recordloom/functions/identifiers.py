@@ -99,21 +99,3 @@ def to_key(c: Column | str) -> Column:
     """Integer key of a number or numeric text, null for anything else."""
     c = _col(c)
     return F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
-
-
-def spread_key(key: Column | str) -> Column:
-    """Text join key that scatters rows without a key instead of piling them up.
-
-    Rows with a null key can match nothing; they get the number of the partition
-    they are in, so they end up in as many places as they come from. A task
-    that is run again computes the same keys. Other rows get ``k:<key>``.
-    """
-    return F.coalesce(
-        F.concat(F.lit("k:"), _col(key).cast("string")),
-        F.concat(F.lit("-:"), F.spark_partition_id().cast("string")),
-    )
-
-
-def plain_key(key: Column | str) -> Column:
-    """The lookup side's counterpart of :func:`spread_key`."""
-    return F.concat(F.lit("k:"), _col(key).cast("string"))

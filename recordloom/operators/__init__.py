@@ -9,7 +9,13 @@ from .enrich import (
     to_record,
     works_by_key,
 )
-from .keys import assign_sequential_ids, first_per_key, last_per_key, next_key
+from .keys import (
+    assign_sequential_ids,
+    first_per_key,
+    last_per_key,
+    lookup_join,
+    next_key,
+)
 from .quality import (
     Rule,
     register_rule,

@@ -11,8 +11,6 @@ from ..functions.identifiers import (
     extract_doi,
     extract_work_id,
     is_blank,
-    plain_key,
-    spread_key,
     to_key,
 )
 from ..functions.lists import (
@@ -31,7 +29,7 @@ from ..functions.lists import (
 )
 from ..functions.text import rebuild_text
 from ..schemas import RECORD_SCHEMA
-from .keys import first_per_key
+from .keys import first_per_key, lookup_join
 from .shaping import col_or_default
 
 WORK = "work"
@@ -60,12 +58,12 @@ def fill_dois(records: DataFrame, pages: DataFrame, on: str = "url", doi: str =
         .filter(F.col("doi") != "")
         .groupBy("url")
         .agg(F.min(F.regexp_replace("doi", "%", "/")).alias("_found"))
-        .select(plain_key("url").alias("_key"), "_found")
+        .withColumnRenamed("url", "_url")
     )
     wanted = F.when(is_blank(doi), F.col(on))
-    keyed = records.withColumn("_key", spread_key(wanted))
     filled = F.coalesce(F.col("_found"), F.col(doi))
-    return keyed.join(found, "_key", "left").withColumn(doi, filled).select(*records.columns)
+    looked_up = lookup_join(records, found, wanted, F.col("_url"))
+    return looked_up.withColumn(doi, filled).select(*records.columns)
 
 
 def _lookup_kinds(work_id: Column, doi: Column) -> list[tuple[str, Column]]:
@@ -95,7 +93,7 @@ def works_by_key(works: DataFrame, order: list[str] | None = None) -> DataFrame:
     )
     order = [_FIELD + c for c in (order or ["id"])]
     first = first_per_key(listed, ["_kind", "_value"], order)
-    return first.withColumn("_key", F.concat_ws(":", "_kind", "_value")).drop("_kind", "_value")
+    return first.withColumn("_work_key", F.concat_ws(":", "_kind", "_value")).drop("_kind", "_value")
 
 
 def enrich_works(
@@ -113,7 +111,7 @@ def enrich_works(
     are not looked up, even if they have an id.
 
     Each record has exactly one key, so there is one join and one exchange of
-    the records. Records without a key get scattered keys that match nothing.
+    the records.
     """
     own_id = F.when(~is_blank(id_col), F.col(id_col)) if id_col in records.columns else F.lit(None)
     own_doi = F.when(~is_blank(doi_col), F.upper(doi_col))
@@ -125,15 +123,10 @@ def enrich_works(
     )
     if require_doi:
         key = F.when(own_doi.isNotNull(), key)
-    keyed = records.withColumn("_key", spread_key(key))
-    lookup = (
-        works_by_key(works, order)
-        .withColumn("_key", plain_key("_key"))
-        .withColumn("_hit", F.lit(True))
-    )
+    lookup = works_by_key(works, order).withColumn("_hit", F.lit(True))
     canonical = F.when(~is_blank("_found_doi"), F.col("_found_doi"))
     return (
-        keyed.join(lookup, "_key", "left")
+        lookup_join(records, lookup, key, F.col("_work_key"))
         .withColumn(MATCHED, F.col("_hit").isNotNull())
         .withColumn(WORK, F.struct(*[F.col(_FIELD + c).alias(c) for c in works.columns]))
         .withColumn(doi_col, F.coalesce(canonical, F.col(doi_col)))

@@ -6,12 +6,37 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import shared_dir
 
+_KEY, _SALT = "_key", "_salt"
+_RIGHT_KEY, _RIGHT_SALT = "_right_key", "_right_salt"
 _RANK = "_rank"
 _AT = "_at"
 _PART = "_part"
 _OFFSET = "_offset"
 
 
+def lookup_join(
+    left: DataFrame, right: DataFrame, left_key: Column, right_key: Column, how: str = "left"
+) -> DataFrame:
+    """Equi-join for skewed keys; the sides must not share column names.
+
+    Rows of the left side without a key can match nothing. They are joined
+    under the number of the partition they come from, so they stay as spread as
+    they were, and a task that is run again computes the same numbers. The salt
+    of all other rows is 0. As it is part of the join key, both sides are
+    exchanged for this very join, which lets adaptive execution split the
+    partition of a key that holds very many rows. A right side that is known to
+    be small is broadcast as usual.
+    """
+    none = F.pmod(F.hash(left_key), F.lit(1))
+    salt = F.when(left_key.isNull(), F.spark_partition_id()).otherwise(none)
+    keyed = left.withColumns({_KEY: left_key, _SALT: salt})
+    table = right.withColumns(
+        {_RIGHT_KEY: right_key, _RIGHT_SALT: F.pmod(F.hash(right_key), F.lit(1))}
+    )
+    same = (F.col(_KEY) == F.col(_RIGHT_KEY)) & (F.col(_SALT) == F.col(_RIGHT_SALT))
+    return keyed.join(table, same, how).drop(_KEY, _SALT, _RIGHT_KEY, _RIGHT_SALT)
+
+
 def _ranked(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     # Filtering row_number() = 1 lets Spark cut every group to one row per task
     # before the shuffle, so a key that holds a third of the rows sends no more

@@ -10,8 +10,8 @@ from functools import reduce
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ..functions.identifiers import plain_key
 from ..functions.lists import subset_of
+from .keys import lookup_join
 
 # Rule kinds as suite documents name them.
 COLUMNS_MATCH = "expect_table_columns_to_match_ordered_list"
@@ -187,22 +187,32 @@ def _is_element(rule: Rule) -> Column:
     return F.lit(True) if _ROW_RULES[rule.kind].counts_null else F.col(rule.column).isNotNull()
 
 
-def _unique_results(df: DataFrame, column: str, rules: list[tuple[int, Rule]]) -> DataFrame:
-    """All uniqueness rules of one column from one count per value."""
-    per_value = df.groupBy(column).agg(
+def _per_value(df: DataFrame, column: str, rules: list[tuple[int, Rule]]) -> DataFrame:
+    """How often each value of a column occurs, within each rule's condition."""
+    return df.groupBy(column).agg(
         *[F.count_if(_condition(rule)).alias(f"c{position}") for position, rule in rules]
     )
+
+
+def _is_repeated(rule: Rule, times: Column) -> Column:
+    """True for a value that breaks a uniqueness rule; blanks may be exempt."""
+    value = F.col(rule.column)
+    repeated = value.isNotNull() & (times > 1)
+    if rule.kind == NON_EMPTY_UNIQUE:
+        repeated = repeated & (value.cast("string") != "")
+    return repeated
+
+
+def _unique_results(df: DataFrame, column: str, rules: list[tuple[int, Rule]]) -> DataFrame:
+    """All uniqueness rules of one column from one count per value."""
     totals, rows = [], []
-    value = F.col(column)
     for position, rule in rules:
         here = F.col(f"c{position}")
-        counted = value.isNotNull()
-        if rule.kind == NON_EMPTY_UNIQUE:
-            counted = counted & (value.cast("string") != "")
+        repeats = F.when(_is_repeated(rule, here), here - 1)
         totals += [
             F.coalesce(F.sum(here), F.lit(0)).alias(f"n{position}"),
-            F.coalesce(F.sum(F.when(value.isNull(), here)), F.lit(0)).alias(f"m{position}"),
-            F.coalesce(F.sum(F.when(counted & (here > 1), here - 1)), F.lit(0)).alias(f"b{position}"),
+            F.coalesce(F.sum(F.when(F.col(column).isNull(), here)), F.lit(0)).alias(f"m{position}"),
+            F.coalesce(F.sum(repeats), F.lit(0)).alias(f"b{position}"),
         ]
         element, missing, bad = (F.col(f"{p}{position}") for p in "nmb")
         of = element - missing
@@ -216,7 +226,7 @@ def _unique_results(df: DataFrame, column: str, rules: list[tuple[int, Rule]]) -
                 & (F.lit(True) if high is None else unique <= F.lit(float(high)))
             )
         rows.append(_result(position, rule, element, missing, bad, of, success))
-    return per_value.agg(*totals).select(F.inline(F.array(*rows)))
+    return _per_value(df, column, rules).agg(*totals).select(F.inline(F.array(*rows)))
 
 
 def _as_text(df: DataFrame, name: str) -> Column:
@@ -235,18 +245,32 @@ def _first_samples(values: DataFrame) -> DataFrame:
     )
 
 
-def _samples(df: DataFrame, row_rules: list, unique_rules: list) -> DataFrame:
-    """Up to 20 bad values per rule, the smallest ones."""
+def _listed(found: list[tuple[int, Column, Column]]) -> Column:
+    """Rows ``(position, value)`` of the rules that a row breaks."""
+    entries = [
+        F.when(bad, F.struct(F.lit(position).alias("position"), text.alias("value")))
+        for position, bad, text in found
+    ]
+    return F.inline(F.array_compact(F.array(*entries)))
+
+
+def _samples(df: DataFrame, row_rules: list, unique_rules: dict[str, list]) -> DataFrame:
+    """Up to 20 bad values per rule, the smallest ones.
+
+    Row rules take one scan; uniqueness rules reuse the exchange of their counts.
+    """
     parts = []
     if row_rules:
-        found, any_bad = [], F.lit(False)
-        for position, rule in row_rules:
-            bad = _condition(rule) & _bad(df, rule) & F.col(rule.column).isNotNull()
-            value = F.struct(F.lit(position).alias("position"), _as_text(df, rule.column).alias("value"))
-            found.append(F.when(bad, value))
-            any_bad = any_bad | bad
-        parts.append(df.filter(any_bad).select(F.inline(F.array_compact(F.array(*found)))))
-    parts += [unexpected_values(df, rule).select(F.lit(position).alias("position"), "value") for position, rule in unique_rules]
+        found = [
+            (p, _condition(rule) & _bad(df, rule) & F.col(rule.column).isNotNull(), _as_text(df, rule.column))
+            for p, rule in row_rules
+        ]
+        any_bad = reduce(lambda a, b: a | b, [bad for _, bad, _ in found])
+        parts.append(df.filter(any_bad).select(_listed(found)))
+    for column, rules in unique_rules.items():
+        text = _as_text(df, column)
+        found = [(p, _is_repeated(rule, F.col(f"c{p}")), text) for p, rule in rules]
+        parts.append(_per_value(df, column, rules).select(_listed(found)))
     return _first_samples(reduce(DataFrame.unionByName, parts))
 
 
@@ -257,7 +281,8 @@ def run_suite(df: DataFrame, suite: list[Rule], detail: str = "basic") -> DataFr
     column; rules on names and types, and rules that cannot run, need no scan.
     ``detail='basic'`` adds up to 20 bad values per rule, ``'summary'`` none.
     """
-    static, row_rules, unique_rules = [], [], []
+    static, row_rules = [], []
+    unique_rules: dict[str, list[tuple[int, Rule]]] = {}
     for position, rule in enumerate(suite):
         error = _plan_error(df, rule)
         if error is None and rule.kind in _PLAN_RULES:
@@ -269,16 +294,15 @@ def run_suite(df: DataFrame, suite: list[Rule], detail: str = "basic") -> DataFr
         if error is not None:
             static.append(_result(position, rule, success=False, error=error))
         elif rule.kind in _UNIQUE_RULES:
-            unique_rules.append((position, rule))
+            unique_rules.setdefault(rule.column, []).append((position, rule))
         else:
             row_rules.append((position, rule))
 
     parts = []
     if row_rules:
         parts.append(_row_results(df, row_rules))
-    for column in dict.fromkeys(rule.column for _, rule in unique_rules):
-        same = [(p, rule) for p, rule in unique_rules if rule.column == column]
-        parts.append(_unique_results(df, column, same))
+    for column, rules in unique_rules.items():
+        parts.append(_unique_results(df, column, rules))
     if static:
         one = df.sparkSession.range(1)
         parts.append(one.select(F.inline(F.array(*static))))
@@ -305,11 +329,8 @@ def unexpected_values(df: DataFrame, rule: Rule) -> DataFrame:
     if rule.kind not in _UNIQUE_RULES:
         bad = unexpected_rows(df, rule).select(text.alias("value"))
         return bad.groupBy("value").agg(F.count("*").alias("unexpected_count"))
-    rows = df.filter(_condition(rule) & F.col(rule.column).isNotNull())
-    if rule.kind == NON_EMPTY_UNIQUE:
-        rows = rows.filter(F.col(rule.column).cast("string") != "")
-    counts = rows.groupBy(rule.column).count().filter(F.col("count") > 1)
-    return counts.select(text.alias("value"), (F.col("count") - 1).alias("unexpected_count"))
+    repeated = _per_value(df, rule.column, [(0, rule)]).filter(_is_repeated(rule, F.col("c0")))
+    return repeated.select(text.alias("value"), (F.col("c0") - 1).alias("unexpected_count"))
 
 
 def unexpected_rows(df: DataFrame, rule: Rule, order: list[str] | None = None) -> DataFrame:
@@ -322,17 +343,14 @@ def unexpected_rows(df: DataFrame, rule: Rule, order: list[str] | None = None) -
         return df.filter(_condition(rule) & _bad(df, rule) & _is_element(rule))
     if not order:
         raise ValueError("a uniqueness rule needs the order that tells which row is first")
-    value = F.col(rule.column)
-    rows = df.filter(_condition(rule) & value.isNotNull())
-    if rule.kind == NON_EMPTY_UNIQUE:
-        rows = rows.filter(value.cast("string") != "")
+    rows = df.filter(_condition(rule) & F.col(rule.column).isNotNull())
     first = (
         rows.groupBy(rule.column)
         .agg(F.min(F.struct(*order)).alias("_first"), F.count("*").alias("_n"))
-        .filter(F.col("_n") > 1)
-        .select(plain_key(rule.column).alias("_key"), "_first")
+        .filter(_is_repeated(rule, F.col("_n")))
+        .select(F.col(rule.column).alias("_value"), "_first")
     )
-    repeated = rows.withColumn("_key", plain_key(rule.column)).join(first, "_key")
+    repeated = lookup_join(rows, first, F.col(rule.column), F.col("_value"), "inner")
     return repeated.filter(F.struct(*order) > F.col("_first")).select(*df.columns)
 
 

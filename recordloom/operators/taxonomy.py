@@ -6,9 +6,10 @@ import json
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ..functions.identifiers import let, plain_key
+from ..functions.identifiers import let
 from ..functions.lists import or_empty
 from ..schemas import LABEL_MAP_SCHEMA
+from .keys import lookup_join
 
 # The actions of a map row; any other text renames the label.
 KEEP, RAISE, DELETE, MANUAL = "keep", "raise", "delete", "manual label"
@@ -127,24 +128,20 @@ def _map_joined(df: DataFrame, labels: Column, label_map: DataFrame) -> DataFram
     # The result depends on the label list alone, so each distinct list is
     # converted once, however many records share it.
     listed = df.withColumn("_labels", labels)
-    # Join keys are texts made for the join: both sides are then exchanged for
-    # it, and a label or list shared by very many rows can be split at runtime.
     lists = listed.select("_labels").distinct()
+    listed_labels = lists.select("_labels", F.explode(F.array_distinct("_labels")).alias("_label"))
     hits = (
-        lists.select("_labels", F.explode(F.array_distinct("_labels")).alias("_label"))
-        .withColumn("_key", plain_key("_label"))
-        .join(label_map.withColumn("_key", plain_key("from3")), "_key")
+        lookup_join(listed_labels, label_map, F.col("_label"), F.col("from3"), "inner")
         .groupBy("_labels")
         .agg(F.collect_list(_entry()).alias("_hits"))
     )
     none = F.array().cast(T.ArrayType(_ENTRY))
-    converted = (
-        lists.join(hits, "_labels", "left")
-        .select("_labels", _converted(F.col("_labels"), F.coalesce("_hits", none)).alias("_converted"))
+    converted = lists.join(hits, "_labels", "left").select(
+        F.col("_labels").alias("_list"),
+        _converted(F.col("_labels"), F.coalesce("_hits", none)).alias("_converted"),
     )
-    left = listed.withColumn("_text", F.to_json("_labels"))
-    right = converted.select(F.to_json("_labels").alias("_text"), "_converted")
-    return _unpack(left.join(right, "_text", "left").drop("_text", "_labels"), "_converted")
+    mapped = lookup_join(listed, converted, F.col("_labels"), F.col("_list"))
+    return _unpack(mapped.drop("_labels", "_list"), "_converted")
 
 
 def map_labels(

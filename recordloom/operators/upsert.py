@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.identifiers import plain_key, spread_key
-from .keys import assign_sequential_ids, last_per_key, next_key
+from .keys import assign_sequential_ids, last_per_key, lookup_join, next_key
 
 _NEW = "_new"
 
@@ -62,9 +61,7 @@ def update_master(
     elif small:
         joined = master.join(F.broadcast(winners), F.col(key) == F.col("_k"), "left")
     else:
-        left = master.withColumn("_at", spread_key(key))
-        right = winners.withColumn("_at", plain_key("_k"))
-        joined = left.join(right, "_at", "left")
+        joined = lookup_join(master, winners, F.col(key), F.col("_k"))
 
     hit = F.col(_NEW).isNotNull()
 
@@ -83,9 +80,8 @@ def update_master(
 
 def new_rows(master: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     """Updates whose key is not in the master, rows without a key included."""
-    left = updates.withColumn("_at", spread_key(key))
-    right = _master_keys(master, key, None).select(plain_key(key).alias("_at"))
-    return left.join(right, "_at", "left_anti").drop("_at")
+    known = _master_keys(master, key, None).withColumnRenamed(key, "_known")
+    return lookup_join(updates, known, F.col(key), F.col("_known"), "left_anti")
 
 
 def upsert(

@@ -11,6 +11,7 @@ from .sinks import (
     append_review,
     promote_if_valid,
     store_results,
+    write_all,
     write_csv_records,
     write_json_records,
 )

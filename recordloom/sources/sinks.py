@@ -38,6 +38,16 @@ def write_json_records(df: DataFrame, path: str, mode: str = "errorifexists") ->
     df.write.mode(mode).json(path)
 
 
+def write_all(df: DataFrame, *writers: Callable[[DataFrame], None]) -> None:
+    """Hand the same rows to several writers, computed once."""
+    kept = df.persist()
+    try:
+        for write in writers:
+            write(kept)
+    finally:
+        kept.unpersist()
+
+
 def append_review(review: DataFrame, path: str, run_id: str) -> None:
     """Add the rows for human review as one more run; no rows add no file."""
     _append_run(review.withColumn(RUN_ID, F.lit(run_id)), path)
@@ -71,7 +81,8 @@ def promote_if_valid(
     spark = candidate.sparkSession
     candidate.write.mode("errorifexists").parquet(candidate_path)
     written = spark.read.parquet(candidate_path)
-    results = run_suite(written, suite, detail)
+    rows = run_suite(written, suite, detail)
+    results = spark.createDataFrame(rows.collect(), rows.schema)  # one row per rule
     if suite_passed(results).first()["passed"]:
         publish(written)
     return results
