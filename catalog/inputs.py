@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import recordloom as rl
+from recordloom.schemas import RECORD_SCHEMA
 
 PREFIX = "https://openalex.org/"
 
@@ -195,3 +196,59 @@ def updates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("99990101"), F.col("s_name")).alias("seq"),
     )
     return rl.combine([orders, suppliers])
+
+
+# Whole runs -------------------------------------------------------------------
+
+def part_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as posts with path labels, one or two links and a date by size."""
+    url = F.concat(F.lit("http://parts.example.org/"), F.col("p_partkey").cast("string"))
+    path = F.concat_ws(" > ", "p_type", "p_brand", "p_name")
+    links = F.when(F.col("p_size") > 25, F.array(url, F.concat(url, F.lit("/b")))).otherwise(F.array(url))
+    function = F.struct(
+        F.array("p_type").alias("lvl0"),
+        F.array(F.concat_ws(" > ", "p_type", "p_brand")).alias("lvl1"),
+        F.array(path).alias("lvl2"),
+    )
+    return table(spark, sf_dir, "part").select(
+        F.when(F.col("p_type") == "PROMO", "Other").otherwise("Strategies").alias("post_type_label"),
+        F.timestamp_seconds(F.unix_timestamp(F.lit("2023-12-20 00:00:00")) + F.col("p_size") * 86_400).alias("post_modified"),
+        F.struct(function.alias("function")).alias("taxonomies_hierarchical"),
+        F.when(F.col("p_size") > 25, F.struct(links.alias("source_link"))).alias("reference_sources"),
+        F.struct(links.alias("source_link")).alias("sources"),
+    )
+
+
+def part_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages behind the first links; gears have no DOI."""
+    key = F.col("p_partkey").cast("string")
+    link = F.concat(F.lit('<p><a class="l" href="https://doi.org/10.7777%p.'), key, F.lit('">doi</a></p>'))
+    return table(spark, sf_dir, "part").select(
+        F.concat(F.lit("http://parts.example.org/"), key).alias("url"),
+        F.when(F.col("p_name").endswith("gear"), F.lit("<p>none</p>")).otherwise(link).alias("html"),
+    )
+
+
+def part_works(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Works of the larger parts, known by DOI."""
+    key = F.col("p_partkey").cast("string")
+    fields = works(spark, sf_dir).schema
+    rows = table(spark, sf_dir, "part").filter(F.col("p_size") > 20).select(
+        F.concat(F.lit(PREFIX + "W"), key).alias("id"),
+        F.concat(F.lit("https://doi.org/10.7777/p."), key).alias("doi"),
+        F.col("p_name").alias("title"),
+    )
+    return rl.conform(rows, fields)
+
+
+def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as master records."""
+    rows = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("record_id"),
+        F.col("c_name").alias("title"),
+        F.col("c_mktsegment").alias("abstract"),
+        F.lit("N").alias("isBiomimicry"),
+        F.lit("").alias("doi"),
+        F.concat(F.lit("http://customers.example.org/"), F.col("c_custkey").cast("string")).alias("url"),
+    )
+    return rl.fill_missing(rl.conform(rows, RECORD_SCHEMA), [f.name for f in RECORD_SCHEMA if f.dataType.typeName() == "array"])

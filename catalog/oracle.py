@@ -253,6 +253,87 @@ c AS (SELECT *, CASE WHEN TRY_CAST(user_key AS BIGINT) IS NULL THEN 'key is not
 
 WORD_AUTHORS = "CASE WHEN role = 'user' THEN string_split(text, ' ') ELSE [] END"
 
+
+RECORD = (
+    "paper mesh_terms venue_ids venue_names author_ids author_names reference_ids title abstract isOpenAccess "
+    "fullDocLink record_id doi level1 level2 level3 isBiomimicry url mag_terms species absolute_relevancy relative_relevancy"
+).split()
+LISTS = (
+    "mesh_terms venue_ids venue_names author_ids author_names reference_ids level1 level2 level3 mag_terms species "
+    "absolute_relevancy relative_relevancy"
+).split()
+
+TO_RECORD = f"""
+        SELECT CASE WHEN matched THEN short ELSE paper END AS paper,
+          CASE WHEN matched THEN w_lang || '|' || w_source ELSE '' END AS mesh_terms,
+          CASE WHEN toxic = 0 THEN '{PREFIX}V' || w_lang || '|V' || w_source ELSE '' END AS venue_ids,
+          array_to_string(list_concat(v, list_filter(o, lambda x: NOT list_contains(v, x))), '|') AS venue_names,
+          CASE WHEN matched THEN 'A' || w_lang || '|' ELSE '' END AS author_ids,
+          CASE WHEN matched THEN 'Author ' || w_source || '|' || w_lang ELSE '' END AS author_names,
+          CASE WHEN matched AND w_lang <> 'en' THEN 'W' || work_doc || '|W' || w_lang ELSE '' END AS reference_ids,
+          CASE WHEN matched THEN work_title ELSE source END AS title,
+          CASE WHEN matched THEN w_text ELSE text END AS abstract,
+          CASE WHEN matched THEN quality = 1 END AS isOpenAccess,
+          CASE WHEN matched THEN 'http://oa/' || work_doc END AS fullDocLink,
+          doc_id AS record_id, upper(coalesce(work_doi, doi)) AS doi,
+          source || '|' || lang AS level1, CASE WHEN lang <> 'es' THEN 'in__' || lang ELSE '' END AS level2, '' AS level3,
+          'undetermined' AS isBiomimicry, 'http://example.org/' || source || '/' || doc_id AS url,
+          '' AS mag_terms, '' AS species, n_chars || '.0|0.5' AS absolute_relevancy, '' AS relative_relevancy
+        FROM (SELECT *, CASE WHEN toxic = 0 THEN [w_lang, w_source] ELSE [] END AS v,
+                CASE WHEN lang = 'fr' THEN [] ELSE [lang, 'Own'] END AS o FROM e)
+"""
+
+# Customers as records: empty lists, most other fields missing.
+CUSTOMERS = (
+    "SELECT c_custkey AS record_id, c_name AS title, c_mktsegment AS abstract, 'N' AS isBiomimicry, '' AS doi, "
+    "'http://customers.example.org/' || c_custkey AS url, NULL::VARCHAR AS paper, NULL::BOOLEAN AS isOpenAccess, "
+    "NULL::VARCHAR AS fullDocLink, " + ", ".join(f"'' AS {n}" for n in LISTS) + " FROM customer"
+)
+
+
+def _run_candidate(records: str, order: str) -> str:
+    """Customers updated by the records of the same key, then the other records."""
+    columns = ", ".join(
+        f"CASE WHEN r.url IS NOT NULL THEN r.{n} ELSE c.{n} END AS {n}" for n in RECORD if n != "record_id"
+    )
+    return f"""
+cust AS ({CUSTOMERS}), r AS ({records}),
+new AS (SELECT * FROM r WHERE record_id IS NULL OR record_id NOT IN (SELECT record_id FROM cust))
+SELECT c.record_id, {columns} FROM cust c LEFT JOIN r ON r.record_id = c.record_id
+UNION ALL BY NAME
+SELECT * REPLACE ((SELECT max(record_id) FROM cust) + row_number() OVER (ORDER BY {order}) AS record_id) FROM new
+"""
+
+
+MERGE_RUN = f"WITH {_enriched(True)}, " + _run_candidate(
+    f"SELECT * FROM ({TO_RECORD}) WHERE url NOT LIKE 'http://example.org/src4/%'", "url, doi"
+)
+
+# Posts of the parts after conversion, one row per link.
+POSTED = f"""
+m AS ({LABEL_MAP}),
+posted AS (SELECT p_partkey, p_name, p_size, unnest(CASE WHEN p_size > 25 THEN ['', '/b'] ELSE [''] END) AS tail
+           FROM part WHERE p_type <> 'PROMO' AND p_size > 12),
+q AS (SELECT *, 'http://parts.example.org/' || p_partkey || tail AS url,
+        CASE WHEN tail = '' AND p_name NOT LIKE '%gear' THEN '10.7777/p.' || p_partkey ELSE '' END AS doi,
+        action IN ('keep', 'raise') OR action LIKE 'any %' AS ok
+      FROM posted LEFT JOIN m ON p_name = from3)
+"""
+
+FULL_RUN = f"WITH {POSTED}, " + _run_candidate(
+    """
+    SELECT CASE WHEN w THEN 'W' || p_partkey ELSE '' END AS paper, '' AS mesh_terms, '' AS venue_ids, '' AS venue_names,
+      '' AS author_ids, '' AS author_names, '' AS reference_ids, CASE WHEN w THEN p_name ELSE '' END AS title,
+      '' AS abstract, CASE WHEN w THEN false END AS isOpenAccess, NULL::VARCHAR AS fullDocLink, NULL::BIGINT AS record_id,
+      upper(doi) AS doi, CASE WHEN ok THEN to1 ELSE '' END AS level1,
+      CASE WHEN ok THEN replace(to2, ' ', '_') ELSE '' END AS level2,
+      CASE WHEN action = 'keep' THEN replace(p_name, ' ', '_') WHEN action LIKE 'any %' THEN replace(action, ' ', '_') ELSE '' END AS level3,
+      'Y' AS isBiomimicry, url, '' AS mag_terms, '' AS species, '' AS absolute_relevancy, '' AS relative_relevancy
+    FROM (SELECT *, doi <> '' AND p_size > 20 AS w FROM q) WHERE action IS DISTINCT FROM 'manual label'
+    """,
+    "url, doi",
+)
+
 SQL: dict[str, str] = {
     "incremental_since_month_start": """
         SELECT o_orderkey, o_custkey, o_totalprice FROM orders
@@ -363,25 +444,7 @@ SQL: dict[str, str] = {
           c_name, c_nationkey, c_acctbal, c_mktsegment, last_priority FROM i""",
     "enrich_works": f"WITH {_enriched(True)} SELECT {ENRICHED_OUT}, work_title AS title FROM e",
     "enrich_without_doi": f"WITH {_enriched(False)} SELECT {ENRICHED_OUT} FROM e",
-    "to_record": f"""
-        WITH {_enriched(True)}
-        SELECT CASE WHEN matched THEN short ELSE paper END AS paper,
-          CASE WHEN matched THEN w_lang || '|' || w_source ELSE '' END AS mesh_terms,
-          CASE WHEN toxic = 0 THEN '{PREFIX}V' || w_lang || '|V' || w_source ELSE '' END AS venue_ids,
-          array_to_string(list_concat(v, list_filter(o, lambda x: NOT list_contains(v, x))), '|') AS venue_names,
-          CASE WHEN matched THEN 'A' || w_lang || '|' ELSE '' END AS author_ids,
-          CASE WHEN matched THEN 'Author ' || w_source || '|' || w_lang ELSE '' END AS author_names,
-          CASE WHEN matched AND w_lang <> 'en' THEN 'W' || work_doc || '|W' || w_lang ELSE '' END AS reference_ids,
-          CASE WHEN matched THEN work_title ELSE source END AS title,
-          CASE WHEN matched THEN w_text ELSE text END AS abstract,
-          CASE WHEN matched THEN quality = 1 END AS isOpenAccess,
-          CASE WHEN matched THEN 'http://oa/' || work_doc END AS fullDocLink,
-          doc_id AS record_id, upper(coalesce(work_doi, doi)) AS doi,
-          source || '|' || lang AS level1, CASE WHEN lang <> 'es' THEN 'in__' || lang ELSE '' END AS level2, '' AS level3,
-          'undetermined' AS isBiomimicry, 'http://example.org/' || source || '/' || doc_id AS url,
-          '' AS mag_terms, '' AS species, n_chars || '.0|0.5' AS absolute_relevancy, '' AS relative_relevancy
-        FROM (SELECT *, CASE WHEN toxic = 0 THEN [w_lang, w_source] ELSE [] END AS v,
-                CASE WHEN lang = 'fr' THEN [] ELSE [lang, 'Own'] END AS o FROM e)""",
+    "to_record": f"WITH {_enriched(True)} {TO_RECORD}",
     "rule_not_null": _union(
         _rule(NOT_NULL, "quality", DOCS, "quality IS NULL", missing="quality IS NULL", of="n", sample="''"),
         _rule(NOT_NULL, "text", DOCS, "text IS NULL", missing="text IS NULL", of="n", sample="''"),
@@ -454,4 +517,23 @@ SQL: dict[str, str] = {
     "results_store": _stored(),
     "append_review": MAPPED + """
         SELECT l_orderkey, run_id FROM g, (VALUES ('run-1'), ('run-2')) AS r(run_id) WHERE flag""",
+    "curation_merge": MERGE_RUN,
+    "curation_rejects": """
+        SELECT doc_id, 'label_level_3 is not a list' AS error_reason FROM documents WHERE source = 'src4'""",
+    "curation_results": f"""
+        WITH run AS ({MERGE_RUN})
+        {_union(
+            "SELECT 'expect_column_values_to_not_be_null' AS rule, 'record_id' AS column, count(*) AS element_count, 0 AS unexpected_count, true AS success FROM run",
+            "SELECT 'expect_column_proportion_of_unique_values_to_be_between' AS rule, 'record_id' AS column, count(*) AS element_count, count(*) - count(DISTINCT record_id) AS unexpected_count, true AS success FROM run",
+            "SELECT 'expect_column_values_to_not_be_null' AS rule, 'url' AS column, count(*) AS element_count, 0 AS unexpected_count, true AS success FROM run",
+            "SELECT 'expect_column_values_to_be_in_set' AS rule, 'isBiomimicry' AS column, count(*) AS element_count, 0 AS unexpected_count, true AS success FROM run",
+            "SELECT 'expect_type_list' AS rule, 'level1' AS column, count(*) AS element_count, 0 AS unexpected_count, true AS success FROM run",
+            "SELECT 'expect_non_empty_unique' AS rule, 'url' AS column, count(*) AS element_count, count(*) - count(DISTINCT url) AS unexpected_count, true AS success FROM run",
+        )}""",
+    "curation_full": FULL_RUN,
+    "curation_review": f"""
+        WITH {POSTED}
+        SELECT url, doi, '' AS label_level_1, '' AS label_level_2, '' AS label_level_3, '' AS title, '' AS abstract, '' AS venue_names,
+          '' AS full_doc_link, '' AS is_open_access, 'Y' AS isBiomimicry, from1 AS ask_label_level_1, from2 AS ask_label_level_2,
+          from3 AS ask_label_level_3 FROM q WHERE action = 'manual label'""",
 }

@@ -22,6 +22,7 @@ from recordloom.operators.quality import (
 
 from .inputs import (
     PREFIX,
+    customer_records,
     doi_pages,
     doi_url,
     joined,
@@ -30,6 +31,9 @@ from .inputs import (
     master,
     page_doi,
     papers,
+    part_pages,
+    part_posts,
+    part_works,
     posts,
     table,
     texts,
@@ -697,3 +701,66 @@ def append_review(spark, sf_dir):
     for run in ("run-1", "run-2"):
         rl.append_review(review.select("l_orderkey"), path, run)
     return spark.read.parquet(path)
+
+
+# Whole runs -------------------------------------------------------------------
+
+RUN_SUITE = [
+    rl.Rule(NOT_NULL, "record_id"),
+    rl.Rule(UNIQUE_PROPORTION, "record_id", {"min_value": 1, "max_value": 1}),
+    rl.Rule(NOT_NULL, "url"),
+    rl.Rule(IN_SET, "isBiomimicry", {"value_set": ["N", "Y", "undetermined"]}),
+    rl.Rule(IS_LIST, "level1"),
+    rl.Rule(NON_EMPTY_UNIQUE, "url"),
+]
+
+
+def _merge_run(spark, sf_dir, publish=lambda df: None) -> rl.CurationRun:
+    """Documents merged into customers; texts of ``src4`` have a broken list."""
+    papers_in = papers(spark, sf_dir).withColumn(
+        "label_level_3", F.when(F.col("title") == "src4", F.lit("['open")).otherwise(F.lit(""))
+    )
+    inputs = rl.CurationInputs(works(spark, sf_dir), customer_records(spark, sf_dir), [papers_in])
+    return rl.run_curation(inputs, rl.scratch_path(spark, "run"), RUN_SUITE, publish, start="combine")
+
+
+@query
+def curation_merge(spark, sf_dir):
+    return texts(_merge_run(spark, sf_dir).candidate)
+
+
+@query
+def curation_rejects(spark, sf_dir):
+    return _merge_run(spark, sf_dir).rejects.select("doc_id", "error_reason")
+
+
+@query
+def curation_results(spark, sf_dir):
+    return _merge_run(spark, sf_dir).results.select("rule", "column", "element_count", "unexpected_count", "success")
+
+
+def _full_run(spark, sf_dir, publish=lambda df: None) -> rl.CurationRun:
+    """Parts as posts, taken through every stage into customers."""
+    inputs = rl.CurationInputs(
+        works=part_works(spark, sf_dir),
+        master=customer_records(spark, sf_dir),
+        posts=part_posts(spark, sf_dir),
+        pages=part_pages(spark, sf_dir),
+        label_map=label_map(spark, sf_dir),
+        as_of=dt.datetime(2024, 1, 20),
+        post_type="Strategies",
+    )
+    return rl.run_curation(inputs, rl.scratch_path(spark, "run"), RUN_SUITE, publish)
+
+
+@query
+def curation_full(spark, sf_dir):
+    """What the gate lets through of a full run."""
+    published = rl.scratch_path(spark, "published")
+    _full_run(spark, sf_dir, lambda df: df.write.parquet(published))
+    return texts(spark.read.parquet(published))
+
+
+@query
+def curation_review(spark, sf_dir):
+    return texts(_full_run(spark, sf_dir).review)

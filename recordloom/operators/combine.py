@@ -4,9 +4,30 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F, types as T
+
+from ..functions.lists import list_to_text
+
+
+def _as_text(df: DataFrame, name: str) -> DataFrame:
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.StringType):
+        return df
+    nested = isinstance(kind, (T.ArrayType, T.MapType, T.StructType))
+    return df.withColumn(name, list_to_text(name) if nested else F.col(name).cast("string"))
 
 
 def combine(frames: list[DataFrame]) -> DataFrame:
-    """All rows of all frames by column name; absent columns are null."""
+    """All rows of all frames by column name; absent columns are null.
+
+    A column that is text in one frame and something else in another becomes
+    text, lists in the form that the list parser reads.
+    """
+    kinds: dict[str, set] = {}
+    for df in frames:
+        for f in df.schema:
+            kinds.setdefault(f.name, set()).add(f.dataType.simpleString())
+    for name, seen in kinds.items():
+        if len(seen) > 1 and "string" in seen:
+            frames = [_as_text(df, name) if name in df.columns else df for df in frames]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -1,0 +1,3 @@
+"""Whole runs."""
+
+from .curation import CurationInputs, CurationRun, collect_papers, run_curation
