@@ -14,6 +14,7 @@ from ..operators.enrich import enrich_works, fill_dois, record_checks, to_record
 from ..operators.quality import Rule
 from ..operators.routing import quarantine, route_by_flag
 from ..operators.shaping import (
+    col_or_default,
     conform,
     drop_missing,
     explode_references,
@@ -112,7 +113,8 @@ def run_curation(
         auto, review = route_by_flag(stored(converted, "converted"), "manual_label")
         frames.insert(0, auto)
 
-    usable = drop_missing(combine(frames), "url").withColumn("doi", extract_doi("doi"))
+    usable = drop_missing(combine(frames), "url")
+    usable = usable.withColumn("doi", extract_doi(col_or_default(usable, "doi", "")))
     enriched = stored(enrich_works(usable, inputs.works), "enriched")
     good, rejects = quarantine(enriched, record_checks(enriched))
     records = to_record(good, KEY)

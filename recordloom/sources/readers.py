@@ -37,7 +37,7 @@ def read_csv_records(
 ) -> DataFrame:
     """CSV files with a header and the columns of ``schema``.
 
-    Texts may hold line breaks; pass ``multi_line=False`` for files without
+    An empty field is missing, quoted or not. Texts may hold line breaks; pass ``multi_line=False`` for files without
     them, which Spark can then split.
     """
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
