@@ -22,14 +22,13 @@ def let(value: Column, body) -> Column:
     """Evaluate ``value`` once and hand it to ``body``.
 
     An expression used inside a lambda is evaluated for every element; a
-    lambda variable is not. ``body`` is a function of a column or the text of
-    a SQL lambda.
+    lambda variable is not. The value is the start of a fold over nothing,
+    whose last step is ``body``: a function of a column or a SQL lambda as text.
     """
+    nothing = F.array().cast("array<int>")
     if isinstance(body, str):
-        bound = F.call_function("transform", F.array(value), F.expr(body))
-    else:
-        bound = F.transform(F.array(value), body)
-    return F.get(bound, F.lit(0))
+        return F.call_function("aggregate", nothing, value, F.expr("(v, x) -> v"), F.expr(body))
+    return F.aggregate(nothing, value, lambda v, x: v, body)
 
 
 def is_blank(c: Column | str) -> Column:
