@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import shared_dir
+from ..session import scratch_path
 
 _KEY, _SALT = "_key", "_salt"
 _RIGHT_KEY, _RIGHT_SALT = "_right_key", "_right_salt"
@@ -55,31 +55,37 @@ def last_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return _ranked(df, keys, [F.desc_nulls_first(c) for c in order])
 
 
+def _pinned_order(df: DataFrame, order: list[str]) -> DataFrame:
+    """The rows sorted into partitions, with partition number and position.
+
+    Written to a table in the shared folder, so that all later passes see the
+    same partitions even when an executor is lost, and a pass that needs few
+    columns reads no others.
+    """
+    path = scratch_path(df.sparkSession, "ordered")
+    by = [F.asc_nulls_last(c) for c in order]
+    df.orderBy(*by).withColumn(_AT, F.monotonically_increasing_id()).write.parquet(path)
+    # The generated id is the partition number above 33 bits of position.
+    return df.sparkSession.read.parquet(path).withColumn(_PART, F.shiftright(_AT, 33))
+
+
+def _earlier_parts():
+    """Window over all partitions before this one, of a frame with one row each."""
+    return Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+
+
 def assign_sequential_ids(
     df: DataFrame, id_col: str, start: int, order: list[str]
 ) -> DataFrame:
     """Number the rows ``start``, ``start + 1``, ... in the given total order.
 
-    The rows are range-partitioned and sorted once and pinned by a reliable
-    checkpoint, so that the partition sizes and the positions come from the
-    same files even when an executor is lost. Only one count per partition is
+    The rows are range-partitioned, sorted once and written; then the sizes of
+    the partitions give each its offset. Only one count per partition is ever
     looked at in one place.
     """
-    shared_dir(df.sparkSession)
-    by = [F.asc_nulls_last(c) for c in order]
-    pinned = (
-        df.drop(id_col).orderBy(*by)
-        .withColumn(_AT, F.monotonically_increasing_id())
-        .checkpoint()
-    )
-    # The generated id is the partition number above 33 bits of position.
-    part = F.shiftright(_AT, 33)
-    placed = pinned.withColumn(_PART, part)
-    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy(_PART).count()
-        .select(_PART, F.coalesce(F.sum("count").over(before), F.lit(0)).alias(_OFFSET))
-    )
+    placed = _pinned_order(df.drop(id_col), order)
+    before = F.coalesce(F.sum("count").over(_earlier_parts()), F.lit(0))
+    offsets = placed.groupBy(_PART).count().select(_PART, before.alias(_OFFSET))
     local = F.col(_AT).bitwiseAND(F.lit((1 << 33) - 1))
     return (
         placed.join(F.broadcast(offsets), _PART)  # one row per partition
@@ -88,6 +94,35 @@ def assign_sequential_ids(
     )
 
 
+def fill_down(df: DataFrame, events: dict[str, Column], order: list[str]) -> DataFrame:
+    """Set each column to the last non-null value of its event up to the row.
+
+    Each sorted partition is filled by itself and starts with what the
+    partitions before it end with.
+    """
+    noted = df.withColumns({f"_event_{name}": event for name, event in events.items()})
+    placed = _pinned_order(noted, order)
+    within = Window.partitionBy(_PART).orderBy(_AT)
+    ends = placed.groupBy(_PART).agg(
+        *[
+            F.max_by(f"_event_{n}", F.when(F.col(f"_event_{n}").isNotNull(), F.col(_AT))).alias(n)
+            for n in events
+        ]
+    )
+    carried = ends.select(
+        _PART, *[F.last(n, True).over(_earlier_parts()).alias(f"_carried_{n}") for n in events]
+    )
+    filled = {
+        n: F.coalesce(F.last(f"_event_{n}", True).over(within), F.col(f"_carried_{n}"))
+        for n in events
+    }
+    return (
+        placed.join(F.broadcast(carried), _PART)  # one row per partition
+        .withColumns(filled)
+        .select(*df.columns, *[n for n in events if n not in df.columns])
+    )
+
+
 def next_key(df: DataFrame, key: str) -> int:
     """One above the largest key; 1 for a table without keys."""
     highest = df.agg(F.max(key)).first()[0]

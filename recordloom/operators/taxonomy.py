@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.identifiers import let
 from ..functions.lists import or_empty
 from ..schemas import LABEL_MAP_SCHEMA
-from .keys import lookup_join
+from .keys import fill_down, first_per_key, lookup_join
+from .shaping import fill_missing
 
 # The actions of a map row; any other text renames the label.
 KEEP, RAISE, DELETE, MANUAL = "keep", "raise", "delete", "manual label"
@@ -46,28 +47,15 @@ def load_label_map(
     if forward_fill:
         if order is None:
             raise ValueError("forward_fill needs the order of the map rows")
-        down = Window.orderBy(order)
-        below = Window.partitionBy("_group").orderBy(order)
-        filled = F.when(F.col("from1") != "", F.col("from1"))
-        rows = (
-            rows.withColumn("_group", F.count(filled).over(down))
-            .withColumn("from1", F.coalesce(F.last(filled, True).over(down), F.lit("")))
-            .withColumn(
-                "from2",
-                F.coalesce(
-                    F.last(F.when(F.col("from2") != "", F.col("from2")), True).over(below),
-                    F.lit(""),
-                ),
-            )
-            .drop("_group")
-        )
+        # A new first-level parent also ends the second-level one before it.
+        named = F.col("from1") != ""
+        events = {
+            "from1": F.when(named, F.col("from1")),
+            "from2": F.when(named | (F.col("from2") != ""), F.col("from2")),
+        }
+        rows = fill_missing(fill_down(rows, events, [order]), ["from1", "from2"])
     keyed = rows.filter(F.col("from3") != "")
-    first = Window.partitionBy("from3").orderBy(*([order] if order else names))
-    return (
-        keyed.withColumn("_rank", F.row_number().over(first))
-        .filter(F.col("_rank") == 1)
-        .select(*names)
-    )
+    return first_per_key(keyed, ["from3"], [order] if order else list(names)).select(*names)
 
 
 _KEPT = f"filter(r.hits, h -> h.action NOT IN ('{DELETE}', '{MANUAL}'))"
