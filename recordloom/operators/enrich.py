@@ -53,12 +53,14 @@ def fill_dois(records: DataFrame, pages: DataFrame, on: str = "url", doi: str =
     found for one url the smallest counts. Records that have a DOI are looked
     up under no key.
     """
+    # Dropping blanks inside the generator keeps the page from being searched
+    # twice, as a filter pushed below the projection would.
+    known = F.filter(F.array(F.regexp_replace("doi", "%", "/")), lambda d: d != "")
     found = (
         doi_from_pages(pages)
-        .filter(F.col("doi") != "")
-        .groupBy("url")
-        .agg(F.min(F.regexp_replace("doi", "%", "/")).alias("_found"))
-        .withColumnRenamed("url", "_url")
+        .select(F.col("url").alias("_url"), F.explode(known).alias("_doi"))
+        .groupBy("_url")
+        .agg(F.min("_doi").alias("_found"))
     )
     wanted = F.when(is_blank(doi), F.col(on))
     filled = F.coalesce(F.col("_found"), F.col(doi))

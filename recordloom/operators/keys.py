@@ -55,6 +55,11 @@ def last_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return _ranked(df, keys, [F.desc_nulls_first(c) for c in order])
 
 
+def order_value(order: list[str]) -> Column:
+    """What to compare rows by: the column itself, a struct of several."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+
 def _pinned_order(df: DataFrame, order: list[str]) -> DataFrame:
     """The rows sorted into partitions, with partition number and position.
 

@@ -11,7 +11,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.lists import subset_of
-from .keys import lookup_join
+from .keys import lookup_join, order_value
 
 # Rule kinds as suite documents name them.
 COLUMNS_MATCH = "expect_table_columns_to_match_ordered_list"
@@ -346,12 +346,12 @@ def unexpected_rows(df: DataFrame, rule: Rule, order: list[str] | None = None) -
     rows = df.filter(_condition(rule) & F.col(rule.column).isNotNull())
     first = (
         rows.groupBy(rule.column)
-        .agg(F.min(F.struct(*order)).alias("_first"), F.count("*").alias("_n"))
+        .agg(F.min(order_value(order)).alias("_first"), F.count("*").alias("_n"))
         .filter(_is_repeated(rule, F.col("_n")))
         .select(F.col(rule.column).alias("_value"), "_first")
     )
     repeated = lookup_join(rows, first, F.col(rule.column), F.col("_value"), "inner")
-    return repeated.filter(F.struct(*order) > F.col("_first")).select(*df.columns)
+    return repeated.filter(order_value(order) > F.col("_first")).select(*df.columns)
 
 
 def suite_passed(results: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .keys import assign_sequential_ids, last_per_key, lookup_join, next_key
+from .keys import assign_sequential_ids, last_per_key, lookup_join, next_key, order_value
 
 _NEW = "_new"
 
@@ -14,7 +14,7 @@ def _master_keys(master: DataFrame, key: str, master_order: list[str] | None) ->
     keyed = master.filter(F.col(key).isNotNull())
     if master_order is None:
         return keyed.select(key).distinct()
-    return keyed.groupBy(key).agg(F.min(F.struct(*master_order)).alias("_first"))
+    return keyed.groupBy(key).agg(F.min(order_value(master_order)).alias("_first"))
 
 
 def update_master(
@@ -55,7 +55,8 @@ def update_master(
         # or without a key, are spread over all partitions.
         match = F.col(key) == F.col("_k")
         for name in master_order:
-            match = match & F.col(name).eqNullSafe(F.col(f"_first.{name}"))
+            place = F.col("_first") if len(master_order) == 1 else F.col("_first")[name]
+            match = match & F.col(name).eqNullSafe(place)
         right = F.broadcast(winners) if small else winners
         joined = master.join(right, match, "left")
     elif small:

@@ -75,6 +75,19 @@ def test_sequential_ids_are_contiguous_and_ordered(spark, rows):
     assert [(r["i"], r["o"]) for r in got] == sorted(data, key=lambda r: (r[1], r[0]))
 
 
+def test_fill_down_across_partitions(spark):
+    from recordloom.operators.keys import fill_down
+
+    rng = random.Random(5)
+    rows = [(i, rng.choice([None] * 9 + ["x"]) and f"v{i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "i int, v string").repartition(9)
+    got = {r["i"]: r["v"] for r in fill_down(df, {"v": F.col("v")}, ["i"]).collect()}
+    last = None
+    for i, v in rows:
+        last = v or last
+        assert got[i] == last
+
+
 # Upsert -------------------------------------------------------------------------
 
 MASTER = [(1, "a", 10), (2, "b", 20), (3, "c", None), (None, "loose", 0)]
@@ -115,6 +128,17 @@ def test_upsert_repeated_master_changes_first_row_only(spark):
     assert values(out.select("k", "v", "n", "tag")) == brute_upsert(rows, UPDATES)
 
 
+def test_upsert_random_against_a_plain_loop(spark):
+    rng = random.Random(11)
+    rows = [(rng.choice([None, *range(12)]), f"m{i}", i) for i in range(60)]
+    new = [(rng.choice([None, *range(20)]), f"u{i}", i, rng.choice([None, "t"])) for i in range(80)]
+    master = spark.createDataFrame([(*r, i % 7, i) for i, r in enumerate(rows)], "k long, v string, n int, a int, b int")
+    updates = spark.createDataFrame(new, "k long, v string, o int, tag string")
+    ranked = [r for _, r in sorted(enumerate(rows), key=lambda e: (e[0] % 7, e[0]))]
+    out = rl.upsert(master, updates, "k", ["o"], master_order=["a", "b"])
+    assert values(out.select("k", "v", "n", "tag")) == brute_upsert(ranked, new)
+
+
 def test_upsert_keeps_old_values_on_request(spark):
     master = spark.createDataFrame(MASTER, "k long, v string, n int")
     updates = spark.createDataFrame([(3, None, 1)], "k long, v string, o int")
