@@ -212,6 +212,9 @@ def record_checks(enriched: DataFrame) -> dict[str, Column]:
     for name, element in elements.items():
         if name in enriched.columns and isinstance(enriched.schema[name].dataType, T.StringType):
             checks[f"{name} is not a list"] = bad_list_literal(name, element)
+    for name in ("mesh_terms", "author_names"):
+        if name in enriched.columns and isinstance(enriched.schema[name].dataType, T.StringType):
+            checks[f"{name} is not a list"] = ~F.col(MATCHED) & bad_list_literal(name)
     if "venue_names" in enriched.columns and isinstance(
         enriched.schema["venue_names"].dataType, T.StringType
     ):

@@ -24,24 +24,20 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, for checkpoints and stage tables.
+    """Folder every executor can reach, for stage tables.
 
     The cluster names it in ``spark.checkpoint.dir``. Only a local session
     without that setting gets a temporary folder of its own.
     """
-    sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
-    current = sc.getCheckpointDir()
     if named:
-        if not current:
-            sc.setCheckpointDir(named)
         return named.rstrip("/")
-    if not current:
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="recordloom-"))
-        current = sc.getCheckpointDir()
-    return current.rstrip("/")
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

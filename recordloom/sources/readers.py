@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import csv
-import io
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -13,8 +12,10 @@ from ..functions.lists import parse_list_literal
 # Quoting of the CSV files, doubled quotes inside quoted fields.
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
+# Headers of an inbox read at a time.
+HEADER_READS = 8
+
 SOURCE_FILE = "source_file"
-CORRUPT = "_corrupt_record"
 BATCH_FILE = "_metadata.file_path"
 
 
@@ -64,23 +65,22 @@ def read_json_records(
     return rows.select(F.from_json("line", schema).alias("r")).select("r.*")
 
 
-def _header_lines(spark: SparkSession, path: str, pattern: str) -> dict[tuple[str, ...], list[str]]:
-    """Files of a folder grouped by their header; reads one line of each file."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def _files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """CSV files of a folder grouped by their column names.
+
+    Lists the files without their content and has Spark read one line of each.
+    """
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
+    files = sorted(row["path"] for row in listing.select("path").collect())
+
+    def header(file: str) -> tuple[str, ...]:
+        return tuple(spark.read.csv(file, **CSV_OPTIONS).columns)
+
     groups: dict[tuple[str, ...], list[str]] = {}
-    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(folder, pattern)) or []
-    for status in found:
-        stream = fs.open(status.getPath())
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        try:
-            line = reader.readLine()
-        finally:
-            reader.close()
-        if line:
-            names = tuple(next(csv.reader(io.StringIO(line.lstrip("﻿")))))
-            groups.setdefault(names, []).append(status.getPath().toString())
+    with ThreadPool(HEADER_READS) as pool:
+        for file, names in zip(files, pool.map(header, files)):
+            if names:
+                groups.setdefault(names, []).append(file)
     return groups
 
 
@@ -99,7 +99,7 @@ def read_inbox(
     null; columns it does not name are not read.
     """
     frames = []
-    for names, files in _header_lines(spark, path, "*.csv").items():
+    for names, files in _files_by_header(spark, path).items():
         texts = T.StructType([T.StructField(n, T.StringType()) for n in names])
         raw = spark.read.schema(texts).csv(files, multiLine=multi_line, **CSV_OPTIONS)
         wanted = [f for f in schema if f.name in names]

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -135,3 +136,34 @@ def test_rebuild_inverts_invert(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     back = df.select("t", rl.rebuild_text(rl.invert_text(F.split("t", " "))).alias("b"))
     assert back.filter("t <> b or b is null").count() == 0
+
+
+def test_doi_search_agrees_with_a_plain_regex(spark):
+    # Fixed value: the DOI form, here with a look-ahead.
+    pattern = re.compile(r"""\b(10[.][0-9]{4,}(?:[.][0-9]+)*/(?:(?!["&'<>])\S)+)\b""")
+    rng = random.Random(3)
+    bits = ["10.", "1000", "12345", ".7", "/", "a", "B", "\u00e9", "_", "-", " ", "\u00a0", "\t", "<", ">", '"', "'", "&", ".", "(", ")", "doi:", "\u4e2d"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 14))) for _ in range(3000)]
+    texts += ["10.1000/" + "".join(rng.choice(bits) for _ in range(8)) for _ in range(3000)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r["i"]: r["d"] for r in df.select("i", rl.extract_doi("t").alias("d")).collect()}
+    for i, text in enumerate(texts):
+        found = pattern.search(text)
+        assert got[i] == (found.group().upper() if found else ""), repr(text)
+
+
+def test_rebuild_agrees_with_a_plain_loop(spark):
+    rng = random.Random(4)
+    rows = []
+    for n in range(300):
+        words = [f"w{k}" for k in range(rng.randint(1, 12))]
+        rows.append((n, [(w, sorted(rng.sample(range(40), rng.randint(1, 5)))) for w in words]))
+    df = spark.createDataFrame(rows, "n int, e array<struct<key: string, value: array<int>>>")
+    out = df.select("n", rl.rebuild_text(F.map_from_entries("e")).alias("t"))
+    got = {r["n"]: r["t"] for r in out.collect()}
+    for n, entries in rows:
+        slots = ["-"] * (max(p for _, ps in entries for p in ps) + 1)
+        for word, places in entries:
+            for p in places:
+                slots[p] = word
+        assert got[n] == " ".join(slots)
