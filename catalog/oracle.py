@@ -497,6 +497,9 @@ SQL: dict[str, str] = {
     "suite_verdict": f"""
         SELECT 'all' AS suite, bool_and(success) AS passed FROM ({_union(*_suite(False))})
         UNION ALL SELECT 'first three' AS suite, bool_and(success) AS passed FROM ({_union(*_suite(False)[:3])})""",
+    "check_suite": f"""
+        SELECT *, rule = 'expect_something_unknown' AS broken FROM ({_union(
+            _suite(False)[0], _static("expect_something_unknown", "o_orderpriority", False), _suite(False)[2])})""",
     "promote_if_valid": """
         SELECT o_orderkey, o_orderstatus, o_totalprice, 'good' AS candidate FROM orders""",
     "quarantine_good": EVENTS + """
@@ -509,6 +512,9 @@ SQL: dict[str, str] = {
         SELECT doc_id, CASE WHEN lang <> 'es' THEN text END AS text, lang || '|' || source AS tags, n_chars FROM documents""",
     "json_round_trip": """
         SELECT doc_id, CASE WHEN lang <> 'es' THEN text END AS text, lang || '|' || source AS tags, n_chars FROM documents""",
+    "write_all": """
+        SELECT doc_id, CASE WHEN lang <> 'es' THEN text END AS text, lang || '|' || source AS tags, n_chars, copy
+        FROM documents CROSS JOIN (VALUES ('csv'), ('json')) AS c(copy)""",
     "read_inbox": """
         SELECT c_custkey AS party, c_name AS name, c_mktsegment AS segment FROM customer
         UNION ALL BY NAME SELECT s_name AS name, s_suppkey AS party, s_acctbal AS balance FROM supplier

@@ -551,6 +551,18 @@ def suite_verdict(spark, sf_dir):
     )
 
 
+@query
+def check_suite(spark, sf_dir):
+    """Results of a suite with a rule that cannot run, evaluated at once."""
+    suite = [
+        rl.Rule(NOT_NULL, "o_orderkey"),
+        rl.Rule("expect_something_unknown", "o_orderpriority"),
+        rl.Rule(IN_SET, "o_orderstatus", {"value_set": ["F", "O"]}, mostly=0.6),
+    ]
+    results = rl.check_suite(table(spark, sf_dir, "orders"), suite, "summary")
+    return _shown(results.withColumn("broken", F.col("error").isNotNull()))
+
+
 @query
 def promote_if_valid(spark, sf_dir):
     """Two candidates: the one that passes is published, the other is not."""
@@ -633,6 +645,22 @@ def json_round_trip(spark, sf_dir):
     return texts(rl.read_json_records(spark, path, _DOC_SCHEMA))
 
 
+@query
+def write_all(spark, sf_dir):
+    """The same documents in two formats, written from one computation."""
+    as_csv, as_json = rl.scratch_path(spark, "csv"), rl.scratch_path(spark, "json")
+    rl.write_all(
+        _docs_to_write(spark, sf_dir),
+        lambda df: rl.write_csv_records(df, as_csv),
+        lambda df: rl.write_json_records(df, as_json),
+    )
+    copies = [
+        rl.read_csv_records(spark, as_csv, _DOC_SCHEMA).withColumn("copy", F.lit("csv")),
+        rl.read_json_records(spark, as_json, _DOC_SCHEMA).withColumn("copy", F.lit("json")),
+    ]
+    return texts(rl.combine(copies))
+
+
 _PARTY_SCHEMA = T.StructType(
     [
         T.StructField("party", T.LongType()),

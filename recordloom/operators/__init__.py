@@ -18,6 +18,7 @@ from .keys import (
 )
 from .quality import (
     Rule,
+    check_suite,
     register_rule,
     run_suite,
     suite_from_json,

@@ -28,7 +28,7 @@ from ..functions.lists import (
     venue_lists,
 )
 from ..functions.text import rebuild_text
-from ..schemas import RECORD_SCHEMA
+from ..schemas import record_schema
 from .keys import first_per_key, lookup_join
 from .shaping import col_or_default
 
@@ -155,7 +155,10 @@ def _own_venues(df: DataFrame) -> Column:
 
 
 def to_record(enriched: DataFrame, key: str = "record_id") -> DataFrame:
-    """The target record: fields of the work where matched, own ones elsewhere."""
+    """The target record: fields of the work where matched, own ones elsewhere.
+
+    ``key`` names the key column, of the rows and of the record.
+    """
     work, matched = F.col(WORK), F.col(MATCHED)
 
     def pick(from_work: Column, own: Column | None = None) -> Column:
@@ -180,7 +183,7 @@ def to_record(enriched: DataFrame, key: str = "record_id") -> DataFrame:
         "abstract": pick(rebuild_text(work["abstract_inverted_index"]), own("abstract")),
         "isOpenAccess": pick(F.coalesce(is_open, F.lit(False))),
         "fullDocLink": pick(link),
-        "record_id": to_key(own(key)),
+        key: to_key(own(key)),
         "doi": F.upper(own("doi", "")),
         **labels,
         "isBiomimicry": own("isBiomimicry", UNDETERMINED),
@@ -191,7 +194,7 @@ def to_record(enriched: DataFrame, key: str = "record_id") -> DataFrame:
         "relative_relevancy": _own_list(enriched, "relative_relevancy", "double"),
     }
     return enriched.select(
-        [fields[f.name].cast(f.dataType).alias(f.name) for f in RECORD_SCHEMA]
+        [fields[f.name].cast(f.dataType).alias(f.name) for f in record_schema(key)]
     )
 
 

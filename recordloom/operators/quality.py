@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.lists import subset_of
 from .keys import lookup_join, order_value
+from .shaping import conform, fill_missing
 
 # Rule kinds as suite documents name them.
 COLUMNS_MATCH = "expect_table_columns_to_match_ordered_list"
@@ -281,9 +282,13 @@ def run_suite(df: DataFrame, suite: list[Rule], detail: str = "basic") -> DataFr
     column; rules on names and types, and rules that cannot run, need no scan.
     ``detail='basic'`` adds up to 20 bad values per rule, ``'summary'`` none.
     """
+    return _run(df, list(enumerate(suite)), detail)
+
+
+def _run(df: DataFrame, numbered: list[tuple[int, Rule]], detail: str) -> DataFrame:
     static, row_rules = [], []
     unique_rules: dict[str, list[tuple[int, Rule]]] = {}
-    for position, rule in enumerate(suite):
+    for position, rule in numbered:
         error = _plan_error(df, rule)
         if error is None and rule.kind in _PLAN_RULES:
             try:
@@ -304,12 +309,9 @@ def run_suite(df: DataFrame, suite: list[Rule], detail: str = "basic") -> DataFr
     for column, rules in unique_rules.items():
         parts.append(_unique_results(df, column, rules))
     if static:
-        one = df.sparkSession.range(1)
-        parts.append(one.select(F.inline(F.array(*static))))
+        parts.append(_constant(df, static))
     if not parts:
-        return df.sparkSession.range(0).select(
-            [F.lit(None).cast(f.dataType).alias(f.name) for f in _RESULT_TYPE]
-        )
+        parts.append(conform(df.sparkSession.range(0).select(), _RESULT_TYPE))
     results = reduce(DataFrame.unionByName, parts)
     if detail != "basic":
         return results
@@ -320,6 +322,35 @@ def run_suite(df: DataFrame, suite: list[Rule], detail: str = "basic") -> DataFr
     return results.join(samples, "position", "left").withColumn("sample", F.coalesce("sample", none))
 
 
+def _constant(df: DataFrame, rows: list[Column]) -> DataFrame:
+    return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
+
+
+def check_suite(df: DataFrame, suite: list[Rule], detail: str = "basic") -> DataFrame:
+    """The results of :func:`run_suite`, evaluated: one row per rule.
+
+    If a rule fails while rows are read, the suite is halved until the rule
+    stands alone and gets a failed result with its error; the others are
+    unharmed.
+    """
+    with_samples = [T.StructField("sample", T.ArrayType(T.StringType()))] if detail == "basic" else []
+    schema = T.StructType(_RESULT_TYPE.fields + with_samples)
+
+    def evaluated(numbered: list[tuple[int, Rule]]) -> list:
+        try:
+            return _run(df, numbered, detail).select(*schema.names).collect()
+        except PySparkException as error:
+            if len(numbered) > 1:
+                half = len(numbered) // 2
+                return evaluated(numbered[:half]) + evaluated(numbered[half:])
+            position, rule = numbered[0]
+            reason = str(error).splitlines()[0]
+            failed = _constant(df, [_result(position, rule, success=False, error=reason)])
+            return fill_missing(conform(failed, schema), [f.name for f in with_samples]).collect()
+
+    return df.sparkSession.createDataFrame(evaluated(list(enumerate(suite))), schema)
+
+
 def unexpected_values(df: DataFrame, rule: Rule) -> DataFrame:
     """``(value, unexpected_count)`` of a rule, largest groups included whole.
 

@@ -25,7 +25,7 @@ from ..operators.shaping import (
 )
 from ..operators.taxonomy import UNMATCHED, convert_taxonomy, load_label_map
 from ..operators.upsert import upsert
-from ..schemas import RECORD_SCHEMA
+from ..schemas import record_schema
 from ..sources.sinks import promote_if_valid
 
 # Columns a collected paper starts with.
@@ -42,7 +42,6 @@ BLANK_FIELDS = {
 BROADCAST_ROWS = 50_000
 
 STARTS = ("pull", "combine")
-KEY = "record_id"
 CONTENT = "_content"
 
 
@@ -86,6 +85,7 @@ def run_curation(
     suite: list[Rule],
     publish: Callable[[DataFrame], None],
     start: str = "pull",
+    key: str = "record_id",
     order: tuple[str, ...] = ("url", "doi"),
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> CurationRun:
@@ -117,13 +117,13 @@ def run_curation(
     usable = usable.withColumn("doi", extract_doi(col_or_default(usable, "doi", "")))
     enriched = stored(enrich_works(usable, inputs.works), "enriched")
     good, rejects = quarantine(enriched, record_checks(enriched))
-    records = to_record(good, KEY)
+    records = to_record(good, key)
     content = F.sha2(F.to_json(F.struct(*records.columns)), 256)
     updates = stored(records.withColumn(CONTENT, content), "records")
 
     merged = upsert(
-        inputs.master, updates, KEY, [*order, CONTENT], broadcast_rows=broadcast_rows
+        inputs.master, updates, key, [*order, CONTENT], broadcast_rows=broadcast_rows
     )
-    candidate = conform(merged, RECORD_SCHEMA)
+    candidate = conform(merged, record_schema(key))
     results = promote_if_valid(candidate, suite, publish, f"{workdir}/candidate")
     return CurationRun(spark.read.parquet(f"{workdir}/candidate"), rejects, results, review)

@@ -12,31 +12,37 @@ def _fields(*pairs) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in pairs])
 
 
-# The target record, names and order (the key is ``record_id``).
-RECORD_SCHEMA = _fields(
-    ("paper", _TEXT),
-    ("mesh_terms", _TEXTS),
-    ("venue_ids", _TEXTS),
-    ("venue_names", _TEXTS),
-    ("author_ids", _TEXTS),
-    ("author_names", _TEXTS),
-    ("reference_ids", _TEXTS),
-    ("title", _TEXT),
-    ("abstract", _TEXT),
-    ("isOpenAccess", T.BooleanType()),
-    ("fullDocLink", _TEXT),
-    ("record_id", T.LongType()),
-    ("doi", _TEXT),
-    ("level1", _TEXTS),
-    ("level2", _TEXTS),
-    ("level3", _TEXTS),
-    ("isBiomimicry", _TEXT),
-    ("url", _TEXT),
-    ("mag_terms", _TEXTS),
-    ("species", _TEXTS),
-    ("absolute_relevancy", T.ArrayType(T.DoubleType())),
-    ("relative_relevancy", T.ArrayType(T.DoubleType())),
-)
+
+def record_schema(key: str = "record_id") -> T.StructType:
+    """The target record under the key name a master table uses."""
+    # Names, order and types.
+    return _fields(
+        ("paper", _TEXT),
+        ("mesh_terms", _TEXTS),
+        ("venue_ids", _TEXTS),
+        ("venue_names", _TEXTS),
+        ("author_ids", _TEXTS),
+        ("author_names", _TEXTS),
+        ("reference_ids", _TEXTS),
+        ("title", _TEXT),
+        ("abstract", _TEXT),
+        ("isOpenAccess", T.BooleanType()),
+        ("fullDocLink", _TEXT),
+        (key, T.LongType()),
+        ("doi", _TEXT),
+        ("level1", _TEXTS),
+        ("level2", _TEXTS),
+        ("level3", _TEXTS),
+        ("isBiomimicry", _TEXT),
+        ("url", _TEXT),
+        ("mag_terms", _TEXTS),
+        ("species", _TEXTS),
+        ("absolute_relevancy", T.ArrayType(T.DoubleType())),
+        ("relative_relevancy", T.ArrayType(T.DoubleType())),
+    )
+
+
+RECORD_SCHEMA = record_schema()
 
 # The fields of a bibliographic work that enrichment reads.
 _VENUE = _fields(("id", _TEXT), ("display_name", _TEXT))

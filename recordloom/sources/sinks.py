@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.lists import list_to_text
-from ..operators.quality import Rule, run_suite, suite_passed
+from ..operators.quality import Rule, check_suite, suite_passed
 
 RUN_ID = "run_id"
 RUN_TIME = "run_time"
@@ -81,8 +81,7 @@ def promote_if_valid(
     spark = candidate.sparkSession
     candidate.write.mode("errorifexists").parquet(candidate_path)
     written = spark.read.parquet(candidate_path)
-    rows = run_suite(written, suite, detail)
-    results = spark.createDataFrame(rows.collect(), rows.schema)  # one row per rule
+    results = check_suite(written, suite, detail)
     if suite_passed(results).first()["passed"]:
         publish(written)
     return results

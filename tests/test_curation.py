@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 import recordloom as rl
 from conftest import values
-from recordloom.operators.quality import NON_EMPTY_UNIQUE, NOT_NULL, UNIQUE_PROPORTION
-from recordloom.schemas import POST_SCHEMA, RECORD_SCHEMA, WORK_SCHEMA
+from recordloom.operators.quality import COLUMNS_MATCH, NON_EMPTY_UNIQUE, NOT_NULL, UNIQUE_PROPORTION
+from recordloom.schemas import POST_SCHEMA, RECORD_SCHEMA, WORK_SCHEMA, record_schema
 
 SUITE = [
     rl.Rule(NOT_NULL, "record_id"),
@@ -67,6 +67,20 @@ def test_full_run(spark, inputs, tmp_path):
     assert published == [4]
 
 
+def test_another_key_name(spark, inputs, tmp_path):
+    from dataclasses import replace
+
+    renamed = replace(
+        inputs,
+        master=inputs.master.withColumnRenamed("record_id", "myID"),
+        inbox=[df.withColumnRenamed("record_id", "myID") for df in inputs.inbox],
+    )
+    suite = [rl.Rule(COLUMNS_MATCH, params={"column_list": record_schema("myID").names}), rl.Rule(NOT_NULL, "myID")]
+    run = rl.run_curation(renamed, str(tmp_path / "run"), suite, lambda df: None, start="combine", key="myID")
+    assert values(run.candidate, "myID", "url") == [(5, "http://kept"), (6, "http://six-new")]
+    assert rl.suite_passed(run.results).first()["passed"] is True
+
+
 def test_merge_only_run_and_failed_gate(spark, inputs, tmp_path):
     suite = SUITE + [rl.Rule(NOT_NULL, "abstract")]
     published = []

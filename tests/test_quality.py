@@ -127,6 +127,21 @@ def test_custom_rule_and_unexpected_rows(df):
         rl.unexpected_rows(df, rl.Rule(NON_EMPTY_UNIQUE, "url"))
 
 
+def test_a_rule_that_fails_on_a_row_fails_alone(df):
+    rl.register_rule("expect_number", lambda c, p: c.cast("int") < 0)
+    suite = [
+        rl.Rule(NOT_NULL, "flag"), rl.Rule(NOT_NULL, "id"), rl.Rule("expect_number", "flag"),
+        rl.Rule(UNIQUE_PROPORTION, "id", {"min_value": 0.5}), rl.Rule(NOT_NULL, "nowhere"),
+    ]
+    got = rl.check_suite(df, suite).orderBy("position").collect()
+    assert [r["position"] for r in got] == [0, 1, 2, 3, 4]
+    assert [r["success"] for r in got] == [False, True, False, True, False]
+    assert "CAST_INVALID_INPUT" in got[2]["error"] and got[0]["error"] is None
+    sound = suite[:2]
+    assert values(rl.check_suite(df, sound)) == values(rl.run_suite(df, sound))
+    assert rl.check_suite(df, []).count() == 0
+
+
 def test_samples_are_bounded(spark):
     rows = spark.range(1000).select(F.col("id").cast("string").alias("s"))
     got = result(rows, rl.Rule(IN_SET, "s", {"value_set": []}))
