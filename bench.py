@@ -51,6 +51,7 @@ HEADLINE = [
     "csv_round_trip",
     "json_round_trip",
     "ingest_inbox",
+    "curation_full",
 ]
 
 

@@ -33,7 +33,7 @@ def let(value: Column, body) -> Column:
 
 def is_blank(c: Column | str) -> Column:
     """True for null and for the empty string."""
-    return F.coalesce(_col(c), F.lit("")) == ""
+    return F.coalesce(_col(c).cast("string"), F.lit("")) == ""
 
 
 def extract_doi(c: Column | str) -> Column:

@@ -116,7 +116,7 @@ def enrich_works(
     the records.
     """
     own_id = F.when(~is_blank(id_col), F.col(id_col)) if id_col in records.columns else F.lit(None)
-    own_doi = F.when(~is_blank(doi_col), F.upper(doi_col))
+    own_doi = F.when(~is_blank(doi_col), F.upper(F.col(doi_col)))
     key = F.coalesce(
         *[
             F.concat(F.lit(kind + ":"), value)

@@ -49,6 +49,14 @@ def test_json_round_trip_and_framed_array(spark, df, tmp_path):
     assert values(rl.read_json_records(spark, str(framed), SCHEMA, multi_line=True), "title") == [("a, ]",), ("b",)]
 
 
+def test_unreadable_json_lines_are_kept(spark, tmp_path):
+    file = tmp_path / "bad.json"
+    file.write_text('{"record_id": 1}\n{"record_id": 2, "title": "cut\n')
+    schema = T.StructType(SCHEMA.fields + [T.StructField("_corrupt_record", T.StringType())])
+    back = rl.read_json_records(spark, str(file), schema)
+    assert values(back, "record_id", "_corrupt_record") == [(1, None), (None, '{"record_id": 2, "title": "cut')]
+
+
 def test_inbox_reads_files_with_other_columns(spark, tmp_path):
     (tmp_path / "a.csv").write_text('record_id,title,labels\n1,"x, y","[\'p\', ""q""]"\n')
     (tmp_path / "b.csv").write_text("score,extra,title\n0.5,e,second\n")
