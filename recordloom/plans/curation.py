@@ -39,7 +39,7 @@ BLANK_FIELDS = {
 }
 
 # Updates up to this many rows are sent to the master instead of moving it.
-BROADCAST_ROWS = 50_000
+BROADCAST_ROWS = 20_000
 
 STARTS = ("pull", "combine")
 CONTENT = "_content"
