@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from recordloom.llm.bpe import bpe_round_trip
 from recordloom.llm.common import table
+from recordloom.llm.mixing import AMOUNTS_SQL, mixed
 from recordloom.llm.repetition import repetition_rules
+from recordloom.llm.sharding import assign_shards
+from recordloom.llm.spans import without_repeated_spans
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -21,9 +25,25 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assign_shards(table(spark, sf_dir, "documents"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = mixed(table(spark, sf_dir, "documents"))
+    return drawn.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"))
+
+
+def op10_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeated_spans(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_repetition": op2_repetition,
     "op5_bpe": op5_bpe,
+    "op8_sharding": op8_sharding,
+    "op9_mixing": op9_mixing,
+    "op10_spans": op10_spans,
 }
 
-SQL: dict[str, str] = {}
+SQL = {"op9_mixing": AMOUNTS_SQL}
