@@ -13,6 +13,7 @@ from recordloom.llm.mixing import AMOUNTS_SQL, mixed
 from recordloom.llm.repetition import repetition_rules
 from recordloom.llm.sharding import assign_shards
 from recordloom.llm.spans import without_repeated_spans
+from recordloom.llm.toxicity import CATEGORIES, flagged
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -25,6 +26,11 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = flagged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return got.select("doc_id", *[F.col("p")[i].alias(f"p_{c}") for i, c in enumerate(CATEGORIES)], "toxic")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"))
 
@@ -41,6 +47,7 @@ def op10_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_repetition": op2_repetition,
     "op5_bpe": op5_bpe,
+    "op7_toxicity": op7_toxicity,
     "op8_sharding": op8_sharding,
     "op9_mixing": op9_mixing,
     "op10_spans": op10_spans,
