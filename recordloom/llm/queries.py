@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from recordloom.llm.bpe import bpe_round_trip
 from recordloom.llm.common import table
 from recordloom.llm.mixing import AMOUNTS_SQL, mixed
+from recordloom.llm.near_dup import near_duplicates
 from recordloom.llm.repetition import repetition_rules
 from recordloom.llm.sharding import assign_shards
 from recordloom.llm.spans import without_repeated_spans
@@ -26,6 +27,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = flagged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return got.select("doc_id", *[F.col("p")[i].alias(f"p_{c}") for i, c in enumerate(CATEGORIES)], "toxic")
@@ -47,6 +52,7 @@ def op10_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_repetition": op2_repetition,
     "op5_bpe": op5_bpe,
+    "op6_minhash": op6_minhash,
     "op7_toxicity": op7_toxicity,
     "op8_sharding": op8_sharding,
     "op9_mixing": op9_mixing,
