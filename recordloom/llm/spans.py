@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.llm.common import (
-    BYTE_VALUES, LOWER, bytes_of, prefix_sums, sliced, small_batches, span_hashes, text_bytes, word_spans,
+    BYTE_VALUES, LOWER, bytes_of, prefix_sums, sliced, small_batches, span_hashes, staged, text_bytes, word_spans,
 )
 
 SENTENCES = 3
@@ -135,7 +135,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     rows = docs.select(doc.alias("doc"), row_key().alias("row"), text_bytes().alias("body"))
     runs = rows.mapInArrow(emitted, "doc long, row long, key long, begin int, size int")
     places = runs.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("doc", "row", "begin")).alias("first"))
-    later = runs.join(places.where("n > 1").drop("n"), "key").where(F.struct("doc", "row", "begin") != F.col("first"))
+    # Stored, so that the join deals out both its sides itself and can split a hot passage.
+    places = staged(places.where("n > 1").drop("n"), "places")
+    later = runs.join(places, "key").where(F.struct("doc", "row", "begin") != F.col("first"))
     return later.groupBy("row").agg(F.collect_set(F.struct("begin", "size")).alias("_spans"))
 
 
