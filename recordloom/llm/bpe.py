@@ -326,7 +326,9 @@ def encoded(path: str, pattern: str, with_ids: bool):
             columns = [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(id_sums, pa.string()), pa.array(text_sums, pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:
-                columns.append(pa.array(all_ids, pa.list_(pa.int32())))
+                flat = pa.array(np.concatenate([np.zeros(0, np.int32), *all_ids]), pa.int32())
+                ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), flat))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names)
 

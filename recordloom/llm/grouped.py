@@ -18,15 +18,21 @@ BLOCK = 192
 
 def block_pairs(members: DataFrame, count: str, member: str, block: int = BLOCK) -> DataFrame:
     """The members of lists (column ``key``; ``count`` is the length) once for each pair of blocks
-    their own block is part of, grouped by ``key``, ``i`` and ``j`` within partitions."""
+    that their block ``own`` is part of, grouped by ``key``, ``i`` and ``j`` within partitions."""
     blocks = F.ceil(F.col(count) / block).cast("int")
     own = F.pmod(F.xxhash64(member, F.lit(11)), blocks).cast("int")
-    other = F.explode(F.when(blocks > 1, F.filter(F.sequence(F.lit(0), blocks - 1), lambda o: o != own)).otherwise(F.array(own)))
-    rows = members.withColumns({"_own": own, "_other": other})
-    rows = rows.withColumns({"i": F.least("_own", "_other"), "j": F.greatest("_own", "_other")}).drop("_own", "_other", count)
+    rows = members.withColumns({"own": own, "_other": F.explode(F.sequence(F.lit(0), blocks - 1))})
+    rows = rows.withColumns({"i": F.least("own", "_other"), "j": F.greatest("own", "_other")}).drop("_other", count)
     return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
 
+def pairs_of_group(group: pa.Table, order: np.ndarray) -> np.ndarray:
+    """Which pairs of rows a group has to compare: all of one block, or those across two."""
+    i, j = int(group.column("i")[0].as_py()), int(group.column("j")[0].as_py())
+    side = group.column("own").to_numpy()[order] == i
+    return np.ones((len(side), len(side)), dtype=bool) if i == j else side[:, None] != side[None, :]
+
+
 def by_group(handle: Callable[[pa.Table], pa.RecordBatch | None]):
     """A function for ``mapInArrow`` that calls ``handle`` on each run of rows equal in key, i and j."""
 

@@ -21,18 +21,23 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.llm.common import bytes_of, columns_of, mixed, sliced, small_batches, staged, text_bytes
 from recordloom.llm.components import components
-from recordloom.llm.grouped import block_pairs, by_group, spanning
+from recordloom.llm.grouped import block_pairs, by_group, pairs_of_group, spanning
 from recordloom.llm.minhash import COORDINATES, SHINGLE, shingle_sets, signatures
 
 PERCENT = 85
 MATCHES = 44
 
 
+def row_key() -> Column:
+    """What tells rows apart: id and text together."""
+    return F.xxhash64(F.col("doc_id").cast("long"), text_bytes())
+
+
 def sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in sliced(batches, "body"):
         keys, bounds = shingle_sets(*bytes_of(part.column("body")), SHINGLE)
@@ -43,10 +48,10 @@ def sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sig = signatures(keys, bounds).astype("<u4")
         yield pa.RecordBatch.from_arrays(
             [
-                part.column("doc_id"), pa.array(np.diff(bounds)), pa.array(h[0].view(np.int64)), pa.array(h[1].view(np.int64)),
+                part.column("doc_id"), part.column("row_key"), pa.array(np.diff(bounds)), pa.array(h[0].view(np.int64)), pa.array(h[1].view(np.int64)),
                 pa.array([s.tobytes() for s in sig], pa.binary()),
             ],
-            ["doc_id", "n_shingles", "h1", "h2", "sig"],
+            ["doc_id", "row_key", "n_shingles", "h1", "h2", "sig"],
         )
 
 
@@ -105,7 +110,7 @@ def collisions(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         matches += same
         if k < here:
             earlier |= same & ((both >> np.uint64(k)) & np.uint64(1)).astype(bool)
-    matches[(matches < MATCHES) | earlier | (ids[:, None] == ids[None, :])] = 0
+    matches[(matches < MATCHES) | earlier | (ids[:, None] == ids[None, :]) | ~pairs_of_group(group, order)] = 0
     return ids, labels, matches
 
 
@@ -160,7 +165,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` for every row (``doc_id``, ``text``).
+    """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` and ``row_key`` for every row (``doc_id``, ``text``).
 
     Words are compared without case of A to Z. A null text or one without words
     has no shingles and is linked with nothing; a text shorter than a shingle is
@@ -169,8 +174,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     there is one and to none (null) otherwise. Other columns are ignored.
     """
     small_batches(docs.sparkSession)
-    texts = columns_of(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("body"))
-    rows = staged(texts.mapInArrow(sketched, "doc_id long, n_shingles long, h1 long, h2 long, sig binary"), "sketches")
+    texts = columns_of(docs, "doc_id", "text").select(
+        F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row_key"), text_bytes().alias("body")
+    )
+    rows = staged(texts.mapInArrow(sketched, "doc_id long, row_key long, n_shingles long, h1 long, h2 long, sig binary"), "sketches")
     found = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = staged(found.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.min_by("sig", "doc_id").alias("sig")), "classes")
     lists = staged(posting_lists(classes), "lists")
@@ -196,6 +203,6 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     full = rows.drop("sig").where("n_shingles > 0").join(named, ["h1", "h2"], "left")
     empty = rows.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
-    columns = ["doc_id", "n_shingles", "component_id"]
+    columns = ["doc_id", "n_shingles", "component_id", "row_key"]
     every = full.select(*columns).union(empty.select(*columns))
     return every.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -11,6 +11,7 @@ from recordloom.llm.bpe import bpe_round_trip
 from recordloom.llm.common import table
 from recordloom.llm.mixing import AMOUNTS_SQL, mixed
 from recordloom.llm.near_dup import near_duplicates
+from recordloom.llm.pivots import near_vectors
 from recordloom.llm.repetition import repetition_rules
 from recordloom.llm.sharding import assign_shards
 from recordloom.llm.spans import without_repeated_spans
@@ -23,12 +24,16 @@ def op2_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(table(spark, sf_dir, "documents"))
 
 
+def op4_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("row_key")
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,6 +56,7 @@ def op10_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_repetition": op2_repetition,
+    "op4_pivots": op4_pivots,
     "op5_bpe": op5_bpe,
     "op6_minhash": op6_minhash,
     "op7_toxicity": op7_toxicity,
