@@ -13,6 +13,7 @@ from recordloom.llm.mixing import AMOUNTS_SQL, mixed
 from recordloom.llm.near_dup import near_duplicates
 from recordloom.llm.pivots import near_vectors
 from recordloom.llm.repetition import repetition_rules
+from recordloom.llm.scoring import corpus_scores
 from recordloom.llm.sharding import assign_shards
 from recordloom.llm.spans import without_repeated_spans
 from recordloom.llm.toxicity import CATEGORIES, flagged
@@ -20,6 +21,10 @@ from recordloom.llm.toxicity import CATEGORIES, flagged
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_scores(table(spark, sf_dir, "documents"))
+
+
 def op2_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(table(spark, sf_dir, "documents"))
 
@@ -55,6 +60,7 @@ def op10_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_scoring": op1_scoring,
     "op2_repetition": op2_repetition,
     "op4_pivots": op4_pivots,
     "op5_bpe": op5_bpe,
