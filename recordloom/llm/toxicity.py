@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from recordloom.llm.common import sliced, small_batches, text_bytes
 
@@ -260,7 +261,7 @@ def toxicity(
     chain = fit_chain(got.column("found").to_pylist(), y, fold, uses)
     rest = [c for c in docs.columns if c != "p"]
     rows = docs.select(*[F.col(f"`{c}`") for c in rest], text_bytes().alias("body"))
-    kind = docs.select(*[F.col(f"`{c}`") for c in rest]).schema.add("p", "array<double>")
+    kind = docs.select(*[F.col(f"`{c}`") for c in rest]).schema.add("p", ArrayType(DoubleType()))
     return rows.mapInArrow(scored(names, chain), kind)
 
 
