@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = 192
+SMALL = 16
 
 
 def block_pairs(members: DataFrame, count: str, member: str, block: int = BLOCK) -> DataFrame:
@@ -33,41 +34,45 @@ def pairs_of_group(group: pa.Table, order: np.ndarray) -> np.ndarray:
     return np.ones((len(side), len(side)), dtype=bool) if i == j else side[:, None] != side[None, :]
 
 
-def by_group(handle: Callable[[pa.Table], pa.RecordBatch | None]):
-    """A function for ``mapInArrow`` that calls ``handle`` on each run of rows equal in key, i and j."""
+def by_group(handle: Callable[[pa.Table], pa.RecordBatch | None], many: Callable[..., pa.RecordBatch | None]):
+    """A function for ``mapInArrow`` over rows sorted by key, i and j.
 
-    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carried: list[pa.RecordBatch] = []
-        last = None
-        out: list[pa.RecordBatch] = []
+    Runs of equal rows of more than ``SMALL`` rows go to ``handle`` one by one;
+    ``many`` gets the small ones of a batch together, with the places of all
+    pairs of rows of one run (``left``, ``right``).
+    """
 
-        def finish():
-            got = handle(pa.Table.from_batches(carried)) if sum(b.num_rows for b in carried) > 1 else None
-            carried.clear()
-            return got
+    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        carried: pa.Table | None = None
+
+        def finished(table: pa.Table, cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
+            sizes = np.diff(cuts)
+            for start, size in zip(cuts[:-1][sizes > SMALL], sizes[sizes > SMALL]):
+                got = handle(table.slice(start, size))
+                if got is not None and got.num_rows:
+                    yield got
+            keep = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= SMALL), sizes))
+            if len(keep):
+                run = np.repeat(np.arange(len(sizes)), sizes)[keep]
+                at = np.arange(len(keep))
+                pairs = [(at[:-d][run[:-d] == run[d:]], d) for d in range(1, min(SMALL, len(keep)))]
+                left = np.concatenate([x for x, _ in pairs]) if pairs else at[:0]
+                right = np.concatenate([x + d for x, d in pairs]) if pairs else at[:0]
+                got = many(table.take(pa.array(keep)), left, right)
+                if got is not None and got.num_rows:
+                    yield got
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("key", "i", "j")])
-            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-            bounds = [0, *cuts.tolist(), batch.num_rows]
-            for start, end in zip(bounds[:-1], bounds[1:]):
-                if last is not None and tuple(keys[start]) != last:
-                    got = finish()
-                    if got is not None:
-                        out.append(got)
-                last = tuple(keys[start])
-                carried.append(batch.slice(start, end - start))
-            if len(out) > 64:
-                yield from pa.Table.from_batches(out).combine_chunks().to_batches()
-                out.clear()
-        if carried:
-            got = finish()
-            if got is not None:
-                out.append(got)
-        if out:
-            yield from pa.Table.from_batches(out).combine_chunks().to_batches()
+            table = pa.Table.from_batches([batch])
+            table = table if carried is None else pa.concat_tables([carried, table])
+            keys = np.column_stack([table.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "j")])
+            cuts = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1])
+            yield from finished(table, cuts)
+            carried = table.slice(cuts[-1])
+        if carried is not None:
+            yield from finished(carried, np.array([0, carried.num_rows]))
 
     return rows
 

@@ -101,19 +101,21 @@ def collisions(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ids, labels = ids[order], group.column("label").to_numpy()[order]
     posts = group.column("posts").to_numpy().astype(np.int64).view(np.uint64)[order]
     low = np.frombuffer(b"".join(group.column("low").to_pylist()), dtype=np.uint8).reshape(len(ids), COORDINATES)[order]
-    here = int(group.column("key")[0].as_py()) >> 32
-    matches = np.zeros((len(ids), len(ids)), dtype=np.uint8)
-    earlier = np.zeros((len(ids), len(ids)), dtype=bool)
-    both = posts[:, None] & posts[None, :]
-    for k in range(COORDINATES):
-        same = low[:, k][:, None] == low[:, k][None, :]
-        matches += same
-        if k < here:
-            earlier |= same & ((both >> np.uint64(k)) & np.uint64(1)).astype(bool)
-    matches[(matches < MATCHES) | earlier | (ids[:, None] == ids[None, :]) | ~pairs_of_group(group, order)] = 0
+    same = low[:, None, :] == low[None, :, :]
+    matches = agreeing(same, posts[:, None] & posts[None, :], np.full((1, 1), int(group.column("key")[0].as_py()) >> 32))
+    matches[(ids[:, None] == ids[None, :]) | ~pairs_of_group(group, order)] = 0
     return ids, labels, matches
 
 
+def agreeing(same: np.ndarray, both: np.ndarray, here: np.ndarray) -> np.ndarray:
+    """Agreeing coordinates of pairs; 0 for too few, or where an earlier list than ``here`` has the pair, too."""
+    matches = same.sum(axis=-1, dtype=np.uint8)
+    bits = np.packbits(same, axis=-1, bitorder="little").view("<u8")[..., 0]
+    before = (np.uint64(1) << here.astype(np.uint64)) - np.uint64(1)
+    matches[(matches < MATCHES) | ((bits & both & before) != 0)] = 0
+    return matches
+
+
 def _edges(ids: np.ndarray, a, b) -> pa.RecordBatch | None:
     if not len(a):
         return None
@@ -121,6 +123,29 @@ def _edges(ids: np.ndarray, a, b) -> pa.RecordBatch | None:
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
 
+def _small(different: bool):
+    def many(rows: pa.Table, left: np.ndarray, right: np.ndarray) -> pa.RecordBatch | None:
+        """All pairs of short lists that agree enough."""
+        ids, labels = rows.column("rep").to_numpy(), rows.column("label").to_numpy()
+        posts = rows.column("posts").to_numpy().astype(np.int64).view(np.uint64)
+        low = np.frombuffer(b"".join(rows.column("low").to_pylist()), dtype=np.uint8).reshape(len(ids), COORDINATES)
+        here = rows.column("key").to_numpy() >> 32
+        block = rows.column("own").to_numpy()
+        first, second = [], []
+        for start in range(0, len(left), 20_000):
+            x, y = left[start : start + 20_000], right[start : start + 20_000]
+            found = agreeing(low[x] == low[y], posts[x] & posts[y], here[x]) > 0
+            within = rows.column("i").to_numpy()[x] == rows.column("j").to_numpy()[x]
+            found &= (ids[x] != ids[y]) & (within | (block[x] != block[y]))
+            if different:
+                found &= labels[x] != labels[y]
+            first.append(x[found])
+            second.append(y[found])
+        return _edges(ids, np.concatenate(first), np.concatenate(second)) if first else None
+
+    return many
+
+
 def forest(group: pa.Table) -> pa.RecordBatch | None:
     ids, labels, matches = collisions(group)
     chosen = spanning(matches, labels)
@@ -181,7 +206,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     found = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = staged(found.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.min_by("sig", "doc_id").alias("sig")), "classes")
     lists = staged(posting_lists(classes), "lists")
-    pairs = block_pairs(lists.withColumn("label", F.col("rep")), "n", "rep").mapInArrow(by_group(forest), "a long, b long")
+    pairs = block_pairs(lists.withColumn("label", F.col("rep")), "n", "rep").mapInArrow(by_group(forest, _small(False)), "a long, b long")
     tested = staged(confirmed(pairs.distinct(), texts, percent), "tested")
     linked = staged(components(tested.where("link")), "linked")
     failed = tested.where("NOT link")
@@ -193,7 +218,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         labels = whole.join(torn, "whole").join(linked.withColumnRenamed("node", "rep"), "rep", "left").select(
             "rep", F.coalesce("component", "rep").alias("label")
         )
-        open_pairs = block_pairs(lists.join(labels, "rep"), "n", "rep").mapInArrow(by_group(crossing), "a long, b long")
+        open_pairs = block_pairs(lists.join(labels, "rep"), "n", "rep").mapInArrow(by_group(crossing, _small(True)), "a long, b long")
         open_pairs = open_pairs.distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
         more = staged(confirmed(staged(open_pairs, "open"), texts, percent), "tested")
         links = tested.where("link").select("a", "b").union(more.where("link").select("a", "b"))
