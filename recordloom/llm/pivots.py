@@ -97,43 +97,83 @@ def posted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def compared(cosine: float, shared: int):
     """Verifies the pairs that belong to a list: counts of links per vector, and edges of a spanning forest."""
 
-    def handle(group: pa.Table) -> pa.RecordBatch | None:
-        ids = group.column("rep").to_numpy()
-        order = np.argsort(ids, kind="stable")
-        ids = ids[order]
-        units = vectors(group.column("unit").to_pylist())[order]
-        copies = group.column("n").to_numpy()[order]
-        perms = [group.column("perm")[int(i)].as_py() for i in order]
-        top = max(max(p) for p in perms) + 1
-        has = np.zeros((len(ids), top), dtype=np.float32)
-        for i, perm in enumerate(perms):
-            has[i, perm] = 1
-        pair = int(group.column("pair")[0].as_py())
-        p, q = divmod(pair, KEY_BASE)
-        common = has @ has.T
-        # Pivots shared below the second of this list: none but the first, or another list has the pair.
-        below = has[:, :q] @ has[:, :q].T
-        own = (common >= min(shared, min(len(x) for x in perms))) & (below == (1 if p != q else 0))
-        own &= pairs_of_group(group, order)
-        near = units @ units.T
-        linked = own & (near >= cosine)
-        np.fill_diagonal(linked, False)
-        if not linked.any():
-            return None
-        counts = linked @ copies
-        edges = spanning(np.where(linked, near, 0), ids)
-        a = [int(ids[x]) for x, _ in edges]
-        b = [int(ids[y]) for _, y in edges]
+    def perms_of(column: pa.ChunkedArray) -> np.ndarray:
+        """The nearest pivots, one row per vector, filled up with numbers that match nothing."""
+        lists = column.to_pylist()
+        out = np.full((len(lists), max(map(len, lists))), -1, dtype=np.int64)
+        for i, perm in enumerate(lists):
+            out[i, : len(perm)] = perm
+        return out
+
+    def own(left: np.ndarray, right: np.ndarray, pair: np.ndarray) -> np.ndarray:
+        """Whether pairs share enough pivots and this list is that of the two smallest."""
+        common = (left[:, :, None] == right[:, None, :]) & (left[:, :, None] >= 0)
+        count = common.sum(axis=(1, 2))
+        p, q = np.divmod(pair, KEY_BASE)
+        below = (common & (left < q[:, None])[:, :, None]).sum(axis=(1, 2))
+        enough = np.minimum(shared, np.minimum((left >= 0).sum(axis=1), (right >= 0).sum(axis=1)))
+        return (count >= enough) & (below == (p != q))
+
+    def result(ids, counts, a, b) -> pa.RecordBatch | None:
         some = np.flatnonzero(counts)
+        if not len(some):
+            return None
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([*ids[some].tolist(), *a], pa.int64()), pa.array([None] * len(some) + b, pa.int64()),
-                pa.array([*counts[some].tolist(), *[0] * len(a)], pa.int64()),
+                pa.array(np.concatenate([ids[some], a])), pa.array([None] * len(some) + b.tolist(), pa.int64()),
+                pa.array(np.concatenate([counts[some], np.zeros(len(a), np.int64)])),
             ],
             ["a", "b", "links"],
         )
 
-    return handle
+    def handle(group: pa.Table) -> pa.RecordBatch | None:
+        ids = group.column("rep").to_numpy()
+        order = np.argsort(ids, kind="stable")
+        ids = ids[order]
+        units = vectors(group.column("unit").to_pylist())[order]
+        copies = group.column("n").to_numpy()[order]
+        near = units @ units.T
+        x, y = np.nonzero(np.triu((near >= cosine) & pairs_of_group(group, order), 1))
+        perms = perms_of(group.column("perm"))[order]
+        keep = [
+            own(perms[x[s : s + 20_000]], perms[y[s : s + 20_000]], np.full(len(x[s : s + 20_000]), group.column("pair")[0].as_py()))
+            for s in range(0, len(x), 20_000)
+        ]
+        keep = np.concatenate(keep) if keep else np.zeros(0, bool)
+        x, y = x[keep], y[keep]
+        counts = np.bincount(x, copies[y], minlength=len(ids)) + np.bincount(y, copies[x], minlength=len(ids))
+        weights = np.zeros((len(ids), len(ids)))
+        weights[x, y] = weights[y, x] = near[x, y]
+        edges = np.array(spanning(weights, ids), dtype=np.int64).reshape(-1, 2)
+        return result(ids, counts.astype(np.int64), ids[edges[:, 0]], ids[edges[:, 1]])
+
+    def many(rows: pa.Table, left: np.ndarray, right: np.ndarray) -> pa.RecordBatch | None:
+        ids, copies, block = (rows.column(c).to_numpy() for c in ("rep", "n", "own"))
+        within = rows.column("i").to_numpy()[left] == rows.column("j").to_numpy()[left]
+        apart = within | (block[left] != block[right])
+        left, right = left[apart], right[apart]
+        packed = rows.column("unit").to_pylist()
+        sizes = np.array([len(u) for u in packed])
+        perms = perms_of(rows.column("perm"))
+        first, second = [left[:0]], [left[:0]]
+        for size in np.unique(sizes):
+            at = np.flatnonzero(sizes == size)
+            place = np.zeros(len(sizes), dtype=np.int64)
+            place[at] = np.arange(len(at))
+            units = vectors([packed[i] for i in at])
+            mine = np.flatnonzero(sizes[left] == size)
+            for start in range(0, len(mine), 20_000):
+                x, y = left[mine[start : start + 20_000]], right[mine[start : start + 20_000]]
+                near = (units[place[x]] * units[place[y]]).sum(axis=1) >= cosine
+                x, y = x[near], y[near]
+                keep = own(perms[x], perms[y], rows.column("pair").to_numpy()[x])
+                first.append(x[keep])
+                second.append(y[keep])
+        x, y = np.concatenate(first), np.concatenate(second)
+        counts = np.bincount(x, copies[y], minlength=len(ids)) + np.bincount(y, copies[x], minlength=len(ids))
+        return result(ids, counts.astype(np.int64), ids[x], ids[y])
+
+    return handle, many
 
 
 def near_vectors(
@@ -187,7 +227,7 @@ def near_vectors(
     members = posts.join(lengths, "key").select("key", "pair", "length", "rep")
     members = members.join(indexed.select("rep", "n", "unit", "perm"), "rep")
     found = staged(
-        block_pairs(members, "length", "rep").mapInArrow(by_group(compared(cosine, shared)), "a long, b long, links long"), "vector-links"
+        block_pairs(members, "length", "rep").mapInArrow(by_group(*compared(cosine, shared)), "a long, b long, links long"), "vector-links"
     )
     others = found.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("others"))
     linked = components(found.where("b IS NOT NULL")).withColumnRenamed("node", "rep")
