@@ -12,6 +12,7 @@ from recordloom.llm.common import table
 from recordloom.llm.mixing import AMOUNTS_SQL, mixed
 from recordloom.llm.near_dup import near_duplicates
 from recordloom.llm.pivots import near_vectors
+from recordloom.llm.preference import PAIRS_SQL, paired, preference_pairs
 from recordloom.llm.repetition import repetition_rules
 from recordloom.llm.scoring import corpus_scores
 from recordloom.llm.sharding import assign_shards
@@ -29,6 +30,10 @@ def op2_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(table(spark, sf_dir, "documents"))
 
 
+def op3_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preference_pairs(paired(table(spark, sf_dir, "conversations")))
+
+
 def op4_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -62,6 +67,7 @@ def op10_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_scoring": op1_scoring,
     "op2_repetition": op2_repetition,
+    "op3_preference": op3_preference,
     "op4_pivots": op4_pivots,
     "op5_bpe": op5_bpe,
     "op6_minhash": op6_minhash,
@@ -71,4 +77,4 @@ QUERIES = {
     "op10_spans": op10_spans,
 }
 
-SQL = {"op9_mixing": AMOUNTS_SQL}
+SQL = {"op3_preference": PAIRS_SQL, "op9_mixing": AMOUNTS_SQL}
