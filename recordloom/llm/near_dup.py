@@ -9,10 +9,12 @@ have no list left, and the long lists of common passages are the last anyone
 looks into. Within a list collisions are counted over whole signatures, and a
 pair is left to the first list both are posted in (skip).
 
-Long lists are compared block by block. Only pairs that connect documents leave
-a list, never all pairs of a group: first a heaviest spanning forest, whose
-pairs are confirmed on the full shingle sets, then, where a confirmation failed,
-all untested pairs between parts that are not connected yet.
+Only pairs that connect documents leave a list, never all pairs of a group, and
+all of them are confirmed on the full shingle sets. First each document meets
+the first members of its lists, which connects most groups of copies; lists of
+one component are done then. The others are compared block by block and give out
+a heaviest spanning forest across components; where a confirmation failed, all
+untested pairs between parts that are not connected yet follow.
 """
 
 from __future__ import annotations
@@ -101,9 +103,26 @@ def collisions(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ids, labels = ids[order], group.column("label").to_numpy()[order]
     posts = group.column("posts").to_numpy().astype(np.int64).view(np.uint64)[order]
     low = np.frombuffer(b"".join(group.column("low").to_pylist()), dtype=np.uint8).reshape(len(ids), COORDINATES)[order]
-    same = low[:, None, :] == low[None, :, :]
-    matches = agreeing(same, posts[:, None] & posts[None, :], np.full((1, 1), int(group.column("key")[0].as_py()) >> 32))
-    matches[(ids[:, None] == ids[None, :]) | ~pairs_of_group(group, order)] = 0
+    here = int(group.column("key")[0].as_py()) >> 32
+    matches = np.zeros((len(ids), len(ids)), dtype=np.uint8)
+    wanted = pairs_of_group(group, order)
+    if (labels == labels[0]).all():
+        return ids, labels, matches
+    # Across two blocks only the pairs of one with the other are compared.
+    left = np.flatnonzero(wanted[0]) if not wanted[0, 0] else np.arange(len(ids))
+    right = np.flatnonzero(~wanted[0]) if not wanted[0, 0] else left
+    some = np.zeros((len(left), len(right)), dtype=np.uint8)
+    earlier = np.zeros((len(left), len(right)), dtype=bool)
+    for k in range(COORDINATES):
+        same = low[left, k][:, None] == low[right, k][None, :]
+        some += same
+        if k < here:
+            posted_here = (posts >> np.uint64(k)) & np.uint64(1) > 0
+            if posted_here[left].any() and posted_here[right].any():
+                earlier |= same & posted_here[left][:, None] & posted_here[right][None, :]
+    some[(some < MATCHES) | earlier | (ids[left][:, None] == ids[right][None, :])] = 0
+    matches[np.ix_(left, right)] = some
+    matches[np.ix_(right, left)] = some.T
     return ids, labels, matches
 
 
@@ -123,7 +142,7 @@ def _edges(ids: np.ndarray, a, b) -> pa.RecordBatch | None:
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
 
-def _small(different: bool):
+def _small(different: bool = True):
     def many(rows: pa.Table, left: np.ndarray, right: np.ndarray) -> pa.RecordBatch | None:
         """All pairs of short lists that agree enough."""
         ids, labels = rows.column("rep").to_numpy(), rows.column("label").to_numpy()
@@ -158,6 +177,38 @@ def crossing(group: pa.Table) -> pa.RecordBatch | None:
     return _edges(ids, a, b)
 
 
+def met(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members of lists that agree enough with the first of their list, and in how many coordinates."""
+    for batch in batches:
+        n = batch.num_rows
+        own, first = (
+            np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(n, COORDINATES) for c in ("low", "first_low")
+        )
+        agree = (own == first).sum(axis=1)
+        keep = pa.array((agree >= MATCHES) & (batch.column("rep").to_numpy() != batch.column("first").to_numpy()))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("rep").filter(keep), batch.column("first").filter(keep), pa.array(agree).filter(keep)], ["rep", "first", "agree"]
+        )
+
+
+def first_pairs(lists: DataFrame) -> DataFrame:
+    """``a``, ``b``: each document with that first member of its lists it agrees with most."""
+    firsts = lists.groupBy("key").agg(F.min(F.struct("rep", "low")).alias("f"))
+    firsts = staged(firsts.select("key", F.col("f.rep").alias("first"), F.col("f.low").alias("first_low")), "firsts")
+    pairs = lists.select("key", "rep", "low").join(firsts, "key").select("rep", "low", "first", "first_low")
+    pairs = pairs.mapInArrow(met, "rep long, first long, agree long")
+    best = pairs.groupBy("rep").agg(F.max(F.struct("agree", (-F.col("first")).alias("less"))).alias("best"))
+    return best.select((-F.col("best.less")).alias("a"), F.col("rep").alias("b"))
+
+
+def labelled(lists: DataFrame, linked: DataFrame) -> DataFrame:
+    """The lists with the component of each member; lists of a single component are left out."""
+    marked = lists.join(linked.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("component", "rep"))
+    marked = staged(marked.drop("component"), "marked")
+    mixed_lists = marked.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least < most")
+    return marked.join(staged(mixed_lists.select("key"), "mixed"), "key")
+
+
 def overlaps(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Shared and all shingles of pairs of texts."""
     for batch in batches:
@@ -206,8 +257,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     found = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = staged(found.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.min_by("sig", "doc_id").alias("sig")), "classes")
     lists = staged(posting_lists(classes), "lists")
-    pairs = block_pairs(lists.withColumn("label", F.col("rep")), "n", "rep").mapInArrow(by_group(forest, _small(False)), "a long, b long")
-    tested = staged(confirmed(pairs.distinct(), texts, percent), "tested")
+    tested = staged(confirmed(first_pairs(lists), texts, percent), "tested")
+    linked = staged(components(tested.where("link")), "linked")
+    pairs = block_pairs(labelled(lists, linked), "n", "rep").mapInArrow(by_group(forest, _small(True)), "a long, b long")
+    pairs = pairs.distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
+    more = staged(confirmed(staged(pairs, "pairs"), texts, percent), "tested")
+    tested = tested.union(more)
     linked = staged(components(tested.where("link")), "linked")
     failed = tested.where("NOT link")
     if not failed.isEmpty():
@@ -215,10 +270,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         suspects = components(tested).withColumnRenamed("component", "whole")
         whole = suspects.union(suspects.select("whole", "whole").distinct()).toDF("rep", "whole")
         torn = failed.select(F.col("a").alias("rep")).distinct().join(whole, "rep").select("whole").distinct()
-        labels = whole.join(torn, "whole").join(linked.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "rep", F.coalesce("component", "rep").alias("label")
-        )
-        open_pairs = block_pairs(lists.join(labels, "rep"), "n", "rep").mapInArrow(by_group(crossing, _small(True)), "a long, b long")
+        labels = staged(whole.join(torn, "whole"), "suspects")
+        open_lists = labelled(lists.join(labels.select("rep"), "rep"), linked)
+        open_pairs = block_pairs(open_lists, "n", "rep").mapInArrow(by_group(crossing, _small(True)), "a long, b long")
         open_pairs = open_pairs.distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
         more = staged(confirmed(staged(open_pairs, "open"), texts, percent), "tested")
         links = tested.where("link").select("a", "b").union(more.where("link").select("a", "b"))
