@@ -85,7 +85,7 @@ def spanning(weights: np.ndarray, labels: np.ndarray) -> list[tuple[int, int]]:
     while True:
         open_edges = np.where(group[:, None] != group[None, :], weights, 0)
         partner = open_edges.argmax(axis=1)
-        best = open_edges[np.arange(n), partner]
+        best = open_edges[np.arange(n), partner].astype(np.float64)
         if best.max(initial=0) <= 0:
             return chosen
         # The heaviest edge of each group; ties go to the earliest pair, seen alike from both ends.

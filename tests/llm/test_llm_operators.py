@@ -15,6 +15,7 @@ import corpus_pipeline
 from recordloom.llm.bpe import Codec, Utf8Stream, bpe_round_trip, load_ranks
 from recordloom.llm.components import components
 from recordloom.llm.context_mixing import CodeModel, SpellingModel, spelling_counts
+from recordloom.llm.grouped import spanning
 from recordloom.llm.mixing import mixed
 from recordloom.llm.near_dup import near_duplicates
 from recordloom.llm.pivots import near_vectors
@@ -160,6 +161,16 @@ def test_components_of_chains_stars_and_loops(spark):
     assert components(links.limit(0)).count() == 0
 
 
+def test_spanning_edges_connect_what_weights_connect():
+    weights = np.zeros((6, 6), dtype=np.uint8)
+    for a, b, w in ((0, 1, 50), (1, 2, 60), (0, 2, 44), (3, 4, 64)):
+        weights[a, b] = weights[b, a] = w
+    edges = lambda labels: {tuple(sorted(e)) for e in spanning(weights, np.array(labels))}
+    assert edges([0, 1, 2, 3, 4, 5]) == {(0, 1), (1, 2), (3, 4)}
+    assert edges([0, 1, 0, 3, 4, 0]) == {(1, 2), (3, 4)}
+    assert edges([0] * 6) == set()
+
+
 def test_pivot_index_finds_all_links_of_near_vectors(spark):
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(30, 16))
