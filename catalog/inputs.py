@@ -177,9 +177,9 @@ def master(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def updates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """New rows: closed orders (keys repeat, nulls, one more column) and suppliers."""
+    """New rows: orders (keys repeat, nulls, one more column) and suppliers."""
     orders = (
-        table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
+        table(spark, sf_dir, "orders")
         .select(
             F.col("o_custkey").alias("record_id"),
             F.col("o_totalprice").alias("c_acctbal"),

@@ -85,7 +85,7 @@ u AS (SELECT o_custkey AS record_id, o_totalprice AS c_acctbal,
         o_orderpriority AS last_priority,
         strftime(o_orderdate, '%Y%m%d') || lpad(o_orderkey::VARCHAR, 12, '0') AS seq,
         NULL::VARCHAR AS c_name, NULL::INTEGER AS c_nationkey
-      FROM orders WHERE o_orderstatus = 'F'
+      FROM orders
       UNION ALL BY NAME
       SELECT CASE WHEN s_acctbal >= 0 THEN s_suppkey + 1000000000000 END AS record_id, s_name AS c_name,
         s_nationkey AS c_nationkey, s_acctbal AS c_acctbal, '99990101' || s_name AS seq FROM supplier),

@@ -10,7 +10,7 @@ DOI_HOST = "doi.org"
 WORK_ID_PREFIX = "https://openalex.org/"
 
 _HIDDEN_MARKUP = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-_ANCHOR_HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+_ANCHOR_HREF = r"""(?is)<a\s(?:(?:[^>"']|"[^"]*"|'[^']*')*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 _ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 
 
@@ -58,6 +58,17 @@ def doi_link(html: Column | str) -> Column:
     """First link of a page that names the DOI host; null if no link does."""
     html = _col(html)
     link = F.get(F.filter(page_links(html), lambda x: x.contains(DOI_HOST)), F.lit(0))
+    # Numeric entities of ASCII characters, then the named ones.
+    numbers = F.regexp_extract_all(link, F.lit("(?i)&#(x0*[0-7]?[0-9a-f]|0*[0-9]{1,2}|0*1[01][0-9]|0*12[0-7]);"), F.lit(1))
+
+    def plain_char(number: Column) -> Column:
+        hexed = F.lower(number).startswith("x")
+        code = F.when(hexed, F.conv(F.substring(number, 2, 99), 16, 10)).otherwise(number)
+        return F.char(code.cast("int"))
+
+    link = F.aggregate(
+        numbers, link, lambda text, n: F.replace(text, F.concat(F.lit("&#"), n, F.lit(";")), plain_char(n))
+    )
     for entity, plain in _ENTITIES:
         link = F.replace(link, F.lit(entity), F.lit(plain))
     # The substring test spares most pages the two regular expressions.

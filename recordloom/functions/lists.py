@@ -20,12 +20,16 @@ def or_empty(c: Column | str, element: str = "string") -> Column:
 
 
 def path_level(c: Column | str, level: int) -> Column:
-    """The ``level``-th part of each path text; ``[]`` for a missing list."""
-    return F.transform(or_empty(c), lambda x: F.get(F.split(x, PATH_SEPARATOR), F.lit(level)))
+    """The ``level``-th part of each path text that has one; ``[]`` for a missing list."""
+    parts = F.transform(or_empty(c), lambda x: F.get(F.split(x, PATH_SEPARATOR), F.lit(level)))
+    return F.filter(parts, lambda x: x.isNotNull())
 
 
 def _parsed(c: Column, element: str) -> Column:
-    return F.from_json(c, f"array<{element}>", _LIST_OPTIONS)
+    """The list, or null. A text that is a list only with ``None`` for a missing element is read, too."""
+    kind = f"array<{element}>"
+    named = F.regexp_replace(c, r"(?<=[\[,\s])None(?=[\s,\]])", "null")
+    return F.coalesce(F.from_json(c, kind, _LIST_OPTIONS), F.from_json(named, kind, _LIST_OPTIONS))
 
 
 def parse_list_literal(c: Column | str, element: str = "string") -> Column:

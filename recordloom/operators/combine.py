@@ -20,14 +20,21 @@ def _as_text(df: DataFrame, name: str) -> DataFrame:
 def combine(frames: list[DataFrame]) -> DataFrame:
     """All rows of all frames by column name; absent columns are null.
 
-    A column that is text in one frame and something else in another becomes
-    text, lists in the form that the list parser reads.
+    A column of different types becomes text, lists in the form that the list
+    parser reads; different types of numbers, or of instants, get a common one.
     """
-    kinds: dict[str, set] = {}
+    if not frames:
+        raise ValueError("combine needs at least one frame")
+    kinds: dict[str, dict[str, T.DataType]] = {}
     for df in frames:
         for f in df.schema:
-            kinds.setdefault(f.name, set()).add(f.dataType.simpleString())
+            if not isinstance(f.dataType, T.NullType):
+                kinds.setdefault(f.name, {})[f.dataType.simpleString()] = f.dataType
     for name, seen in kinds.items():
-        if len(seen) > 1 and "string" in seen:
+        alike = any(
+            all(isinstance(t, family) for t in seen.values())
+            for family in (T.NumericType, (T.DateType, T.TimestampType))
+        )
+        if len(seen) > 1 and not alike:
             frames = [_as_text(df, name) if name in df.columns else df for df in frames]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -76,7 +76,8 @@ def works_by_key(works: DataFrame, order: list[str] | None = None) -> DataFrame:
     """The snapshot under each key it is looked up by, first work per key.
 
     Two rows per work, one under its id and one under its DOI; ``order``
-    decides between works with the same key (default: by id).
+    decides between works with the same key (default: by id), the plain
+    columns' contents between works that it leaves equal.
     """
     short = F.coalesce(extract_work_id("id"), F.col("id"))
     doi = extract_doi(F.coalesce("doi", F.lit("")))
@@ -93,7 +94,8 @@ def works_by_key(works: DataFrame, order: list[str] | None = None) -> DataFrame:
         *[F.col(c).alias(_FIELD + c) for c in works.columns],
         doi.alias("_found_doi"),
     )
-    order = [_FIELD + c for c in (order or ["id"])]
+    plain = [f.name for f in works.schema if isinstance(f.dataType, T.AtomicType)]
+    order = [_FIELD + c for c in dict.fromkeys([*(order or ["id"]), *plain])]
     first = first_per_key(listed, ["_kind", "_value"], order)
     return first.withColumn("_work_key", F.concat_ws(":", "_kind", "_value")).drop("_kind", "_value")
 

@@ -235,12 +235,14 @@ def _as_text(df: DataFrame, name: str) -> Column:
     return F.to_json(name) if nested else F.col(name).cast("string")
 
 
-def _first_samples(values: DataFrame) -> DataFrame:
+def _first_samples(values: DataFrame, limit: int | None) -> DataFrame:
     """The smallest values per rule; cut to the sample size before the shuffle."""
+    if limit is None:
+        return values.groupBy("position").agg(F.sort_array(F.collect_list("value")).alias("sample"))
     by = Window.partitionBy("position").orderBy("value")
     return (
         values.withColumn("_rank", F.row_number().over(by))
-        .filter(F.col("_rank") <= SAMPLES)
+        .filter(F.col("_rank") <= limit)
         .groupBy("position")
         .agg(F.sort_array(F.collect_list("value")).alias("sample"))
     )
@@ -255,8 +257,8 @@ def _listed(found: list[tuple[int, Column, Column]]) -> Column:
     return F.inline(F.array_compact(F.array(*entries)))
 
 
-def _samples(df: DataFrame, row_rules: list, unique_rules: dict[str, list]) -> DataFrame:
-    """Up to 20 bad values per rule, the smallest ones.
+def _samples(df: DataFrame, row_rules: list, unique_rules: dict[str, list], limit: int | None) -> DataFrame:
+    """Up to ``limit`` bad values per rule, the smallest ones, or all.
 
     Row rules take one scan; uniqueness rules reuse the exchange of their counts.
     """
@@ -272,20 +274,21 @@ def _samples(df: DataFrame, row_rules: list, unique_rules: dict[str, list]) -> D
         text = _as_text(df, column)
         found = [(p, _is_repeated(rule, F.col(f"c{p}")), text) for p, rule in rules]
         parts.append(_per_value(df, column, rules).select(_listed(found)))
-    return _first_samples(reduce(DataFrame.unionByName, parts))
+    return _first_samples(reduce(DataFrame.unionByName, parts), limit)
 
 
-def run_suite(df: DataFrame, suite: list[Rule], detail: str = "basic") -> DataFrame:
+def run_suite(df: DataFrame, suite: list[Rule], detail: str = "basic", samples: int = SAMPLES) -> DataFrame:
     """One result row per rule.
 
     Rules on rows share one aggregate, rules on uniqueness one count per
     column; rules on names and types, and rules that cannot run, need no scan.
-    ``detail='basic'`` adds up to 20 bad values per rule, ``'summary'`` none.
+    ``detail='basic'`` adds up to ``samples`` bad values per rule, ``'complete'``
+    all of them (for tables of few bad values: they end in one row), ``'summary'`` none.
     """
-    return _run(df, list(enumerate(suite)), detail)
+    return _run(df, list(enumerate(suite)), detail, samples)
 
 
-def _run(df: DataFrame, numbered: list[tuple[int, Rule]], detail: str) -> DataFrame:
+def _run(df: DataFrame, numbered: list[tuple[int, Rule]], detail: str, samples: int = SAMPLES) -> DataFrame:
     static, row_rules = [], []
     unique_rules: dict[str, list[tuple[int, Rule]]] = {}
     for position, rule in numbered:
@@ -313,32 +316,33 @@ def _run(df: DataFrame, numbered: list[tuple[int, Rule]], detail: str) -> DataFr
     if not parts:
         parts.append(conform(df.sparkSession.range(0).select(), _RESULT_TYPE))
     results = reduce(DataFrame.unionByName, parts)
-    if detail != "basic":
+    if detail == "summary":
         return results
     none = F.array().cast("array<string>")
     if not (row_rules or unique_rules):
         return results.withColumn("sample", none)
-    samples = F.broadcast(_samples(df, row_rules, unique_rules))  # 20 values per rule
-    return results.join(samples, "position", "left").withColumn("sample", F.coalesce("sample", none))
+    shown = _samples(df, row_rules, unique_rules, samples if detail == "basic" else None)
+    shown = F.broadcast(shown) if detail == "basic" else shown  # ``samples`` values per rule
+    return results.join(shown, "position", "left").withColumn("sample", F.coalesce("sample", none))
 
 
 def _constant(df: DataFrame, rows: list[Column]) -> DataFrame:
     return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
 
 
-def check_suite(df: DataFrame, suite: list[Rule], detail: str = "basic") -> DataFrame:
+def check_suite(df: DataFrame, suite: list[Rule], detail: str = "basic", samples: int = SAMPLES) -> DataFrame:
     """The results of :func:`run_suite`, evaluated: one row per rule.
 
     If a rule fails while rows are read, the suite is halved until the rule
     stands alone and gets a failed result with its error; the others are
     unharmed.
     """
-    with_samples = [T.StructField("sample", T.ArrayType(T.StringType()))] if detail == "basic" else []
+    with_samples = [T.StructField("sample", T.ArrayType(T.StringType()))] if detail != "summary" else []
     schema = T.StructType(_RESULT_TYPE.fields + with_samples)
 
     def evaluated(numbered: list[tuple[int, Rule]]) -> list:
         try:
-            return _run(df, numbered, detail).select(*schema.names).collect()
+            return _run(df, numbered, detail, samples).select(*schema.names).collect()
         except PySparkException as error:
             if len(numbered) > 1:
                 half = len(numbered) // 2

@@ -48,9 +48,14 @@ def first_present(*choices: tuple[Column, Column]) -> Column:
 def source_links(
     posts: DataFrame, objects: tuple[str, ...] = ("reference_sources", "sources")
 ) -> Column:
-    """Links of the first source object a post has, even when its list is empty."""
+    """Links of the first source object a post has, even when its list is empty.
+
+    An object without any field counts as none.
+    """
     known = [name for name in objects if name in posts.columns]
-    return first_present(*[(F.col(n), F.col(n)["source_link"]) for n in known])
+    return first_present(
+        *[(F.when(F.to_json(n) != "{}", F.col(n)), F.col(n)["source_link"]) for n in known]
+    )
 
 
 def explode_references(

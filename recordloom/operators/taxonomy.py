@@ -117,16 +117,13 @@ def _map_joined(df: DataFrame, labels: Column, label_map: DataFrame) -> DataFram
     # converted once, however many records share it.
     listed = df.withColumn("_labels", labels)
     lists = listed.select("_labels").distinct()
-    listed_labels = lists.select("_labels", F.explode(F.array_distinct("_labels")).alias("_label"))
-    hits = (
-        lookup_join(listed_labels, label_map, F.col("_label"), F.col("from3"), "inner")
+    listed_labels = lists.select("_labels", F.explode_outer(F.array_distinct("_labels")).alias("_label"))
+    hit = F.when(F.col("from3").isNotNull(), _entry())
+    converted = (
+        lookup_join(listed_labels, label_map, F.col("_label"), F.col("from3"))
         .groupBy("_labels")
-        .agg(F.collect_list(_entry()).alias("_hits"))
-    )
-    none = F.array().cast(T.ArrayType(_ENTRY))
-    converted = lists.join(hits, "_labels", "left").select(
-        F.col("_labels").alias("_list"),
-        _converted(F.col("_labels"), F.coalesce("_hits", none)).alias("_converted"),
+        .agg(F.collect_list(hit).alias("_hits"))
+        .select(F.col("_labels").alias("_list"), _converted(F.col("_labels"), F.col("_hits")).alias("_converted"))
     )
     mapped = lookup_join(listed, converted, F.col("_labels"), F.col("_list"))
     return _unpack(mapped.drop("_labels", "_list"), "_converted")
@@ -138,11 +135,16 @@ def map_labels(
     """Add the converted lists of one list column of level-3 source labels.
 
     Adds ``level1..3``, ``source_level1..3``, ``needs_review`` and
-    ``unmatched_labels``. ``label_map`` comes from :func:`load_label_map`. A map
-    of at most ``inline_labels`` rows is put into the expression, so records
-    are not shuffled at all; a larger one is joined by distinct label list.
+    ``unmatched_labels``. ``label_map`` comes from :func:`load_label_map`; of a
+    label that it has twice one row counts, the first by content, and rows
+    without a label count for nothing. A map of at most ``inline_labels`` labels
+    is put into the expression, so records are not shuffled at all; a larger one
+    is joined by distinct label list, with the same result.
     """
     labels = F.transform(or_empty(label_col), F.lower)
+    names = ["to1", "to2", "action", "from1", "from2", "from3"]
+    named = label_map.select(*names).filter(F.col("from3").isNotNull())
+    label_map = first_per_key(named, ["from3"], names)
     rows = label_map.limit(inline_labels + 1).collect()
     if len(rows) <= inline_labels:
         return _map_inline(df, labels, rows)
@@ -150,14 +152,18 @@ def map_labels(
 
 
 def convert_taxonomy(
-    df: DataFrame, label_map: DataFrame, prefix: str = "label_level_", source_prefix: str = "ask_label_level_"
+    df: DataFrame,
+    label_map: DataFrame,
+    prefix: str = "label_level_",
+    source_prefix: str = "ask_label_level_",
+    inline_labels: int = INLINE_LABELS,
 ) -> DataFrame:
     """Replace the label lists of collected papers by the converted ones.
 
     Levels 1 and 2 of the input are inferred from level 3. The source labels
     stay in three more columns, ``manual_label`` marks rows for a person.
     """
-    mapped = map_labels(df, f"{prefix}3", label_map)
+    mapped = map_labels(df, f"{prefix}3", label_map, inline_labels)
     columns = {f"{prefix}{k + 1}": F.col(name) for k, name in enumerate(LEVELS)}
     columns |= {f"{source_prefix}{k + 1}": F.col(name) for k, name in enumerate(SOURCE_LEVELS)}
     columns["manual_label"] = F.col(NEEDS_REVIEW)

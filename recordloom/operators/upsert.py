@@ -8,6 +8,16 @@ from .keys import assign_sequential_ids, last_per_key, lookup_join, next_key, or
 
 _NEW = "_new"
 
+# Largest size of updates, in bytes, that may be sent to every executor.
+BROADCAST_BYTES = 64 << 20
+
+
+def _is_small(df: DataFrame, rows: int) -> bool:
+    """Whether a frame has at most this many rows, and ``BROADCAST_BYTES`` written out; reads no more than that."""
+    size = F.sum(F.length(F.to_json(F.struct(*df.columns))))
+    counted = df.limit(rows + 1).agg(F.count("*"), F.coalesce(size, F.lit(0))).first()
+    return counted[0] <= rows and counted[1] <= BROADCAST_BYTES
+
 
 def _master_keys(master: DataFrame, key: str, master_order: list[str] | None) -> DataFrame:
     """Keys of the master, each with the place of its first row if order is given."""
@@ -25,6 +35,7 @@ def update_master(
     master_order: list[str] | None = None,
     keep_old_if_null: bool = False,
     broadcast_rows: int | None = None,
+    write_order: bool = False,
 ) -> DataFrame:
     """The master with every matched row overwritten by the last update of its key.
 
@@ -33,20 +44,21 @@ def update_master(
     ``master_order`` only the first master row of a repeated key changes;
     without it the key is taken to be unique in the master.
 
+    Columns that only order the updates are not written unless ``write_order``.
+
     ``broadcast_rows``: count the updates first, and if there are no more than
-    this many keep the master where it is and send the updates to it. Without
-    it, or above it, both sides are exchanged.
+    this many, of no more than ``BROADCAST_BYTES`` together, keep the master
+    where it is and send the updates to it. Without it, or above it, both sides
+    are exchanged; the result is the same.
     """
     values = [
-        c for c in updates.columns if c != key and (c in master.columns or c not in order)
+        c for c in updates.columns if c != key and (c in master.columns or write_order or c not in order)
     ]
     keyed = updates.filter(F.col(key).isNotNull())
     winners = last_per_key(keyed, [key], order).select(
         F.col(key).alias("_k"), F.struct(F.lit(True).alias("_hit"), *values).alias(_NEW)
     )
-    small = broadcast_rows is not None and (
-        len(keyed.select(key).limit(broadcast_rows + 1).collect()) <= broadcast_rows
-    )
+    small = broadcast_rows is not None and _is_small(keyed, broadcast_rows)
 
     if master_order is not None:
         first = _master_keys(master, key, master_order)
@@ -93,16 +105,17 @@ def upsert(
     master_order: list[str] | None = None,
     keep_old_if_null: bool = False,
     broadcast_rows: int | None = None,
+    write_order: bool = False,
 ) -> DataFrame:
     """Updated master, then the unmatched updates under fresh keys.
 
     Of updates with the same key the last by ``order`` (a total order) wins.
     Unmatched updates are all inserted, numbered from the largest master key
     plus one in that order, whatever key they came with.
-    Order columns that are not master columns are not written.
+    Order columns that are not master columns are written with ``write_order``.
     """
     updated = update_master(
-        master, updates, key, order, master_order, keep_old_if_null, broadcast_rows
+        master, updates, key, order, master_order, keep_old_if_null, broadcast_rows, write_order
     )
     inserts = assign_sequential_ids(
         new_rows(master, updates, key), key, next_key(master, key), order

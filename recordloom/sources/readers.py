@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
-from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -12,9 +12,7 @@ from ..functions.lists import parse_list_literal
 # Quoting of the CSV files, doubled quotes inside quoted fields.
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
-# Headers of an inbox read at a time.
-HEADER_READS = 8
-
+_CORRUPT = "_corrupt_record"
 SOURCE_FILE = "source_file"
 BATCH_FILE = "_metadata.file_path"
 
@@ -46,41 +44,67 @@ def read_csv_records(
     return as_schema(raw, schema)
 
 
+def _other_layouts(lines: DataFrame) -> list[str]:
+    """Files that hold JSON records otherwise than one per line: an array or its
+    records begin in a line with more behind them, or records take several lines."""
+    text = F.trim(F.regexp_replace("value", r"^\s+|\s+$", ""))
+    other = (text.startswith("[") & (F.length(text) > 1) & ~text.rlike(r"^\[\s*\]$")) | text.isin("{", "}", "},")
+    found = lines.filter(other).select(F.col("_file")).distinct()
+    return [row["_file"] for row in found.collect()]
+
+
+def _json_rows(spark: SparkSession, path: str | list[str], schema: T.StructType, glob: str | None = None) -> DataFrame:
+    """Records of JSON files in any layout, with the file in ``_file``."""
+
+    def reader():
+        return spark.read if glob is None else spark.read.option("pathGlobFilter", glob)
+
+    lines = reader().text(path).select("value", F.col("_metadata.file_path").alias("_file"))
+    others = _other_layouts(lines)
+    text = F.regexp_replace(F.trim(F.regexp_replace("value", r"^\s+|\s+$", "")), ",$", "")
+    rows = lines.filter(~F.col("_file").isin(others)) if others else lines
+    rows = rows.select(text.alias("line"), "_file").filter(~F.col("line").isin("[", "]", "[]", ""))
+    kept = schema if _CORRUPT in schema.names else T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    found = rows.select(F.from_json("line", kept).alias("r"), "_file").select("r.*", "_file")
+    if others:
+        whole = spark.read.schema(kept).json(others, multiLine=True)
+        found = found.unionByName(whole.withColumn("_file", F.col("_metadata.file_path")))
+    if _CORRUPT in schema.names:
+        return found
+    # Without a column for it, a text that is no record is an error, not a row of nulls.
+    empty = F.coalesce(*[F.col(f"`{f.name}`").cast("string") for f in schema]).isNull() if len(schema) else F.lit(True)
+    broken = F.raise_error(F.concat(F.lit("not a JSON record in "), F.col("_file"), F.lit(": "), F.col(_CORRUPT)))
+    return found.filter(F.when(empty & F.col(_CORRUPT).isNotNull(), broken).isNull()).drop(_CORRUPT)
+
+
 def read_json_records(
-    spark: SparkSession, path: str | list[str], schema: T.StructType, multi_line: bool = False
+    spark: SparkSession, path: str | list[str], schema: T.StructType, multi_line: bool | None = None
 ) -> DataFrame:
-    """JSON records, one per line, also when framed as an array.
+    """JSON records in any layout: one per line, also framed as an array, or arrays laid out otherwise.
 
-    Lines of a framed array end in a comma and stand between ``[`` and ``]``;
-    both forms split into many tasks. ``multi_line=True`` takes arrays laid out
-    in any other way, one task per file. An unreadable line is kept as text in
-    ``_corrupt_record`` if the schema has that column.
+    One pass over the lines finds the files that do not have a record per line;
+    they are read whole, one task per file, all others split into many tasks.
+    ``multi_line=True`` reads every file whole and spares that pass. A record
+    that cannot be read is kept as text in ``_corrupt_record`` if the schema has
+    that column, otherwise reading fails.
     """
     if multi_line:
         return spark.read.schema(schema).json(path, multiLine=True)
-    lines = spark.read.text(path).select(
-        F.regexp_replace(F.trim(F.regexp_replace("value", r"^\s+|\s+$", "")), ",$", "").alias("line")
-    )
-    rows = lines.filter(~F.col("line").isin("[", "]", ""))
-    return rows.select(F.from_json("line", schema).alias("r")).select("r.*")
+    return _json_rows(spark, path, schema).drop("_file")
 
 
 def _files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """CSV files of a folder grouped by their column names.
-
-    Lists the files without their content and has Spark read one line of each.
-    """
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
-    files = sorted(row["path"] for row in listing.select("path").collect())
-
-    def header(file: str) -> tuple[str, ...]:
-        return tuple(spark.read.csv(file, **CSV_OPTIONS).columns)
-
+    """CSV files of a folder grouped by their column names, found by one job over their first lines."""
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(path).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start")
+    )
+    first = lines.filter("_start = 0").withColumn("_row", F.monotonically_increasing_id())
+    headers = first.groupBy("_file").agg(F.min_by("value", "_row").alias("header")).collect()
     groups: dict[tuple[str, ...], list[str]] = {}
-    with ThreadPool(HEADER_READS) as pool:
-        for file, names in zip(files, pool.map(header, files)):
-            if names:
-                groups.setdefault(names, []).append(file)
+    for row in sorted(headers, key=lambda r: r["_file"]):
+        names = tuple(next(csv.reader([row["header"].lstrip("\ufeff")]), []))
+        if names:
+            groups.setdefault(names, []).append(row["_file"])
     return groups
 
 
@@ -94,7 +118,7 @@ def read_inbox(
     """All ``*.csv`` and ``*.json`` files of a folder by column name.
 
     Files may have different columns in any order: CSV files with the same
-    header are read together, JSON by name. ``exclude`` is a file name to skip,
+    header are read together, JSON by name and in any layout. ``exclude`` is a file name to skip,
     such as an earlier merge result. Columns of the schema that no file has are
     null; columns it does not name are not read.
     """
@@ -109,11 +133,9 @@ def read_inbox(
                 F.col("_metadata.file_name").alias(SOURCE_FILE),
             )
         )
-    json_rows = (
-        spark.read.schema(schema).option("pathGlobFilter", "*.json").json(path)
-        .select("*", F.col("_metadata.file_name").alias(SOURCE_FILE))
-    )
-    frames.append(json_rows)
+    json_rows = _json_rows(spark, path, schema, "*.json")
+    name = F.url_decode(F.element_at(F.split("_file", "/"), -1))
+    frames.append(json_rows.withColumn(SOURCE_FILE, name).drop("_file"))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     if exclude is not None:
         rows = rows.filter(F.col(SOURCE_FILE) != exclude)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..sources.readers import CSV_OPTIONS, SOURCE_FILE, as_schema
@@ -31,8 +32,15 @@ def inbox_stream(
         kept = T.StructType(schema.fields + [T.StructField(SOURCE_FILE, T.StringType())])
         return as_schema(named, kept)
     if file_format == "json":
-        raw = reader.schema(schema).json(inbox)
-        return raw.withColumn(SOURCE_FILE, F.col("_metadata.file_name"))
+        # A file is a row until it is known whether it is an array or has a record per line.
+        raw = reader.option("wholetext", "true").text(inbox)
+        body = F.trim(F.regexp_replace("value", r"^\s+|\s+$", ""))
+        name = F.col("_metadata.file_name").alias(SOURCE_FILE)
+        listed = F.from_json(body, T.ArrayType(schema))
+        lines = F.filter(F.split(body, r"\r?\n"), lambda x: F.trim(x) != "")
+        records = F.transform(lines, lambda x: F.from_json(x, schema))
+        found = F.when(body.startswith("["), listed).otherwise(records)
+        return raw.select(F.explode(found).alias("r"), name).select("r.*", SOURCE_FILE)
     raise ValueError(f"unknown inbox format {file_format}")
 
 
@@ -68,7 +76,17 @@ def ingest_inbox(
 def ingested(
     spark: SparkSession, table: str, file_formats: tuple[str, ...] = ("csv", "json")
 ) -> DataFrame:
-    """Everything taken from the inbox so far, committed files only."""
-    return reduce(
-        DataFrame.unionByName, [spark.read.parquet(f"{table}/{f}") for f in file_formats]
-    )
+    """Everything taken from the inbox so far, committed files only.
+
+    Formats of which nothing has come yet have a log of commits without files.
+    """
+    frames = []
+    for file_format in file_formats:
+        try:
+            frames.append(spark.read.parquet(f"{table}/{file_format}"))
+        except AnalysisException as error:
+            if error.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
+                raise
+    if not frames:
+        raise ValueError(f"nothing has been taken into {table} yet")
+    return reduce(DataFrame.unionByName, frames)

@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 import os
 
 import pytest
@@ -49,6 +50,30 @@ def test_json_round_trip_and_framed_array(spark, df, tmp_path):
     assert values(rl.read_json_records(spark, str(framed), SCHEMA, multi_line=True), "title") == [("a, ]",), ("b",)]
 
 
+@pytest.mark.parametrize("layout", ["lines", "one line", "framed", "indented"])
+def test_json_arrays_in_every_layout(spark, tmp_path, layout):
+    records = [{"record_id": i, "title": t} for i, t in ((1, "a, ]"), (2, "b\n["), (3, None))]
+    lines = [json.dumps(r) for r in records]
+    text = {
+        "lines": "\n".join(lines), "one line": json.dumps(records), "framed": "[\n" + ",\n".join(lines) + "\n]",
+        "indented": json.dumps(records, indent=2),
+    }[layout]
+    (tmp_path / "a.json").write_text(text)
+    (tmp_path / "b.json").write_text(json.dumps(records[0]))
+    want = sorted([*[(r["record_id"], r["title"]) for r in records], (1, "a, ]")], key=repr)
+    assert values(rl.read_json_records(spark, str(tmp_path), SCHEMA), "record_id", "title") == want
+    (tmp_path / "c.csv").write_text("title,record_id\nx,4\n")
+    inbox = rl.read_inbox(spark, str(tmp_path), SCHEMA)
+    assert values(inbox, "record_id", "title") == sorted([*want, (4, "x")], key=repr)
+    assert {r[0] for r in values(inbox, "source_file")} == {"a.json", "b.json", "c.csv"}
+
+
+def test_a_text_that_is_no_record_is_an_error(spark, tmp_path):
+    (tmp_path / "bad.json").write_text('{"record_id": 1}\nnonsense\n')
+    with pytest.raises(Exception, match="not a JSON record"):
+        rl.read_json_records(spark, str(tmp_path), SCHEMA).collect()
+
+
 def test_unreadable_json_lines_are_kept(spark, tmp_path):
     file = tmp_path / "bad.json"
     file.write_text('{"record_id": 1}\n{"record_id": 2, "title": "cut\n')
@@ -128,9 +153,11 @@ def test_gate_publishes_only_what_passes(spark, df, tmp_path, allowed, published
 def test_write_all_computes_once(spark, df, tmp_path):
     calls = spark.sparkContext.accumulator(0)
     a, b = str(tmp_path / "a"), str(tmp_path / "b")
-    rl.write_all(df, lambda d: rl.write_csv_records(d, a), lambda d: rl.write_json_records(d, b))
+    counted = F.udf(lambda x: calls.add(1) or x, "bigint").asNondeterministic()
+    seen = df.withColumn("record_id", counted("record_id"))
+    rl.write_all(seen, lambda d: rl.write_csv_records(d, a), lambda d: rl.write_json_records(d, b))
     assert rl.read_csv_records(spark, a, SCHEMA).count() == rl.read_json_records(spark, b, SCHEMA).count() == 4
-    assert calls.value == 0 and not df.is_cached
+    assert calls.value == 4 and not seen.is_cached
 
 
 def test_shared_dir_comes_from_the_session(spark, monkeypatch, tmp_path):

@@ -38,7 +38,7 @@ def test_explode_references_fallback(spark):
         f"id int, reference_sources {link}, sources {link}",
     )
     got = values(rl.explode_references(posts, keep=["id"], position="pos"))
-    assert got == [(1, 0, "a"), (1, 1, "b"), (2, 0, "x")]
+    assert got == [(1, 0, "a"), (1, 1, "b"), (2, 0, "x"), (5, 0, "x")]  # an object without fields counts as none
     assert values(rl.explode_references(posts.drop("reference_sources"), keep=["id"]), "id") == [(1,), (2,), (3,), (5,)]
 
 
@@ -314,3 +314,40 @@ def test_fill_dois_keeps_known_and_unfound(spark):
     out = rl.fill_dois(records, pages)
     assert out.columns == ["id", "url", "doi"]
     assert values(out, "id", "doi") == [(1, "10.2/a"), (2, "10.1/own"), (3, None), (4, ""), (5, ""), (6, "")]
+
+
+@pytest.mark.parametrize("inline_labels", [0, 500])
+def test_a_repeated_label_maps_alike_inline_and_joined(spark, inline_labels):
+    names = ["to1", "to2", "action", "from1", "from2", "from3"]
+    rows = [("m1", "m2", "keep", "", "", "x"), ("l1", "l2", "keep", "", "", "x"), ("n1", "n2", "keep", "", "", None)]
+    label_map = spark.createDataFrame(rows, names)
+    df = spark.createDataFrame([(1, ["X", None]), (2, []), (3, None), (4, ["y"])], "id int, labels array<string>")
+    got = {r.id: r for r in rl.map_labels(df, "labels", label_map, inline_labels).collect()}
+    assert got[1].level1 == ["l1"] and got[2].level1 == got[3].level1 == got[4].level1 == []
+    assert got[4].unmatched_labels == ["y"] and got[2].unmatched_labels == []
+
+
+def test_combine_takes_any_types(spark):
+    frames = [spark.sql(q) for q in ("SELECT true AS a, 1 AS n", "SELECT 5 AS a, 2.5D AS n", "SELECT array(1, 2) AS a, 3L AS n")]
+    out = rl.combine(frames)
+    assert values(out, "a") == [("5",), ("[1,2]",), ("true",)] and values(out, "n") == [(1.0,), (2.5,), (3.0,)]
+    with pytest.raises(ValueError):
+        rl.combine([])
+
+
+def test_new_order_columns_are_written_on_request(spark):
+    master = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
+    updates = spark.createDataFrame([(1, "c", 5), (None, "d", 6)], "k long, v string, updated_at int")
+    assert rl.upsert(master, updates, "k", ["updated_at"]).columns == ["k", "v"]
+    out = rl.upsert(master, updates, "k", ["updated_at"], write_order=True)
+    assert values(out, "k", "v", "updated_at") == [(1, "c", 5), (2, "b", None), (3, "d", 6)]
+
+
+def test_works_with_one_key_give_one_answer(spark):
+    works = [("https://openalex.org/W1", "https://doi.org/10.1234/a", t) for t in ("old", "new")]
+    records = spark.createDataFrame([(1, "W1", "10.1234/A")], "id int, paper string, doi string")
+    found = []
+    for rows in (works, works[::-1]):
+        df = rl.enrich_works(records, spark.createDataFrame(rows, "id string, doi string, title string").coalesce(1))
+        found.append(df.first().work.title)
+    assert found == ["new", "new"]
