@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from recordloom.llm.common import sliced, small_batches, text_bytes
+from recordloom.llm.common import sliced, small_batches, staged, text_bytes
 
 CATEGORIES = ("quality", "toxic")
 SAMPLE = 20_000
@@ -125,7 +125,7 @@ def chosen_features(sample: DataFrame, categories: int, size: int = FEATURES) ->
     and for each category which of them are its own."""
     counts = sample.select("body", "y").mapInArrow(counted(categories), "feature binary, n long, hits array<long>")
     hits = [F.sum(F.col("hits")[c]).alias(f"h{c}") for c in range(categories)]
-    counts = counts.groupBy("feature").agg(F.sum("n").alias("n"), *hits)
+    counts = staged(counts.groupBy("feature").agg(F.sum("n").alias("n"), *hits), "features")
     total = counts.where(F.length("feature") == 0).first()
     if total is None:
         return [], np.zeros((categories, 0), dtype=bool)
@@ -159,6 +159,31 @@ def logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+class Presence:
+    """Which features are present in which rows: blocks of row and feature numbers, so that work
+    on them needs no more room than a block."""
+
+    SIZE = 1 << 19
+
+    def __init__(self, rows: np.ndarray, ids: np.ndarray):
+        self.blocks = [(rows[i : i + self.SIZE].astype(np.int32), ids[i : i + self.SIZE].astype(np.int32)) for i in range(0, len(ids), self.SIZE)]
+
+    def of(self, own: np.ndarray, inside: np.ndarray) -> Presence:
+        """Only features of ``own`` and rows of ``inside``, which are numbered anew."""
+        number = np.cumsum(inside) - 1
+        made = Presence(np.zeros(0), np.zeros(0))
+        for rows, ids in self.blocks:
+            keep = own[ids] & inside[rows]
+            made.blocks.append((number[rows[keep]].astype(np.int32), ids[keep]))
+        return made
+
+    def by_row(self, weights: np.ndarray, size: int) -> np.ndarray:
+        return sum((np.bincount(rows, weights[ids], minlength=size) for rows, ids in self.blocks), np.zeros(size))
+
+    def by_feature(self, values: np.ndarray, size: int) -> np.ndarray:
+        return sum((np.bincount(ids, values[rows], minlength=size) for rows, ids in self.blocks), np.zeros(size))
+
+
 class Linear:
     """Logistic regression over present features and some dense inputs, fitted by Adam on all rows at once."""
 
@@ -166,17 +191,15 @@ class Linear:
         self.weights = np.zeros(features + dense + 1)
         self.features = features
 
-    def scores(self, rows: np.ndarray, ids: np.ndarray, dense: np.ndarray) -> np.ndarray:
-        linear = np.bincount(rows, self.weights[ids], minlength=len(dense))
+    def scores(self, present: Presence, dense: np.ndarray) -> np.ndarray:
+        linear = present.by_row(self.weights, len(dense))
         return linear + dense @ self.weights[self.features : -1] + self.weights[-1]
 
-    def fit(self, rows: np.ndarray, ids: np.ndarray, dense: np.ndarray, y: np.ndarray) -> Linear:
+    def fit(self, present: Presence, dense: np.ndarray, y: np.ndarray) -> Linear:
         mean, square = np.zeros_like(self.weights), np.zeros_like(self.weights)
         for step in range(1, STEPS + 1):
-            error = (logistic(self.scores(rows, ids, dense)) - y) / max(1, len(y))
-            slope = np.concatenate([
-                np.bincount(ids, error[rows], minlength=self.features), error @ dense, [error.sum()],
-            ])
+            error = (logistic(self.scores(present, dense)) - y) / max(1, len(y))
+            slope = np.concatenate([present.by_feature(error, self.features), error @ dense, [error.sum()]])
             slope[:-1] += PENALTY * self.weights[:-1]
             mean = 0.9 * mean + 0.1 * slope
             square = 0.999 * square + 0.001 * slope * slope
@@ -190,29 +213,23 @@ def clipped(p: np.ndarray) -> np.ndarray:
     return np.log(p / (1 - p))
 
 
-def fit_chain(found: list[list[int]], y: np.ndarray, fold: np.ndarray, uses: np.ndarray, folds: int = FOLDS) -> list[np.ndarray]:
+def fit_chain(present: Presence, y: np.ndarray, fold: np.ndarray, uses: np.ndarray, folds: int = FOLDS) -> list[np.ndarray]:
     """The weights of the chain's models: features, earlier categories, intercept."""
-    features = uses.shape[1]
-    sizes = np.array([len(f) for f in found], dtype=np.int64)
-    all_rows = np.repeat(np.arange(len(found)), sizes)
-    all_ids = np.concatenate([np.asarray(f, dtype=np.int64) for f in found]) if len(all_rows) else np.zeros(0, np.int64)
-    dense = np.zeros((len(found), 0))
+    features, n = uses.shape[1], len(y)
+    dense = np.zeros((n, 0))
     chain = []
     for c in range(y.shape[1]):
-        own = uses[c][all_ids]
-        rows, ids = all_rows[own], all_ids[own]
-        chain.append(Linear(features, c).fit(rows, ids, dense, y[:, c]).weights)
+        mine = present.of(uses[c], np.ones(n, dtype=bool))
+        chain.append(Linear(features, c).fit(mine, dense, y[:, c]).weights)
         if c + 1 == y.shape[1]:
             break
-        unseen = np.zeros(len(found))
+        unseen = np.zeros(n)
         for k in range(folds):
             inside, outside = fold != k, fold == k
             if not outside.any():
                 continue
-            keep = inside[rows]
-            number = np.cumsum(inside) - 1
-            model = Linear(features, c).fit(number[rows[keep]], ids[keep], dense[inside], y[inside, c])
-            unseen[outside] = logistic(model.scores(rows, ids, dense))[outside]
+            model = Linear(features, c).fit(present.of(uses[c], inside), dense[inside], y[inside, c])
+            unseen[outside] = logistic(model.scores(mine, dense))[outside]
         dense = np.column_stack([dense, clipped(unseen)])
     return chain
 
@@ -223,12 +240,12 @@ def scored(names: list[bytes], chain: list[np.ndarray]):
         for part in sliced(batches, "body"):
             found = [chosen.of(b) for b in part.column("body").to_pylist()]
             at = np.repeat(np.arange(len(found)), [len(f) for f in found])
-            ids = np.array([i for f in found for i in f], dtype=np.int64)
+            present = Presence(at, np.array([i for f in found for i in f], dtype=np.int64))
             dense, out = np.zeros((len(found), 0)), []
             for weights in chain:
                 model = Linear(features, dense.shape[1])
                 model.weights = weights
-                p = logistic(model.scores(at, ids, dense))
+                p = logistic(model.scores(present, dense))
                 out.append(p)
                 dense = np.column_stack([dense, clipped(p)])
             columns = [part.column(i) for i in range(part.num_columns - 1)]
@@ -255,10 +272,13 @@ def toxicity(
     sample = labelled_sample(docs if train_docs is None else train_docs, labels, categories, sample_size)
     names, uses = chosen_features(sample, len(categories))
     got = sample.mapInArrow(indexed(names), "doc_id long, y array<int>, found array<int>").toArrow()
-    got = got.sort_by("doc_id")
+    got = got.sort_by("doc_id").combine_chunks()
     y = np.array(got.column("y").to_pylist(), dtype=float).reshape(-1, len(categories))
     fold = np.array([int(i) % FOLDS for i in got.column("doc_id").to_pylist()], dtype=np.int64)
-    chain = fit_chain(got.column("found").to_pylist(), y, fold, uses)
+    lists = got.column("found").combine_chunks()
+    sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+    present = Presence(np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), lists.flatten().to_numpy())
+    chain = fit_chain(present, y, fold, uses)
     rest = [c for c in docs.columns if c != "p"]
     rows = docs.select(*[F.col(f"`{c}`") for c in rest], text_bytes().alias("body"))
     kind = docs.select(*[F.col(f"`{c}`") for c in rest]).schema.add("p", ArrayType(DoubleType()))

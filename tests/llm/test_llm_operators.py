@@ -24,7 +24,7 @@ from recordloom.llm.repetition import repetition_rules
 from recordloom.llm.scoring import corpus_scores
 from recordloom.llm.sharding import assign_shards
 from recordloom.llm.spans import without_repeated_spans
-from recordloom.llm.toxicity import fit_chain, flagged
+from recordloom.llm.toxicity import Presence, fit_chain, flagged
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -268,10 +268,10 @@ def test_toxic_words_and_their_forms_are_found(spark):
 def test_chain_feeds_earlier_categories_to_later_models():
     rng = np.random.default_rng(1)
     first = rng.random(400) < 0.5
-    found = [[0] if f else [1] for f in first]
+    present = Presence(np.arange(400), np.where(first, 0, 1))
     y = np.column_stack([first, first]).astype(float)
     uses = np.array([[True, True], [False, False]])
-    chain = fit_chain(found, y, np.arange(400) % 5, uses)
+    chain = fit_chain(present, y, np.arange(400) % 5, uses)
     assert chain[1][:2].tolist() == [0, 0] and chain[1][2] > 0.5
 
 
