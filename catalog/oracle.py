@@ -188,7 +188,10 @@ IS_LIST = "expect_type_list"
 LIST_IN_SET = "expect_column_list_to_be_in_set"
 
 DOCS = "(SELECT * FROM documents LEFT JOIN labels USING (doc_id))"
-TEXTS = "(SELECT doc_id, CASE WHEN lang = 'de' THEN '' WHEN lang <> 'es' THEN text END AS text FROM documents)"
+TEXTS = (
+    "(SELECT doc_id, text FROM documents "
+    "UNION ALL SELECT doc_id, CASE WHEN lang = 'de' THEN '' END FROM documents WHERE lang IN ('de', 'es'))"
+)
 WORDS = "(SELECT string_split(p_name, ' ') AS words FROM part)"
 ALLOWED = "['red', 'blue', 'small', 'ring', 'rod', 'anvil', 'bolt', 'gear', 'plate', 'gizmo', 'widget']"
 BAD_WORDS = f"NOT list_has_all({ALLOWED}, words)"
@@ -251,7 +254,7 @@ c AS (SELECT *, CASE WHEN TRY_CAST(user_key AS BIGINT) IS NULL THEN 'key is not
     WHEN props LIKE '<%' THEN 'props are not json' END AS error_reason FROM e)
 """
 
-WORD_AUTHORS = "CASE WHEN role = 'user' THEN string_split(text, ' ') ELSE [] END"
+WORD_AUTHORS = "string_split(text, ' ')"
 
 
 RECORD = (
@@ -391,10 +394,9 @@ SQL: dict[str, str] = {
         FROM (SELECT conv_id, turn, {WORD_AUTHORS} AS w FROM conversations)""",
     "venue_lists": f"""
         SELECT conv_id, turn,
-          CASE WHEN role <> 'user' THEN '' ELSE array_to_string(list_append(
-            list_transform(list_filter(w, lambda x: x NOT LIKE '%,'), lambda x: '{PREFIX}V' || x), 'user'), '|') END AS venue_ids,
-          CASE WHEN role <> 'user' THEN '' ELSE array_to_string(list_append(
-            list_filter(w, lambda x: x NOT LIKE '%,' AND x <> ''), 'user'), '|') END AS venue_names
+          array_to_string(list_append(
+            list_transform(list_filter(w, lambda x: x NOT LIKE '%,'), lambda x: '{PREFIX}V' || x), role), '|') AS venue_ids,
+          array_to_string(list_append(list_filter(w, lambda x: x NOT LIKE '%,' AND x <> ''), role), '|') AS venue_names
         FROM (SELECT *, string_split(text, ' ') AS w FROM conversations)""",
     "work_fields": f"""
         SELECT '{PREFIX}W' || doc_id AS id, lang || '|' || source AS mesh_terms,
@@ -509,11 +511,11 @@ SQL: dict[str, str] = {
         SELECT event_id, user_id, event_type, strftime(ts, '%Y-%m-%d') AS day FROM events
         WHERE ts::DATE = (SELECT max(ts)::DATE FROM events)""",
     "csv_round_trip": """
-        SELECT doc_id, CASE WHEN lang <> 'es' THEN text END AS text, lang || '|' || source AS tags, n_chars FROM documents""",
+        SELECT doc_id, text, CASE WHEN lang <> 'es' THEN lang END AS note, lang || '|' || source AS tags, n_chars FROM documents""",
     "json_round_trip": """
-        SELECT doc_id, CASE WHEN lang <> 'es' THEN text END AS text, lang || '|' || source AS tags, n_chars FROM documents""",
+        SELECT doc_id, text, CASE WHEN lang <> 'es' THEN lang END AS note, lang || '|' || source AS tags, n_chars FROM documents""",
     "write_all": """
-        SELECT doc_id, CASE WHEN lang <> 'es' THEN text END AS text, lang || '|' || source AS tags, n_chars, copy
+        SELECT doc_id, text, CASE WHEN lang <> 'es' THEN lang END AS note, lang || '|' || source AS tags, n_chars, copy
         FROM documents CROSS JOIN (VALUES ('csv'), ('json')) AS c(copy)""",
     "read_inbox": """
         SELECT c_custkey AS party, c_name AS name, c_mktsegment AS segment FROM customer

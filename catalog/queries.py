@@ -220,7 +220,7 @@ def author_lists(spark, sf_dir):
     )
     ids, names = rl.author_lists("authorships")
     rows = table(spark, sf_dir, "conversations").select(
-        "conv_id", "turn", F.when(F.col("role") == "user", authors).alias("authorships")
+        "conv_id", "turn", authors.alias("authorships")
     )
     return texts(rows.select("conv_id", "turn", ids.alias("author_ids"), names.alias("author_names")))
 
@@ -235,10 +235,7 @@ def venue_lists(spark, sf_dir):
             F.when(w.endswith(","), F.lit("")).otherwise(w).alias("display_name"),
         ),
     )
-    host = F.when(
-        F.col("role") == "user",
-        F.struct(F.concat(F.lit(PREFIX), F.col("role")).alias("id"), F.col("role").alias("display_name")),
-    )
+    host = F.struct(F.concat(F.lit(PREFIX), F.col("role")).alias("id"), F.col("role").alias("display_name"))
     ids, names = rl.venue_lists("host", "alternates")
     rows = table(spark, sf_dir, "conversations").select(
         "conv_id", "turn", host.alias("host"), alternates.alias("alternates")
@@ -449,9 +446,10 @@ def rule_unique_proportion(spark, sf_dir):
 
 @query
 def rule_non_empty_unique(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select(
-        "doc_id", F.when(F.col("lang") == "de", F.lit("")).when(F.col("lang") != "es", F.col("text")).alias("text")
-    )
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    # Every text, and further rows without one.
+    none = F.when(F.col("lang") == "de", F.lit(""))
+    rows = docs.select("doc_id", "text").union(docs.filter(F.col("lang").isin("de", "es")).select("doc_id", none.alias("text")))
     rules = [rl.Rule(NON_EMPTY_UNIQUE, "text"), rl.Rule(NON_EMPTY_UNIQUE, "doc_id"), rl.Rule(NON_EMPTY_UNIQUE, "text", mostly=0.5)]
     return _shown(rl.run_suite(rows, rules, "summary"))
 
@@ -617,7 +615,7 @@ def latest_batch(spark, sf_dir):
 
 def _docs_to_write(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "documents").select(
-        "doc_id", F.when(F.col("lang") != "es", F.col("text")).alias("text"), F.array("lang", "source").alias("tags"), "n_chars"
+        "doc_id", "text", F.when(F.col("lang") != "es", F.col("lang")).alias("note"), F.array("lang", "source").alias("tags"), "n_chars"
     )
 
 
@@ -625,6 +623,7 @@ _DOC_SCHEMA = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
         T.StructField("text", T.StringType()),
+        T.StructField("note", T.StringType()),
         T.StructField("tags", T.ArrayType(T.StringType())),
         T.StructField("n_chars", T.LongType()),
     ]
