@@ -1,6 +1,7 @@
 """Operators of recordloom.llm against brute force and on awkward tables."""
 
 import collections
+import functools
 import hashlib
 import math
 import re
@@ -12,10 +13,11 @@ import pytest
 import tiktoken
 
 import corpus_pipeline
+from recordloom.llm import near_dup
 from recordloom.llm.bpe import Codec, Utf8Stream, bpe_round_trip, load_ranks
 from recordloom.llm.components import components
 from recordloom.llm.context_mixing import CodeModel, SpellingModel, spelling_counts
-from recordloom.llm.grouped import spanning
+from recordloom.llm.grouped import block_pairs, spanning
 from recordloom.llm.mixing import mixed
 from recordloom.llm.near_dup import near_duplicates
 from recordloom.llm.pivots import near_vectors
@@ -152,6 +154,23 @@ def test_near_duplicates_agree_with_brute_force(docs, texts):
     assert len({find(i) for i in range(40, 52)}) < 12
 
 
+def test_long_lists_are_compared_across_blocks(spark, monkeypatch):
+    """Without the meeting with list firsts, and with small blocks, the forests alone connect a large group."""
+    rng = np.random.default_rng(9)
+    base = words(rng, 150)
+    rows = []
+    for i in range(70):
+        near = list(base)
+        for k in rng.choice(150, 1, replace=False):
+            near[k] = f"y{i}"
+        rows.append((i, " ".join(near)))
+    rows += [(100 + i, " ".join(words(rng, 100))) for i in range(5)]
+    monkeypatch.setattr(near_dup, "block_pairs", functools.partial(block_pairs, block=20))
+    monkeypatch.setattr(near_dup, "first_pairs", lambda lists: lists.selectExpr("rep AS a", "rep AS b").limit(0))
+    got = {r.doc_id: r.component_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i] == 0 for i in range(70)) and all(got[100 + i] == 100 + i for i in range(5))
+
+
 def test_components_of_chains_stars_and_loops(spark):
     chain = [(i, i + 1) for i in range(100, 140)]
     star = [(7, i) for i in range(200, 260)]
