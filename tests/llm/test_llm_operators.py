@@ -364,7 +364,6 @@ def test_pipeline_is_its_stages_one_after_the_other(spark, tmp_path):
         rows.append((i, text, "en", f"s{i % 4}", len(text)))
         labels.append((i, 1, int(i % 8 == 0)))
     rows += [(80, rows[1][1], "en", "s0", 1), (81, rows[2][1] + " zusatz", "en", "s1", 1)]
-    rows += [(82 + k, rows[3 + k][1] + "\n" + passage, "en", "s2", 1) for k in range(0)]
     rows += [(90 + k, passage + "\n" + ". ".join(" ".join(words(rng, 9)) for _ in range(20)) + ".", "en", "s3", 1) for k in range(3)]
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
