@@ -6,9 +6,16 @@ forward, and up to each sentence backward, the shortest run of at least
 hash; sentences covered by a run that stood earlier (in a smaller document id,
 or further up in the same text) are removed, so one copy of each passage stays.
 
-Counting runs is combined before the shuffle, and the join back to them is one
-that adaptive execution can split, so a passage shared by any number of
-documents is no hot group.
+Of any ``WINDOW`` words in a row one ends a sentence: where no mark does, it is
+the word of the smallest hash. A passage of p words is thus cut alike wherever
+it stands, but for its first ``WINDOW`` and last ``WINDOW - 1`` words at most,
+and a run spans up to ``WORDS + WINDOW - 1`` words. So each passage of at least
+``WORDS + 3 * WINDOW - 2`` words (49) holds a run. Lines end sentences, too, but
+move no other cut, and runs between the other cuts do not depend on them.
+
+Keys of runs are counted first, combined before the shuffle; only runs that
+stand twice are stored. The joins are ones that adaptive execution can split, so
+a passage shared by any number of documents is no hot group.
 """
 
 from __future__ import annotations
@@ -26,10 +33,8 @@ from recordloom.llm.common import (
 
 SENTENCES = 3
 WORDS = 24
-# Sentences longer than this (lists, texts without marks) are cut behind words picked by their hash,
-# about one in eight, so equal passages are cut alike wherever they stand.
-LONG_SENTENCE = 32
-PICK = np.uint64(8)
+# The longest piece: longer sentences are cut behind the word of the smallest hash in a window of so many words.
+WINDOW = 9
 MARKS = np.zeros(256, dtype=bool)
 MARKS[np.frombuffer(b".!?", dtype=np.uint8)] = True
 
@@ -42,17 +47,18 @@ class Sentences:
         words = span_hashes(prefix_sums(BYTE_VALUES[LOWER[data]]), starts, ends)
         self.word_sums = prefix_sums(words)
         n = len(starts)
-        stop = np.zeros(n, dtype=bool)
+        stop, lines = np.zeros(n, dtype=bool), np.zeros(n, dtype=bool)
         if n:
-            lines = np.zeros(len(data) + 1, dtype=np.int64)
-            np.cumsum(data == 10, out=lines[1:])
+            breaks = np.zeros(len(data) + 1, dtype=np.int64)
+            np.cumsum(data == 10, out=breaks[1:])
             stop |= MARKS[data[ends - 1]]
-            stop[:-1] |= lines[starts[1:]] > lines[ends[:-1]]
+            stop[smallest(np.where(stop, np.uint64(0), words), bounds)] = True
             stop[bounds[1:][bounds[1:] > bounds[:-1]] - 1] = True
-            last = np.flatnonzero(stop) + 1
-            first = np.concatenate([[0], last[:-1]])
-            size = np.repeat(last - first, last - first)
-            stop |= (size > LONG_SENTENCE) & (words % PICK == 0)
+            lines[:-1] = breaks[starts[1:]] > breaks[ends[:-1]]
+        # Words before each cut that does not depend on lines.
+        self.fixed = np.flatnonzero(stop) + 1
+        self.lines = np.flatnonzero(lines & ~stop) + 1
+        stop |= lines
         self.last = np.flatnonzero(stop) + 1
         self.first = np.concatenate([[0], self.last[:-1]]).astype(np.int64) if n else self.last
         self.row = np.searchsorted(bounds, self.first, side="right") - 1
@@ -64,15 +70,52 @@ class Sentences:
     def runs(self) -> tuple[np.ndarray, np.ndarray]:
         """First and last sentence (exclusive) of all runs, each once."""
         count = len(self.first)
+        if not count:
+            return self.first, self.first
         at = np.arange(count)
-        until = np.maximum(at + SENTENCES, np.searchsorted(self.last, self.first + WORDS) + 1)
-        forward = until <= self.bounds[1:][self.row] if count else at.astype(bool)
-        since = np.minimum(at + 1 - SENTENCES, np.searchsorted(self.first, self.last - WORDS, side="right") - 1)
-        backward = since >= self.bounds[:-1][self.row] if count else at.astype(bool)
-        pairs = np.concatenate([
-            at[forward] * (count + 1) + until[forward], since[backward] * (count + 1) + at[backward] + 1,
-        ])
-        return np.divmod(np.unique(pairs), count + 1)
+        # What lies between two cuts that do not depend on lines, and which sentences these are.
+        to = np.searchsorted(self.last, self.fixed) + 1
+        since = np.concatenate([[0], to[:-1]])
+        first, last = shortest(self.first[since], self.fixed, self.bounds[:-1][self.row[since]], self.bounds[1:][self.row[since]], since, to)
+        pairs = [first * (count + 1) + last]
+        if len(self.lines):
+            # Runs that begin or end at a line, over all sentences.
+            first, last = shortest(self.first, self.last, self.bounds[:-1][self.row], self.bounds[1:][self.row], at, at + 1)
+            lined = np.isin(self.first[first], self.lines) | np.isin(self.last[last - 1], self.lines)
+            pairs.append(first[lined] * (count + 1) + last[lined])
+        return np.divmod(np.unique(np.concatenate(pairs)), count + 1)
+
+
+def smallest(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The place of the smallest value (the last of equal ones) in each window of ``WINDOW`` words of a row."""
+    windows = max(0, len(values) - WINDOW + 1)
+    place = np.arange(windows)
+    best = values[:windows].copy()
+    for k in range(1, WINDOW):
+        here = values[k : k + windows]
+        less = here <= best
+        best[less] = here[less]
+        place[less] = np.flatnonzero(less) + k
+    inside = np.repeat(bounds[1:], np.diff(bounds))[:windows] >= np.arange(windows) + WINDOW
+    return place[inside]
+
+
+def shortest(begin: np.ndarray, end: np.ndarray, low: np.ndarray, high: np.ndarray, first: np.ndarray, last: np.ndarray):
+    """The shortest runs forward from and backward to each piece: their first and last sentence (exclusive).
+
+    A piece has the words from ``begin`` to ``end``, the sentences from ``first``
+    to ``last`` and stands in a text of sentences from ``low`` to ``high``.
+    """
+    at, n = np.arange(len(begin)), len(begin)
+    until = np.maximum(at + SENTENCES, np.searchsorted(end, begin + WORDS) + 1) - 1
+    forward = until < n
+    forward[forward] = last[until[forward]] <= high[forward]
+    since = np.minimum(at + 1 - SENTENCES, np.searchsorted(begin, end - WORDS, side="right") - 1)
+    backward = since >= 0
+    backward[backward] = first[since[backward]] >= low[backward]
+    return (
+        np.concatenate([first[forward], first[since[backward]]]), np.concatenate([last[until[forward]], last[backward]]),
+    )
 
 
 def emitted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,10 +177,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
     rows = docs.select(doc.alias("doc"), row_key().alias("row"), text_bytes().alias("body"))
     runs = rows.mapInArrow(emitted, "doc long, row long, key long, begin int, size int")
-    places = runs.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("doc", "row", "begin")).alias("first"))
-    # Stored, so that the join deals out both its sides itself and can split a hot passage.
-    places = staged(places.where("n > 1").drop("n"), "places")
-    later = runs.join(places, "key").where(F.struct("doc", "row", "begin") != F.col("first"))
+    # Stored, so that the joins deal out both their sides themselves and can split a hot passage.
+    twice = staged(runs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "twice")
+    again = staged(runs.join(twice, "key"), "again")
+    places = staged(again.groupBy("key").agg(F.min(F.struct("doc", "row", "begin")).alias("first")), "places")
+    later = again.join(places, "key").where(F.struct("doc", "row", "begin") != F.col("first"))
     return later.groupBy("row").agg(F.collect_set(F.struct("begin", "size")).alias("_spans"))
 
 
@@ -150,8 +194,9 @@ def without_repeated_spans(docs: DataFrame) -> DataFrame:
 
     Adds ``n_sentences``, ``n_removed`` and ``removed_words`` (columns of these
     names are replaced). A sentence ends with ``.``, ``!`` or ``?`` before white
-    space, or with a line; words are compared without case, white space is not
-    compared. Texts with fewer than three sentences or 24 words have no runs
+    space, with a line, or inside nine words without such an end; words are
+    compared without case, white space is not compared. Texts with fewer than
+    three sentences or 24 words have no runs
     and stay; a null text stays null, an empty one empty; a text that is all
     repeated becomes empty, its row stays. Rows that agree in id and text are
     one document and end up alike; rows without an id come after all others.

@@ -226,6 +226,31 @@ def test_spans_keep_one_copy_of_a_passage(spark):
     assert got[9].n_removed == 14 and plain[5].strip() in got[9].text
 
 
+def test_spans_find_passages_of_fifty_words_wherever_they_stand(spark):
+    rng = np.random.default_rng(21)
+    rows, want = [], {}
+    for sentences in (1, 2, 3):
+        for inside in (False, True):
+            for broken in (False, True):
+                for _ in range(5):
+                    said = words(rng, 51)
+                    for k in range(1, sentences + 1):
+                        said[51 * k // sentences - 1] += "." if k < sentences or not inside else ""
+                    around = [words(rng, int(rng.integers(5, 60))) for _ in range(4)]
+                    if not inside:
+                        around[0][-1], around[2][-1] = around[0][-1] + ".", around[2][-1] + "."
+                    here = len(rows)
+                    rows.append((here, " ".join(around[0] + said + around[1])))
+                    rows.append((here + 1, " ".join([*around[2], ("\n" if broken else " ").join(said), *around[3]])))
+                    want[here + 1] = 51 if not inside and not broken and sentences > 1 else 51 - 17
+    got = {r.doc_id: r for r in without_repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        if i in want:
+            assert want[i] <= got[i].removed_words <= 51, (i, got[i])
+        else:
+            assert got[i].text == text
+
+
 def test_shards_have_equal_bytes_and_gapless_slots(docs, texts):
     rows = assign_shards(docs, shards=4).collect()
     assert len(rows) == len(texts) + 1
