@@ -19,6 +19,9 @@ from recordloom.llm.queries import RANKS
 from recordloom.llm.spans import without_repeated_spans
 from recordloom.llm.toxicity import flagged
 
+# Documents with so many of their five-word shingles in common are near duplicates.
+SIMILAR_PERCENT = 80
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain does not call toxic."""
@@ -27,7 +30,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id; documents without words stay."""
-    kept = near_duplicates(docs).where("kept").select(F.col("row_key").alias("_key")).distinct()
+    kept = near_duplicates(docs, percent=SIMILAR_PERCENT).where("kept").select(F.col("row_key").alias("_key")).distinct()
     once = docs.withColumn("_key", row_key()).dropDuplicates(["_key"])
     return once.join(kept, "_key", "left_semi").select(*docs.columns)
 

@@ -2,9 +2,9 @@
 
 Documents with equal shingle sets form a class; one of each goes on. A document
 is posted under each pair of coordinate and value of its signature. Similar
-documents agree in at least ``MATCHES`` of ``COORDINATES`` coordinates, so it is
-enough to look for partners in the rarest ``COORDINATES - MATCHES + 1`` lists
-(prefix); values nobody else has come first among these, hence most documents
+documents agree in at least ``needed(percent)`` of ``COORDINATES`` coordinates,
+so it is enough to look for partners in the rarest lists, one more than the
+coordinates they may differ in (prefix); values nobody else has come first among these, hence most documents
 have no list left, and the long lists of common passages are the last anyone
 looks into. Within a list collisions are counted over whole signatures, and a
 pair is left to the first list both are posted in (skip).
@@ -19,6 +19,7 @@ untested pairs between parts that are not connected yet follow.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -32,7 +33,18 @@ from recordloom.llm.grouped import block_pairs, by_group, pairs_of_group, spanni
 from recordloom.llm.minhash import COORDINATES, SHINGLE, shingle_sets, signatures
 
 PERCENT = 85
-MATCHES = 44
+# A pair at exactly the wanted similarity agrees in too few coordinates with this chance at most.
+MISS = 1e-4
+
+
+def needed(percent: int) -> int:
+    """The most coordinates to ask for that a pair of that similarity falls short of with a chance of ``MISS`` at most."""
+    p, short = percent / 100, 0.0
+    for k in range(COORDINATES):
+        short += math.comb(COORDINATES, k) * p**k * (1 - p) ** (COORDINATES - k)
+        if short > MISS:
+            return max(1, k)
+    return COORDINATES
 
 
 def row_key() -> Column:
@@ -69,16 +81,17 @@ def posted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(rep), pa.array(key.ravel())], ["rep", "key"])
 
 
-def posting_lists(classes: DataFrame) -> DataFrame:
+def posting_lists(classes: DataFrame, need: int) -> DataFrame:
     """``key``, ``n`` and per member ``rep``, ``posts`` (bits of the coordinates it is posted under)
-    and ``low`` (a byte of each coordinate): the lists that can hold partners."""
+    and ``low`` (a byte of each coordinate): the lists that can hold partners, which agree in
+    ``need`` coordinates."""
     posts = classes.select("rep", "sig").mapInArrow(posted, "rep long, key long")
     # Stored, so that the join deals out both its sides itself and can split a long list.
     lengths = staged(posts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "lengths")
     shared = posts.join(lengths, "key").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("lists"))
-    prefix = COORDINATES - MATCHES + 1
+    prefix = COORDINATES - need + 1
     lone = F.lit(COORDINATES) - F.size("lists")
-    shared = shared.where(F.size("lists") >= MATCHES).select("rep", F.slice("lists", 1, F.greatest(F.lit(0), prefix - lone)).alias("lists"))
+    shared = shared.where(F.size("lists") >= need).select("rep", F.slice("lists", 1, F.greatest(F.lit(0), prefix - lone)).alias("lists"))
     bits = F.aggregate(
         "lists", F.lit(0).cast("long"),
         lambda acc, x: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(x["key"], 32).cast("int"))),
@@ -86,7 +99,7 @@ def posting_lists(classes: DataFrame) -> DataFrame:
     low = classes.select("rep", "sig").mapInArrow(lowered, "rep long, low binary")
     shared = shared.where(F.size("lists") > 0).withColumn("posts", bits).join(low, "rep")
     return shared.select("rep", "posts", "low", F.explode("lists").alias("list")).select(
-        F.col("list.key").alias("key"), F.col("list.n").alias("n"), "rep", "posts", "low"
+        F.col("list.key").alias("key"), F.col("list.n").alias("n"), "rep", "posts", "low", F.lit(need).alias("need")
     )
 
 
@@ -102,6 +115,7 @@ def collisions(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     order = np.argsort(ids, kind="stable")
     ids, labels = ids[order], group.column("label").to_numpy()[order]
     posts = group.column("posts").to_numpy().astype(np.int64).view(np.uint64)[order]
+    need = int(group.column("need")[0].as_py())
     low = np.frombuffer(b"".join(group.column("low").to_pylist()), dtype=np.uint8).reshape(len(ids), COORDINATES)[order]
     here = int(group.column("key")[0].as_py()) >> 32
     matches = np.zeros((len(ids), len(ids)), dtype=np.uint8)
@@ -120,18 +134,18 @@ def collisions(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             posted_here = (posts >> np.uint64(k)) & np.uint64(1) > 0
             if posted_here[left].any() and posted_here[right].any():
                 earlier |= same & posted_here[left][:, None] & posted_here[right][None, :]
-    some[(some < MATCHES) | earlier | (ids[left][:, None] == ids[right][None, :])] = 0
+    some[(some < need) | earlier | (ids[left][:, None] == ids[right][None, :])] = 0
     matches[np.ix_(left, right)] = some
     matches[np.ix_(right, left)] = some.T
     return ids, labels, matches
 
 
-def agreeing(same: np.ndarray, both: np.ndarray, here: np.ndarray) -> np.ndarray:
+def agreeing(same: np.ndarray, both: np.ndarray, here: np.ndarray, need: np.ndarray) -> np.ndarray:
     """Agreeing coordinates of pairs; 0 for too few, or where an earlier list than ``here`` has the pair, too."""
     matches = same.sum(axis=-1, dtype=np.uint8)
     bits = np.packbits(same, axis=-1, bitorder="little").view("<u8")[..., 0]
     before = (np.uint64(1) << here.astype(np.uint64)) - np.uint64(1)
-    matches[(matches < MATCHES) | ((bits & both & before) != 0)] = 0
+    matches[(matches < need) | ((bits & both & before) != 0)] = 0
     return matches
 
 
@@ -148,12 +162,13 @@ def _small(different: bool = True):
         ids, labels = rows.column("rep").to_numpy(), rows.column("label").to_numpy()
         posts = rows.column("posts").to_numpy().astype(np.int64).view(np.uint64)
         low = np.frombuffer(b"".join(rows.column("low").to_pylist()), dtype=np.uint8).reshape(len(ids), COORDINATES)
+        need = rows.column("need").to_numpy()
         here = rows.column("key").to_numpy() >> 32
         block = rows.column("own").to_numpy()
         first, second = [], []
         for start in range(0, len(left), 20_000):
             x, y = left[start : start + 20_000], right[start : start + 20_000]
-            found = agreeing(low[x] == low[y], posts[x] & posts[y], here[x]) > 0
+            found = agreeing(low[x] == low[y], posts[x] & posts[y], here[x], need[x]) > 0
             within = rows.column("i").to_numpy()[x] == rows.column("j").to_numpy()[x]
             found &= (ids[x] != ids[y]) & (within | (block[x] != block[y]))
             if different:
@@ -185,7 +200,7 @@ def met(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(n, COORDINATES) for c in ("low", "first_low")
         )
         agree = (own == first).sum(axis=1)
-        keep = pa.array((agree >= MATCHES) & (batch.column("rep").to_numpy() != batch.column("first").to_numpy()))
+        keep = pa.array((agree >= batch.column("need").to_numpy()) & (batch.column("rep").to_numpy() != batch.column("first").to_numpy()))
         yield pa.RecordBatch.from_arrays(
             [batch.column("rep").filter(keep), batch.column("first").filter(keep), pa.array(agree).filter(keep)], ["rep", "first", "agree"]
         )
@@ -195,7 +210,7 @@ def first_pairs(lists: DataFrame) -> DataFrame:
     """``a``, ``b``: each document with that first member of its lists it agrees with most."""
     firsts = lists.groupBy("key").agg(F.min(F.struct("rep", "low")).alias("f"))
     firsts = staged(firsts.select("key", F.col("f.rep").alias("first"), F.col("f.low").alias("first_low")), "firsts")
-    pairs = lists.select("key", "rep", "low").join(firsts, "key").select("rep", "low", "first", "first_low")
+    pairs = lists.select("key", "rep", "low", "need").join(firsts, "key").select("rep", "low", "first", "first_low", "need")
     pairs = pairs.mapInArrow(met, "rep long, first long, agree long")
     best = pairs.groupBy("rep").agg(F.max(F.struct("agree", (-F.col("first")).alias("less"))).alias("best"))
     return best.select((-F.col("best.less")).alias("a"), F.col("rep").alias("b"))
@@ -243,6 +258,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` and ``row_key`` for every row (``doc_id``, ``text``).
 
+    Documents that share ``percent`` of their shingles or more are linked.
+
     Words are compared without case of A to Z. A null text or one without words
     has no shingles and is linked with nothing; a text shorter than a shingle is
     one shingle. Texts of any length are read whole. Repeated rows share their
@@ -256,7 +273,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows = staged(texts.mapInArrow(sketched, "doc_id long, row_key long, n_shingles long, h1 long, h2 long, sig binary"), "sketches")
     found = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = staged(found.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.min_by("sig", "doc_id").alias("sig")), "classes")
-    lists = staged(posting_lists(classes), "lists")
+    lists = staged(posting_lists(classes, needed(percent)), "lists")
     tested = staged(confirmed(first_pairs(lists), texts, percent), "tested")
     linked = staged(components(tested.where("link")), "linked")
     pairs = block_pairs(labelled(lists, linked), "n", "rep").mapInArrow(by_group(forest, _small(True)), "a long, b long")

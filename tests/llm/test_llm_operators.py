@@ -171,6 +171,27 @@ def test_long_lists_are_compared_across_blocks(spark, monkeypatch):
     assert all(got[i] == 0 for i in range(70)) and all(got[100 + i] == 100 + i for i in range(5))
 
 
+def test_pipeline_links_near_copies_of_eighty_percent(spark):
+    """Pairs with a similarity between 0.80 and 0.85 are one document in the stage, two in the query."""
+    assert (near_dup.needed(80), near_dup.needed(85)) == (38, 43)
+    rng = np.random.default_rng(17)
+    rows = []
+    for i in range(60):
+        base = [f"w{x}" for x in rng.integers(0, 1 << 40, 204)]
+        near = list(base)
+        for at in (30, 80, 130, 180)[: 3 + i % 2]:
+            near[at] = f"y{at}"
+        # Of two hundred shingles a word in the middle changes five, one near the end one or two: 183 of 217 or 179 of 221.
+        near[202 + i % 2] = "z"
+        a, b = ({tuple(t[k : k + 5]) for k in range(200)} for t in (base, near))
+        assert 0.80 <= len(a & b) / len(a | b) < 0.85
+        rows += [(2 * i, " ".join(base), "s"), (2 * i + 1, " ".join(near), "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == set(range(0, 120, 2))
+    assert all(r.kept for r in near_duplicates(docs).collect())
+
+
 def test_components_of_chains_stars_and_loops(spark):
     chain = [(i, i + 1) for i in range(100, 140)]
     star = [(7, i) for i in range(200, 260)]
