@@ -6,8 +6,9 @@ documents agree in at least ``needed(percent)`` of ``COORDINATES`` coordinates,
 so it is enough to look for partners in the rarest lists, one more than the
 coordinates they may differ in (prefix); values nobody else has come first among these, hence most documents
 have no list left, and the long lists of common passages are the last anyone
-looks into. Within a list collisions are counted over whole signatures, and a
-pair is left to the first list both are posted in (skip).
+looks into. Within a list collisions are counted over a byte of each coordinate,
+never too few, and a pair is left to the first list both are posted in by their
+whole values (skip).
 
 Only pairs that connect documents leave a list, never all pairs of a group, and
 all of them are confirmed on the full shingle sets. First each document meets
@@ -82,9 +83,9 @@ def posted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def posting_lists(classes: DataFrame, need: int) -> DataFrame:
-    """``key``, ``n`` and per member ``rep``, ``posts`` (bits of the coordinates it is posted under)
-    and ``low`` (a byte of each coordinate): the lists that can hold partners, which agree in
-    ``need`` coordinates."""
+    """``key``, ``n`` and per member ``rep``, ``posts`` (bits of the coordinates it is posted under),
+    ``whole`` (the values of these in order) and ``low`` (a byte of each coordinate): the lists that
+    can hold partners, which agree in ``need`` coordinates."""
     posts = classes.select("rep", "sig").mapInArrow(posted, "rep long, key long")
     # Stored, so that the join deals out both its sides itself and can split a long list.
     lengths = staged(posts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "lengths")
@@ -97,9 +98,11 @@ def posting_lists(classes: DataFrame, need: int) -> DataFrame:
         lambda acc, x: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(x["key"], 32).cast("int"))),
     )
     low = classes.select("rep", "sig").mapInArrow(lowered, "rep long, low binary")
-    shared = shared.where(F.size("lists") > 0).withColumn("posts", bits).join(low, "rep")
-    return shared.select("rep", "posts", "low", F.explode("lists").alias("list")).select(
-        F.col("list.key").alias("key"), F.col("list.n").alias("n"), "rep", "posts", "low", F.lit(need).alias("need")
+    value = lambda key: F.shiftright(F.call_function("shiftleft", key, F.lit(32)), 32).cast("int")
+    whole = F.transform(F.sort_array(F.transform("lists", lambda x: x["key"])), value)
+    shared = shared.where(F.size("lists") > 0).withColumns({"posts": bits, "whole": whole}).join(low, "rep")
+    return shared.select("rep", "posts", "whole", "low", F.explode("lists").alias("list")).select(
+        F.col("list.key").alias("key"), F.col("list.n").alias("n"), "rep", "posts", "whole", "low", F.lit(need).alias("need")
     )
 
 
@@ -109,12 +112,21 @@ def lowered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(low, pa.binary())], ["rep", "low"])
 
 
+def whole_values(rows: pa.Table, posts: np.ndarray) -> np.ndarray:
+    """The values of the posted coordinates of each row, 0 for the others."""
+    bits = (posts[:, None] >> np.arange(COORDINATES, dtype=np.uint64)) & np.uint64(1) > 0
+    values = np.zeros(bits.shape, dtype=np.int32)
+    values[bits] = rows.column("whole").combine_chunks().flatten().to_numpy()
+    return values
+
+
 def collisions(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids and labels of a group, smallest id first, and the agreeing coordinates of the pairs that are this list's."""
     ids = group.column("rep").to_numpy()
     order = np.argsort(ids, kind="stable")
     ids, labels = ids[order], group.column("label").to_numpy()[order]
-    posts = group.column("posts").to_numpy().astype(np.int64).view(np.uint64)[order]
+    posts = group.column("posts").to_numpy().astype(np.int64).view(np.uint64)
+    whole, posts = whole_values(group, posts)[order], posts[order]
     need = int(group.column("need")[0].as_py())
     low = np.frombuffer(b"".join(group.column("low").to_pylist()), dtype=np.uint8).reshape(len(ids), COORDINATES)[order]
     here = int(group.column("key")[0].as_py()) >> 32
@@ -128,11 +140,11 @@ def collisions(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     some = np.zeros((len(left), len(right)), dtype=np.uint8)
     earlier = np.zeros((len(left), len(right)), dtype=bool)
     for k in range(COORDINATES):
-        same = low[left, k][:, None] == low[right, k][None, :]
-        some += same
+        some += low[left, k][:, None] == low[right, k][None, :]
         if k < here:
             posted_here = (posts >> np.uint64(k)) & np.uint64(1) > 0
             if posted_here[left].any() and posted_here[right].any():
+                same = whole[left, k][:, None] == whole[right, k][None, :]
                 earlier |= same & posted_here[left][:, None] & posted_here[right][None, :]
     some[(some < need) | earlier | (ids[left][:, None] == ids[right][None, :])] = 0
     matches[np.ix_(left, right)] = some
@@ -140,10 +152,13 @@ def collisions(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ids, labels, matches
 
 
-def agreeing(same: np.ndarray, both: np.ndarray, here: np.ndarray, need: np.ndarray) -> np.ndarray:
-    """Agreeing coordinates of pairs; 0 for too few, or where an earlier list than ``here`` has the pair, too."""
+def agreeing(same: np.ndarray, equal: np.ndarray, both: np.ndarray, here: np.ndarray, need: np.ndarray) -> np.ndarray:
+    """Agreeing coordinates of pairs; 0 for too few, or where an earlier list than ``here`` has the pair, too.
+
+    ``same`` compares a byte of each coordinate, ``equal`` the whole values of those in ``both``.
+    """
     matches = same.sum(axis=-1, dtype=np.uint8)
-    bits = np.packbits(same, axis=-1, bitorder="little").view("<u8")[..., 0]
+    bits = np.packbits(equal, axis=-1, bitorder="little").view("<u8")[..., 0]
     before = (np.uint64(1) << here.astype(np.uint64)) - np.uint64(1)
     matches[(matches < need) | ((bits & both & before) != 0)] = 0
     return matches
@@ -162,13 +177,13 @@ def _small(different: bool = True):
         ids, labels = rows.column("rep").to_numpy(), rows.column("label").to_numpy()
         posts = rows.column("posts").to_numpy().astype(np.int64).view(np.uint64)
         low = np.frombuffer(b"".join(rows.column("low").to_pylist()), dtype=np.uint8).reshape(len(ids), COORDINATES)
-        need = rows.column("need").to_numpy()
+        whole, need = whole_values(rows, posts), rows.column("need").to_numpy()
         here = rows.column("key").to_numpy() >> 32
         block = rows.column("own").to_numpy()
         first, second = [], []
         for start in range(0, len(left), 20_000):
             x, y = left[start : start + 20_000], right[start : start + 20_000]
-            found = agreeing(low[x] == low[y], posts[x] & posts[y], here[x], need[x]) > 0
+            found = agreeing(low[x] == low[y], whole[x] == whole[y], posts[x] & posts[y], here[x], need[x]) > 0
             within = rows.column("i").to_numpy()[x] == rows.column("j").to_numpy()[x]
             found &= (ids[x] != ids[y]) & (within | (block[x] != block[y]))
             if different:

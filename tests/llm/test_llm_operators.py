@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -17,7 +18,7 @@ from recordloom.llm import near_dup
 from recordloom.llm.bpe import Codec, Utf8Stream, bpe_round_trip, load_ranks
 from recordloom.llm.components import components
 from recordloom.llm.context_mixing import CodeModel, SpellingModel, spelling_counts
-from recordloom.llm.grouped import block_pairs, spanning
+from recordloom.llm.grouped import block_pairs, by_group, spanning
 from recordloom.llm.mixing import mixed
 from recordloom.llm.near_dup import near_duplicates
 from recordloom.llm.pivots import near_vectors
@@ -171,6 +172,24 @@ def test_long_lists_are_compared_across_blocks(spark, monkeypatch):
     assert all(got[i] == 0 for i in range(70)) and all(got[100 + i] == 100 + i for i in range(5))
 
 
+def test_pairs_of_equal_bytes_are_left_to_lists_that_hold_both():
+    """Posted coordinates that agree in their low byte only do not hand a pair to an earlier list."""
+    rng = np.random.default_rng(4)
+    sig = rng.integers(1, 1 << 31, near_dup.COORDINATES)
+    for size in (2, 20):
+        many = np.tile(sig, (size, 1))
+        many[1:, :3] += 256
+        many[2:] += rng.integers(1, 256, (max(0, size - 2), near_dup.COORDINATES))
+        table = pa.table({
+            "rep": pa.array(range(size), pa.int64()), "label": pa.array(range(size), pa.int64()), "key": pa.array([(5 << 32) | int(sig[5])] * size, pa.int64()),
+            "posts": pa.array([0b100111] * size, pa.int64()), "whole": pa.array([m[[0, 1, 2, 5]].tolist() for m in many], pa.list_(pa.int32())),
+            "low": pa.array([(m & 255).astype(np.uint8).tobytes() for m in many], pa.binary()), "need": pa.array([43] * size, pa.int32()),
+            "own": pa.array([0] * size, pa.int32()), "i": pa.array([0] * size, pa.int32()), "j": pa.array([0] * size, pa.int32()),
+        })
+        got = list(by_group(near_dup.forest, near_dup._small(True))(table.to_batches()))
+        assert [(r["a"], r["b"]) for b in got for r in b.to_pylist() if r["a"] == 0] == [(0, 1)]
+
+
 def test_pipeline_links_near_copies_of_eighty_percent(spark):
     """Pairs with a similarity between 0.80 and 0.85 are one document in the stage, two in the query."""
     assert (near_dup.needed(80), near_dup.needed(85)) == (38, 43)
