@@ -97,6 +97,24 @@ def test_repetition_keeps_plain_and_rejects_repeated_text(docs, texts):
     assert all(kept[i] for i in range(40, 52))
 
 
+def test_repetition_rejects_texts_a_fifth_of_which_is_repeated(spark):
+    rng = np.random.default_rng(31)
+    fresh = lambda n: " ".join(f"w{x}" for x in rng.integers(10**9, 10**10, n))
+    said, lines = fresh(25), [fresh(4) for _ in range(76)]
+    scattered = lambda every: "\n".join(x for k, line in enumerate(lines) for x in ([line, lines[0]] if k % every == 1 else [line]))
+    rows = [
+        (0, " ".join([fresh(80), said, fresh(90), said])),  # 50 of 220 words
+        (1, scattered(3)),  # 25 of 101 lines
+        (2, " ".join([fresh(300), said, fresh(300), said])),  # 50 of 650 words
+        (3, scattered(19)),  # 4 of 80 lines
+    ]
+    got = {r.doc_id: r for r in repetition_rules(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert 0.20 <= got[0].share_10 <= 0.25 and got[0].line_share == 0
+    assert 0.20 <= got[1].line_share <= 0.25
+    assert not got[0].base_failed and not got[1].base_failed and not got[0].kept and not got[1].kept
+    assert got[2].kept and got[3].kept
+
+
 def test_bpe_equals_tiktoken_and_decodes(docs):
     plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_ranks(RANKS), special_tokens={})
     got = bpe_round_trip(docs, RANKS, public_tokenizers.PATTERN, with_ids=True).join(docs.dropDuplicates(["doc_id"]), "doc_id").collect()
