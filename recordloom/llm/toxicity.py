@@ -257,19 +257,10 @@ def scored(names: list[bytes], chain: list[np.ndarray]):
     return rows
 
 
-def toxicity(
-    docs: DataFrame, labels: DataFrame, categories=CATEGORIES, sample_size: int = SAMPLE, train_docs: DataFrame | None = None,
-) -> DataFrame:
-    """All rows of ``docs`` with ``p``, the probability of each category in turn.
-
-    Labels of an id that occurs twice are joined by "any"; ids without a label
-    or with a null one are not learnt from. The models come from ``train_docs``
-    (``docs`` unless given). A null or empty text has no features and gets the
-    chain's base rates; without any labelled document all probabilities are 0.5;
-    repeated rows are scored each. A column ``p`` of ``docs`` is replaced.
-    """
+def fitted(docs: DataFrame, labels: DataFrame, categories, sample_size: int) -> tuple[list[bytes], list[np.ndarray], int]:
+    """The chosen features, the chain's weights and the number of documents learnt from."""
     small_batches(docs.sparkSession)
-    sample = labelled_sample(docs if train_docs is None else train_docs, labels, categories, sample_size)
+    sample = labelled_sample(docs, labels, categories, sample_size)
     names, uses = chosen_features(sample, len(categories))
     got = sample.mapInArrow(indexed(names), "doc_id long, y array<int>, found array<int>").toArrow()
     got = got.sort_by("doc_id").combine_chunks()
@@ -278,14 +269,36 @@ def toxicity(
     lists = got.column("found").combine_chunks()
     sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
     present = Presence(np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), lists.flatten().to_numpy())
-    chain = fit_chain(present, y, fold, uses)
+    return names, fit_chain(present, y, fold, uses), len(y)
+
+
+def predicted(docs: DataFrame, names: list[bytes], chain: list[np.ndarray]) -> DataFrame:
     rest = [c for c in docs.columns if c != "p"]
     rows = docs.select(*[F.col(f"`{c}`") for c in rest], text_bytes().alias("body"))
     kind = docs.select(*[F.col(f"`{c}`") for c in rest]).schema.add("p", ArrayType(DoubleType()))
     return rows.mapInArrow(scored(names, chain), kind)
 
 
+def toxicity(
+    docs: DataFrame, labels: DataFrame, categories=CATEGORIES, sample_size: int = SAMPLE, train_docs: DataFrame | None = None,
+) -> DataFrame:
+    """All rows of ``docs`` with ``p``, the probability of each category in turn.
+
+    Labels of an id that occurs twice are joined by "any"; ids without a label
+    or with a null one are not learnt from. The models come from ``train_docs``
+    (``docs`` unless given). A null or empty text has no features and gets the
+    chain's base rates; without any labelled document all probabilities are 0.5;
+    repeated rows are scored each. A column ``p`` of ``docs`` is replaced.
+    """
+    names, chain, _ = fitted(docs if train_docs is None else train_docs, labels, categories, sample_size)
+    return predicted(docs, names, chain)
+
+
 def flagged(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``toxicity`` with ``toxic``: whether the last category is at least ``threshold`` likely."""
-    got = toxicity(docs, labels)
-    return got.withColumn("toxic", F.element_at("p", -1) >= threshold)
+    """``toxicity`` with ``toxic``: whether the last category is at least ``threshold`` likely.
+
+    Nothing is flagged if there was no labelled document to learn from.
+    """
+    names, chain, learnt = fitted(docs, labels, CATEGORIES, SAMPLE)
+    toxic = F.element_at("p", -1) >= threshold if learnt else F.lit(False)
+    return predicted(docs, names, chain).withColumn("toxic", toxic)

@@ -367,6 +367,16 @@ def test_toxic_words_and_their_forms_are_found(spark):
     assert flagged(docs.limit(0), marks).count() == 0
 
 
+def test_nothing_is_toxic_without_labelled_documents(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"text {i} of some words", "en") for i in range(12)], "doc_id long, text string, lang string")
+    kinds = {"none": [], "null": [(1, None, None), (2, 1, None)], "others": [(1000, 1, 1), (1001, 0, 0)]}
+    for name, labels in kinds.items():
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        rows = flagged(docs, spark.read.parquet(f"{tmp_path}/{name}/labels.parquet")).collect()
+        assert len(rows) == 12 and not any(r.toxic for r in rows) and all(r.p == [0.5, 0.5] for r in rows)
+        assert corpus_pipeline.drop_toxic(spark, docs, f"{tmp_path}/{name}").count() == 12
+
+
 def test_chain_feeds_earlier_categories_to_later_models():
     rng = np.random.default_rng(1)
     first = rng.random(400) < 0.5
