@@ -117,10 +117,13 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and the words before each row (one more entry than rows)."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, and the words before each row (one more entry than rows).
+
+    ``between`` tells for each byte whether it stands between words.
+    """
     inside = np.zeros(len(data) + 1, dtype=bool)
-    np.logical_not(SPACE[data], out=inside[:-1])
+    np.logical_not(between[data], out=inside[:-1])
     before = np.zeros(len(data) + 1, dtype=bool)
     before[1:] = inside[:-1]
     cut = np.zeros(len(data) + 1, dtype=bool)

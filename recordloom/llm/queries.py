@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.llm.bpe import bpe_round_trip
+from recordloom.llm.collocations import PHRASES_SQL, collocations
 from recordloom.llm.common import table
+from recordloom.llm.decontamination import HITS_SQL, decontaminated
 from recordloom.llm.mixing import AMOUNTS_SQL, mixed
 from recordloom.llm.near_dup import near_duplicates
 from recordloom.llm.pivots import near_vectors
@@ -64,6 +66,18 @@ def op10_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeated_spans(table(spark, sf_dir, "documents"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = decontaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    named = F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256")
+    return got.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), named, (F.col("n_hit") > 0).alias("contaminated")
+    )
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_scoring": op1_scoring,
     "op2_repetition": op2_repetition,
@@ -75,6 +89,13 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_mixing": op9_mixing,
     "op10_spans": op10_spans,
+    "op11_decontamination": op11_decontamination,
+    "op13_collocations": op13_collocations,
 }
 
-SQL = {"op3_preference": PAIRS_SQL, "op9_mixing": AMOUNTS_SQL}
+SQL = {
+    "op3_preference": PAIRS_SQL,
+    "op9_mixing": AMOUNTS_SQL,
+    "op11_decontamination": HITS_SQL,
+    "op13_collocations": PHRASES_SQL,
+}
