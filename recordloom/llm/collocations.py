@@ -298,7 +298,7 @@ inner_parts AS (
 kept AS (
   SELECT w.*, array_to_string(w.words, ' ') AS phrase FROM weakest w LEFT JOIN inner_parts p ON p.lang = w.lang AND p.words = w.words
   WHERE p.around IS NULL OR 100 * p.around < {COVERED} * w.a)
-SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase::BLOB) AS rank, phrase,
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
   a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
 FROM kept QUALIFY rank <= {TOP}
 """

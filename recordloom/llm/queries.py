@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from recordloom.llm.bpe import bpe_round_trip
 from recordloom.llm.collocations import PHRASES_SQL, collocations
 from recordloom.llm.common import table
+from recordloom.llm.conversation_repair import REPAIR_SQL, repair_reports
 from recordloom.llm.decontamination import HITS_SQL, decontaminated
 from recordloom.llm.mixing import AMOUNTS_SQL, mixed
 from recordloom.llm.near_dup import near_duplicates
@@ -74,6 +75,10 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_reports(table(spark, sf_dir, "conversations"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
@@ -90,6 +95,7 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_spans": op10_spans,
     "op11_decontamination": op11_decontamination,
+    "op12_repair": op12_repair,
     "op13_collocations": op13_collocations,
 }
 
@@ -97,5 +103,6 @@ SQL = {
     "op3_preference": PAIRS_SQL,
     "op9_mixing": AMOUNTS_SQL,
     "op11_decontamination": HITS_SQL,
+    "op12_repair": REPAIR_SQL,
     "op13_collocations": PHRASES_SQL,
 }
