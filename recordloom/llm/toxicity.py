@@ -8,9 +8,10 @@ fitted on all rows of the sample.
 A word gives features for itself and for its beginnings of three to six
 characters, so inflected forms of a known stem count. Which features matter is
 decided by a chi-square test of their document counts, which Spark gathers;
-only documents of a bounded sample (``SAMPLE`` labelled ids, chosen by a hash)
-and ``FEATURES`` features reach the driver, and every document is scored where
-it is read.
+models are fitted on a bounded sample (``SAMPLE`` labelled documents, chosen by
+a hash of their ids, and ``FEATURES`` features), each by a task of its own. Only
+names of features and weights reach the driver, and every document is scored
+where it is read.
 """
 
 from __future__ import annotations
@@ -81,13 +82,18 @@ class Chosen:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, categories, size: int) -> DataFrame:
-    """At most ``size`` labelled documents: ``doc_id``, ``body`` and ``y``, the categories as an array."""
+    """At most ``size`` labelled documents, a row for each id: ``doc_id``, ``body`` and ``y``, the categories as an array.
+
+    Labels of ids that ``docs`` lacks take no place in the sample. Of an id with
+    several texts the least one is learnt from.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.col(c).cast("int").alias(c) for c in categories])
     known = known.dropna().groupBy("doc_id").agg(F.array(*[F.max(c) for c in categories]).alias("y"))
+    known = known.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_semi")
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("body"))
     # The sample is bounded: at most ``size`` ids and flags.
-    return texts.join(F.broadcast(known), "doc_id")
+    return texts.join(F.broadcast(known), "doc_id").groupBy("doc_id").agg(F.min("body").alias("body"), F.first("y").alias("y"))
 
 
 def counted(categories: int):
@@ -120,15 +126,15 @@ def counted(categories: int):
     return rows
 
 
-def chosen_features(sample: DataFrame, categories: int, size: int = FEATURES) -> tuple[list[bytes], np.ndarray]:
+def chosen_features(sample: DataFrame, categories: int, size: int = FEATURES) -> tuple[list[bytes], np.ndarray, int]:
     """The features that tell the categories apart best, by chi-square over document counts,
-    and for each category which of them are its own."""
+    for each category which of them are its own, and the number of documents."""
     counts = sample.select("body", "y").mapInArrow(counted(categories), "feature binary, n long, hits array<long>")
     hits = [F.sum(F.col("hits")[c]).alias(f"h{c}") for c in range(categories)]
     counts = staged(counts.groupBy("feature").agg(F.sum("n").alias("n"), *hits), "features")
     total = counts.where(F.length("feature") == 0).first()
     if total is None:
-        return [], np.zeros((categories, 0), dtype=bool)
+        return [], np.zeros((categories, 0), dtype=bool), 0
     docs = float(total["n"])
     best = []
     for c in range(categories):
@@ -140,7 +146,7 @@ def chosen_features(sample: DataFrame, categories: int, size: int = FEATURES) ->
         best.append([bytes(r[0]) for r in top.select("feature").limit(size // categories).collect()])
     names = sorted(set().union(*best))
     own = [set(b) for b in best]
-    return names, np.array([[n in b for n in names] for b in own], dtype=bool).reshape(categories, len(names))
+    return names, np.array([[n in b for n in names] for b in own], dtype=bool).reshape(categories, len(names)), int(docs)
 
 
 def indexed(names: list[bytes]):
@@ -149,7 +155,7 @@ def indexed(names: list[bytes]):
         for part in sliced(batches, "body"):
             found = [chosen.of(b) for b in part.column("body").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("y"), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "y", "found"]
+                [part.column("doc_id"), part.column("y"), pa.array(found, pa.list_(pa.int16()))], ["doc_id", "y", "found"]
             )
 
     return rows
@@ -168,14 +174,14 @@ class Presence:
     def __init__(self, rows: np.ndarray, ids: np.ndarray):
         self.blocks = [(rows[i : i + self.SIZE].astype(np.int32), ids[i : i + self.SIZE].astype(np.int32)) for i in range(0, len(ids), self.SIZE)]
 
-    def of(self, own: np.ndarray, inside: np.ndarray) -> Presence:
-        """Only features of ``own`` and rows of ``inside``, which are numbered anew."""
-        number = np.cumsum(inside) - 1
-        made = Presence(np.zeros(0), np.zeros(0))
-        for rows, ids in self.blocks:
-            keep = own[ids] & inside[rows]
-            made.blocks.append((number[rows[keep]].astype(np.int32), ids[keep]))
-        return made
+    @classmethod
+    def of(cls, found: pa.Array | pa.ChunkedArray, own: np.ndarray) -> Presence:
+        """The features of ``own`` in lists of feature numbers, a list a row."""
+        lists = found.combine_chunks() if isinstance(found, pa.ChunkedArray) else found
+        ids = lists.flatten().to_numpy(zero_copy_only=False)
+        rows = np.repeat(np.arange(len(lists), dtype=np.int32), lists.value_lengths().to_numpy(zero_copy_only=False))
+        keep = own[ids] if len(ids) else np.zeros(0, dtype=bool)
+        return cls(rows[keep], ids[keep])
 
     def by_row(self, weights: np.ndarray, size: int) -> np.ndarray:
         return sum((np.bincount(rows, weights[ids], minlength=size) for rows, ids in self.blocks), np.zeros(size))
@@ -213,24 +219,63 @@ def clipped(p: np.ndarray) -> np.ndarray:
     return np.log(p / (1 - p))
 
 
-def fit_chain(present: Presence, y: np.ndarray, fold: np.ndarray, uses: np.ndarray, folds: int = FOLDS) -> list[np.ndarray]:
-    """The weights of the chain's models: features, earlier categories, intercept."""
-    features, n = uses.shape[1], len(y)
-    dense = np.zeros((n, 0))
+def dense_of(table: pa.Table | pa.RecordBatch, category: int) -> np.ndarray:
+    """What the models before have made of each row."""
+    return np.array(table.column("dense").to_pylist(), dtype=float).reshape(table.num_rows, category)
+
+
+def fitted_once(category: int, own: np.ndarray):
+    """The model of one job: all rows of the sample but those of a fold."""
+
+    def fit(table: pa.Table) -> pa.Table:
+        table = table.sort_by("doc_id")
+        y = np.array(table.column("y").to_pylist(), dtype=float)[:, category]
+        model = Linear(len(own), category).fit(Presence.of(table.column("found"), own), dense_of(table, category), y)
+        return pa.table({"job": table.column("job").slice(0, 1).cast(pa.int32()), "weights": pa.array([model.weights], pa.list_(pa.float64()))})
+
+    return fit
+
+
+def unseen(category: int, own: np.ndarray, models: dict[int, np.ndarray]):
+    """Rows with what the model that has not seen their fold makes of them, as a further dense input."""
+
+    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            present, dense = Presence.of(batch.column("found"), own), dense_of(batch, category)
+            fold, p = batch.column("fold").to_numpy(zero_copy_only=False), np.zeros(batch.num_rows)
+            for k in np.unique(fold):
+                model = Linear(len(own), category)
+                model.weights = models.get(int(k), model.weights)
+                p[fold == k] = clipped(logistic(model.scores(present, dense)))[fold == k]
+            made = pa.array(list(np.column_stack([dense, p])), pa.list_(pa.float64()))
+            columns = [made if c == "dense" else batch.column(c) for c in batch.schema.names]
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+    return rows
+
+
+def fit_chain(sample: DataFrame, uses: np.ndarray, folds: int = FOLDS) -> list[np.ndarray]:
+    """The weights of the chain's models: features, earlier categories, intercept.
+
+    ``sample`` has ``doc_id``, ``y`` and ``found``, the numbers of the features
+    in a document. Every model of a category, the one of all rows and those of
+    all but a fold, is fitted by a task of its own; a task holds the sample,
+    which is bounded, and only weights come back.
+    """
+    categories, features = uses.shape
+    kind = "doc_id long, y array<int>, found array<short>, fold int, dense array<double>"
+    rows = sample.select(
+        "doc_id", "y", "found", F.pmod("doc_id", F.lit(folds)).cast("int").alias("fold"), F.array().cast("array<double>").alias("dense")
+    )
     chain = []
-    for c in range(y.shape[1]):
-        mine = present.of(uses[c], np.ones(n, dtype=bool))
-        chain.append(Linear(features, c).fit(mine, dense, y[:, c]).weights)
-        if c + 1 == y.shape[1]:
-            break
-        unseen = np.zeros(n)
-        for k in range(folds):
-            inside, outside = fold != k, fold == k
-            if not outside.any():
-                continue
-            model = Linear(features, c).fit(present.of(uses[c], inside), dense[inside], y[inside, c])
-            unseen[outside] = logistic(model.scores(mine, dense))[outside]
-        dense = np.column_stack([dense, clipped(unseen)])
+    for c in range(categories):
+        last = c + 1 == categories
+        jobs = rows.withColumn("job", F.explode(F.array(*[F.lit(k) for k in range(-1, -1 if last else folds)], *[F.lit(-1)] * last)))
+        got = jobs.where("job <> fold").groupBy("job").applyInArrow(fitted_once(c, uses[c]), "job int, weights array<double>").collect()
+        models = {r.job: np.array(r.weights) for r in got}
+        chain.append(models.get(-1, np.zeros(features + c + 1)))
+        if not last:
+            rows = staged(rows.mapInArrow(unseen(c, uses[c], models), kind), "chain")
     return chain
 
 
@@ -260,23 +305,16 @@ def scored(names: list[bytes], chain: list[np.ndarray]):
 def fitted(docs: DataFrame, labels: DataFrame, categories, sample_size: int) -> tuple[list[bytes], list[np.ndarray], int]:
     """The chosen features, the chain's weights and the number of documents learnt from."""
     small_batches(docs.sparkSession)
-    sample = labelled_sample(docs, labels, categories, sample_size)
-    names, uses = chosen_features(sample, len(categories))
-    got = sample.mapInArrow(indexed(names), "doc_id long, y array<int>, found array<int>").toArrow()
-    got = got.sort_by("doc_id").combine_chunks()
-    y = np.array(got.column("y").to_pylist(), dtype=float).reshape(-1, len(categories))
-    fold = np.array([int(i) % FOLDS for i in got.column("doc_id").to_pylist()], dtype=np.int64)
-    lists = got.column("found").combine_chunks()
-    sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
-    present = Presence(np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), lists.flatten().to_numpy())
-    return names, fit_chain(present, y, fold, uses), len(y)
+    sample = staged(labelled_sample(docs, labels, categories, sample_size), "labelled")
+    names, uses, learnt = chosen_features(sample, len(categories))
+    found = staged(sample.mapInArrow(indexed(names), "doc_id long, y array<int>, found array<short>"), "found")
+    return names, fit_chain(found, uses), learnt
 
 
 def predicted(docs: DataFrame, names: list[bytes], chain: list[np.ndarray]) -> DataFrame:
-    rest = [c for c in docs.columns if c != "p"]
-    rows = docs.select(*[F.col(f"`{c}`") for c in rest], text_bytes().alias("body"))
-    kind = docs.select(*[F.col(f"`{c}`") for c in rest]).schema.add("p", ArrayType(DoubleType()))
-    return rows.mapInArrow(scored(names, chain), kind)
+    """``row``, all columns of a row as a struct, and ``p``."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text_bytes().alias("body"))
+    return rows.mapInArrow(scored(names, chain), rows.select("row").schema.add("p", ArrayType(DoubleType())))
 
 
 def toxicity(
@@ -291,14 +329,26 @@ def toxicity(
     repeated rows are scored each. A column ``p`` of ``docs`` is replaced.
     """
     names, chain, _ = fitted(docs if train_docs is None else train_docs, labels, categories, sample_size)
-    return predicted(docs, names, chain)
+    return unpacked(predicted(docs, names, chain), docs, "p")
 
 
-def flagged(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``toxicity`` with ``toxic``: whether the last category is at least ``threshold`` likely.
+def unpacked(rows: DataFrame, docs: DataFrame, *made: str) -> DataFrame:
+    """The columns of ``docs`` out of ``row``, but for those called like ``made``, and these."""
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns if c not in made], *made)
 
-    Nothing is flagged if there was no labelled document to learn from.
-    """
+
+def judged(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``row`` (a struct of all columns of ``docs``), ``p`` and ``toxic``, whether the last category is at least
+    ``threshold`` likely. Nothing is toxic if there was no labelled document to learn from."""
     names, chain, learnt = fitted(docs, labels, CATEGORIES, SAMPLE)
-    toxic = F.element_at("p", -1) >= threshold if learnt else F.lit(False)
-    return predicted(docs, names, chain).withColumn("toxic", toxic)
+    return predicted(docs, names, chain).withColumn("toxic", F.element_at("p", -1) >= threshold if learnt else F.lit(False))
+
+
+def flagged(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``toxicity`` with ``toxic`` of ``judged``. Columns of ``docs`` called ``p`` or ``toxic`` are replaced, all others kept."""
+    return unpacked(judged(docs, labels, threshold), docs, "p", "toxic")
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that are not toxic, with their own columns, whatever these are called."""
+    return unpacked(judged(docs, labels, threshold).where("NOT toxic"), docs)

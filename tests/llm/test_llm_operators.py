@@ -27,7 +27,7 @@ from recordloom.llm.repetition import repetition_rules
 from recordloom.llm.scoring import corpus_scores
 from recordloom.llm.sharding import assign_shards
 from recordloom.llm.spans import without_repeated_spans
-from recordloom.llm.toxicity import Presence, fit_chain, flagged
+from recordloom.llm.toxicity import fit_chain, flagged, labelled_sample, without_toxic
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -377,16 +377,62 @@ def test_nothing_is_toxic_without_labelled_documents(spark, tmp_path):
         assert corpus_pipeline.drop_toxic(spark, docs, f"{tmp_path}/{name}").count() == 12
 
 
-def test_chain_feeds_earlier_categories_to_later_models():
+def test_chain_feeds_earlier_categories_to_later_models(spark):
     rng = np.random.default_rng(1)
     first = rng.random(400) < 0.5
-    present = Presence(np.arange(400), np.where(first, 0, 1))
-    y = np.column_stack([first, first]).astype(float)
+    rows = [(i, [int(f)] * 2, [int(not f)]) for i, f in enumerate(first)]
     uses = np.array([[True, True], [False, False]])
-    chain = fit_chain(present, y, np.arange(400) % 5, uses)
+    chain = fit_chain(spark.createDataFrame(rows, "doc_id long, y array<int>, found array<short>"), uses)
     assert chain[1][:2].tolist() == [0, 0] and chain[1][2] > 0.5
 
 
+def test_chain_of_a_task_a_fold_equals_plain_regression(spark):
+    """The models again, by dense matrices on the driver."""
+    rng = np.random.default_rng(2)
+    n, features = 90, 7
+    x = (rng.random((n, features)) < 0.3).astype(float)
+    y = np.column_stack([x[:, 0] + x[:, 1] > 0, (x[:, 2] + rng.random(n)) > 0.8]).astype(float)
+    ids = rng.permutation(1000)[:n]
+    rows = [(int(i), [int(v) for v in t], [int(k) for k in np.flatnonzero(f)]) for i, t, f in zip(ids, y, x)]
+    uses = rng.random((2, features)) < 0.7
+
+    def fit(x, y):
+        w, mean, square = np.zeros(x.shape[1]), 0, 0
+        for step in range(1, 201):
+            slope = (1 / (1 + np.exp(-x @ w)) - y) @ x / len(y) + np.append(1e-5 * w[:-1], 0)
+            mean, square = 0.9 * mean + 0.1 * slope, 0.999 * square + 0.001 * slope**2
+            w = w - 0.1 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
+        return w
+
+    one = np.ones((n, 1))
+    a = np.hstack([x * uses[0], one])
+    out = np.zeros(n)
+    for k in range(5):
+        out[ids % 5 == k] = (a @ fit(a[ids % 5 != k], y[ids % 5 != k, 0]))[ids % 5 == k]
+    odds = np.clip(out, np.log(0.001 / 0.999), np.log(0.999 / 0.001))
+    want = [fit(a, y[:, 0]), fit(np.hstack([x * uses[1], odds[:, None], one]), y[:, 1])]
+    got = fit_chain(spark.createDataFrame(rows, "doc_id long, y array<int>, found array<short>").repartition(4), uses)
+    for w, v in zip(want, got):
+        assert np.allclose(w, v, atol=1e-5)
+
+
+def test_labels_of_other_documents_take_no_place_in_the_sample(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(100)] * 3 + [(5, "another")], "doc_id long, text string")
+    labels = spark.range(50_100).selectExpr("IF(id < 100, id, id + 1000000) AS doc_id", "1 AS quality", "int(id % 2) AS toxic")
+    got = labelled_sample(docs, labels, ("quality", "toxic"), 100).collect()
+    assert sorted((r.doc_id, bytes(r.body), r.y) for r in got) == [(i, b"another" if i == 5 else f"text {i}".encode(), [1, i % 2]) for i in range(100)]
+    assert labelled_sample(docs, labels, ("quality", "toxic"), 30).count() == 30
+
+
+def test_toxic_documents_go_whatever_other_columns_are_called(spark):
+    rows = [(i, "vexil " * (i % 4 == 0) + f"w{i} to mi re", i, f"b{i}", i % 2 == 0, i, "r") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, y int, body string, toxic boolean, p int, row string")
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(200)], "doc_id long, quality int, toxic int")
+    kept = without_toxic(docs, labels)
+    assert kept.columns == docs.columns and {tuple(r) for r in kept.collect()} == {r for r in rows if r[0] % 4}
+    assert flagged(docs, labels).columns == ["doc_id", "text", "y", "body", "row", "p", "toxic"]
+
+
 def test_preference_pairs_share_the_prompt(spark):
     say = lambda c, *turns: [(c, i, r, t) for i, (r, t) in enumerate(turns)]
     rows = say(0, ("user", "a"), ("assistant", "b"), ("user", "c"), ("assistant", "d"))
