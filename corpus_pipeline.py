@@ -17,7 +17,7 @@ from recordloom.llm.mixing import mixed
 from recordloom.llm.near_dup import near_duplicates, row_key
 from recordloom.llm.queries import RANKS
 from recordloom.llm.spans import without_repeated_spans
-from recordloom.llm.toxicity import flagged
+from recordloom.llm.toxicity import without_toxic
 
 # Documents with so many of their five-word shingles in common are near duplicates.
 SIMILAR_PERCENT = 80
@@ -25,7 +25,7 @@ SIMILAR_PERCENT = 80
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain does not call toxic."""
-    return flagged(docs, table(spark, sf_dir, "labels")).where(~F.col("toxic")).select(*docs.columns)
+    return without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
