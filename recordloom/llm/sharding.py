@@ -68,11 +68,12 @@ def find_splitters(rows: DataFrame, total: int, shards: int) -> tuple[np.ndarray
     share = total / ranges
     weight = F.col("size") * F.lit(OVERSAMPLE / share)
     splitters = quantiles(sampled_keys(rows, weight, 0), ranges)
-    for salt in range(1, ROUNDS + 1):
+    for salt in range(1, ROUNDS + 2):
+        # What is returned is counted for these very splitters, also when the rounds end before the overfull ranges.
         tagged = in_ranges(rows, splitters)
         sizes = tagged.groupBy("range").agg(F.sum("size").alias("b"), F.count("*").alias("c"), F.max("size").alias("m")).collect()
         full = [r for r in sizes if r.b > OVERFULL * share and r.b > OVERFULL * r.m]
-        if not full:
+        if not full or salt > ROUNDS:
             break
         inside = tagged.where(F.col("range").isin([r["range"] for r in full]))
         keys = sampled_keys(inside, weight, salt)
@@ -88,7 +89,7 @@ def find_splitters(rows: DataFrame, total: int, shards: int) -> tuple[np.ndarray
 def assign_shards(docs: DataFrame, shards: int = 24) -> DataFrame:
     """Shard and slot of every row (``doc_id``, ``text``) under the law ``bytes``.
 
-    Shards differ in size by no more than the largest row. A null text has no
+    A shard differs from the mean size by no more than the largest row. A null text has no
     bytes, an empty table gives no rows, equal texts stand next to each other
     (split only where a shard ends), repeated rows each get a slot, rows
     without an id come first among equal texts. Other columns are ignored.
