@@ -7,14 +7,15 @@ all shorter prefixes, so the number of a phrase's occurrences is the total of
 the windows that begin with it and the total of a language is the number of its
 words. No n-gram of another order is ever exploded.
 
-A phrase can occur ``LEAST`` times only if all its words and all its pairs of
-neighbouring words do. Windows therefore end before the first word or pair that
-is too rare for certain, which leaves few different windows. What is too rare
-is known from counts over ``BUCKETS`` hashed buckets, which are never too small:
-a bucket holds its words and perhaps others'. As two bitmaps of ``BUCKETS`` bits
-they are the only thing that is broadcast, of the same size for any corpus. They
-decide how far windows reach, never a count: as a corpus outgrows them windows
-get longer and the counts stay what they are.
+A phrase can occur ``LEAST`` times only if all its words, pairs and triples of
+neighbouring words do. Windows therefore end before the first of these that is
+too rare for certain, which leaves few different windows. What is too rare is
+known from counts over hashed buckets, which are never too small: a bucket holds
+its words or runs of words and perhaps others'. A bitmap of the buckets of each
+order is all that is broadcast. Their number follows the size of the corpus, up
+to ``MAX_BUCKETS`` (16 MB a bitmap). They decide how far windows reach, never a
+count: when a corpus outgrows them, at some hundred GB, windows get longer, the
+rows that are counted more, and the counts stay what they are.
 """
 
 from __future__ import annotations
@@ -37,8 +38,13 @@ LEAST = 100
 COVERED = 100
 TOP = 2000
 UNKNOWN = "und"
-BUCKETS = 1 << 22
-CHUNK = 1 << 12
+# Orders whose rare members end a window.
+FILTERED = 3
+MIN_BUCKETS, MAX_BUCKETS = 1 << 22, 1 << 27
+BYTES_PER_BUCKET = 48
+CHUNK = 1 << 16
+# Bucket numbers that a task gathers before it counts them.
+NUMBERS = 1 << 22
 # Different windows that a task gathers before it hands them on.
 GATHERED = 1 << 20
 SALTS = 32
@@ -72,13 +78,22 @@ class Words:
     def text(self, at: int) -> bytes:
         return self.data[self.starts[at] : self.ends[at]].tobytes()
 
-    def word_buckets(self) -> np.ndarray:
-        return (mixed(self.hashes ^ self.seed) % np.uint64(BUCKETS)).astype(np.int64)
+    def reaching(self, filters: list[np.ndarray], order: int) -> Iterator[np.ndarray]:
+        """For each length up to ``order``, which words begin a run of so many words without a rare part.
 
-    def pair_buckets(self) -> np.ndarray:
-        """Of each word with the next one, whatever that is."""
-        after = np.append(self.hashes[1:], np.uint64(0)) if len(self.hashes) else self.hashes
-        return (mixed(mixed(self.hashes ^ self.seed) + after) % np.uint64(BUCKETS)).astype(np.int64)
+        Runs longer than the filters tell apart have their last two parts looked at.
+        """
+        alive, keys = np.ones(len(self.hashes), dtype=bool), mixed(self.hashes ^ self.seed)
+        for length in range(1, order + 1):
+            if length > 1:
+                keys = mixed(keys[:-1] * np.uint64(3) + self.hashes[length - 1 :])
+                alive = alive[:-1] & alive[1:] & self.joined[: len(alive) - 1]
+            if length <= len(filters):
+                bits = filters[length - 1]
+                bucket = keys[alive] & np.uint64(8 * len(bits) - 1)
+                alive[alive] = bits[bucket >> np.uint64(3)] >> (bucket & np.uint64(7)).astype(np.uint8) & 1 > 0
+            self.keys = keys
+            yield alive
 
 
 def lang_seed(lang: str) -> np.uint64:
@@ -86,37 +101,39 @@ def lang_seed(lang: str) -> np.uint64:
     return span_hashes(prefix_sums(BYTE_VALUES[data]), np.array([0]), np.array([len(data)]))[0]
 
 
-def unpacked(bits: Broadcast | None) -> np.ndarray | None:
-    return None if bits is None else np.unpackbits(np.frombuffer(bits.value, dtype=np.uint8)).astype(bool)
+def read(filters: list[Broadcast]) -> list[np.ndarray]:
+    return [np.frombuffer(f.value, dtype=np.uint8) for f in filters]
 
 
-def bucketed(least: int, words: Broadcast | None = None):
-    """Counts of the buckets of words or, given the ``words`` that may be frequent, of pairs of such
-    neighbours: per chunk of buckets the places that occur and how often, ``least`` at most."""
+def bucketed(least: int, buckets: int, filters: list[Broadcast]):
+    """Counts of the buckets of all runs one word longer than ``filters`` knows, as far as their parts may be
+    frequent: per chunk of buckets the places that occur and how often, ``least`` at most."""
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, frequent = np.zeros(BUCKETS, dtype=np.int64), unpacked(words)
+        known, gathered = read(filters), []
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            at, many = np.unique(np.concatenate(gathered), return_counts=True)
+            gathered.clear()
+            chunk, first = np.unique(at // CHUNK, return_index=True)
+            ends = np.append(first[1:], len(at))
+            place, many = (at % CHUNK).astype("<u2"), np.minimum(many, least).astype("<u4")
+            for lo in range(0, len(chunk), 64):
+                ranges = list(zip(first[lo : lo + 64], ends[lo : lo + 64]))
+                columns = [[values[a:b].tobytes() for a, b in ranges] for values in (place, many)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(chunk[lo : lo + 64].astype(np.int64)), *[pa.array(c, pa.binary()) for c in columns]], ["chunk", "places", "counts"]
+                )
+
         for part in sliced(batches, "body"):
-            got = Words(part)
-            if frequent is None:
-                counts += np.bincount(got.word_buckets(), minlength=BUCKETS)
-            else:
-                fine = frequent[got.word_buckets()]
-                pair = fine & got.joined & np.append(fine[1:], False) if len(fine) else fine
-                counts += np.bincount(got.pair_buckets()[pair], minlength=BUCKETS)
-        at = np.flatnonzero(counts)
-        chunk, first = np.unique(at // CHUNK, return_index=True)
-        ends = np.append(first[1:], len(at))
-        place, many = (at % CHUNK).astype("<u2"), np.minimum(counts[at], least).astype("<u4")
-        for lo in range(0, len(chunk), 64):
-            ranges = list(zip(first[lo : lo + 64], ends[lo : lo + 64]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(chunk[lo : lo + 64]), pa.array([place[a:b].tobytes() for a, b in ranges], pa.binary()),
-                    pa.array([many[a:b].tobytes() for a, b in ranges], pa.binary()),
-                ],
-                ["chunk", "places", "counts"],
-            )
+            words = Words(part)
+            for alive in words.reaching(known, len(filters) + 1):
+                pass
+            gathered.append((words.keys[alive] & np.uint64(buckets - 1)).astype(np.uint32))
+            if sum(map(len, gathered)) > NUMBERS:
+                yield from counted()
+        if gathered:
+            yield from counted()
 
     return rows
 
@@ -128,29 +145,34 @@ def summed(least: int):
         totals: dict[int, np.ndarray] = {}
         for batch in batches:
             for chunk, places, counts in zip(*(batch.column(c).to_pylist() for c in ("chunk", "places", "counts"))):
-                total = totals.setdefault(chunk, np.zeros(CHUNK, dtype=np.int64))
-                total[np.frombuffer(places, dtype="<u2")] += np.frombuffer(counts, dtype="<u4")
-        bits = [np.packbits(t >= least).tobytes() for t in totals.values()]
+                total = totals.setdefault(chunk, np.zeros(CHUNK, dtype=np.int32))
+                at = np.frombuffer(places, dtype="<u2")
+                total[at] = np.minimum(total[at] + np.frombuffer(counts, dtype="<u4").astype(np.int32), least)
+        bits = [np.packbits(t >= least, bitorder="little").tobytes() for t in totals.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int64()), pa.array(bits, pa.binary())], ["chunk", "bits"])
 
     return rows
 
 
-def may_be_frequent(rows: DataFrame, least: int, words: Broadcast | None = None) -> Broadcast:
-    """The bitmap of the buckets counted ``least`` times, ``BUCKETS / 8`` bytes, on every executor."""
-    parts = rows.mapInArrow(bucketed(least, words), "chunk long, places binary, counts binary").repartition("chunk")
-    bits = bytearray(BUCKETS // 8)
-    size = CHUNK // 8
-    for chunk, some in parts.mapInArrow(summed(least), "chunk long, bits binary").collect():
-        bits[chunk * size : (chunk + 1) * size] = some
-    return rows.sparkSession.sparkContext.broadcast(bytes(bits))
+def may_be_frequent(rows: DataFrame, least: int) -> list[Broadcast]:
+    """For runs of one to ``FILTERED`` words, a bitmap of the buckets that were counted ``least`` times."""
+    size = rows.agg(F.sum(F.octet_length("body"))).first()[0] or 0
+    buckets = min(MAX_BUCKETS, max(MIN_BUCKETS, 1 << (size // BYTES_PER_BUCKET).bit_length()))
+    filters: list[Broadcast] = []
+    for _ in range(FILTERED):
+        parts = rows.mapInArrow(bucketed(least, buckets, list(filters)), "chunk long, places binary, counts binary").repartition("chunk")
+        bits = bytearray(buckets // 8)
+        for chunk, some in parts.mapInArrow(summed(least), "chunk long, bits binary").collect():
+            bits[chunk * (CHUNK // 8) : (chunk + 1) * (CHUNK // 8)] = some
+        filters.append(rows.sparkSession.sparkContext.broadcast(bytes(bits)))
+    return filters
 
 
-def windows_of(words: Broadcast, pairs: Broadcast):
+def windows_of(filters: list[Broadcast]):
     """The different windows with their numbers: language, five columns padded with empty strings, count."""
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, together = unpacked(words), unpacked(pairs)
+        known = read(filters)
         gathered: list[tuple[np.ndarray, ...]] = []
         spelt: dict[int, bytes] = {}
         langs: dict[str, int] = {}
@@ -159,11 +181,11 @@ def windows_of(words: Broadcast, pairs: Broadcast):
             keys, lang, window, n = (np.concatenate([g[i] for g in gathered]) for i in range(4))
             _, first, same = np.unique(keys, return_index=True, return_inverse=True)
             total = np.bincount(same, n).astype(np.int64)
-            known = np.fromiter(spelt, dtype=np.uint64, count=len(spelt))
-            order = np.argsort(known)
+            hashes = np.fromiter(spelt, dtype=np.uint64, count=len(spelt))
+            order = np.argsort(hashes)
             texts = list(spelt.values())
             names = pa.array([b"", *[texts[i] for i in order]], pa.binary()).cast(pa.string())
-            place = np.where(window[first] == 0, 0, np.searchsorted(known[order], window[first]) + 1)
+            place = np.where(window[first] == 0, 0, np.searchsorted(hashes[order], window[first]) + 1)
             columns = [pa.array(list(langs)).cast(pa.string()).take(pa.array(lang[first]))]
             columns += [names.take(pa.array(place[:, k])) for k in range(ORDER)]
             gathered.clear()
@@ -175,17 +197,11 @@ def windows_of(words: Broadcast, pairs: Broadcast):
             n = len(got.hashes)
             if not n:
                 continue
-            fine = frequent[got.word_buckets()]
-            # Whether a word and the next one may stand in a phrase together.
-            on = fine & got.joined & np.append(fine[1:], False)
-            on[on] = together[got.pair_buckets()[on]]
             window = np.zeros((n, ORDER), dtype=np.uint64)
-            inside = fine.copy()
-            for k in range(ORDER):
-                window[: n - k, k][inside[: n - k]] = got.hashes[k:][inside[: n - k]]
-                if k + 1 < ORDER:
-                    inside[: n - k] &= on[k:]
-                    inside[n - k :] = False
+            fine = np.zeros(n, dtype=bool)
+            for k, alive in enumerate(got.reaching(known, ORDER)):
+                window[: len(alive), k][alive] = got.hashes[k:][alive]
+                fine[: len(alive)] |= alive
             numbers = np.array([langs.setdefault(x, len(langs)) for x in got.langs], dtype=np.int64)
             lang = numbers[got.lang]
             keys = np.array([lang_seed(x) for x in got.langs], dtype=np.uint64)[got.lang]
@@ -211,10 +227,8 @@ def phrase_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
     times or more; the row without words holds the number of all words of the language."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), text_bytes().alias("body"))
-    words = may_be_frequent(rows, least)
-    pairs = may_be_frequent(rows, least, words)
     kind = ", ".join(f"{c} string" for c in ("lang", *LEADS))
-    windows = rows.mapInArrow(windows_of(words, pairs), f"{kind}, n long").groupBy("lang", *LEADS).agg(F.sum("n").alias("n"))
+    windows = rows.mapInArrow(windows_of(may_be_frequent(rows, least)), f"{kind}, n long").groupBy("lang", *LEADS).agg(F.sum("n").alias("n"))
     sums = windows.rollup("lang", *LEADS).agg(F.sum("n").alias("f"), F.grouping_id().alias("g"))
     # Columns that are summed over are the last ones, and bits of the grouping id.
     length = F.lit(ORDER) - F.length(F.regexp_replace(F.conv(F.col("g").cast("string"), 10, 2), "0", ""))
