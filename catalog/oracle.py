@@ -312,6 +312,20 @@ MERGE_RUN = f"WITH {_enriched(True)}, " + _run_candidate(
     f"SELECT * FROM ({TO_RECORD}) WHERE url NOT LIKE 'http://example.org/src4/%'", "url, doi"
 )
 
+# The lines of an inbox with values that are not of their type.
+LOSSY = """
+lossy AS (
+  SELECT o_orderkey AS key, CASE WHEN o_orderstatus = 'F' THEN '<' ELSE '' END || printf('%.2f', o_totalprice) AS price,
+    CASE left(o_orderpriority, 1) WHEN '1' THEN '[''open' WHEN '2' THEN '[''a''; ''b'']' ELSE '[''a'']' END AS tags,
+    CASE WHEN o_orderstatus = 'P' THEN 'more' ELSE 'one' END AS note, o_orderstatus = 'P' AS ragged, 'csv' AS kind,
+    o_orderkey || ',' || price || ',' || tags || ',' || CASE WHEN o_orderstatus = 'P' THEN 'more,fields' ELSE 'one' END AS line
+  FROM orders
+  UNION ALL BY NAME
+  SELECT c_custkey AS key, CASE WHEN c_acctbal < 0 THEN 'debt' ELSE printf('%.2f', c_acctbal) END AS price,
+    CASE c_mktsegment WHEN 'BUILDING' THEN c_mktsegment ELSE '[''b'']' END AS tags, false AS ragged, 'json' AS kind
+  FROM customer)
+"""
+
 # Posts of the parts after conversion, one row per link.
 POSTED = f"""
 m AS ({LABEL_MAP}),
@@ -522,6 +536,28 @@ SQL: dict[str, str] = {
         UNION ALL BY NAME SELECT s_name AS name, s_suppkey AS party, s_acctbal AS balance FROM supplier
         UNION ALL BY NAME SELECT p_name AS name, p_partkey AS party FROM part""",
     "ingest_inbox": "SELECT event_id, user_id, event_type, value, props FROM events",
+    "ingest_layouts": """
+        SELECT c_custkey AS party, c_name AS name, c_mktsegment AS segment FROM customer
+        UNION ALL BY NAME SELECT s_name AS name, s_suppkey AS party, s_acctbal AS balance FROM supplier
+        UNION ALL BY NAME SELECT p_name AS name, p_partkey AS party FROM part
+        UNION ALL BY NAME SELECT n_name AS name, n_nationkey AS party FROM nation""",
+    "rescued_good": f"""
+        WITH {LOSSY}
+        SELECT key, CASE WHEN price IS NOT NULL THEN price::DOUBLE END AS price, regexp_extract(tags, '\w') AS tags, note FROM lossy
+        WHERE price NOT LIKE '%<%' AND price <> 'debt' AND tags IN ('[''a'']', '[''b'']') AND NOT ragged""",
+    "rescued_rejects": f"""
+        WITH {LOSSY},
+        entries AS (
+          SELECT *, 'price' AS field, price AS raw, 'not a double' AS reason, 1 AS nth FROM lossy WHERE price LIKE '<%' OR price = 'debt'
+          UNION ALL SELECT *, 'tags', tags, 'not a list', 2 FROM lossy WHERE tags NOT IN ('[''a'']', '[''b'']')
+          UNION ALL SELECT *, NULL, line, 'not as many fields as the header', 3 FROM lossy WHERE ragged)
+        SELECT key, first_value(coalesce(field || ' is ', '') || reason) OVER (PARTITION BY kind, key ORDER BY nth) AS error_reason,
+          field, raw, reason, kind FROM entries""",
+    "arrival_order": """
+        SELECT o_custkey, o_orderkey, o_orderpriority FROM (
+          SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority LIKE '1%', CASE WHEN o_orderpriority LIKE '1%' THEN 0 ELSE o_orderkey END, o_orderkey DESC) AS nth,
+            bool_and(o_orderpriority LIKE '1%') OVER (PARTITION BY o_custkey) AS urgent FROM orders)
+        WHERE nth = 1""",
     "results_store": _stored(),
     "append_review": MAPPED + """
         SELECT l_orderkey, run_id FROM g, (VALUES ('run-1'), ('run-2')) AS r(run_id) WHERE flag""",
@@ -538,6 +574,19 @@ SQL: dict[str, str] = {
             "SELECT 'expect_type_list' AS rule, 'level1' AS column, count(*) AS element_count, 0 AS unexpected_count, true AS success FROM run",
             "SELECT 'expect_non_empty_unique' AS rule, 'url' AS column, count(*) AS element_count, count(*) - count(DISTINCT url) AS unexpected_count, true AS success FROM run",
         )}""",
+    "inbox_run": f"""
+        WITH run AS ({MERGE_RUN})
+        SELECT paper, url, doi, title, level1, level2, level3, venue_ids, venue_names, absolute_relevancy FROM run""",
+    "inbox_run_stores": f"""
+        WITH run AS ({MERGE_RUN}),
+        batches AS (SELECT unnest([0, 1]) AS batch),
+        taken AS (SELECT CASE WHEN lang IN ('en', 'fr') THEN 0 ELSE 1 END AS batch, * FROM documents),
+        fresh AS (SELECT count(*) AS n FROM taken WHERE batch = 1 AND source <> 'src4' AND doc_id NOT IN (SELECT c_custkey FROM customer)),
+        rules AS (SELECT unnest(['expect_column_values_to_not_be_null', 'expect_column_proportion_of_unique_values_to_be_between',
+          'expect_column_values_to_be_in_set', 'expect_type_list', 'expect_non_empty_unique']) AS what)
+        SELECT batch, 'label_level_3 is not a list' AS what, count(*) AS n FROM taken WHERE source = 'src4' GROUP BY batch
+        UNION ALL
+        SELECT batch, what, (SELECT count(*) FROM run) - CASE batch WHEN 0 THEN (SELECT n FROM fresh) ELSE 0 END AS n FROM batches, rules""",
     "curation_full": FULL_RUN,
     "curation_review": f"""
         WITH {POSTED}

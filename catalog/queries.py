@@ -708,7 +708,93 @@ def ingest_inbox(spark, sf_dir):
     rl.ingest_inbox(spark, inbox, out, state, _EVENT_SCHEMA, ("csv",))
     rl.write_csv_records(events.filter(late), inbox, "append")
     rl.ingest_inbox(spark, inbox, out, state, _EVENT_SCHEMA, ("csv",))
-    return rl.ingested(spark, out, ("csv",)).drop("source_file")
+    return rl.ingested(spark, out).select([f.name for f in _EVENT_SCHEMA])
+
+
+_LONG, _TEXT, _DOUBLE = T.LongType(), T.StringType(), T.DoubleType()
+_TEXTS = T.ArrayType(_TEXT)
+
+
+def _fields(*pairs) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in pairs])
+
+
+_LOSSY_SCHEMA = _fields(("key", _LONG), ("price", _DOUBLE), ("tags", _TEXTS), ("note", _TEXT))
+
+
+def _lossy_inbox(spark, sf_dir) -> str:
+    """Orders as CSV lines, customers as JSON lines; some with values that are not of their type, or too many fields."""
+    inbox = rl.scratch_path(spark, "inbox")
+    price, kind = F.col("o_totalprice").cast("decimal(18,2)").cast("string"), F.substring("o_orderpriority", 1, 1)
+    fields = [
+        F.col("o_orderkey").cast("string"),
+        F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("<"), price)).otherwise(price),
+        F.when(kind == "1", F.lit("['open")).when(kind == "2", F.lit("['a'; 'b']")).otherwise(F.lit("['a']")),
+        F.when(F.col("o_orderstatus") == "P", F.lit("more,fields")).otherwise(F.lit("one")),
+    ]
+    lines = table(spark, sf_dir, "orders").select(F.concat_ws(",", *fields).alias("key,price,tags,note"))
+    lines.write.csv(inbox, header=True, sep="\x01", quote="\x00")
+    debt, name = F.col("c_acctbal") < 0, F.col("c_mktsegment")
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("key"),
+        F.when(debt, F.lit("debt")).otherwise(F.col("c_acctbal").cast("decimal(18,2)").cast("string")).alias("price"),
+        F.when(name == "BUILDING", name).otherwise(F.lit("['b']")).alias("tags"),
+    )
+    rl.write_json_records(customers, inbox, "append")
+    return inbox
+
+
+@query
+def rescued_good(spark, sf_dir):
+    """Rows of an inbox that lost nothing when they were read."""
+    good, _ = rl.quarantine(rl.read_inbox(spark, _lossy_inbox(spark, sf_dir), _LOSSY_SCHEMA, rescue=True), {})
+    return texts(good.drop("source_file"))
+
+
+@query
+def rescued_rejects(spark, sf_dir):
+    """What was lost of the others, entry by entry, with the kind of file it stood in."""
+    _, rejects = rl.quarantine(rl.read_inbox(spark, _lossy_inbox(spark, sf_dir), _LOSSY_SCHEMA, rescue=True), {})
+    return rejects.select("key", "error_reason", F.inline("_rescued")).select(
+        "key", "error_reason", "field", "raw", "reason", F.element_at(F.split("file", "\\."), -1).alias("kind")
+    )
+
+
+@query
+def ingest_layouts(spark, sf_dir):
+    """Two runs of the stream over CSV files with two headers and JSON in two layouts."""
+    inbox, out, state = (rl.scratch_path(spark, n) for n in ("inbox", "table", "state"))
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_mktsegment").alias("segment"), F.col("c_custkey").alias("party"), F.col("c_name").alias("name")
+    )
+    suppliers = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("party"), F.col("s_acctbal").alias("balance"), F.col("s_name").alias("name")
+    )
+    parts = table(spark, sf_dir, "part").select(F.col("p_name").alias("name"), F.col("p_partkey").alias("party"))
+    rl.write_csv_records(customers, inbox, "append")
+    rl.write_json_records(parts, inbox, "append")
+    rl.ingest_inbox(spark, inbox, out, state, _PARTY_SCHEMA)
+    rl.write_csv_records(suppliers, inbox, "append")
+    # The nations as records of several lines, a file each: there are always as many.
+    nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("party"), F.col("n_name").alias("name"))
+    nations.write.mode("append").option("pretty", "true").option("maxRecordsPerFile", 1).json(inbox)
+    rl.ingest_inbox(spark, inbox, out, state, _PARTY_SCHEMA)
+    return rl.ingested(spark, out).select([f.name for f in _PARTY_SCHEMA])
+
+
+_ORDER_SCHEMA = _fields(("o_custkey", _LONG), ("o_orderkey", _LONG), ("o_orderpriority", _TEXT))
+
+
+@query
+def arrival_order(spark, sf_dir):
+    """The order of each customer that arrived last: files of their last orders, then of their first that is not urgent."""
+    inbox = rl.scratch_path(spark, "inbox")
+    orders = table(spark, sf_dir, "orders").select(_ORDER_SCHEMA.names)
+    calm = orders.filter(~F.col("o_orderpriority").startswith("1"))
+    rl.write_csv_records(rl.last_per_key(orders, ["o_custkey"], ["o_orderkey"]), inbox, "append")
+    rl.write_csv_records(rl.first_per_key(calm, ["o_custkey"], ["o_orderkey"]), inbox, "append")
+    rows = rl.read_csv_records(spark, inbox, _ORDER_SCHEMA, arrival=True)
+    return rl.last_per_key(rows, ["o_custkey"], ["_arrival"]).drop("_arrival")
 
 
 @query
@@ -742,12 +828,15 @@ RUN_SUITE = [
 ]
 
 
+def _inbox_papers(spark, sf_dir) -> DataFrame:
+    """Documents as papers; those of ``src4`` have a broken list."""
+    broken = F.when(F.col("title") == "src4", F.lit("['open")).otherwise(F.lit(""))
+    return papers(spark, sf_dir).withColumn("label_level_3", broken)
+
+
 def _merge_run(spark, sf_dir, publish=lambda df: None) -> rl.CurationRun:
-    """Documents merged into customers; texts of ``src4`` have a broken list."""
-    papers_in = papers(spark, sf_dir).withColumn(
-        "label_level_3", F.when(F.col("title") == "src4", F.lit("['open")).otherwise(F.lit(""))
-    )
-    inputs = rl.CurationInputs(works(spark, sf_dir), customer_records(spark, sf_dir), [papers_in])
+    """Documents merged into customers."""
+    inputs = rl.CurationInputs(works(spark, sf_dir), customer_records(spark, sf_dir), [_inbox_papers(spark, sf_dir)])
     return rl.run_curation(inputs, rl.scratch_path(spark, "run"), RUN_SUITE, publish, start="combine")
 
 
@@ -766,6 +855,49 @@ def curation_results(spark, sf_dir):
     return _merge_run(spark, sf_dir).results.select("rule", "column", "element_count", "unexpected_count", "success")
 
 
+_INBOX_PAPER = _fields(
+    ("doc_id", _LONG), ("record_id", _LONG), ("paper", _TEXT), ("doi", _TEXT), ("url", _TEXT), ("title", _TEXT), ("label_level_1", _TEXTS),
+    ("label_level_2", _TEXTS), ("label_level_3", _TEXTS), ("venue_names", _TEXT), ("absolute_relevancy", T.ArrayType(_DOUBLE)),
+)
+
+
+def _inbox_run(spark, sf_dir) -> tuple[DataFrame, str]:
+    """Documents that arrive in an inbox, in CSV files of two headers, then as JSON; the last run finds nothing new."""
+    inbox, root = rl.scratch_path(spark, "inbox"), rl.scratch_path(spark, "root")
+    papers_in = _inbox_papers(spark, sf_dir)
+    names = _INBOX_PAPER.names
+    first, second = F.col("venue_names").contains("'en'"), F.col("venue_names") == "Plain Venue"
+    rl.write_csv_records(papers_in.filter(first).select(names), inbox, "append")
+    rl.write_csv_records(papers_in.filter(second).select(names[::-1]), inbox, "append")
+
+    def run() -> DataFrame:
+        return rl.run_inbox(
+            spark, inbox, root, works(spark, sf_dir), customer_records(spark, sf_dir), RUN_SUITE, schema=_INBOX_PAPER
+        )
+
+    run()
+    rl.write_json_records(papers_in.filter(~first & ~second).select(names), inbox, "append")
+    run()
+    return run(), root
+
+
+@query
+def inbox_run(spark, sf_dir):
+    """The master after all batches; new records are numbered as they arrive, so their keys are left out."""
+    newest, _ = _inbox_run(spark, sf_dir)
+    shown = ["paper", "url", "doi", "title", "level1", "level2", "level3", "venue_ids", "venue_names", "absolute_relevancy"]
+    return texts(newest.select(*shown))
+
+
+@query
+def inbox_run_stores(spark, sf_dir):
+    """What the batches left in the stores of rejects and results."""
+    _, root = _inbox_run(spark, sf_dir)
+    rejects = spark.read.parquet(f"{root}/rejects").groupBy(F.substring_index("run_id", "-", -1).cast("int").alias("batch"), F.col("error_reason").alias("what"))
+    results = spark.read.parquet(f"{root}/results").groupBy(F.substring_index("run_id", "-", -1).cast("int").alias("batch"), F.col("rule").alias("what"))
+    return rejects.agg(F.count("*").alias("n")).unionByName(results.agg(F.max("element_count").alias("n")))
+
+
 def _full_run(spark, sf_dir, publish=lambda df: None) -> rl.CurationRun:
     """Parts as posts, taken through every stage into customers."""
     inputs = rl.CurationInputs(

@@ -43,6 +43,14 @@ def bad_list_literal(c: Column | str, element: str = "string") -> Column:
     return ~is_blank(F.trim(c)) & _parsed(c, element).isNull()
 
 
+def lossy_list_literal(c: Column | str, element: str = "string") -> Column:
+    """True for a non-blank text that is not a list, or has an element that is not of the type."""
+    c = _col(c)
+    texts, values = _parsed(c, "string"), _parsed(c, element)
+    dropped = F.exists(F.arrays_zip(texts.alias("t"), values.alias("v")), lambda x: x["t"].isNotNull() & x["v"].isNull())
+    return bad_list_literal(c, element) | F.coalesce(dropped, F.lit(False))
+
+
 def lower_all(c: Column | str) -> Column:
     return F.transform(_col(c), F.lower)
 

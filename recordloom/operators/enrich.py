@@ -156,10 +156,11 @@ def _own_venues(df: DataFrame) -> Column:
     return or_empty("venue_names")
 
 
-def to_record(enriched: DataFrame, key: str = "record_id") -> DataFrame:
+def to_record(enriched: DataFrame, key: str = "record_id", keep: tuple[str, ...] = ()) -> DataFrame:
     """The target record: fields of the work where matched, own ones elsewhere.
 
-    ``key`` names the key column, of the rows and of the record.
+    ``key`` names the key column, of the rows and of the record; ``keep`` names
+    columns that go along beside the record.
     """
     work, matched = F.col(WORK), F.col(MATCHED)
 
@@ -196,7 +197,7 @@ def to_record(enriched: DataFrame, key: str = "record_id") -> DataFrame:
         "relative_relevancy": _own_list(enriched, "relative_relevancy", "double"),
     }
     return enriched.select(
-        [fields[f.name].cast(f.dataType).alias(f.name) for f in record_schema(key)]
+        *[fields[f.name].cast(f.dataType).alias(f.name) for f in record_schema(key)], *keep
     )
 
 

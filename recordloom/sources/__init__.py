@@ -8,8 +8,10 @@ from .readers import (
     read_json_records,
 )
 from .sinks import (
+    append_rejects,
     append_review,
     promote_if_valid,
+    publish_if_valid,
     store_results,
     write_all,
     write_csv_records,

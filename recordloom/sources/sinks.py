@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.lists import list_to_text
 from ..operators.quality import Rule, check_suite, suite_passed
+from ..session import scratch_path
 
 RUN_ID = "run_id"
 RUN_TIME = "run_time"
@@ -39,31 +40,35 @@ def write_json_records(df: DataFrame, path: str, mode: str = "errorifexists") ->
 
 
 def write_all(df: DataFrame, *writers: Callable[[DataFrame], None]) -> None:
-    """Hand the same rows to several writers, computed once."""
-    kept = df.persist()
-    try:
-        for write in writers:
-            write(kept)
-    finally:
-        kept.unpersist()
+    """Hand the same rows to several writers, computed once: they read a table in the shared folder."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "rows")
+    df.write.parquet(path)
+    for write in writers:
+        write(spark.read.schema(df.schema).parquet(path))
 
 
 def append_review(review: DataFrame, path: str, run_id: str) -> None:
-    """Add the rows for human review as one more run; no rows add no file."""
+    """Add the rows for human review as one more run; no rows add no file, a run that comes again replaces its rows."""
     _append_run(review.withColumn(RUN_ID, F.lit(run_id)), path)
 
 
+def append_rejects(rejects: DataFrame, path: str, run_id: str) -> None:
+    """Add the rows a run has set aside, with reasons and what could not be read of them, like :func:`append_review`."""
+    _append_run(rejects.withColumn(RUN_ID, F.lit(run_id)), path)
+
+
 def store_results(
     results: DataFrame, path: str, run_id: str, run_time: dt.datetime | None = None
 ) -> None:
-    """Add the results of a validation run under its run id and time."""
+    """Add the results of a validation run under its run id and time; a run that comes again replaces its results."""
     at = F.current_timestamp() if run_time is None else F.lit(run_time)
     stamped = results.withColumn(RUN_ID, F.lit(run_id)).withColumn(RUN_TIME, at)
     _append_run(stamped, path)
 
 
 def _append_run(df: DataFrame, path: str) -> None:
-    df.write.mode("append").partitionBy(RUN_ID).parquet(path)
+    # Only the partitions that the rows belong to are written over: those of this run.
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RUN_ID).parquet(path)
 
 
 def promote_if_valid(
@@ -72,15 +77,21 @@ def promote_if_valid(
     publish: Callable[[DataFrame], None],
     candidate_path: str,
     detail: str = "basic",
+    mode: str = "errorifexists",
 ) -> DataFrame:
     """Write the candidate, check it, and publish it only if every rule passes.
 
     The candidate stays at ``candidate_path`` either way. Checks and publishing
     read that table, so what is published is what was checked.
     """
-    spark = candidate.sparkSession
-    candidate.write.mode("errorifexists").parquet(candidate_path)
-    written = spark.read.parquet(candidate_path)
+    candidate.write.mode(mode).parquet(candidate_path)
+    return publish_if_valid(candidate.sparkSession.read.parquet(candidate_path), suite, publish, detail)
+
+
+def publish_if_valid(
+    written: DataFrame, suite: list[Rule], publish: Callable[[DataFrame], None], detail: str = "basic"
+) -> DataFrame:
+    """Check a table that is written and publish it if every rule passes; the results."""
     results = check_suite(written, suite, detail)
     if suite_passed(results).first()["passed"]:
         publish(written)

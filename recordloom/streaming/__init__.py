@@ -1,3 +1,3 @@
 """Streams."""
 
-from .inbox import inbox_stream, ingest_inbox, ingested
+from .inbox import inbox_files, ingest_inbox, ingested, take_files

@@ -1,47 +1,63 @@
-"""The inbox as a file stream: every file is taken once."""
+"""The inbox as a stream of file names: every file is taken once, whatever its layout."""
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
-from ..sources.readers import CSV_OPTIONS, SOURCE_FILE, as_schema
+from ..sources.readers import read_inbox
 
+FORMATS = ("csv", "json")
+BATCH = "batch_id"
+# Files of one batch at most; their names are all that the driver sees of them.
+MAX_FILES = 1000
 
-def inbox_stream(
+_FILES = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("modificationTime", T.TimestampType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("content", T.BinaryType()),
+    ]
+)
+
+
+def inbox_files(
+    spark: SparkSession, inbox: str, file_formats: tuple[str, ...] = FORMATS, max_files: int = MAX_FILES
+) -> DataFrame:
+    """Unbounded frame of the files that arrive in a folder, oldest first; their contents are not read."""
+    unknown = [f for f in file_formats if f not in FORMATS]
+    if unknown or not file_formats:
+        raise ValueError(f"unknown inbox formats {unknown}" if unknown else "no inbox format")
+    glob = f"*.{file_formats[0]}" if len(file_formats) == 1 else "*.{" + ",".join(file_formats) + "}"
+    reader = spark.readStream.format("binaryFile").schema(_FILES).option("pathGlobFilter", glob)
+    return reader.option("maxFilesPerTrigger", max_files).load(inbox).select("path", "modificationTime", "length")
+
+
+def take_files(
     spark: SparkSession,
     inbox: str,
-    schema: T.StructType,
-    file_format: str = "csv",
-    max_files_per_trigger: int | None = None,
-    multi_line: bool = True,
-) -> DataFrame:
-    """Unbounded frame over the files of one format that arrive in a folder.
+    checkpoint: str,
+    handle: Callable[[list[str], int], None],
+    file_formats: tuple[str, ...] = FORMATS,
+    max_files: int = MAX_FILES,
+) -> None:
+    """Hand the files that are new since the last run to ``handle(paths, batch_id)``, batch by batch.
 
-    CSV files must have the header of the schema; another header is an error.
+    The stream's checkpoint remembers the files and the batches. A batch that
+    failed, or was lost half-way, comes again with the same number and the same
+    files, so ``handle`` has to write under that number and replace what it finds.
     """
-    reader = spark.readStream.option("pathGlobFilter", f"*.{file_format}")
-    if max_files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if file_format == "csv":
-        texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-        raw = reader.schema(texts).csv(inbox, multiLine=multi_line, enforceSchema=False, **CSV_OPTIONS)
-        named = raw.withColumn(SOURCE_FILE, F.col("_metadata.file_name"))
-        kept = T.StructType(schema.fields + [T.StructField(SOURCE_FILE, T.StringType())])
-        return as_schema(named, kept)
-    if file_format == "json":
-        # A file is a row until it is known whether it is an array or has a record per line.
-        raw = reader.option("wholetext", "true").text(inbox)
-        body = F.trim(F.regexp_replace("value", r"^\s+|\s+$", ""))
-        name = F.col("_metadata.file_name").alias(SOURCE_FILE)
-        listed = F.from_json(body, T.ArrayType(schema))
-        lines = F.filter(F.split(body, r"\r?\n"), lambda x: F.trim(x) != "")
-        records = F.transform(lines, lambda x: F.from_json(x, schema))
-        found = F.when(body.startswith("["), listed).otherwise(records)
-        return raw.select(F.explode(found).alias("r"), name).select("r.*", SOURCE_FILE)
-    raise ValueError(f"unknown inbox format {file_format}")
+
+    def run(files: DataFrame, batch_id: int) -> None:
+        paths = [row["path"] for row in files.select("path").collect()]
+        if paths:
+            handle(sorted(paths), batch_id)
+
+    stream = inbox_files(spark, inbox, file_formats, max_files).writeStream.foreachBatch(run)
+    stream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def ingest_inbox(
@@ -50,43 +66,38 @@ def ingest_inbox(
     table: str,
     checkpoint: str,
     schema: T.StructType,
-    file_formats: tuple[str, ...] = ("csv", "json"),
+    file_formats: tuple[str, ...] = FORMATS,
+    max_files: int = MAX_FILES,
     **options,
 ) -> None:
     """Append every file that is new since the last run to a table of parquet files.
 
-    The stream's checkpoint remembers the files, so nothing has to be deleted
-    and a run that is lost half-way is finished by the next one. Each format is
-    a stream with a folder of its own; :func:`ingested` reads them together.
+    Each batch groups its files by header and layout, as :func:`read_inbox` does
+    (which gets the ``options``), and is a partition ``batch_id`` of the table. A
+    batch that comes again replaces its partition, so a failed run leaves one
+    copy. What a file holds that cannot be read is kept in ``_rescued``.
     """
-    queries = [
-        inbox_stream(spark, inbox, schema, file_format, **options)
-        .writeStream.format("parquet")
-        .option("path", f"{table}/{file_format}")
-        .option("checkpointLocation", f"{checkpoint}/{file_format}")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-        for file_format in file_formats
-    ]
-    for query in queries:
-        query.awaitTermination()
 
+    def handle(paths: list[str], batch_id: int) -> None:
+        rows = read_inbox(spark, paths, schema, **{"rescue": True, "arrival": True, **options})
+        rows.write.mode("overwrite").parquet(f"{table}/{BATCH}={batch_id}")
 
-def ingested(
-    spark: SparkSession, table: str, file_formats: tuple[str, ...] = ("csv", "json")
-) -> DataFrame:
-    """Everything taken from the inbox so far, committed files only.
+    take_files(spark, inbox, checkpoint, handle, file_formats, max_files)
 
-    Formats of which nothing has come yet have a log of commits without files.
-    """
-    frames = []
-    for file_format in file_formats:
-        try:
-            frames.append(spark.read.parquet(f"{table}/{file_format}"))
-        except AnalysisException as error:
-            if error.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
-                raise
-    if not frames:
+
+def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """A table of parquet files, or None if nothing has been written to it yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
+            raise
+        return None
+
+
+def ingested(spark: SparkSession, table: str) -> DataFrame:
+    """Everything taken from the inbox so far, with the number of its batch."""
+    found = read_if_there(spark, table)
+    if found is None:
         raise ValueError(f"nothing has been taken into {table} yet")
-    return reduce(DataFrame.unionByName, frames)
+    return found

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -92,3 +93,96 @@ def test_merge_only_run_and_failed_gate(spark, inputs, tmp_path):
     assert rl.suite_passed(again).first()["passed"] is True
     with pytest.raises(ValueError):
         rl.run_curation(inputs, str(tmp_path / "x"), suite, published.append, start="middle")
+
+
+@pytest.fixture
+def inbox(tmp_path):
+    folder = tmp_path / "inbox"
+    folder.mkdir()
+    return folder
+
+
+def write_at(folder, name, text, at):
+    (folder / name).write_text(text)
+    os.utime(folder / name, (1_700_000_000 + at, 1_700_000_000 + at))
+
+
+def stored(spark, root, name, *columns):
+    return values(spark.read.parquet(f"{root}/{name}"), "run_id", *columns)
+
+
+def test_batches_of_an_inbox_go_into_master_and_stores(spark, inputs, inbox, tmp_path):
+    root = str(tmp_path / "root")
+
+    def run(suite=SUITE):
+        return rl.run_inbox(spark, str(inbox), root, inputs.works, inputs.master, suite)
+
+    write_at(inbox, "b.csv", "record_id,url,title,label_level_1\n6,http://six-b,b,\"['L 1']\"\n,http://new,n,\"['open\"\n,http://fresh,f,[]\n", 1)
+    write_at(inbox, "a.json", '{"record_id": 6, "url": "http://six-a", "title": "a"}\n{"title": "no url"}\n', 2)
+    write_at(inbox, "c.csv", "url,doi\nhttp://one,10.1000/x\n", 3)
+    want = [(5, "http://kept", "kept"), (6, "http://six-a", "a"), (7, "http://fresh", "f"), (8, "http://one", "Found")]
+    assert values(run(), "record_id", "url", "title") == want
+    assert rl.master_version(spark, root) == 0
+    rejects = [("batch-0", "http://new", "label_level_1 is not a list")]
+    assert stored(spark, root, "rejects", "url", "error_reason") == rejects
+    assert values(spark.read.parquet(f"{root}/rejects").select(F.inline("_rescued")), "file", "raw") == [("b.csv", "['open")]
+    # Nothing new changes nothing.
+    assert values(run(), "record_id", "url", "title") == want and len(stored(spark, root, "results", "rule")) == 3
+
+    write_at(inbox, "d.json", '[\n  {"record_id": 7,\n   "url": "http://fresh-2"},\n  {"record_id": "x7", "url": "http://bad"}]', 4)
+    later = [*want[:2], (7, "http://fresh-2", None), want[3]]
+    assert values(run(), "record_id", "url", "title") == sorted(later, key=repr)
+    both = [*rejects, ("batch-1", "http://bad", "record_id is not a bigint")]
+    assert stored(spark, root, "rejects", "url", "error_reason") == both
+    assert rl.master_version(spark, root) == 1 and rl.master_version(spark, root, before=1) == 0
+
+
+def test_a_batch_that_is_run_twice_changes_nothing(spark, inputs, inbox, tmp_path, monkeypatch):
+    root, calls = str(tmp_path / "root"), []
+    curation = rl.plans.curation
+    whole = curation.run_curation
+
+    def lost(*args, **kwargs):
+        calls.append(kwargs["run_id"])
+        done = whole(*args, **kwargs)
+        if len(calls) == 2:
+            raise RuntimeError("lost behind the last write")
+        return done
+
+    monkeypatch.setattr(curation, "run_curation", lost)
+    write_at(inbox, "a.csv", "url,label_level_1\nhttp://a,[]\nhttp://b,['\n", 1)
+    rl.run_inbox(spark, str(inbox), root, inputs.works, inputs.master, SUITE)
+    write_at(inbox, "b.csv", "url,label_level_1\nhttp://c,[]\nhttp://d,['\n", 2)
+    with pytest.raises(Exception, match="lost behind"):
+        rl.run_inbox(spark, str(inbox), root, inputs.works, inputs.master, SUITE)
+    newest = rl.run_inbox(spark, str(inbox), root, inputs.works, inputs.master, SUITE)
+    assert calls == ["batch-0", "batch-1", "batch-1"]
+    assert values(newest, "record_id", "url") == [(5, "http://kept"), (6, "http://six"), (7, "http://a"), (8, "http://c")]
+    assert stored(spark, root, "rejects", "url") == [("batch-0", "http://b"), ("batch-1", "http://d")]
+    assert len(stored(spark, root, "results", "rule")) == 6
+
+
+def test_source_labels_of_the_inbox_are_converted_and_reviewed(spark, inputs, inbox, tmp_path):
+    root = str(tmp_path / "root")
+    write_at(inbox, "a.csv", "url,label_level_3\nhttp://a,\"['Keep me']\"\nhttp://b,\"['Ask me']\"\n", 1)
+    newest = rl.run_inbox(spark, str(inbox), root, inputs.works, inputs.master, SUITE, label_map=inputs.label_map)
+    assert values(newest.filter("record_id > 6"), "url", "level1", "level3") == [("http://a", ["t"], ["keep_me"])]
+    assert stored(spark, root, "review", "url") == [("batch-0", "http://b")]
+
+
+def test_a_failed_batch_is_corrected_and_validated_again(spark, inputs, inbox, tmp_path):
+    root, published = str(tmp_path / "root"), []
+    strict = [*SUITE, rl.Rule(NOT_NULL, "title")]
+    write_at(inbox, "a.csv", "url,title\nhttp://a,\n", 1)
+    assert values(rl.run_inbox(spark, str(inbox), root, inputs.works, inputs.master, strict), "record_id") == [(5,), (6,)]
+    assert rl.master_version(spark, root) is None
+    candidate = f"{root}/batches/0/candidate"
+    corrected = spark.read.parquet(candidate).fillna("corrected", ["title"])
+    corrected.write.parquet(str(tmp_path / "by-hand"))
+    spark.read.parquet(str(tmp_path / "by-hand")).write.mode("overwrite").parquet(candidate)
+    run = rl.run_curation(inputs, f"{root}/batches/0", strict, lambda df: published.append(df.count()), start="validate", stores=root, run_id="again")
+    assert published == [3] and run.rejects is None and values(run.candidate, "record_id", "title")[-1] == (7, "corrected")
+    verdicts = spark.read.parquet(f"{root}/results").groupBy("run_id").agg(F.bool_and("success"))
+    assert values(verdicts) == [("again", True), ("batch-0", False)]
+    with pytest.raises(ValueError):
+        rl.run_curation(inputs, f"{root}/batches/0", strict, published.append, start="validate", stores=root)

@@ -116,6 +116,133 @@ def test_inbox_stream_takes_each_file_once(spark, tmp_path):
     assert values(rl.ingested(spark, table), "record_id", "title") == [(1, "two\nlines"), (2, "j"), (3, "late")]
 
 
+LISTS = T.StructType(SCHEMA.fields + [T.StructField("shares", T.ArrayType(T.DoubleType()))])
+
+
+def entries(df):
+    return values(df.select("record_id", "error_reason", F.inline("_rescued")))
+
+
+def test_what_a_csv_file_loses_is_rejected_with_file_and_reason(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("record_id,title,labels\n1,\"x\ny\",\"['p']\"\n2x,t,\"['open\"\na,1,zzz\n3,short\n4,long,[],more\n\n5,, \n")
+    (tmp_path / "b.csv").write_text("title,score,shares\nu,1.5,\"[1, None, 2]\"\nv, ,\"[1, 'x']\"\nw,1.5.1,\n")
+    rows = rl.read_inbox(spark, str(tmp_path), LISTS, rescue=True)
+    good, rejects = rl.quarantine(rows, {"title is u": F.col("title") == "u"})
+    assert values(good, "record_id", "title", "labels") == [(1, "x\ny", ["p"]), (5, None, [])]
+    assert good.columns == [*LISTS.names, "source_file"]
+    whole = "not as many fields as the header"
+    assert entries(rejects) == sorted(
+        [
+            (None, "record_id is not a bigint", "a.csv", "record_id", "2x", "not a bigint"),
+            (None, "record_id is not a bigint", "a.csv", "labels", "['open", "not a list"),
+            (None, "record_id is not a bigint", "a.csv", "record_id", "a", "not a bigint"),
+            (None, "record_id is not a bigint", "a.csv", "labels", "zzz", "not a list"),
+            (3, whole, "a.csv", None, "3,short", whole),
+            (4, whole, "a.csv", None, "4,long,[],more", whole),
+            (None, "shares is not a list", "b.csv", "shares", "[1, 'x']", "not a list"),
+            (None, "score is not a double", "b.csv", "score", "1.5.1", "not a double"),
+        ],
+        key=repr,
+    )
+    assert values(rejects.filter("title = 'u'"), "error_reason", "_rescued") == [("title is u", [])]
+    assert rejects.filter("size(_rescued) > 0").count() == 6
+    # Without a type to lose anything to, only the length of lines is looked at.
+    (tmp_path / "c.csv").write_text("title\nx\ny,z\n")
+    texts = T.StructType([T.StructField("title", T.StringType())])
+    assert rl.read_csv_records(spark, str(tmp_path / "c.csv"), texts, rescue=True).filter("size(_rescued) > 0").count() == 1
+
+
+def test_what_a_json_file_loses_is_rejected_with_file_and_reason(spark, tmp_path):
+    lines = ['{"record_id": 7, "title": "j", "labels": ["a", null], "shares": [1, 2.5]}', '{"record_id": "8", "title": 5, "labels": "zz"}']
+    lines += ["nonsense", '{"record_id": {"a":1}, "shares": [1,"q"]}', '{"record_id": 2, "title": "cut', "{}"]
+    (tmp_path / "c d.json").write_text("\n".join(lines))
+    (tmp_path / "e.json").write_text('[\n {"record_id": 9,\n  "score": "no"},\n {"record_id": 10, "labels": []}]')
+    rows = rl.read_json_records(spark, str(tmp_path), LISTS, rescue=True)
+    good, rejects = rl.quarantine(rows, {})
+    assert values(good, "record_id", "labels", "shares") == [(10, [], []), (7, ["a", None], [1.0, 2.5]), (None, [], [])]
+    assert entries(rejects) == sorted(
+        [
+            (8, "labels is not a list", "c d.json", "labels", "zz", "not a list"),
+            (None, "not a JSON record", "c d.json", None, "nonsense", "not a JSON record"),
+            (None, "not a JSON record", "c d.json", None, '{"record_id": 2, "title": "cut', "not a JSON record"),
+            (None, "record_id is not a bigint", "c d.json", "record_id", '{"a":1}', "not a bigint"),
+            (None, "record_id is not a bigint", "c d.json", "shares", '[1,"q"]', "not a list"),
+            (9, "score is not a double", "e.json", "score", "no", "not a double"),
+        ],
+        key=repr,
+    )
+    with pytest.raises(ValueError):
+        rl.read_json_records(spark, str(tmp_path), LISTS, multi_line=True, rescue=True)
+
+
+def test_rows_are_ordered_as_they_arrived(spark, tmp_path):
+    """By time of the file, then within it; the name of a file does not matter."""
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    for at, (name, text) in enumerate([("z.csv", "record_id,title\n1,a\n2,a\n1,b\n"), ("m.json", '{"record_id": 2, "title": "c"}\n{"record_id": 3, "title": "c"}\n'),
+                                       ("a.csv", "title,record_id\nd,3\n" + "".join(f"x{i},4\n" for i in range(500)))]):
+        (inbox / name).write_text(text)
+        os.utime(inbox / name, (1_700_000_000 + at, 1_700_000_000 + at))
+    rows = rl.read_inbox(spark, str(inbox), SCHEMA, arrival=True)
+    last = rl.last_per_key(rows.repartition(3), ["record_id"], ["_arrival"])
+    assert values(last, "record_id", "title") == [(1, "b"), (2, "c"), (3, "d"), (4, "x499")]
+    assert values(rl.first_per_key(rows, ["record_id"], ["_arrival"]), "record_id", "title") == [(1, "a"), (2, "a"), (3, "c"), (4, "x0")]
+    master = spark.createDataFrame([(1, "old"), (9, "kept")], "record_id long, title string")
+    merged = rl.upsert(master, rows.select("record_id", "title", "_arrival"), "record_id", ["_arrival"])
+    assert merged.columns == ["record_id", "title"]
+    got = {r.record_id: r.title for r in merged.collect()}
+    assert [got[i] for i in (1, 9, 10, 11, 12, 13, 14)] == ["b", "kept", "a", "c", "c", "d", "x0"] and len(got) == 2 + 504
+
+
+def test_the_stream_takes_files_of_any_layout(spark, tmp_path):
+    inbox, table, state = (str(tmp_path / n) for n in ("inbox", "table", "state"))
+    os.makedirs(inbox)
+    (tmp_path / "inbox" / "a.csv").write_text("record_id,title\n1,one\n")
+    (tmp_path / "inbox" / "b.csv").write_text("score,title\n0.5,two\nbad,three\n")
+    (tmp_path / "inbox" / "c.json").write_text(json.dumps([{"record_id": 3, "labels": ["l"]}, {"record_id": 4}], indent=2))
+    (tmp_path / "inbox" / "d.json").write_text('{"record_id": 5}\nbroken\n{"record_id": 6}\n')
+    (tmp_path / "inbox" / "e.txt").write_text("not taken")
+    rl.ingest_inbox(spark, inbox, table, state, SCHEMA, max_files=3)
+    rows = rl.ingested(spark, table)
+    assert values(rows, "record_id", "title", "score") == sorted(
+        [(1, "one", None), (None, "two", 0.5), (None, "three", None), (3, None, None), (4, None, None), (5, None, None), (None, None, None), (6, None, None)],
+        key=repr,
+    )
+    assert values(rows.select(F.inline("_rescued")), "file", "raw") == [("b.csv", "bad"), ("d.json", "broken")]
+    assert {r[0] for r in values(rows, "batch_id")} == {0, 1}
+    with pytest.raises(ValueError):
+        rl.ingest_inbox(spark, inbox, table, state, SCHEMA, ("xml",))
+
+
+def test_a_batch_that_failed_comes_again_and_leaves_one_copy(spark, tmp_path):
+    inbox, table, state = (str(tmp_path / n) for n in ("inbox", "table", "state"))
+    os.makedirs(inbox)
+    (tmp_path / "inbox" / "a.csv").write_text("record_id\n1\n2\n")
+    seen = []
+
+    def handle(paths, batch):
+        seen.append((batch, [os.path.basename(p) for p in paths]))
+        rl.read_inbox(spark, paths, SCHEMA).write.mode("overwrite").parquet(f"{table}/batch_id={batch}")
+        if len(seen) == 1:
+            raise RuntimeError("lost after the write")
+
+    with pytest.raises(Exception, match="lost after the write"):
+        rl.take_files(spark, inbox, state, handle)
+    (tmp_path / "inbox" / "b.csv").write_text("title\nlate\n")
+    rl.take_files(spark, inbox, state, handle)
+    rl.take_files(spark, inbox, state, handle)
+    assert seen == [(0, ["a.csv"]), (0, ["a.csv"]), (1, ["b.csv"])]
+    assert values(rl.ingested(spark, table), "record_id", "title", "batch_id") == [(1, None, 0), (2, None, 0), (None, "late", 1)]
+
+
+def test_a_run_that_comes_again_replaces_what_it_stored(spark, df, tmp_path):
+    path = str(tmp_path / "review")
+    rl.append_review(df, path, "r1")
+    rl.append_review(df.limit(2), path, "r2")
+    rl.append_review(df.limit(3), path, "r1")
+    assert values(spark.read.parquet(path).groupBy("run_id").count()) == [("r1", 3), ("r2", 2)]
+
+
 def test_latest_batch_and_file(spark, tmp_path):
     df = spark.createDataFrame([(1, "2024-01"), (2, "2024-03"), (3, "2024-03"), (4, None)], "id int, batch string")
     assert values(rl.latest_batch(df, "batch"), "id") == [(2,), (3,)]
