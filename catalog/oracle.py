@@ -212,6 +212,14 @@ def _union(*parts: str) -> str:
     return " UNION ALL BY NAME ".join(f"({p})" for p in parts)
 
 
+def _mean_rule(column: str, table: str, elements: str, low: float, high: float) -> str:
+    return f"""
+SELECT 'expect_column_mean_to_be_between' AS rule, '{column}' AS "column", count(*) AS element_count,
+  count(*) FILTER ({column} IS NULL) AS missing_count, NULL::BIGINT AS unexpected_count, NULL::DOUBLE AS unexpected_percent,
+  coalesce(avg({column}) BETWEEN {low} AND {high}, false) AS success FROM {table} WHERE {elements}
+"""
+
+
 LOW = "o_orderpriority NOT IN ('5-LOW')"
 STATUS = "o_orderstatus NOT IN ('F', 'O')"
 
@@ -502,6 +510,29 @@ SQL: dict[str, str] = {
         ],
         _unique_rule(NON_EMPTY, "l_orderkey", "lineitem", mostly=0.1, elements="l_linenumber = 1"),
     ),
+    "aggregate_rules": _union(
+        _mean_rule("o_totalprice", "orders", "true", 0, 1_000_000_000),
+        _mean_rule("o_totalprice", "orders", "o_orderstatus = 'F'", 0, 1),
+        """SELECT 'expect_values_to_occur_at_most' AS rule, 'o_custkey' AS "column", sum(c)::BIGINT AS element_count, 0 AS missing_count,
+          coalesce(sum(c) FILTER (c > 12), 0)::BIGINT AS unexpected_count,
+          round(100.0 * coalesce(sum(c) FILTER (c > 12), 0) / sum(c), 6)::DOUBLE AS unexpected_percent,
+          1 - coalesce(sum(c) FILTER (c > 12), 0) / sum(c) >= 0.5 AS success
+          FROM (SELECT count(*) AS c FROM orders GROUP BY o_custkey)""",
+        _unique_rule(NON_EMPTY, "o_custkey", "orders"),
+        _rule(NOT_NULL, "o_totalprice", "orders", "o_totalprice IS NULL", missing="o_totalprice IS NULL", of="n", sample="none"),
+    ),
+    "unexpected_keys": """
+        SELECT o_custkey::VARCHAR AS value, count(*) AS unexpected_count FROM orders GROUP BY o_custkey HAVING count(*) > 12""",
+    "metric_states": "SELECT * EXCLUDE unexpected_percent FROM (" + _union(
+        _rule(NOT_NULL, "o_orderkey", "orders", "o_orderkey IS NULL", missing="o_orderkey IS NULL", of="n", sample="none"),
+        _rule(IN_SET, "o_orderpriority", "orders", "o_orderpriority NOT IN ('1-URGENT', '5-LOW')", missing="o_orderpriority IS NULL",
+              mostly=0.1, sample="none"),
+        _rule(IN_SET, "o_orderstatus", "orders", "o_orderstatus <> 'F'", missing="o_orderstatus IS NULL", sample="none"),
+        f"""SELECT '{UNIQUE}' AS rule, 'o_orderkey' AS "column", count(*) AS element_count, 0 AS missing_count,
+          NULL::BIGINT AS unexpected_count, 0.0 AS unexpected_percent, count(DISTINCT o_orderkey) / count(*) >= 0.8 AS success FROM orders""",
+        f"""SELECT '{NON_EMPTY}' AS rule, 'o_custkey' AS "column", count(*) AS element_count, 0 AS missing_count,
+          NULL::BIGINT AS unexpected_count, 0.0 AS unexpected_percent, count(DISTINCT o_custkey) = count(*) AS success FROM orders""",
+    ) + ")",
     "unexpected_rows": f"SELECT {LINE_OUT} FROM lineitem WHERE l_linestatus = 'O' AND l_discount <= 0",
     "unexpected_repeats": """
         SELECT doc_id, text FROM documents WHERE text <> ''

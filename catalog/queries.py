@@ -495,6 +495,55 @@ def rule_mostly_and_condition(spark, sf_dir):
     return _shown(rl.run_suite(table(spark, sf_dir, "lineitem"), rules, "summary"))
 
 
+rl.register_aggregate_rule(
+    "expect_column_mean_to_be_between",
+    lambda c, p: {"total": F.sum(c.cast("decimal(18,2)")), "n": F.count(c)},
+    lambda s, p: F.try_divide(s["total"], s["n"]).between(F.lit(p["min_value"]), F.lit(p["max_value"])),
+)
+rl.register_keyed_rule("expect_values_to_occur_at_most", lambda value, times, p: times > p["times"])
+
+
+@query
+def aggregate_rules(spark, sf_dir):
+    """Rules on a column as a whole and on how often its values occur, beside rules on rows and uniqueness."""
+    mean, often = "expect_column_mean_to_be_between", "expect_values_to_occur_at_most"
+    suite = [
+        rl.Rule(mean, "o_totalprice", {"min_value": 0, "max_value": 1_000_000_000}),
+        rl.Rule(mean, "o_totalprice", {"min_value": 0, "max_value": 1}, row_condition="o_orderstatus = 'F'"),
+        rl.Rule(often, "o_custkey", {"times": 12}, mostly=0.5),
+        rl.Rule(NON_EMPTY_UNIQUE, "o_custkey"),
+        rl.Rule(NOT_NULL, "o_totalprice"),
+    ]
+    return _shown(rl.run_suite(table(spark, sf_dir, "orders"), suite, "summary"))
+
+
+@query
+def unexpected_keys(spark, sf_dir):
+    """Customers with more than twelve orders, and how many each has."""
+    return rl.unexpected_values(table(spark, sf_dir, "orders"), rl.Rule("expect_values_to_occur_at_most", "o_custkey", {"times": 12}))
+
+
+_STATE_SUITE = [
+    rl.Rule(NOT_NULL, "o_orderkey"),
+    rl.Rule(IN_SET, "o_orderpriority", {"value_set": ["1-URGENT", "5-LOW"]}, mostly=0.1),
+    rl.Rule(IN_SET, "o_orderstatus", {"value_set": ["F"]}),
+    rl.Rule(UNIQUE_PROPORTION, "o_orderkey", {"min_value": 0.8}),
+    rl.Rule(NON_EMPTY_UNIQUE, "o_custkey"),
+]
+
+
+@query
+def metric_states(spark, sf_dir):
+    """Orders appended in batches by status, each read once; the results of the table from what was kept of them."""
+    path, orders = rl.scratch_path(spark, "states"), table(spark, sf_dir, "orders")
+    for status in ("F", "O", "P", "F"):
+        batch = orders.filter(F.col("o_orderstatus") == status)
+        rl.store_states(rl.metric_states(batch, _STATE_SUITE), path, f"status-{status}")
+    results = rl.merged_results(spark.read.parquet(path), _STATE_SUITE)
+    exact = F.when(F.col("error_bound") == 0, F.col("unexpected_count"))
+    return results.select("rule", "column", "element_count", "missing_count", exact.alias("unexpected_count"), "success")
+
+
 @query
 def unexpected_rows(spark, sf_dir):
     rl.register_rule("expect_positive_discount", lambda c, p: c <= p.get("above", 0))

@@ -16,9 +16,12 @@ from .keys import (
     lookup_join,
     next_key,
 )
+from .metrics import merged_results, metric_states
 from .quality import (
     Rule,
     check_suite,
+    register_aggregate_rule,
+    register_keyed_rule,
     register_rule,
     run_suite,
     suite_from_json,

@@ -39,6 +39,9 @@ _RESULT_TYPE = T.StructType(
         T.StructField("error", T.StringType()),
     ]
 )
+# What an aggregate rule has seen goes along with its result until samples are added.
+OBSERVED = "_observed"
+_OBSERVED_TYPE = T.StructType([*_RESULT_TYPE, T.StructField(OBSERVED, T.StringType())])
 
 
 @dataclass(frozen=True)
@@ -76,7 +79,29 @@ _ROW_RULES: dict[str, _RowRule] = {
     IN_SET: _RowRule(lambda c, p, df, n: ~c.isin(list(p["value_set"])), False),
     LIST_IN_SET: _RowRule(lambda c, p, df, n: ~subset_of(c, list(p["value_set"])), False),
 }
-_UNIQUE_RULES = (UNIQUE_PROPORTION, NON_EMPTY_UNIQUE)
+
+
+@dataclass(frozen=True)
+class _AggregateRule:
+    states: Callable[[Column, dict], dict[str, Column]]
+    verdict: Callable[[dict[str, Column], dict], Column]
+
+
+@dataclass(frozen=True)
+class _KeyedRule:
+    bad: Callable[[Column, Column, dict], Column]
+    spares_first: bool  # of a bad value the first row is expected
+
+
+def _repeated_text(value: Column, times: Column, params: dict) -> Column:
+    return (times > 1) & (value.cast("string") != "")
+
+
+_AGGREGATE_RULES: dict[str, _AggregateRule] = {}
+_KEYED_RULES: dict[str, _KeyedRule] = {
+    UNIQUE_PROPORTION: _KeyedRule(lambda value, times, params: times > 1, True),
+    NON_EMPTY_UNIQUE: _KeyedRule(_repeated_text, True),
+}
 _PLAN_RULES = (COLUMNS_MATCH, TYPE_IN_LIST)
 
 
@@ -90,6 +115,30 @@ def register_rule(
     _ROW_RULES[kind] = _RowRule(lambda c, p, df, n: bad(c, p), counts_null)
 
 
+def register_aggregate_rule(
+    kind: str, states: Callable[[Column, dict], dict[str, Column]], verdict: Callable[[dict[str, Column], dict], Column]
+) -> None:
+    """Add a rule kind on a column as a whole.
+
+    ``states(column, params)`` names aggregates of the column, which is null in
+    rows outside the rule's condition; ``verdict(states, params)`` is true if the
+    rule holds for them, and false if it is null. All rules of a suite share one
+    aggregate, these too; their states are the sample of the result, as JSON.
+    """
+    _AGGREGATE_RULES[kind] = _AggregateRule(states, verdict)
+
+
+def register_keyed_rule(kind: str, bad: Callable[[Column, Column, dict], Column], spares_first: bool = False) -> None:
+    """Add a rule kind on how often values occur.
+
+    ``bad(value, times, params)`` is true for a value that breaks the rule with
+    ``times`` rows; all its rows are unexpected, but for the first with
+    ``spares_first``. Nulls are missing values. Keyed rules of one column share
+    the count per value, also with the uniqueness rules.
+    """
+    _KEYED_RULES[kind] = _KeyedRule(bad, spares_first)
+
+
 def suite_from_json(text: str) -> list[Rule]:
     """Rules of a suite document (``expectations`` with type and kwargs)."""
     rules = []
@@ -120,16 +169,19 @@ def _bad(df: DataFrame, rule: Rule) -> Column:
 
 def _plan_error(df: DataFrame, rule: Rule) -> str | None:
     """Why a rule cannot run on this frame, found without reading any row."""
-    known = rule.kind in _ROW_RULES or rule.kind in _UNIQUE_RULES + _PLAN_RULES
-    if not known:
+    if not any(rule.kind in kinds for kinds in (_ROW_RULES, _AGGREGATE_RULES, _KEYED_RULES, _PLAN_RULES)):
         return f"unknown rule {rule.kind}"
     if rule.column is not None and rule.column not in df.columns:
         return f"unknown column {rule.column}"
     try:
         if rule.kind in _ROW_RULES:
             df.select(_bad(df, rule) & _condition(rule)).schema
-        elif rule.kind in _UNIQUE_RULES:
-            df.filter(_condition(rule)).groupBy(rule.column).count().schema
+        elif rule.kind in _AGGREGATE_RULES:
+            states = _states(rule, "s")
+            verdict = _AGGREGATE_RULES[rule.kind].verdict({n: F.col(c) for n, (c, _) in states.items()}, rule.params)
+            df.agg(*[state.alias(c) for c, state in states.values()]).select(verdict & F.lit(True)).schema
+        elif rule.kind in _KEYED_RULES:
+            df.filter(_condition(rule)).groupBy(rule.column).count().select(_is_bad_value(rule, F.col("count"))).schema
     except PySparkException as error:
         return str(error).splitlines()[0]
     except (KeyError, TypeError, ValueError) as error:
@@ -145,7 +197,16 @@ def _plan_success(df: DataFrame, rule: Rule) -> bool:
     return bool(names & set(rule.params["type_list"]))
 
 
-def _result(position: int, rule: Rule, element=None, missing=None, bad=None, of=None, success=None, error=None) -> Column:
+def _states(rule: Rule, prefix: str) -> dict[str, tuple[str, Column]]:
+    """The aggregates of an aggregate rule by name, each with a column to hold it."""
+    value = F.when(_condition(rule), F.col(rule.column))
+    found = _AGGREGATE_RULES[rule.kind].states(value, rule.params)
+    return {name: (f"{prefix}_{i}", state) for i, (name, state) in enumerate(found.items())}
+
+
+def _result(
+    position: int, rule: Rule, element=None, missing=None, bad=None, of=None, success=None, error=None, observed=None
+) -> Column:
     """One result row; ``of`` is the number of values the bad ones are a share of."""
     null = F.lit(None)
     share = null if bad is None else F.coalesce(F.try_divide(F.lit(100.0) * bad, of), F.lit(0.0))
@@ -159,8 +220,9 @@ def _result(position: int, rule: Rule, element=None, missing=None, bad=None, of=
         "unexpected_percent": share,
         "success": success if isinstance(success, Column) else F.lit(success),
         "error": F.lit(error),
+        OBSERVED: null if observed is None else observed,
     }
-    return F.struct(*[values[f.name].cast(f.dataType).alias(f.name) for f in _RESULT_TYPE])
+    return F.struct(*[values[f.name].cast(f.dataType).alias(f.name) for f in _OBSERVED_TYPE])
 
 
 def _within(rule: Rule, bad: Column, of: Column) -> Column:
@@ -169,16 +231,24 @@ def _within(rule: Rule, bad: Column, of: Column) -> Column:
 
 
 def _row_results(df: DataFrame, rules: list[tuple[int, Rule]]) -> DataFrame:
-    """All row rules in one aggregate over one scan."""
+    """All row rules and aggregate rules in one aggregate over one scan."""
     counts, rows = [], []
     for position, rule in rules:
         inside, value = _condition(rule), F.col(rule.column)
         counts += [
             F.count_if(inside).alias(f"n{position}"),
             F.count_if(inside & value.isNull()).alias(f"m{position}"),
-            F.count_if(inside & _bad(df, rule) & _is_element(rule)).alias(f"b{position}"),
         ]
         element, missing, bad = (F.col(f"{p}{position}") for p in "nmb")
+        if rule.kind in _AGGREGATE_RULES:
+            states = _states(rule, f"s{position}")
+            counts += [state.alias(name) for name, state in states.values()]
+            held = {name: F.col(column) for name, (column, _) in states.items()}
+            verdict = F.coalesce(_AGGREGATE_RULES[rule.kind].verdict(held, rule.params), F.lit(False))
+            seen = F.to_json(F.struct(*[c.alias(n) for n, c in held.items()])) if held else F.lit("{}")
+            rows.append(_result(position, rule, element, missing, success=verdict, observed=seen))
+            continue
+        counts.append(F.count_if(inside & _bad(df, rule) & _is_element(rule)).alias(f"b{position}"))
         of = element if _ROW_RULES[rule.kind].counts_null else element - missing
         rows.append(_result(position, rule, element, missing, bad, of, _within(rule, bad, of)))
     return df.agg(*counts).select(F.inline(F.array(*rows)))
@@ -195,21 +265,24 @@ def _per_value(df: DataFrame, column: str, rules: list[tuple[int, Rule]]) -> Dat
     )
 
 
-def _is_repeated(rule: Rule, times: Column) -> Column:
-    """True for a value that breaks a uniqueness rule; blanks may be exempt."""
+def _is_bad_value(rule: Rule, times: Column) -> Column:
+    """True for a value that breaks a keyed rule with so many rows."""
     value = F.col(rule.column)
-    repeated = value.isNotNull() & (times > 1)
-    if rule.kind == NON_EMPTY_UNIQUE:
-        repeated = repeated & (value.cast("string") != "")
-    return repeated
+    broken = _KEYED_RULES[rule.kind].bad(value, times, rule.params)
+    return value.isNotNull() & (times > 0) & F.coalesce(broken, F.lit(False))
 
 
-def _unique_results(df: DataFrame, column: str, rules: list[tuple[int, Rule]]) -> DataFrame:
-    """All uniqueness rules of one column from one count per value."""
+def _bad_rows(rule: Rule, times: Column) -> Column:
+    """How many of its rows a bad value has too many."""
+    return times - 1 if _KEYED_RULES[rule.kind].spares_first else times
+
+
+def _keyed_results(df: DataFrame, column: str, rules: list[tuple[int, Rule]]) -> DataFrame:
+    """All keyed rules of one column from one count per value."""
     totals, rows = [], []
     for position, rule in rules:
         here = F.col(f"c{position}")
-        repeats = F.when(_is_repeated(rule, here), here - 1)
+        repeats = F.when(_is_bad_value(rule, here), _bad_rows(rule, here))
         totals += [
             F.coalesce(F.sum(here), F.lit(0)).alias(f"n{position}"),
             F.coalesce(F.sum(F.when(F.col(column).isNull(), here)), F.lit(0)).alias(f"m{position}"),
@@ -217,7 +290,7 @@ def _unique_results(df: DataFrame, column: str, rules: list[tuple[int, Rule]]) -
         ]
         element, missing, bad = (F.col(f"{p}{position}") for p in "nmb")
         of = element - missing
-        if rule.kind == NON_EMPTY_UNIQUE:
+        if rule.kind != UNIQUE_PROPORTION:
             success = _within(rule, bad, of)
         else:
             unique = F.try_divide(of - bad, of)
@@ -263,6 +336,7 @@ def _samples(df: DataFrame, row_rules: list, unique_rules: dict[str, list], limi
     Row rules take one scan; uniqueness rules reuse the exchange of their counts.
     """
     parts = []
+    row_rules = [(p, rule) for p, rule in row_rules if rule.kind in _ROW_RULES]
     if row_rules:
         found = [
             (p, _condition(rule) & _bad(df, rule) & F.col(rule.column).isNotNull(), _as_text(df, rule.column))
@@ -272,8 +346,10 @@ def _samples(df: DataFrame, row_rules: list, unique_rules: dict[str, list], limi
         parts.append(df.filter(any_bad).select(_listed(found)))
     for column, rules in unique_rules.items():
         text = _as_text(df, column)
-        found = [(p, _is_repeated(rule, F.col(f"c{p}")), text) for p, rule in rules]
+        found = [(p, _is_bad_value(rule, F.col(f"c{p}")), text) for p, rule in rules]
         parts.append(_per_value(df, column, rules).select(_listed(found)))
+    if not parts:
+        return conform(df.sparkSession.range(0).select(), T.StructType([T.StructField("position", T.IntegerType()), T.StructField("sample", T.ArrayType(T.StringType()))]))
     return _first_samples(reduce(DataFrame.unionByName, parts), limit)
 
 
@@ -283,7 +359,8 @@ def run_suite(df: DataFrame, suite: list[Rule], detail: str = "basic", samples:
     Rules on rows share one aggregate, rules on uniqueness one count per
     column; rules on names and types, and rules that cannot run, need no scan.
     ``detail='basic'`` adds up to ``samples`` bad values per rule, ``'complete'``
-    all of them (for tables of few bad values: they end in one row), ``'summary'`` none.
+    all of them (for tables of few bad values: they end in one row; :func:`unexpected_values` has them as a table),
+    ``'summary'`` none.
     """
     return _run(df, list(enumerate(suite)), detail, samples)
 
@@ -301,7 +378,7 @@ def _run(df: DataFrame, numbered: list[tuple[int, Rule]], detail: str, samples:
                 error = f"missing argument {missing}"
         if error is not None:
             static.append(_result(position, rule, success=False, error=error))
-        elif rule.kind in _UNIQUE_RULES:
+        elif rule.kind in _KEYED_RULES:
             unique_rules.setdefault(rule.column, []).append((position, rule))
         else:
             row_rules.append((position, rule))
@@ -310,20 +387,21 @@ def _run(df: DataFrame, numbered: list[tuple[int, Rule]], detail: str, samples:
     if row_rules:
         parts.append(_row_results(df, row_rules))
     for column, rules in unique_rules.items():
-        parts.append(_unique_results(df, column, rules))
+        parts.append(_keyed_results(df, column, rules))
     if static:
         parts.append(_constant(df, static))
     if not parts:
-        parts.append(conform(df.sparkSession.range(0).select(), _RESULT_TYPE))
+        parts.append(conform(df.sparkSession.range(0).select(), _OBSERVED_TYPE))
     results = reduce(DataFrame.unionByName, parts)
     if detail == "summary":
-        return results
+        return results.drop(OBSERVED)
     none = F.array().cast("array<string>")
     if not (row_rules or unique_rules):
-        return results.withColumn("sample", none)
+        return results.drop(OBSERVED).withColumn("sample", none)
     shown = _samples(df, row_rules, unique_rules, samples if detail == "basic" else None)
     shown = F.broadcast(shown) if detail == "basic" else shown  # ``samples`` values per rule
-    return results.join(shown, "position", "left").withColumn("sample", F.coalesce("sample", none))
+    seen = F.when(F.col(OBSERVED).isNotNull(), F.array(OBSERVED))
+    return results.join(shown, "position", "left").withColumn("sample", F.coalesce("sample", seen, none)).drop(OBSERVED)
 
 
 def _constant(df: DataFrame, rows: list[Column]) -> DataFrame:
@@ -356,37 +434,40 @@ def check_suite(df: DataFrame, suite: list[Rule], detail: str = "basic", samples
 
 
 def unexpected_values(df: DataFrame, rule: Rule) -> DataFrame:
-    """``(value, unexpected_count)`` of a rule, largest groups included whole.
+    """``(value, unexpected_count)`` of a rule on rows or keys, largest groups included whole.
 
     Of a repeated value the first is expected, so it counts once less.
     """
     text = _as_text(df, rule.column)
-    if rule.kind not in _UNIQUE_RULES:
+    if rule.kind not in _KEYED_RULES:
         bad = unexpected_rows(df, rule).select(text.alias("value"))
         return bad.groupBy("value").agg(F.count("*").alias("unexpected_count"))
-    repeated = _per_value(df, rule.column, [(0, rule)]).filter(_is_repeated(rule, F.col("c0")))
-    return repeated.select(text.alias("value"), (F.col("c0") - 1).alias("unexpected_count"))
+    repeated = _per_value(df, rule.column, [(0, rule)]).filter(_is_bad_value(rule, F.col("c0")))
+    return repeated.select(text.alias("value"), _bad_rows(rule, F.col("c0")).alias("unexpected_count"))
 
 
 def unexpected_rows(df: DataFrame, rule: Rule, order: list[str] | None = None) -> DataFrame:
-    """The rows that break a rule.
+    """The rows that break a rule on rows or keys.
 
     For a uniqueness rule these are the rows of a value after its first one by
     ``order`` (a total order).
     """
-    if rule.kind not in _UNIQUE_RULES:
+    if rule.kind in _AGGREGATE_RULES:
+        raise ValueError(f"{rule.kind} holds or fails for the table, not for rows of it")
+    if rule.kind not in _KEYED_RULES:
         return df.filter(_condition(rule) & _bad(df, rule) & _is_element(rule))
-    if not order:
+    spares = _KEYED_RULES[rule.kind].spares_first
+    if not order and spares:
         raise ValueError("a uniqueness rule needs the order that tells which row is first")
     rows = df.filter(_condition(rule) & F.col(rule.column).isNotNull())
     first = (
         rows.groupBy(rule.column)
-        .agg(F.min(order_value(order)).alias("_first"), F.count("*").alias("_n"))
-        .filter(_is_repeated(rule, F.col("_n")))
+        .agg((F.min(order_value(order)) if spares else F.lit(None)).alias("_first"), F.count("*").alias("_n"))
+        .filter(_is_bad_value(rule, F.col("_n")))
         .select(F.col(rule.column).alias("_value"), "_first")
     )
     repeated = lookup_join(rows, first, F.col(rule.column), F.col("_value"), "inner")
-    return repeated.filter(order_value(order) > F.col("_first")).select(*df.columns)
+    return (repeated.filter(order_value(order) > F.col("_first")) if spares else repeated).select(*df.columns)
 
 
 def suite_passed(results: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from .sinks import (
     promote_if_valid,
     publish_if_valid,
     store_results,
+    store_states,
     write_all,
     write_csv_records,
     write_json_records,

@@ -66,6 +66,11 @@ def store_results(
     _append_run(stamped, path)
 
 
+def store_states(states: DataFrame, path: str, run_id: str) -> None:
+    """Add the metric states of a batch under its id; a batch that comes again replaces its states."""
+    _append_run(states.withColumn(RUN_ID, F.lit(run_id)), path)
+
+
 def _append_run(df: DataFrame, path: str) -> None:
     # Only the partitions that the rows belong to are written over: those of this run.
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RUN_ID).parquet(path)

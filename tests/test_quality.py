@@ -1,3 +1,4 @@
+import functools
 import json
 
 import pytest
@@ -5,6 +6,7 @@ from pyspark.sql import functions as F
 
 import recordloom as rl
 from conftest import values
+from recordloom.operators import quality
 from recordloom.operators.quality import (
     COLUMNS_MATCH, IN_SET, IS_LIST, LIST_IN_SET, NON_EMPTY_UNIQUE, NOT_NULL, TYPE_IN_LIST, UNIQUE_PROPORTION,
 )
@@ -148,3 +150,83 @@ def test_samples_are_bounded(spark):
     assert got["unexpected_count"] == 1000
     assert got["sample"] == sorted(str(i) for i in range(1000))[:20]
     assert "sample" not in rl.run_suite(rows, [rl.Rule(NOT_NULL, "s")], "summary").columns
+
+
+MEAN, AT_MOST = "mean_between", "at_most"
+
+
+@pytest.fixture
+def custom_rules(monkeypatch):
+    monkeypatch.setattr(quality, "_AGGREGATE_RULES", {})
+    monkeypatch.setattr(quality, "_KEYED_RULES", dict(quality._KEYED_RULES))
+    rl.register_aggregate_rule(
+        MEAN, lambda c, p: {"total": F.sum(c), "n": F.count(c)}, lambda s, p: F.try_divide(s["total"], s["n"]).between(p["low"], p["high"])
+    )
+    rl.register_keyed_rule(AT_MOST, lambda value, times, p: times > p["times"])
+
+
+def test_aggregate_rules_share_the_scan_and_show_their_states(spark, custom_rules, plan_of):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (6, "b"), (None, "b")], "v long, k string")
+    suite = [
+        rl.Rule(MEAN, "v", {"low": 3, "high": 3}), rl.Rule(MEAN, "v", {"low": 0, "high": 1}), rl.Rule(MEAN, "v", {"low": 1, "high": 2}, row_condition="k = 'a'"),
+        rl.Rule(MEAN, "v", {"low": 0, "high": 9}, row_condition="k = 'c'"), rl.Rule(NOT_NULL, "v"), rl.Rule(MEAN, "v", {"low": 0}), rl.Rule(MEAN, "no", {}),
+    ]
+    results = rl.run_suite(df, suite)
+    assert values(results, "position", "element_count", "missing_count", "unexpected_count", "success") == [
+        (0, 4, 1, None, True), (1, 4, 1, None, False), (2, 2, 0, None, True), (3, 0, 0, None, False), (4, 4, 1, 1, False),
+        (5, None, None, None, False), (6, None, None, None, False),
+    ]
+    assert {r["position"]: r["sample"] for r in results.collect()}[0] == ['{"total":9,"n":3}']
+    assert {r["position"]: r["error"] for r in results.collect()}[5] == "KeyError: 'high'"
+    assert values(rl.check_suite(df, suite, "summary"), "position", "success") == values(results, "position", "success")
+    assert plan_of(rl.run_suite(df, suite[:5], "summary"), "simple").count("Scan") == 1
+    with pytest.raises(ValueError):
+        rl.unexpected_rows(df, suite[0])
+
+
+def test_keyed_rules_share_the_count_per_value(spark, custom_rules, plan_of):
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(["a", "a", "a", "b", "b", "", "", "", "", None, None, None, None])], "n int, k string")
+    most = rl.Rule(AT_MOST, "k", {"times": 2})
+    suite = [most, rl.Rule(AT_MOST, "k", {"times": 3}, mostly=0.5), rl.Rule(NON_EMPTY_UNIQUE, "k"), rl.Rule(AT_MOST, "k", {"times": 1}, row_condition="n < 4")]
+    results = rl.run_suite(df, suite)
+    assert values(results, "position", "element_count", "missing_count", "unexpected_count", "success", "sample") == [
+        (0, 13, 4, 7, False, ["", "a"]), (1, 13, 4, 4, True, [""]), (2, 13, 4, 3, False, ["a", "b"]), (3, 4, 0, 3, False, ["a"]),
+    ]
+    assert plan_of(rl.run_suite(df, suite, "summary"), "simple").count("Exchange hashpartitioning") == 1
+    assert values(rl.unexpected_values(df, most)) == [("", 4), ("a", 3)]
+    assert [r[0] for r in values(rl.unexpected_rows(df, most), "n")] == [0, 1, 2, 5, 6, 7, 8]
+    assert [r[0] for r in values(rl.unexpected_rows(df, suite[2], ["n"]), "n")] == [1, 2, 4]
+
+
+def test_states_of_batches_give_the_results_of_the_table(spark):
+    rows = [(i, i % 700, None if i % 9 == 0 else f"t{i}", "" if i % 2 else "x") for i in range(20_000)]
+    df = spark.createDataFrame(rows, "k long, r long, t string, e string")
+    suite = [
+        rl.Rule(NOT_NULL, "t", mostly=0.5), rl.Rule(IN_SET, "r", {"value_set": list(range(600))}), rl.Rule(IN_SET, "e", {"value_set": ["x"]}, row_condition="k < 50"),
+        rl.Rule(UNIQUE_PROPORTION, "k", {"min_value": 0.9}), rl.Rule(UNIQUE_PROPORTION, "k", {"min_value": 1}), rl.Rule(UNIQUE_PROPORTION, "r", {"min_value": 0.5}),
+        rl.Rule(UNIQUE_PROPORTION, "r", {"max_value": 0.5}), rl.Rule(NON_EMPTY_UNIQUE, "r"), rl.Rule(NON_EMPTY_UNIQUE, "t"), rl.Rule(NON_EMPTY_UNIQUE, "t", mostly=0.8),
+    ]
+    parts = [df.filter(F.col("k") % 7 == i) for i in range(7)] + [df.limit(0)]
+    states = [rl.metric_states(p, suite) for p in parts]
+    merged = rl.merged_results(functools.reduce(lambda a, b: a.unionByName(b), states), suite)
+    exact = {r.position: r for r in rl.run_suite(df, suite, "summary").collect()}
+    got = {r.position: r for r in merged.collect()}
+    assert got.keys() == exact.keys()
+    for position, r in got.items():
+        e = exact[position]
+        assert (r.rule, r.column, r.element_count, r.missing_count) == (e.rule, e.column, e.element_count, e.missing_count)
+        if r.error_bound == 0:
+            assert (r.unexpected_count, r.unexpected_percent, r.success) == (e.unexpected_count, e.unexpected_percent, e.success)
+        else:
+            assert abs(r.unexpected_count - e.unexpected_count) <= r.error_bound * (e.element_count - e.unexpected_count)
+            assert r.success is None or r.success == e.success
+    # Where the bound does not decide, the result says so.
+    assert [got[i].success for i in range(3, 10)] == [True, None, False, True, False, None, True]
+    with pytest.raises(ValueError):
+        rl.metric_states(df, [rl.Rule(COLUMNS_MATCH, params={"column_list": []})])
+
+
+def test_states_of_an_empty_table_pass(spark):
+    df = spark.createDataFrame([], "k long")
+    suite = [rl.Rule(NOT_NULL, "k"), rl.Rule(UNIQUE_PROPORTION, "k", {"min_value": 1}), rl.Rule(NON_EMPTY_UNIQUE, "k")]
+    assert values(rl.merged_results(rl.metric_states(df, suite), suite), "element_count", "unexpected_count", "success") == [(0, 0, True)] * 3
