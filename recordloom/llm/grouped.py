@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recordloom.llm.common import staged
+
 BLOCK = 512
 SMALL = 16
 
@@ -27,6 +29,57 @@ def block_pairs(members: DataFrame, count: str, member: str, block: int = BLOCK)
     return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
 
+def minority_pairs(members: DataFrame, member: str, block: int = BLOCK) -> DataFrame:
+    """The members of lists (``key``, ``label``) dealt so that each two of different labels meet, grouped by ``key``, ``i`` and ``j``.
+
+    In a list mostly of one label only the others, the minority, have to meet all
+    members: blocks ``j`` of the minority (``minor``) against blocks ``i`` of
+    the whole list, so that members of the majority are copied once a block of
+    the minority.
+    """
+    sizes = members.groupBy("key", "label").agg(F.count("*").alias("n"))
+    lists = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("most"))
+    blocks = lambda n: F.ceil(n / block).cast("int")
+    # Stored, so that the join deals out both its sides itself and can split a long list.
+    lists = staged(lists.select("key", F.col("most.label").alias("major"), blocks(F.col("n")).alias("all"), blocks(F.col("n") - F.col("most.n")).alias("few")), "lists")
+    rows = members.join(lists, "key")
+    own = F.xxhash64(member, F.lit(11))
+    many = rows.select(*members.columns, F.lit(False).alias("minor"), F.pmod(own, "all").cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("few") - 1)).alias("j"))
+    rest = rows.where("label <> major").select(
+        *members.columns, F.lit(True).alias("minor"), F.explode(F.sequence(F.lit(0), F.col("all") - 1)).alias("i"), F.pmod(own, "few").cast("int").alias("j")
+    )
+    return many.union(rest.select(*many.columns)).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+
+def each_group(handle: Callable[[pa.Table], pa.RecordBatch | None]):
+    """A function for ``mapInArrow`` over rows sorted by key, i and j, that hands on one run of equal rows at a time."""
+
+    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        carried: list[pa.Table] = []
+        last: tuple | None = None
+
+        def finished() -> Iterator[pa.RecordBatch]:
+            got = handle(pa.concat_tables(carried).combine_chunks()) if carried else None
+            carried.clear()
+            if got is not None and got.num_rows:
+                yield got
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            keys = np.column_stack([table.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "j")])
+            starts = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1])
+            for start, end in zip(starts, [*starts[1:], len(keys)]):
+                if last != tuple(keys[start]):
+                    yield from finished()
+                    last = tuple(keys[start])
+                carried.append(table.slice(start, end - start))
+        yield from finished()
+
+    return rows
+
+
 def pairs_of_group(group: pa.Table, order: np.ndarray) -> np.ndarray:
     """Which pairs of rows a group has to compare: all of one block, or those across two."""
     i, j = int(group.column("i")[0].as_py()), int(group.column("j")[0].as_py())

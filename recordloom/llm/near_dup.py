@@ -14,8 +14,10 @@ Only pairs that connect documents leave a list, never all pairs of a group, and
 all of them are confirmed on the full shingle sets. First each document meets
 the first members of its lists, which connects most groups of copies; lists of
 one component are done then. The others are compared block by block and give out
-a heaviest spanning forest across components; where a confirmation failed, all
-untested pairs between parts that are not connected yet follow.
+a heaviest spanning forest across components. Where a confirmation failed, the
+lists that still hold several components are compared once more, this time on
+the full sets inside the block, and give out confirmed links only, no more than
+connect what the block holds.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 
 from recordloom.llm.common import bytes_of, columns_of, mixed, sliced, small_batches, staged, text_bytes
 from recordloom.llm.components import components
-from recordloom.llm.grouped import block_pairs, by_group, pairs_of_group, spanning
+from recordloom.llm.grouped import block_pairs, by_group, each_group, minority_pairs, pairs_of_group, spanning
 from recordloom.llm.minhash import COORDINATES, SHINGLE, shingle_sets, signatures
 
 PERCENT = 85
@@ -48,9 +50,13 @@ def needed(percent: int) -> int:
     return COORDINATES
 
 
-def row_key() -> Column:
-    """What tells rows apart: id and text together."""
-    return F.xxhash64(F.col("doc_id").cast("long"), text_bytes())
+ROW_KEY = ("k1", "k2")
+
+
+def row_key() -> list[Column]:
+    """What tells rows apart, in 128 bits: id and text together; a null text is not an empty one."""
+    parts = [F.col("doc_id").cast("long"), text_bytes(), F.col("text").isNull()]
+    return [F.xxhash64(*parts).alias("k1"), F.xxhash64(F.lit(1), *parts).alias("k2")]
 
 
 def sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,10 +69,10 @@ def sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sig = signatures(keys, bounds).astype("<u4")
         yield pa.RecordBatch.from_arrays(
             [
-                part.column("doc_id"), part.column("row_key"), pa.array(np.diff(bounds)), pa.array(h[0].view(np.int64)), pa.array(h[1].view(np.int64)),
+                part.column("doc_id"), part.column("k1"), part.column("k2"), pa.array(np.diff(bounds)), pa.array(h[0].view(np.int64)), pa.array(h[1].view(np.int64)),
                 pa.array([s.tobytes() for s in sig], pa.binary()),
             ],
-            ["doc_id", "row_key", "n_shingles", "h1", "h2", "sig"],
+            ["doc_id", "k1", "k2", "n_shingles", "h1", "h2", "sig"],
         )
 
 
@@ -201,10 +207,88 @@ def forest(group: pa.Table) -> pa.RecordBatch | None:
     return _edges(ids, [x for x, _ in chosen], [y for _, y in chosen])
 
 
-def crossing(group: pa.Table) -> pa.RecordBatch | None:
-    ids, labels, matches = collisions(group)
-    a, b = np.nonzero(np.triu(matches, 1) * (labels[:, None] != labels[None, :]))
-    return _edges(ids, a, b)
+def shingled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The whole shingle set of each text, as bytes of its sorted hashes."""
+    for part in sliced(batches, "body"):
+        keys, bounds = shingle_sets(*bytes_of(part.column("body")), SHINGLE)
+        sets = [keys[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+        yield pa.RecordBatch.from_arrays([part.column("rep"), pa.array(sets, pa.binary())], ["rep", "shingles"])
+
+
+def shared_counts(left: list[bytes], right: list[bytes], chunk: int = 4096) -> np.ndarray:
+    """How many shingles each set of one side has in common with each of the other."""
+    sides = []
+    for sets in (left, right):
+        keys = np.frombuffer(b"".join(sets), dtype=np.uint64)
+        sides.append((keys, np.repeat(np.arange(len(sets)), [len(s) // 8 for s in sets])))
+    common = np.intersect1d(sides[0][0], sides[1][0])
+    found = np.zeros((len(left), len(right)), dtype=np.float32)
+    places = []
+    for keys, row in sides:
+        at = np.searchsorted(common, keys)
+        at[at == len(common)] = 0
+        keep = common[at] == keys if len(common) else np.zeros(len(keys), dtype=bool)
+        at, row = at[keep], row[keep]
+        order = np.argsort(at, kind="stable")
+        places.append((at[order], row[order]))
+    for start in range(0, len(common), chunk):
+        parts = []
+        for (at, row), n in zip(places, found.shape):
+            lo, hi = np.searchsorted(at, (start, start + chunk))
+            part = np.zeros((n, chunk), dtype=np.float32)
+            part[row[lo:hi], at[lo:hi] - start] = 1
+            parts.append(part)
+        found += parts[0] @ parts[1].T
+    return found.astype(np.int64)
+
+
+def verified(percent: int):
+    """Links between members of different components, confirmed on whole sets, as many as connect them at most."""
+
+    def links(group: pa.Table) -> pa.RecordBatch | None:
+        ids, labels = group.column("rep").to_numpy(), group.column("label").to_numpy()
+        posts = group.column("posts").to_numpy().astype(np.int64).view(np.uint64)
+        low = np.frombuffer(b"".join(group.column("low").to_pylist()), dtype=np.uint8).reshape(len(ids), COORDINATES)
+        whole, few = whole_values(group, posts), group.column("minor").to_numpy(zero_copy_only=False)
+        left, right = np.flatnonzero(few), np.flatnonzero(~few)
+        here, need = int(group.column("key")[0].as_py()) >> 32, int(group.column("need")[0].as_py())
+        same = np.zeros((len(left), len(right)), dtype=np.uint8)
+        earlier = np.zeros(same.shape, dtype=bool)
+        for k in range(COORDINATES):
+            same += low[left, k][:, None] == low[right, k][None, :]
+            if k < here:
+                posted_here = (posts >> np.uint64(k)) & np.uint64(1) > 0
+                equal = whole[left, k][:, None] == whole[right, k][None, :]
+                earlier |= equal & posted_here[left][:, None] & posted_here[right][None, :]
+        wanted = (same >= need) & ~earlier & (labels[left][:, None] != labels[right][None, :])
+        x, y = np.flatnonzero(wanted.any(axis=1)), np.flatnonzero(wanted.any(axis=0))
+        if not len(x):
+            return None
+        sets = group.column("shingles").to_pylist()
+        a, b = [sets[i] for i in left[x]], [sets[i] for i in right[y]]
+        shared = shared_counts(a, b)
+        total = np.array([len(s) // 8 for s in a])[:, None] + np.array([len(s) // 8 for s in b])[None, :] - shared
+        p, q = np.nonzero(wanted[np.ix_(x, y)] & (100 * shared >= percent * total))
+        p, q = left[x[p]], right[y[q]]
+        number = np.unique(labels, return_inverse=True)[1]
+        _, first = np.unique(np.minimum(number[p], number[q]) * len(ids) + np.maximum(number[p], number[q]), return_index=True)
+        part = list(range(len(ids)))
+
+        def of(i: int) -> int:
+            while part[i] != i:
+                part[i] = part[part[i]]
+                i = part[i]
+            return i
+
+        chosen = []
+        for i in first:
+            u, v = of(number[p[i]]), of(number[q[i]])
+            if u != v:
+                part[u] = v
+                chosen.append(i)
+        return _edges(ids, p[chosen], q[chosen]) if chosen else None
+
+    return links
 
 
 def met(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,59 +345,90 @@ def overlaps(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def bodies_of(reps: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """``rep`` and ``body``, the text of one row of each class."""
+    wanted = classes.join(reps.distinct(), "rep").select("rep", F.col("row.k1").alias("k1"), F.col("row.k2").alias("k2"))
+    # Repeated rows have one key: the first of them is taken where the join has brought them together.
+    return texts.drop("doc_id").join(wanted, [*ROW_KEY]).dropDuplicates([*ROW_KEY]).select("rep", "body")
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """``a``, ``b`` and ``link``: whether the full shingle sets are similar enough."""
-    left = texts.select(F.col("doc_id").alias("a"), F.col("body").alias("body_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("body").alias("body_b"))
+    reps = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep")))
+    bodies = staged(bodies_of(reps, classes, texts), "bodies")
+    left, right = bodies.toDF("a", "body_a"), bodies.toDF("b", "body_b")
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "body_a", "body_b")
     got = both.mapInArrow(overlaps, "a long, b long, shared long, total long")
-    return got.groupBy("a", "b").agg(F.max(100 * F.col("shared") >= percent * F.col("total")).alias("link"))
+    return got.select("a", "b", (100 * F.col("shared") >= percent * F.col("total")).alias("link"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` and ``row_key`` for every row (``doc_id``, ``text``).
+    """``doc_id``, ``n_shingles``, ``component_id``, ``kept``, ``k1``, ``k2`` and ``group`` for every row (``doc_id``, ``text``).
 
     Documents that share ``percent`` of their shingles or more are linked.
+    ``component_id`` is the smallest id a document reaches by links; ``group`` is
+    a number of its component, ``k1`` and ``k2`` are the row's key.
 
     Words are compared without case of A to Z. A null text or one without words
-    has no shingles and is linked with nothing; a text shorter than a shingle is
-    one shingle. Texts of any length are read whole. Repeated rows share their
-    component. Rows without an id belong to the component of an equal text if
-    there is one and to none (null) otherwise. Other columns are ignored.
+    has no shingles, no group and is linked with nothing; a text shorter than a
+    shingle is one shingle. Texts of any length are read whole. Repeated rows
+    share their component; rows that share an id but not the text are documents
+    of their own. Rows without an id are linked like others; a component without
+    any id has none (null). Other columns are ignored.
     """
     small_batches(docs.sparkSession)
-    texts = columns_of(docs, "doc_id", "text").select(
-        F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row_key"), text_bytes().alias("body")
+    texts = columns_of(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), *row_key(), text_bytes().alias("body"))
+    kind = "doc_id long, k1 long, k2 long, n_shingles long, h1 long, h2 long, sig binary"
+    rows = staged(texts.mapInArrow(sketched, kind), "sketches")
+    found = rows.where("n_shingles > 0").groupBy("h1", "h2").agg(
+        F.min("doc_id").alias("doc_id"), F.min(F.struct(*ROW_KEY)).alias("row"), F.min("sig").alias("sig")
     )
-    rows = staged(texts.mapInArrow(sketched, "doc_id long, row_key long, n_shingles long, h1 long, h2 long, sig binary"), "sketches")
-    found = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = staged(found.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.min_by("sig", "doc_id").alias("sig")), "classes")
+    # Numbered once, when they are stored; the numbers stand for the classes from here on.
+    classes = staged(found.withColumn("rep", F.monotonically_increasing_id()), "classes")
     lists = staged(posting_lists(classes, needed(percent)), "lists")
-    tested = staged(confirmed(first_pairs(lists), texts, percent), "tested")
+    pairs = staged(first_pairs(lists), "pairs")
+    tested = staged(confirmed(pairs, classes, texts, percent), "tested")
     linked = staged(components(tested.where("link")), "linked")
     pairs = block_pairs(labelled(lists, linked), "n", "rep").mapInArrow(by_group(forest, _small(True)), "a long, b long")
-    pairs = pairs.distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
-    more = staged(confirmed(staged(pairs, "pairs"), texts, percent), "tested")
-    tested = tested.union(more)
-    linked = staged(components(tested.where("link")), "linked")
+    pairs = staged(pairs.distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    tested = tested.union(staged(confirmed(pairs, classes, texts, percent), "tested"))
+    links = tested.where("link").select("a", "b")
+    linked = staged(components(links), "linked")
     failed = tested.where("NOT link")
     if not failed.isEmpty():
         # Parts that only a failed pair holds together may be linked by other pairs.
         suspects = components(tested).withColumnRenamed("component", "whole")
         whole = suspects.union(suspects.select("whole", "whole").distinct()).toDF("rep", "whole")
         torn = failed.select(F.col("a").alias("rep")).distinct().join(whole, "rep").select("whole").distinct()
-        labels = staged(whole.join(torn, "whole"), "suspects")
-        open_lists = labelled(lists.join(labels.select("rep"), "rep"), linked)
-        open_pairs = block_pairs(open_lists, "n", "rep").mapInArrow(by_group(crossing, _small(True)), "a long, b long")
-        open_pairs = open_pairs.distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        more = staged(confirmed(staged(open_pairs, "open"), texts, percent), "tested")
-        links = tested.where("link").select("a", "b").union(more.where("link").select("a", "b"))
-        linked = staged(components(links), "linked")
-    named = classes.select("h1", "h2", "rep").join(linked.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "h1", "h2", F.coalesce("component", "rep").alias("component_id")
+        reps = staged(whole.join(torn, "whole").select("rep"), "suspects")
+        open_lists = staged(labelled(lists.join(reps, "rep"), linked), "open")
+        sets = bodies_of(open_lists.select("rep"), classes, texts).mapInArrow(shingled, "rep long, shingles binary")
+        dealt = minority_pairs(open_lists.join(staged(sets, "sets"), "rep").drop("n"), "rep")
+        more = staged(dealt.mapInArrow(each_group(verified(percent)), "a long, b long"), "more")
+        linked = staged(components(links.union(more)), "linked")
+    groups = classes.join(linked.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "h1", "h2", "doc_id", F.coalesce("component", "rep").alias("group")
     )
-    full = rows.drop("sig").where("n_shingles > 0").join(named, ["h1", "h2"], "left")
-    empty = rows.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
-    columns = ["doc_id", "n_shingles", "component_id", "row_key"]
+    groups = staged(groups, "groups")
+    least = staged(groups.groupBy("group").agg(F.min("doc_id").alias("component_id")), "least")
+    named = groups.drop("doc_id").join(least, "group")
+    full = rows.drop("sig").where("n_shingles > 0").join(staged(named, "named"), ["h1", "h2"])
+    empty = rows.where("n_shingles = 0").withColumns({"component_id": F.col("doc_id"), "group": F.lit(None).cast("long")})
+    columns = ["doc_id", "n_shingles", "component_id", *ROW_KEY, "group"]
     every = full.select(*columns).union(empty.select(*columns))
     return every.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the row with the smallest id (then key), once.
+
+    Of a component without ids one row stays; rows without words all stay, but
+    for repeated ones. All columns are kept, whatever these are called.
+    """
+    found = near_duplicates(docs, percent)
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", *ROW_KEY)
+    best = found.where("group IS NOT NULL").groupBy("group").agg(F.min(order).alias("row")).select("row.k1", "row.k2")
+    keys = staged(best.union(found.where("group IS NULL").select(*ROW_KEY)).distinct(), "kept")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *row_key())
+    once = rows.join(keys, [*ROW_KEY], "left_semi").dropDuplicates([*ROW_KEY])
+    return once.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

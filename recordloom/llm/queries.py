@@ -46,7 +46,7 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents")).drop("row_key")
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("k1", "k2", "group")
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -167,7 +167,7 @@ def test_near_duplicates_agree_with_brute_force(docs, texts):
     assert len(rows) == len(texts) + 1
     for r in rows:
         if r.doc_id is None:
-            assert r.component_id is None and r.kept
+            assert r.component_id is None and r.kept and r.n_shingles == len(shingles(texts[7]))
         else:
             assert (r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), find(r.doc_id), find(r.doc_id) == r.doc_id)
     assert len({find(i) for i in range(40, 52)}) < 12
@@ -190,6 +190,56 @@ def test_long_lists_are_compared_across_blocks(spark, monkeypatch):
     assert all(got[i] == 0 for i in range(70)) and all(got[100 + i] == 100 + i for i in range(5))
 
 
+def test_links_hidden_behind_failed_pairs_are_found(spark):
+    """Groups a half of whose pairs are above 85 per cent and half below, repeated ids, copies without an id."""
+    rng = np.random.default_rng(23)
+    rows, sets = [], []
+    for g in range(4):
+        base = [f"g{g}w{k}" for k in range(200)]
+        for _ in range(60):
+            near = list(base)
+            for at in rng.choice(190, int(rng.integers(1, 6)), replace=False) + 5:
+                near[at] = f"x{rng.integers(1 << 40)}"
+            rows.append((int(rng.integers(0, 150)), " ".join(near)))
+    rows += [(None, rows[0][1]), (None, rows[5][1] + " more"), rows[7], (900, None), (900, ""), (900, "other text"), (900, rows[60][1].upper())]
+    sets = [shingles(t) for _, t in rows]
+    above = below = 0
+    group = list(range(len(rows)))
+
+    def find(x):
+        while group[x] != x:
+            x = group[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            n = len(sets[i] & sets[j])
+            if 100 * n >= 85 * (len(sets[i]) + len(sets[j]) - n) and n:
+                above += 1
+                group[find(i)] = find(j)
+            else:
+                below += n > 0
+    assert above > 500 and below > 2 * above
+    least = {}
+    for i, (doc, _) in enumerate(rows):
+        if doc is not None:
+            least[find(i)] = min(least.get(find(i), doc), doc)
+    want = collections.Counter((doc, least.get(find(i)), len(sets[i])) for i, (doc, _) in enumerate(rows))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert collections.Counter((r.doc_id, r.component_id, r.n_shingles) for r in near_duplicates(docs).collect()) == want
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs.selectExpr("doc_id", "text", "doc_id AS `group`", "text AS row", "1 AS k1"), "")
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    percent80 = list(range(len(rows)))
+    group = percent80
+    for i in range(len(rows)):
+        for j in range(i):
+            n = len(sets[i] & sets[j])
+            if 100 * n >= 80 * (len(sets[i]) + len(sets[j]) - n) and n:
+                group[find(i)] = find(j)
+    parts = {find(i) for i in range(len(rows)) if sets[i]}
+    assert len(got) == len(parts) + 2 and {find(rows.index(r)) for r in got if shingles(r[1])} == parts
+
+
 def test_pairs_of_equal_bytes_are_left_to_lists_that_hold_both():
     """Posted coordinates that agree in their low byte only do not hand a pair to an earlier list."""
     rng = np.random.default_rng(4)
