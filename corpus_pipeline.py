@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from recordloom.llm.bpe import bpe_round_trip
 from recordloom.llm.common import staged, table
 from recordloom.llm.mixing import mixed
-from recordloom.llm.near_dup import near_duplicates, row_key
+from recordloom.llm.near_dup import one_of_each
 from recordloom.llm.queries import RANKS
 from recordloom.llm.spans import without_repeated_spans
 from recordloom.llm.toxicity import without_toxic
@@ -30,9 +30,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id; documents without words stay."""
-    kept = near_duplicates(docs, percent=SIMILAR_PERCENT).where("kept").select(F.col("row_key").alias("_key")).distinct()
-    once = docs.withColumn("_key", row_key()).dropDuplicates(["_key"])
-    return once.join(kept, "_key", "left_semi").select(*docs.columns)
+    return one_of_each(docs, percent=SIMILAR_PERCENT)
 
 
 def drop_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
