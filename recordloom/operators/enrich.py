@@ -72,32 +72,34 @@ def _lookup_kinds(work_id: Column, doi: Column) -> list[tuple[str, Column]]:
     return [("id", work_id), ("doi", doi)]
 
 
-def works_by_key(works: DataFrame, order: list[str] | None = None) -> DataFrame:
+def works_by_key(works: DataFrame, order: list[str] | None = None, wanted: DataFrame | None = None) -> DataFrame:
     """The snapshot under each key it is looked up by, first work per key.
 
-    Two rows per work, one under its id and one under its DOI; ``order``
-    decides between works with the same key (default: by id), the plain
-    columns' contents between works that it leaves equal.
+    A work has two keys, its id and its DOI; ``order`` decides between works
+    with the same key (default: by id), the plain columns' contents between
+    works that it leaves equal. ``wanted``, a frame of one column, names the keys that are needed.
+
+    Which work a key stands for is found on narrow rows, keys and plain columns.
+    Only then the other fields move, once, and only those of works that were
+    found, if there are few enough of them to be sent to the works.
     """
     short = F.coalesce(extract_work_id("id"), F.col("id"))
     doi = extract_doi(F.coalesce("doi", F.lit("")))
-    keys = F.array(
-        *[
-            F.struct(F.lit(kind).alias("kind"), key.alias("value"))
-            for kind, key in _lookup_kinds(short, doi)
-        ]
-    )
+    named = F.array(*[F.when(~is_blank(key), F.concat(F.lit(kind + ":"), key)) for kind, key in _lookup_kinds(short, doi)])
+    plain = [f.name for f in works.schema if isinstance(f.dataType, T.AtomicType)]
+    # A work is told by its plain columns: two hashes, for sixty-four bits are not enough for all works.
+    told = {"_a": F.xxhash64(*plain), "_b": F.xxhash64(F.lit(1), *plain)}
+    by = list(dict.fromkeys([*(order or ["id"]), *plain]))
+    keys = works.select(F.explode(F.array_compact(named)).alias("_work_key"), *by, *[h.alias(n) for n, h in told.items()])
+    if wanted is not None:
+        keys = keys.join(wanted.toDF("_work_key").distinct(), "_work_key", "left_semi")
+    chosen = first_per_key(keys, ["_work_key"], by).select("_work_key", F.col("_a").alias("_of_a"), F.col("_b").alias("_of_b"))
     # The fields stay flat until after the join, so that those nobody reads are
     # pruned at the scan.
-    listed = works.select(
-        F.inline(F.filter(keys, lambda k: ~is_blank(k["value"]))).alias("_kind", "_value"),
-        *[F.col(c).alias(_FIELD + c) for c in works.columns],
-        doi.alias("_found_doi"),
-    )
-    plain = [f.name for f in works.schema if isinstance(f.dataType, T.AtomicType)]
-    order = [_FIELD + c for c in dict.fromkeys([*(order or ["id"]), *plain])]
-    first = first_per_key(listed, ["_kind", "_value"], order)
-    return first.withColumn("_work_key", F.concat_ws(":", "_kind", "_value")).drop("_kind", "_value")
+    wide = works.select(*[F.col(c).alias(_FIELD + c) for c in works.columns], doi.alias("_found_doi"), *[h.alias(n) for n, h in told.items()])
+    found = wide.join(chosen, (F.col("_a") == F.col("_of_a")) & (F.col("_b") == F.col("_of_b")))
+    # Works that agree in all plain columns are taken for one; which of them is not said.
+    return first_per_key(found, ["_work_key"], ["_a"]).drop("_a", "_b", "_of_a", "_of_b")
 
 
 def enrich_works(
@@ -115,7 +117,7 @@ def enrich_works(
     are not looked up, even if they have an id.
 
     Each record has exactly one key, so there is one join and one exchange of
-    the records.
+    the records; their keys are read beforehand, to look up no other works.
     """
     own_id = F.when(~is_blank(id_col), F.col(id_col)) if id_col in records.columns else F.lit(None)
     own_doi = F.when(~is_blank(doi_col), F.upper(F.col(doi_col)))
@@ -127,7 +129,8 @@ def enrich_works(
     )
     if require_doi:
         key = F.when(own_doi.isNotNull(), key)
-    lookup = works_by_key(works, order).withColumn("_hit", F.lit(True))
+    wanted = records.select(key.alias("_wanted")).filter(F.col("_wanted").isNotNull())
+    lookup = works_by_key(works, order, wanted).withColumn("_hit", F.lit(True))
     canonical = F.when(~is_blank("_found_doi"), F.col("_found_doi"))
     return (
         lookup_join(records, lookup, key, F.col("_work_key"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..session import scratch_path
 
@@ -14,21 +14,32 @@ _PART = "_part"
 _OFFSET = "_offset"
 
 
+# Rows without a key are dealt out by a hash of so many columns.
+_SPREAD = 4
+
+
+def _spread(df: DataFrame) -> Column:
+    """A number that differs between most rows: a hash of a few plain columns, numbers and times before texts."""
+    plain = [f for f in df.schema if isinstance(f.dataType, T.AtomicType)]
+    chosen = sorted(plain, key=lambda f: isinstance(f.dataType, (T.StringType, T.BinaryType, T.BooleanType)))[:_SPREAD]
+    return F.hash(*[F.col(f"`{f.name}`") for f in chosen]) if chosen else F.lit(0)
+
+
 def lookup_join(
     left: DataFrame, right: DataFrame, left_key: Column, right_key: Column, how: str = "left"
 ) -> DataFrame:
     """Equi-join for skewed keys; the sides must not share column names.
 
     Rows of the left side without a key can match nothing. They are joined
-    under the number of the partition they come from, so they stay as spread as
-    they were, and a task that is run again computes the same numbers. The salt
-    of all other rows is 0. As it is part of the join key, both sides are
+    under a hash of a few of their other columns, so they are spread, and what
+    the caller filters by still reaches the scan of the left side. The salt of
+    all other rows is 0. As it is part of the join key, both sides are
     exchanged for this very join, which lets adaptive execution split the
-    partition of a key that holds very many rows. A right side that is known to
-    be small is broadcast as usual.
+    partition of a key, or of a salt, that holds very many rows. A right side
+    that is known to be small is broadcast as usual.
     """
     none = F.pmod(F.hash(left_key), F.lit(1))
-    salt = F.when(left_key.isNull(), F.spark_partition_id()).otherwise(none)
+    salt = F.when(left_key.isNull(), _spread(left)).otherwise(none)
     keyed = left.withColumns({_KEY: left_key, _SALT: salt})
     table = right.withColumns(
         {_RIGHT_KEY: right_key, _RIGHT_SALT: F.pmod(F.hash(right_key), F.lit(1))}

@@ -351,3 +351,21 @@ def test_works_with_one_key_give_one_answer(spark):
         df = rl.enrich_works(records, spark.createDataFrame(rows, "id string, doi string, title string").coalesce(1))
         found.append(df.first().work.title)
     assert found == ["new", "new"]
+
+
+def test_works_that_repeat_give_one_row_a_record(spark):
+    """Whole repeats, works that share one key only, works under two keys, and keys nobody asks for."""
+    prefix = "https://openalex.org/"
+    fields = "id string, doi string, title string, mesh array<struct<descriptor_name:string>>"
+    rows = [(prefix + "W1", "https://doi.org/10.1000/a", "one", None)] * 3
+    rows += [(prefix + "W2", "https://doi.org/10.1000/a", "two", [("m",)]), (prefix + "W2", "https://doi.org/10.1000/b", "two again", None), (None, "https://doi.org/10.1000/c", None, None)]
+    works = spark.createDataFrame(rows, fields)
+    records = spark.createDataFrame(
+        [(1, "W1", "10.1000/x"), (2, "W2", "10.1000/x"), (3, "", "10.1000/a"), (4, None, "10.1000/B"), (5, None, "10.1000/c"), (6, "W9", "10.1000/a"), (7, None, None), (7, None, None)],
+        "n long, paper string, doi string",
+    )
+    got = values(rl.enrich_works(records, works), "n", "matched", "work.title")
+    assert got == sorted(
+        [(1, True, "one"), (2, True, "two"), (3, True, "one"), (4, True, "two again"), (5, True, None), (6, False, None), (7, False, None), (7, False, None)], key=repr
+    )
+    assert rl.works_by_key(works).count() == 5 and rl.works_by_key(works, wanted=spark.createDataFrame([("doi:10.1000/C",)] * 2, "k string")).count() == 1

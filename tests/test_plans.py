@@ -164,6 +164,31 @@ def test_unread_work_fields_are_not_scanned(spark, tables, plan_of):
     assert "abstract_inverted_index" not in plan.split("FileScan")[-1]
 
 
+def test_filters_of_the_caller_reach_the_scan_through_a_lookup(spark, tables, plan_of):
+    records, works, master = read(spark, tables, "records", "works", "master")
+    enriched = rl.enrich_works(records, works).filter("n > 29000 AND title <> 'x'")
+    assert "GreaterThan(n,29000)" in plan_of(enriched)
+    assert values(enriched.select("n"))[0] == (29001,) and enriched.count() == 999
+    fresh = rl.new_rows(master, records.select("k", "n", "title"), "k").filter("n < 50")
+    assert "LessThan(n,50)" in plan_of(fresh)
+    filled = rl.fill_dois(records.withColumnRenamed("title", "url"), spark.createDataFrame([("u", "h")], "url string, html string")).filter("n = 7")
+    assert "EqualTo(n,7)" in plan_of(filled) and values(filled, "n") == [(7,)]
+
+
+def test_only_works_that_are_asked_for_move_with_all_their_fields(spark, tables):
+    """Keys are resolved on narrow rows; of the works only those that are found are exchanged wide."""
+    records, works = read(spark, tables, "records", "works")
+    few = records.filter("n < 60")
+    wide = works.withColumn("title", F.concat(F.lit("title of "), "id"))
+    out = rl.enrich_works(few, wide).select("n", "matched", "work.title", "work.mesh")
+    plan = final_plan(out)
+    assert out.filter("matched").count() == 40 and out.count() == 60
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line or "BroadcastExchange" in line]
+    assert moved and "left_semi" in plan.lower().replace("leftsemi", "left_semi")
+    scans = [line for line in plan.split("== Initial Plan ==")[0].splitlines() if "FileScan" in line and "mesh" in line]
+    assert len(scans) == 1
+
+
 def test_links_and_records_need_no_python(spark, plan_of):
     from catalog.queries import QUERIES
 
