@@ -12,10 +12,10 @@ from recordloom.llm.collocations import PHRASES_SQL, collocations
 from recordloom.llm.common import table
 from recordloom.llm.conversation_repair import REPAIR_SQL, repair_reports
 from recordloom.llm.decontamination import HITS_SQL, decontaminated
-from recordloom.llm.mixing import AMOUNTS_SQL, mixed
+from recordloom.llm.mixing import MIX_SQL, mixed
 from recordloom.llm.near_dup import near_duplicates
 from recordloom.llm.pivots import near_vectors
-from recordloom.llm.preference import PAIRS_SQL, paired, preference_pairs
+from recordloom.llm.preference import PAIRS_SQL, answered, preference_pairs
 from recordloom.llm.repetition import repetition_rules
 from recordloom.llm.scoring import corpus_scores
 from recordloom.llm.sharding import assign_shards
@@ -34,7 +34,7 @@ def op2_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return preference_pairs(paired(table(spark, sf_dir, "conversations")))
+    return preference_pairs(answered(table(spark, sf_dir, "conversations")))
 
 
 def op4_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +60,8 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = mixed(table(spark, sf_dir, "documents"))
-    return drawn.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"))
+    listed = [F.array_join(F.col("draws")[n].cast("array<string>"), ",").alias(f"{n}s") for n in ("shard", "block")]
+    return drawn.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"), *listed)
 
 
 def op10_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +102,7 @@ QUERIES = {
 
 SQL = {
     "op3_preference": PAIRS_SQL,
-    "op9_mixing": AMOUNTS_SQL,
+    "op9_mixing": MIX_SQL,
     "op11_decontamination": HITS_SQL,
     "op12_repair": REPAIR_SQL,
     "op13_collocations": PHRASES_SQL,

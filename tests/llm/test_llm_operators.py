@@ -22,7 +22,7 @@ from recordloom.llm.grouped import block_pairs, by_group, spanning
 from recordloom.llm.mixing import mixed
 from recordloom.llm.near_dup import near_duplicates
 from recordloom.llm.pivots import near_vectors
-from recordloom.llm.preference import paired, preference_pairs
+from recordloom.llm.preference import answered, paired, preference_pairs
 from recordloom.llm.repetition import repetition_rules
 from recordloom.llm.scoring import corpus_scores
 from recordloom.llm.sharding import assign_shards
@@ -516,6 +516,26 @@ def test_preference_pairs_share_the_prompt(spark):
     assert got[1].n_shared == 2 and got[1].chosen == got[1].rejected == ""
 
 
+def test_conversations_are_paired_with_their_neighbours_answers(spark):
+    say = lambda c, *turns: [(c, i, r, t) for i, (r, t) in enumerate(turns)]
+    rows = say(0, ("system", "s"), ("user", "a"), ("assistant", "b"), ("user", "c"), ("assistant", "d"), ("user", "e"))
+    rows += say(1, ("user", "q"), ("assistant", "r")) + say(2, ("user", "q"), ("assistant", "same")) + say(3, ("assistant", "same"))
+    rows += say(4, ("user", "no answer")) + say(5, ("user", "q"), ("assistant", None)) + say(8, ("user", "q"), ("assistant", "alone"))
+    rows += [(None, 0, "assistant", "z"), (0, None, "assistant", "z"), *rows[:2]]
+    df = spark.createDataFrame([(*r, 1, "x") for r in rows], "conv_id long, turn long, role string, text string, pair int, at string")
+    got = {r.pair: r for r in preference_pairs(answered(df)).collect()}
+    turn = lambda role, text: f"<|{role}|>\n{text}<|end|>\n"
+    assert set(got) == {0, 1, 2, 3, 5, 8}
+    r = got[0]
+    assert (r.n_shared, r.n_chosen, r.n_rejected) == (4, 1, 1)
+    assert r.prompt == turn("system", "s") + turn("user", "a") + turn("assistant", "b") + turn("user", "c")
+    assert (r.chosen, r.rejected) == (turn("assistant", "d"), turn("assistant", "r"))
+    assert (got[1].prompt, got[1].chosen, got[1].rejected) == (turn("user", "q"), turn("assistant", "r"), turn("assistant", "d"))
+    assert (got[2].n_shared, got[2].chosen, got[2].rejected) == (2, "", "") and got[3].prompt == turn("assistant", "same")
+    assert (got[8].chosen, got[8].rejected, got[8].n_rejected) == (turn("assistant", "alone"), "", 0)
+    assert preference_pairs(answered(df.limit(0))).count() == 0
+
+
 def test_scores_count_exactly_and_beat_nothing_impossible(docs, texts):
     rows = corpus_scores(docs).collect()
     assert len(rows) == len(texts) + 1
@@ -539,9 +559,7 @@ def test_models_give_probabilities():
     total = (10.0 ** CodeModel(counts).log10()).sum(axis=2)
     assert np.allclose(total, 1, atol=1e-4)
     known = [b"abab", b"abba", b"baab"] * 50
-    slot, zero, one = spelling_counts(known)
-    zeros, ones = np.zeros(6 << 18, np.int64), np.zeros(6 << 18, np.int64)
-    zeros[slot], ones[slot] = zero, one
+    zeros, ones = spelling_counts(known)
     model = SpellingModel(zeros, ones).learn(known)
     odds = 10 ** model.log10([b"abab", b"baba", b"zz"])
     assert odds[0] > odds[2] and (10 ** model.log10([bytes([b]) for b in range(256)], 1)).sum() == pytest.approx(1, abs=0.05)
