@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from recordloom.llm.bpe import bpe_round_trip
 from recordloom.llm.common import staged, table
-from recordloom.llm.mixing import mixed
+from recordloom.llm.mixing import mixture
 from recordloom.llm.near_dup import one_of_each
 from recordloom.llm.queries import RANKS
 from recordloom.llm.spans import without_repeated_spans
@@ -41,10 +41,7 @@ def drop_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them, block by block in shuffled order."""
-    drawn = mixed(docs).withColumn("_d", F.explode("draws"))
-    drawn = drawn.withColumns({"_shard": F.col("_d.shard"), "_block": F.col("_d.block"), "_place": F.col("_d.place")})
-    blocks = drawn.select(*docs.columns, "_shard", "_block", "_place").repartition("_shard", "_block")
-    return blocks.sortWithinPartitions("_shard", "_block", "_place").select(*docs.columns)
+    return mixture(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
