@@ -466,6 +466,12 @@ SQL: dict[str, str] = {
         UNION ALL BY NAME
         SELECT (SELECT max(c_custkey) FROM customer) + row_number() OVER (ORDER BY seq) AS record_id,
           c_name, c_nationkey, c_acctbal, c_mktsegment, last_priority FROM i""",
+    "merge_ranges": f"""
+        WITH {UPDATES}, i AS ({INSERTS})
+        SELECT * FROM ({_merged(False)})
+        UNION ALL BY NAME
+        SELECT (SELECT max(c_custkey) FROM customer) + row_number() OVER (ORDER BY seq) AS record_id,
+          c_name, c_nationkey, c_acctbal, c_mktsegment, last_priority FROM i""",
     "enrich_works": f"WITH {_enriched(True)} SELECT {ENRICHED_OUT}, work_title AS title FROM e",
     "enrich_without_doi": f"WITH {_enriched(False)} SELECT {ENRICHED_OUT} FROM e",
     "to_record": f"WITH {_enriched(True)} {TO_RECORD}",

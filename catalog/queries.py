@@ -392,6 +392,15 @@ def upsert(spark, sf_dir):
 
 # Enrichment -------------------------------------------------------------------
 
+@query
+def merge_ranges(spark, sf_dir):
+    """The same merge into a table in ranges of the key, of which only those with updates are written anew."""
+    path = rl.scratch_path(spark, "ranges")
+    rl.create_master(master(spark, sf_dir), path, "record_id", width=100)
+    rl.merge_master(spark, path, updates(spark, sf_dir), "record_id", ["seq"])
+    return rl.read_master(spark, path)
+
+
 @query
 def enrich_works(spark, sf_dir):
     rows = rl.enrich_works(papers(spark, sf_dir), works(spark, sf_dir))

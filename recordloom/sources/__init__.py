@@ -1,5 +1,6 @@
 """Readers and writers."""
 
+from .ranges import create_master, latest_version, merge_master, read_master
 from .readers import (
     latest_batch,
     latest_file,

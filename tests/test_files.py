@@ -8,6 +8,7 @@ from pyspark.sql import functions as F, types as T
 import recordloom as rl
 from conftest import values
 from recordloom.operators.quality import IN_SET, NOT_NULL
+from recordloom.sources import ranges
 from recordloom.sources.readers import latest_file
 
 SCHEMA = T.StructType(
@@ -311,3 +312,47 @@ def test_a_cluster_without_a_shared_dir_is_refused():
 
     with pytest.raises(RuntimeError):
         rl.shared_dir(Session())
+
+
+def test_a_merge_writes_only_the_ranges_it_touches(spark, tmp_path):
+    path = str(tmp_path / "master")
+    rows = [(i, f"t{i}", None) for i in range(1, 96)] + [(None, "no key", "x")]
+    rl.create_master(spark.createDataFrame(rows, "k long, t string, u string"), path, "k", width=10)
+    folders = lambda v: sorted(d for d in os.listdir(f"{path}/data/version={v}") if d.startswith("range"))
+    assert len(folders(0)) == 11
+    updates = [(23, "late", 2, "a"), (23, "early", 1, "b"), (500, "unknown", 3, "c"), (None, "new", 4, "d"), (47, None, 5, "e")]
+    df = spark.createDataFrame(updates, "k long, t string, o int, extra string")
+    assert rl.merge_master(spark, path, df, "k", ["o"]) == 1
+    assert folders(1) == ["range=2", "range=4", "range=9"]
+    want = {i: (f"t{i}", None) for i in range(1, 96)} | {None: ("no key", None), 23: ("late", "a"), 47: (None, "e"), 96: ("unknown", "c"), 97: ("new", "d")}
+    assert {r.k: (r.t, r.extra) for r in rl.read_master(spark, path).collect()} == want
+    whole = rl.upsert(rl.read_master(spark, path, 0), df, "k", ["o"])
+    assert values(rl.read_master(spark, path).select(*whole.columns)) == values(whole)
+    # The same merge again replaces its version, the next one builds on it, older ones stay.
+    assert rl.merge_master(spark, path, df, "k", ["o"], base=0) == 1
+    assert {r.k: (r.t, r.extra) for r in rl.read_master(spark, path).collect()} == want
+    assert rl.merge_master(spark, path, df.filter("k is null"), "k", ["o"]) == 2
+    assert folders(2) == ["range=9"] and rl.read_master(spark, path).count() == 99
+    assert values(rl.read_master(spark, path, 0), "k", "t") == sorted([(k, t) for k, t, _ in rows], key=repr)
+    none = df.limit(0)
+    assert rl.merge_master(spark, path, none, "k", ["o"]) == 3 and rl.read_master(spark, path).count() == 99
+
+
+def test_only_touched_ranges_are_read(spark, tmp_path, plan_of):
+    path = str(tmp_path / "master")
+    rl.create_master(spark.range(1000).selectExpr("id AS k", "id AS v"), path, "k", width=10)
+    lines, _ = ranges._lines(spark, path, 0)
+    some = ranges._rows_of(spark, path, [x for x in lines if x["range"] in (3, 50)], T.StructType.fromDDL("k long, v long"))
+    assert sorted(r.k for r in some.collect()) == [*range(30, 40), *range(500, 510)]
+    assert "PartitionFilters" in plan_of(some) and len(some.inputFiles()) <= 101
+    files = some.select(F.input_file_name()).distinct().count()
+    assert files == 2
+
+
+def test_a_master_without_rows_takes_the_first(spark, tmp_path):
+    path = str(tmp_path / "master")
+    rl.create_master(spark.createDataFrame([], "k long, t string"), path, "k")
+    rl.merge_master(spark, path, spark.createDataFrame([(7, "a", 1), (None, "b", 2)], "k long, t string, o int"), "k", ["o"])
+    assert values(rl.read_master(spark, path)) == [(1, "a"), (2, "b")]
+    with pytest.raises(ValueError):
+        rl.create_master(spark.createDataFrame([], "k long"), path, "k", width=0)
