@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F, types as T
 
 from ..functions.lists import subset_of
 from .keys import lookup_join, order_value
@@ -103,6 +103,7 @@ _KEYED_RULES: dict[str, _KeyedRule] = {
     NON_EMPTY_UNIQUE: _KeyedRule(_repeated_text, True),
 }
 _PLAN_RULES = (COLUMNS_MATCH, TYPE_IN_LIST)
+_SURE_RULES = (NOT_NULL, IS_LIST, IN_SET, LIST_IN_SET)
 
 
 def register_rule(
@@ -230,8 +231,8 @@ def _within(rule: Rule, bad: Column, of: Column) -> Column:
     return (of == 0) | (F.try_divide(of - bad, of) >= F.lit(float(rule.mostly)))
 
 
-def _row_results(df: DataFrame, rules: list[tuple[int, Rule]]) -> DataFrame:
-    """All row rules and aggregate rules in one aggregate over one scan."""
+def _row_counts(df: DataFrame, rules: list[tuple[int, Rule]]) -> tuple[list[Column], list[Column]]:
+    """The aggregates of row rules and aggregate rules, and the result rows they make."""
     counts, rows = [], []
     for position, rule in rules:
         inside, value = _condition(rule), F.col(rule.column)
@@ -251,9 +252,48 @@ def _row_results(df: DataFrame, rules: list[tuple[int, Rule]]) -> DataFrame:
         counts.append(F.count_if(inside & _bad(df, rule) & _is_element(rule)).alias(f"b{position}"))
         of = element if _ROW_RULES[rule.kind].counts_null else element - missing
         rows.append(_result(position, rule, element, missing, bad, of, _within(rule, bad, of)))
+    return counts, rows
+
+
+def _row_results(df: DataFrame, rules: list[tuple[int, Rule]]) -> DataFrame:
+    """All row rules and aggregate rules in one aggregate over one scan."""
+    counts, rows = _row_counts(df, rules)
     return df.agg(*counts).select(F.inline(F.array(*rows)))
 
 
+ROWS = "_rows"
+
+
+class WatchedRules:
+    """Row rules of a suite, counted while a table is written.
+
+    Only kinds that cannot fail in a row, without a condition of their own, are
+    counted on the way; :meth:`results` has them once the rows are written, and
+    :attr:`rest` the positions and rules that need the table.
+    """
+
+    def __init__(self, df: DataFrame, suite: list[Rule]):
+        numbered = list(enumerate(suite))
+        self._rules = [
+            (p, rule) for p, rule in numbered if rule.kind in _SURE_RULES and rule.row_condition is None and _plan_error(df, rule) is None
+        ]
+        self.rest = [(p, rule) for p, rule in numbered if (p, rule) not in self._rules]
+        self._seen = Observation()
+        counts, self._rows = _row_counts(df, self._rules)
+        self.frame = df.observe(self._seen, F.count("*").alias(ROWS), *counts) if self._rules else df
+
+    def results(self, written: DataFrame) -> DataFrame | None:
+        """The results, without samples; None if the rows that were counted are not those of the table."""
+        if not self._rules:
+            return None
+        seen = self._seen.get
+        # The number of rows comes from the footers of the files.
+        if seen[ROWS] != written.count():
+            return None
+        values = [F.lit(v).cast("bigint").alias(name) for name, v in seen.items()]
+        return written.sparkSession.range(1).select(*values).select(F.inline(F.array(*self._rows))).drop(OBSERVED)
+
+
 def _is_element(rule: Rule) -> Column:
     return F.lit(True) if _ROW_RULES[rule.kind].counts_null else F.col(rule.column).isNotNull()
 
@@ -408,13 +448,30 @@ def _constant(df: DataFrame, rows: list[Column]) -> DataFrame:
     return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
 
 
-def check_suite(df: DataFrame, suite: list[Rule], detail: str = "basic", samples: int = SAMPLES) -> DataFrame:
+def check_suite(
+    df: DataFrame, suite: list[Rule], detail: str = "basic", samples: int = SAMPLES, watched: WatchedRules | None = None
+) -> DataFrame:
     """The results of :func:`run_suite`, evaluated: one row per rule.
 
     If a rule fails while rows are read, the suite is halved until the rule
     stands alone and gets a failed result with its error; the others are
-    unharmed.
+    unharmed. With ``detail='complete'`` the samples are all bad values, put
+    together by the executors when the result is used; nothing but the counts
+    of a rule comes to the driver. Rules that ``watched`` has counted while the
+    table was written are not counted again; of those that failed, samples are
+    looked for.
     """
+    if detail == "complete":
+        results = check_suite(df, suite, "summary", watched=watched)
+        failed = {r["position"] for r in results.filter("NOT success OR unexpected_count > 0").filter("error IS NULL").collect()}
+        row_rules = [(p, rule) for p, rule in enumerate(suite) if p in failed and rule.kind in _ROW_RULES]
+        keyed: dict[str, list[tuple[int, Rule]]] = {}
+        for p, rule in enumerate(suite):
+            if p in failed and rule.kind in _KEYED_RULES:
+                keyed.setdefault(rule.column, []).append((p, rule))
+        bad = _samples(df, row_rules, keyed, None)
+        return results.join(bad, "position", "left").withColumn("sample", F.coalesce("sample", F.array().cast("array<string>")))
+    counted = None if watched is None else watched.results(df)
     with_samples = [T.StructField("sample", T.ArrayType(T.StringType()))] if detail != "summary" else []
     schema = T.StructType(_RESULT_TYPE.fields + with_samples)
 
@@ -430,7 +487,14 @@ def check_suite(df: DataFrame, suite: list[Rule], detail: str = "basic", samples
             failed = _constant(df, [_result(position, rule, success=False, error=reason)])
             return fill_missing(conform(failed, schema), [f.name for f in with_samples]).collect()
 
-    return df.sparkSession.createDataFrame(evaluated(list(enumerate(suite))), schema)
+    numbered, known = list(enumerate(suite)), []
+    if counted is not None:
+        known = counted.collect()
+        # What has passed has no bad values to show.
+        passed = {r["position"] for r in known if detail == "summary" or r["unexpected_count"] == 0}
+        known = [(*r, []) if with_samples else tuple(r) for r in known if r["position"] in passed]
+        numbered = [(p, rule) for p, rule in numbered if p not in passed]
+    return df.sparkSession.createDataFrame([*known, *(evaluated(numbered) if numbered else [])], schema)
 
 
 def unexpected_values(df: DataFrame, rule: Rule) -> DataFrame:

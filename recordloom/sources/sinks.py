@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.lists import list_to_text
-from ..operators.quality import Rule, check_suite, suite_passed
+from ..operators.quality import Rule, WatchedRules, check_suite, suite_passed
 from ..session import scratch_path
 
 RUN_ID = "run_id"
@@ -86,18 +86,20 @@ def promote_if_valid(
 ) -> DataFrame:
     """Write the candidate, check it, and publish it only if every rule passes.
 
-    The candidate stays at ``candidate_path`` either way. Checks and publishing
-    read that table, so what is published is what was checked.
+    The candidate stays at ``candidate_path`` either way. Rules on rows are
+    counted while it is written; all other checks and publishing read that
+    table, so what is published is what was checked.
     """
-    candidate.write.mode(mode).parquet(candidate_path)
-    return publish_if_valid(candidate.sparkSession.read.parquet(candidate_path), suite, publish, detail)
+    watched = WatchedRules(candidate, suite)
+    watched.frame.write.mode(mode).parquet(candidate_path)
+    return publish_if_valid(candidate.sparkSession.read.parquet(candidate_path), suite, publish, detail, watched)
 
 
 def publish_if_valid(
-    written: DataFrame, suite: list[Rule], publish: Callable[[DataFrame], None], detail: str = "basic"
+    written: DataFrame, suite: list[Rule], publish: Callable[[DataFrame], None], detail: str = "basic", watched: WatchedRules | None = None
 ) -> DataFrame:
     """Check a table that is written and publish it if every rule passes; the results."""
-    results = check_suite(written, suite, detail)
+    results = check_suite(written, suite, detail, watched=watched)
     if suite_passed(results).first()["passed"]:
         publish(written)
     return results

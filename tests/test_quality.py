@@ -230,3 +230,29 @@ def test_states_of_an_empty_table_pass(spark):
     df = spark.createDataFrame([], "k long")
     suite = [rl.Rule(NOT_NULL, "k"), rl.Rule(UNIQUE_PROPORTION, "k", {"min_value": 1}), rl.Rule(NON_EMPTY_UNIQUE, "k")]
     assert values(rl.merged_results(rl.metric_states(df, suite), suite), "element_count", "unexpected_count", "success") == [(0, 0, True)] * 3
+
+
+def test_row_rules_are_counted_while_the_candidate_is_written(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(i, "AB"[i % 2] if i % 5 else None, ["x"] if i % 3 else None) for i in range(100)], "id int, flag string, tags array<string>")
+    suite = [
+        rl.Rule(NOT_NULL, "id"), rl.Rule(NOT_NULL, "flag", mostly=0.5), rl.Rule(IN_SET, "flag", {"value_set": ["A"]}), rl.Rule(IS_LIST, "tags", mostly=0.9),
+        rl.Rule(LIST_IN_SET, "tags", {"value_set": ["x"]}), rl.Rule(UNIQUE_PROPORTION, "id", {"min_value": 1}), rl.Rule(IN_SET, "id", {"value_set": [1]}, row_condition="id < 2"),
+        rl.Rule(NOT_NULL, "no_such"), rl.Rule(COLUMNS_MATCH, params={"column_list": ["id", "flag", "tags"]}),
+    ]
+    asked = []
+    plain = quality._row_results
+    monkeypatch.setattr(quality, "_row_results", lambda df, rules: asked.extend(p for p, _ in rules) or plain(df, rules))
+    want = {d: values(rl.check_suite(df, suite, d)) for d in ("summary", "basic", "complete")}
+    columns = {d: rl.check_suite(df, suite, d).columns for d in want}
+    for detail, expected in want.items():
+        asked.clear()
+        got = rl.promote_if_valid(df, suite, lambda _: None, str(tmp_path / detail), detail)
+        assert values(got.select(columns[detail])) == expected
+        # Only rules that failed are looked at again, for their samples.
+        assert set(asked) >= {6} and not set(asked) & {0, 4}
+    assert len(want["complete"][2][-1]) == 40 and len(want["basic"][2][-1]) == 20
+    # Counts that do not belong to the table are not used.
+    watched = quality.WatchedRules(df, suite)
+    watched.frame.write.parquet(str(tmp_path / "again"))
+    assert watched.results(df.limit(3)) is None and watched.results(spark.read.parquet(str(tmp_path / "again"))).count() == 5
+    assert [p for p, _ in watched.rest] == [5, 6, 7, 8]
