@@ -45,8 +45,9 @@ BYTES_PER_BUCKET = 48
 CHUNK = 1 << 16
 # Bucket numbers that a task gathers before it counts them.
 NUMBERS = 1 << 22
-# Different windows that a task gathers before it hands them on.
+# Different windows that a task gathers before it hands them on, and the parts they are dealt to.
 GATHERED = 1 << 20
+SLOTS = 512
 SALTS = 32
 
 BREAK = np.zeros(256, dtype=bool)
@@ -169,7 +170,8 @@ def may_be_frequent(rows: DataFrame, least: int) -> list[Broadcast]:
 
 
 def windows_of(filters: list[Broadcast]):
-    """The different windows with their numbers: language, five columns padded with empty strings, count."""
+    """The different windows with their numbers (language, five columns padded with empty strings, count), as lists for
+    each of ``SLOTS`` parts, which equal windows of all tasks share."""
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = read(filters)
@@ -182,15 +184,20 @@ def windows_of(filters: list[Broadcast]):
             _, first, same = np.unique(keys, return_index=True, return_inverse=True)
             total = np.bincount(same, n).astype(np.int64)
             hashes = np.fromiter(spelt, dtype=np.uint64, count=len(spelt))
-            order = np.argsort(hashes)
+            by_hash = np.argsort(hashes)
             texts = list(spelt.values())
-            names = pa.array([b"", *[texts[i] for i in order]], pa.binary()).cast(pa.string())
-            place = np.where(window[first] == 0, 0, np.searchsorted(hashes[order], window[first]) + 1)
-            columns = [pa.array(list(langs)).cast(pa.string()).take(pa.array(lang[first]))]
-            columns += [names.take(pa.array(place[:, k])) for k in range(ORDER)]
+            names = pa.array([b"", *[texts[i] for i in by_hash]], pa.binary()).cast(pa.string())
+            place = np.where(window[first] == 0, 0, np.searchsorted(hashes[by_hash], window[first]) + 1)
+            slot = (keys[first] % np.uint64(SLOTS)).astype(np.int64)
+            order = np.argsort(slot, kind="stable")
+            slots, cuts = np.unique(slot[order], return_index=True)
+            columns = [pa.array(list(langs)).cast(pa.string()).take(pa.array(lang[first][order]))]
+            columns += [names.take(pa.array(place[order, k])) for k in range(ORDER)]
+            cuts = pa.array(np.append(cuts, len(order)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(cuts, c) for c in (*columns, pa.array(total[order]))]
             gathered.clear()
             spelt.clear()
-            return pa.RecordBatch.from_arrays([*columns, pa.array(total)], ["lang", *LEADS, "n"])
+            return pa.RecordBatch.from_arrays([pa.array(slots), *lists], ["slot", "lang", *LEADS, "n"])
 
         for part in sliced(batches, "body"):
             got = Words(part)
@@ -222,13 +229,35 @@ def windows_of(filters: list[Broadcast]):
     return rows
 
 
+def together(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows of all lists with their numbers, equal ones added up as far as they are held at one time."""
+    names = ["lang", *LEADS]
+    held: list[pa.Table] = []
+
+    def total() -> pa.Table:
+        sums = pa.concat_tables(held).group_by(names, use_threads=False).aggregate([("n", "sum")])
+        return sums.rename_columns([c.removesuffix("_sum") for c in sums.column_names]).select([*names, "n"])
+
+    for batch in batches:
+        held.append(pa.table({c: batch.column(c).flatten() for c in (*names, "n")}))
+        if sum(t.num_rows for t in held) > GATHERED:
+            held[:] = [total()]
+            if held[0].num_rows > GATHERED // 2:
+                yield from held.pop().to_batches()
+    if held:
+        yield from total().to_batches()
+
+
 def phrase_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """``lang``, ``words``, ``phrase`` and ``f`` of every phrase of up to five words that occurs ``least``
     times or more; the row without words holds the number of all words of the language."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), text_bytes().alias("body"))
-    kind = ", ".join(f"{c} string" for c in ("lang", *LEADS))
-    windows = rows.mapInArrow(windows_of(may_be_frequent(rows, least)), f"{kind}, n long").groupBy("lang", *LEADS).agg(F.sum("n").alias("n"))
+    names = ("lang", *LEADS)
+    lists = "slot long, " + ", ".join(f"{c} array<string>" for c in names) + ", n array<long>"
+    windows = rows.mapInArrow(windows_of(may_be_frequent(rows, least)), lists).repartition("slot")
+    windows = windows.mapInArrow(together, ", ".join(f"{c} string" for c in names) + ", n long")
+    windows = windows.groupBy("lang", *LEADS).agg(F.sum("n").alias("n"))
     sums = windows.rollup("lang", *LEADS).agg(F.sum("n").alias("f"), F.grouping_id().alias("g"))
     # Columns that are summed over are the last ones, and bits of the grouping id.
     length = F.lit(ORDER) - F.length(F.regexp_replace(F.conv(F.col("g").cast("string"), 10, 2), "0", ""))
