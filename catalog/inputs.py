@@ -78,7 +78,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Labels ---------------------------------------------------------------------
 
 def label_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A map with every action and a miss, one row per part name that is mapped."""
+    """A map with every action, one row per part name; large parts are mapped under another name, so their own is a miss."""
     word = F.split("p_name", " ")[0]
     thing = F.split("p_name", " ")[1]
     action = (
@@ -87,14 +87,14 @@ def label_map(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("Any "), thing))
     )
     return (
-        table(spark, sf_dir, "part").filter(word != "large").select("p_name").distinct()
+        table(spark, sf_dir, "part").select("p_name").distinct()
         .select(
             F.initcap(word).alias("Level I"),
             F.concat(F.lit("Made Of "), thing).alias("Level II"),
             action.alias("Level III"),
             F.when(thing != "rod", thing).alias("Alevel I"),
             F.when(thing != "bolt", word).alias("Alevel II"),
-            F.initcap("p_name").alias("Alevel III"),
+            F.initcap(F.when(word == "large", F.concat(F.lit("other "), "p_name")).otherwise(F.col("p_name"))).alias("Alevel III"),
         )
     )
 
@@ -230,15 +230,26 @@ def part_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def part_works(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Works of the larger parts, known by DOI."""
+    """Works of all parts with nested fields; those of small parts are known by another DOI than the parts' pages give."""
     key = F.col("p_partkey").cast("string")
-    fields = works(spark, sf_dir).schema
-    rows = table(spark, sf_dir, "part").filter(F.col("p_size") > 20).select(
+    large = F.col("p_size") > 30
+
+    def named(letter: str, value: str) -> Column:
+        return F.struct(F.concat(F.lit(PREFIX + letter), F.col(value)).alias("id"), F.col(value).alias("display_name"))
+
+    rows = table(spark, sf_dir, "part").select(
         F.concat(F.lit(PREFIX + "W"), key).alias("id"),
-        F.concat(F.lit("https://doi.org/10.7777/p."), key).alias("doi"),
+        F.concat(F.lit("https://doi.org/10.7777/"), F.when(F.col("p_size") > 20, "p.").otherwise("small."), key).alias("doi"),
         F.col("p_name").alias("title"),
+        F.array(F.struct(F.col("p_type").alias("descriptor_name"))).alias("mesh"),
+        F.when(large, named("V", "p_brand")).alias("host_venue"),
+        F.array(named("U", "p_type")).alias("alternate_host_venues"),
+        F.array(F.struct(named("A", "p_type").alias("author")), F.struct(named("A", "p_brand").alias("author"))).alias("authorships"),
+        F.array(F.concat(F.lit(PREFIX + "W"), key), F.lit(PREFIX + "W0")).alias("referenced_works"),
+        rl.invert_text(F.split("p_name", " ")).alias("abstract_inverted_index"),
+        F.struct(large.alias("is_oa"), F.concat(F.lit("http://oa/"), key).alias("oa_url")).alias("open_access"),
     )
-    return rl.conform(rows, fields)
+    return rl.conform(rows, works(spark, sf_dir).schema)
 
 
 def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,9 +26,8 @@ SELECT DISTINCT
          ELSE CASE WHEN p_name = 'hot gizmo' THEN 'manual label' ELSE 'any ' || t END END AS action,
   CASE WHEN t <> 'rod' THEN t ELSE '' END AS from1,
   CASE WHEN t <> 'bolt' THEN w ELSE '' END AS from2,
-  p_name AS from3
+  CASE w WHEN 'large' THEN 'other ' ELSE '' END || p_name AS from3
 FROM (SELECT p_name, split_part(p_name, ' ', 1) AS w, split_part(p_name, ' ', 2) AS t FROM part)
-WHERE w <> 'large'
 """
 
 MAPPED = f"""
@@ -337,7 +336,7 @@ lossy AS (
 # Posts of the parts after conversion, one row per link.
 POSTED = f"""
 m AS ({LABEL_MAP}),
-posted AS (SELECT p_partkey, p_name, p_size, unnest(CASE WHEN p_size > 25 THEN ['', '/b'] ELSE [''] END) AS tail
+posted AS (SELECT p_partkey, p_name, p_type, p_brand, p_size, unnest(CASE WHEN p_size > 25 THEN ['', '/b'] ELSE [''] END) AS tail
            FROM part WHERE p_type <> 'PROMO' AND p_size > 12),
 q AS (SELECT *, 'http://parts.example.org/' || p_partkey || tail AS url,
         CASE WHEN tail = '' AND p_name NOT LIKE '%gear' THEN '10.7777/p.' || p_partkey ELSE '' END AS doi,
@@ -346,10 +345,15 @@ q AS (SELECT *, 'http://parts.example.org/' || p_partkey || tail AS url,
 """
 
 FULL_RUN = f"WITH {POSTED}, " + _run_candidate(
-    """
-    SELECT CASE WHEN w THEN 'W' || p_partkey ELSE '' END AS paper, '' AS mesh_terms, '' AS venue_ids, '' AS venue_names,
-      '' AS author_ids, '' AS author_names, '' AS reference_ids, CASE WHEN w THEN p_name ELSE '' END AS title,
-      '' AS abstract, CASE WHEN w THEN false END AS isOpenAccess, NULL::VARCHAR AS fullDocLink, NULL::BIGINT AS record_id,
+    f"""
+    SELECT CASE WHEN w THEN 'W' || p_partkey ELSE '' END AS paper, CASE WHEN w THEN p_type ELSE '' END AS mesh_terms,
+      CASE WHEN w AND p_size > 30 THEN '{PREFIX}U' || p_type || '|V' || p_brand ELSE '' END AS venue_ids,
+      CASE WHEN w AND p_size > 30 THEN p_type || '|' || p_brand ELSE '' END AS venue_names,
+      CASE WHEN w THEN 'A' || p_type || '|A' || p_brand ELSE '' END AS author_ids,
+      CASE WHEN w THEN p_type || '|' || p_brand ELSE '' END AS author_names,
+      CASE WHEN w THEN 'W' || p_partkey || '|W0' ELSE '' END AS reference_ids, CASE WHEN w THEN p_name ELSE '' END AS title,
+      CASE WHEN w THEN p_name ELSE '' END AS abstract, CASE WHEN w THEN p_size > 30 END AS isOpenAccess,
+      CASE WHEN w THEN 'http://oa/' || p_partkey END AS fullDocLink, NULL::BIGINT AS record_id,
       upper(doi) AS doi, CASE WHEN ok THEN to1 ELSE '' END AS level1,
       CASE WHEN ok THEN replace(to2, ' ', '_') ELSE '' END AS level2,
       CASE WHEN action = 'keep' THEN replace(p_name, ' ', '_') WHEN action LIKE 'any %' THEN replace(action, ' ', '_') ELSE '' END AS level3,
