@@ -27,6 +27,7 @@ from ..operators.shaping import (
 from ..operators.taxonomy import UNMATCHED, convert_taxonomy, load_label_map
 from ..operators.upsert import upsert
 from ..schemas import PAPER_SCHEMA, record_schema
+from ..session import clear_scratch, scratch_mark
 from ..sources.readers import ARRIVAL, read_inbox
 from ..sources.sinks import append_rejects, append_review, promote_if_valid, publish_if_valid, store_results
 from ..streaming.inbox import BATCH, MAX_FILES, read_if_there, take_files
@@ -169,11 +170,13 @@ def run_curation(
     content = F.sha2(F.to_json(F.struct(*record_schema(key).names)), 256)
     updates = stored(records.withColumn(CONTENT, content), "records")
 
+    mark = scratch_mark(spark)
     merged = upsert(
         inputs.master, updates, key, [*arrived, *order, CONTENT], broadcast_rows=broadcast_rows
     )
     candidate = conform(merged, record_schema(key))
     results = promote_if_valid(candidate, suite, publish, f"{workdir}/candidate", mode=mode)
+    clear_scratch(spark, mark)  # the candidate is written, nothing reads the sorted inserts any more
     return finished(results, rejects, review)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.lists import list_to_text
 from ..operators.quality import Rule, WatchedRules, check_suite, suite_passed
-from ..session import scratch_path
+from ..session import clear_scratch, scratch_mark, scratch_path
 
 RUN_ID = "run_id"
 RUN_TIME = "run_time"
@@ -41,10 +41,13 @@ def write_json_records(df: DataFrame, path: str, mode: str = "errorifexists") ->
 
 def write_all(df: DataFrame, *writers: Callable[[DataFrame], None]) -> None:
     """Hand the same rows to several writers, computed once: they read a table in the shared folder."""
-    spark, path = df.sparkSession, scratch_path(df.sparkSession, "rows")
+    spark = df.sparkSession
+    mark = scratch_mark(spark)
+    path = scratch_path(spark, "rows")
     df.write.parquet(path)
     for write in writers:
         write(spark.read.schema(df.schema).parquet(path))
+    clear_scratch(spark, mark)
 
 
 def append_review(review: DataFrame, path: str, run_id: str) -> None:

@@ -356,3 +356,15 @@ def test_a_master_without_rows_takes_the_first(spark, tmp_path):
     assert values(rl.read_master(spark, path)) == [(1, "a"), (2, "b")]
     with pytest.raises(ValueError):
         rl.create_master(spark.createDataFrame([], "k long"), path, "k", width=0)
+
+
+def test_scratch_tables_are_removed(spark):
+    before = rl.scratch_mark(spark)
+    a, b, c = (rl.scratch_path(spark, n) for n in "abc")
+    for path in (a, b):
+        spark.range(3).write.parquet(path)
+    mark = rl.scratch_mark(spark)
+    assert mark == before + 3 and rl.clear_scratch(spark, mark) == 0
+    local = lambda p: os.path.exists(p.removeprefix("file:"))
+    assert rl.clear_scratch(spark, before, keep=(b,)) == 1 and not local(a) and local(b)
+    assert rl.scratch_mark(spark) == before + 1 and rl.clear_scratch(spark, before) == 1 and not local(b)
