@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.llm.bpe import bpe_round_trip
-from recordloom.llm.common import staged, table
+from recordloom.llm.common import table
 from recordloom.llm.mixing import mixture
 from recordloom.llm.near_dup import one_of_each
 from recordloom.llm.queries import RANKS
 from recordloom.llm.spans import without_repeated_spans
 from recordloom.llm.toxicity import without_toxic
+from recordloom.session import clear_scratch, scratch_mark, scratch_path
 
 # Documents with so many of their five-word shingles in common are near duplicates.
 SIMILAR_PERCENT = 80
@@ -64,5 +65,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        mark = scratch_mark(spark)
+        done, path = stage(spark, docs, sf_dir), scratch_path(spark, name)
+        done.write.parquet(path)
+        # What the stage has stored on its way is read by nothing else.
+        clear_scratch(spark, mark, keep=(path,))
+        docs = spark.read.schema(done.schema).parquet(path)
     return docs
