@@ -39,7 +39,7 @@ STEPS = 200
 RATE = 0.1
 # Penalty of the squared weights, per row of the sample.
 PENALTY = 1e-5
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 EDGE = b".,;:!?\"'()[]{}<>*%&$#|"
 
 
@@ -166,22 +166,28 @@ def logistic(x: np.ndarray) -> np.ndarray:
 
 
 class Presence:
-    """Which features are present in which rows: blocks of row and feature numbers, so that work
-    on them needs no more room than a block."""
+    """Which features are present in which rows: blocks of row and feature numbers as short as they
+    can be, so that the sample takes four bytes an entry and work on it no more room than a block."""
 
     SIZE = 1 << 19
+    ROWS = 2000
 
     def __init__(self, rows: np.ndarray, ids: np.ndarray):
-        self.blocks = [(rows[i : i + self.SIZE].astype(np.int32), ids[i : i + self.SIZE].astype(np.int32)) for i in range(0, len(ids), self.SIZE)]
+        self.blocks = [(rows[i : i + self.SIZE], ids[i : i + self.SIZE]) for i in range(0, len(ids), self.SIZE)]
 
     @classmethod
-    def of(cls, found: pa.Array | pa.ChunkedArray, own: np.ndarray) -> Presence:
-        """The features of ``own`` in lists of feature numbers, a list a row."""
-        lists = found.combine_chunks() if isinstance(found, pa.ChunkedArray) else found
-        ids = lists.flatten().to_numpy(zero_copy_only=False)
-        rows = np.repeat(np.arange(len(lists), dtype=np.int32), lists.value_lengths().to_numpy(zero_copy_only=False))
-        keep = own[ids] if len(ids) else np.zeros(0, dtype=bool)
-        return cls(rows[keep], ids[keep])
+    def of(cls, found: pa.Array | pa.ChunkedArray, own: np.ndarray, order: np.ndarray | None = None) -> Presence:
+        """The features of ``own`` in lists of feature numbers, a list a row, in the given order of the rows."""
+        kind, made = np.min_scalar_type(max(1, len(found))), cls(np.zeros(0), np.zeros(0))
+        for start in range(0, len(found), cls.ROWS):
+            part = found.slice(start, cls.ROWS) if order is None else found.take(pa.array(order[start : start + cls.ROWS]))
+            lists = part.combine_chunks() if isinstance(part, pa.ChunkedArray) else part
+            ids = lists.flatten().to_numpy(zero_copy_only=False)
+            rows = np.repeat(np.arange(start, start + len(lists)).astype(kind), lists.value_lengths().to_numpy(zero_copy_only=False))
+            if len(ids):
+                keep = own[ids]
+                made.blocks += cls(rows[keep], ids[keep]).blocks
+        return made
 
     def by_row(self, weights: np.ndarray, size: int) -> np.ndarray:
         return sum((np.bincount(rows, weights[ids], minlength=size) for rows, ids in self.blocks), np.zeros(size))
@@ -228,9 +234,10 @@ def fitted_once(category: int, own: np.ndarray):
     """The model of one job: all rows of the sample but those of a fold."""
 
     def fit(table: pa.Table) -> pa.Table:
-        table = table.sort_by("doc_id")
-        y = np.array(table.column("y").to_pylist(), dtype=float)[:, category]
-        model = Linear(len(own), category).fit(Presence.of(table.column("found"), own), dense_of(table, category), y)
+        order = np.argsort(table.column("doc_id").to_numpy(), kind="stable")
+        y = np.array(table.column("y").to_pylist(), dtype=float)[order, category]
+        present = Presence.of(table.column("found"), own, order)
+        model = Linear(len(own), category).fit(present, dense_of(table, category)[order], y)
         return pa.table({"job": table.column("job").slice(0, 1).cast(pa.int32()), "weights": pa.array([model.weights], pa.list_(pa.float64()))})
 
     return fit
