@@ -137,16 +137,16 @@ def mixed_rows(
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
     bucket = F.floor(draw(F.col("doc_id"), F.lit(seed), F.col("text")) * BUCKETS).cast("long")
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("source").cast("string").alias("source"), size.alias("size"), bucket.alias("bucket")
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("source").cast("string").alias("source"), size.alias("size"), bucket.alias("bucket"),
+        F.xxhash64("doc_id", "text", F.lit(seed)).alias("place"),
     )
     sums = staged(rows.groupBy("source", "bucket").agg(F.sum("size").alias("words")), "mix-buckets")
     buckets = staged(drawn_buckets(sums, source_targets(sums, weights, max_repeats), seed, max_repeats, levels), "mix-buckets")
     found = buckets.toDF("_source", "_bucket", "source_size", "target", "_draws")
     both = rows.join(found, F.col("source").eqNullSafe(F.col("_source")) & (F.col("bucket") == F.col("_bucket")))
-    place = F.xxhash64(F.col("row.doc_id"), F.col("row.text"), F.lit(seed))
     draws = F.transform(
         F.filter("_draws", lambda _: F.col("size") > 0),
-        lambda d: F.struct(d["shard"].alias("shard"), d["block"].alias("block"), F.xxhash64(place, d["epoch"]).alias("place")),
+        lambda d: F.struct(d["shard"].alias("shard"), d["block"].alias("block"), F.xxhash64(F.col("place"), d["epoch"]).alias("place")),
     )
     return both.select("row", "size", "source_size", "target", draws.alias("draws"))
 
