@@ -584,7 +584,7 @@ SQL: dict[str, str] = {
         UNION ALL BY NAME SELECT n_name AS name, n_nationkey AS party FROM nation""",
     "rescued_good": f"""
         WITH {LOSSY}
-        SELECT key, CASE WHEN price IS NOT NULL THEN price::DOUBLE END AS price, regexp_extract(tags, '\w') AS tags, note FROM lossy
+        SELECT key, CASE WHEN price IS NOT NULL THEN price::DOUBLE END AS price, regexp_extract(tags, '[a-z]') AS tags, note FROM lossy
         WHERE price NOT LIKE '%<%' AND price <> 'debt' AND tags IN ('[''a'']', '[''b'']') AND NOT ragged""",
     "rescued_rejects": f"""
         WITH {LOSSY},
