@@ -3,10 +3,12 @@
 import collections
 import math
 import re
+import zlib
 
 import numpy as np
 import pytest
 
+from recordloom.llm import scoring
 from recordloom.llm.common import BYTE_VALUES, prefix_sums, span_hashes
 from recordloom.llm.pivots import near_vectors
 from recordloom.llm.repetition import LENGTHS, repetition_rules
@@ -157,3 +159,50 @@ def test_pivots_find_nine_of_ten_links_near_the_threshold(spark, size):
     assert links.sum() >= 300 and all(got[i] <= links[i].sum() for i in range(len(rows)))
     assert sum(got.values()) >= 0.9 * links.sum()
     print("recall", size, sum(got.values()) / links.sum())
+
+
+def test_scores_agree_with_a_slow_coder(spark, monkeypatch):
+    """Every token once more, one by one, from the fitted models; and what the models spend on words sums to one at most."""
+    used = {}
+
+    def watched(name):
+        plain = getattr(scoring, name)
+        monkeypatch.setattr(scoring, name, lambda *args: used.setdefault(name, args) and plain(*args))
+
+    for name in ("scored", "valued"):
+        watched(name)
+    rng = np.random.default_rng(47)
+    texts = [" ".join(some_words(rng, int(rng.integers(0, 120)), 60)) for _ in range(40)]
+    texts += [texts[3], "", None, "to be or not to be or not to be", "Neu NEU neu", " ".join(some_words(rng, 3000, 900))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in scoring.corpus_scores(docs).collect()}
+    table, match, unseen, train, distinct = used["scored"]
+    anchors, sizes, spelling = used["valued"]
+    spelt = scoring.spelt_codes(spelling)
+    lists = {i: [*(t or "").translate(LOWER).encode().split(), b""] for i, t in enumerate(texts)}
+    count = collections.Counter(w for i, ws in lists.items() if zlib.crc32(str(i).encode()) % 7 != 2 for w in ws)
+    assert (train, distinct) == (sum(count.values()), len(count))
+
+    def share(word):
+        code = scoring.code_of(word, anchors)
+        return math.log10(count[word] / sizes[code]) if count[word] else float(spelling.log10([word])[0]) - spelt[code]
+
+    for i, tokens in lists.items():
+        seen, total, tries, held, run = [], 0.0, 0, 0, 0
+        for at, word in enumerate(tokens):
+            code = scoring.code_of(word, anchors)
+            a, b = ([scoring.NO_ANCHOR] * 2 + [c for c in seen if c < scoring.ANCHORS])[:-3:-1]
+            source = max((j for j in range(at - 1) if tokens[j] == tokens[at - 1]), default=None) if at else None
+            hit = source is not None and tokens[source + 1] == word
+            if source is not None:
+                rate, often = min(7, 8 * held // max(1, tries)), min(7, int(math.log2(1 + tries)))
+                total += float(match[((min(run, 15) * 256 + seen[-1]) * 8 + rate) * 8 + often, int(hit)])
+            if not hit:
+                fresh = math.log10(unseen) - math.log10(max(1e-12, (10.0 ** table[a, b, scoring.ANCHORS + 1 :].astype(float)).sum()))
+                total += share(word) + float(table[a, b, code]) + (math.log10(1 - unseen) if count[word] else fresh)
+            tries, held, run = tries + (source is not None), held + hit, run + 1 if hit else 0
+            seen.append(code)
+        assert math.isclose(got[i], total, rel_tol=1e-5, abs_tol=1e-4), (i, got[i], total)
+    for a, b in ((63, 63), (0, 63), (1, 0)):
+        known = sum(10.0 ** (table[a, b, scoring.code_of(w, anchors)] + share(w)) for w in count)
+        assert 0 < known <= 1 + 1e-4
