@@ -531,6 +531,10 @@ SQL: dict[str, str] = {
         _unique_rule(NON_EMPTY, "o_custkey", "orders"),
         _rule(NOT_NULL, "o_totalprice", "orders", "o_totalprice IS NULL", missing="o_totalprice IS NULL", of="n", sample="none"),
     ),
+    "bad_values": f"""
+        SELECT 2 AS position, '{IN_SET}' AS rule, 'o_orderstatus' AS "column", o_orderstatus AS value FROM orders WHERE o_orderstatus NOT IN ('F', 'O')
+        UNION ALL SELECT 3, '{IN_SET}', 'o_orderpriority', o_orderpriority FROM orders WHERE {LOW}
+        UNION ALL SELECT 4, '{NON_EMPTY}', 'o_custkey', o_custkey::VARCHAR FROM orders GROUP BY o_custkey HAVING count(*) > 1""",
     "unexpected_keys": """
         SELECT o_custkey::VARCHAR AS value, count(*) AS unexpected_count FROM orders GROUP BY o_custkey HAVING count(*) > 12""",
     "metric_states": "SELECT * EXCLUDE unexpected_percent FROM (" + _union(

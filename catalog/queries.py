@@ -596,6 +596,12 @@ def run_suite(spark, sf_dir):
     return _shown(results.withColumn("broken", broken))
 
 
+@query
+def bad_values(spark, sf_dir):
+    """All bad values of the suite's rules, as a table."""
+    return rl.bad_values(table(spark, sf_dir, "orders"), rl.suite_from_json(SUITE))
+
+
 @query
 def suite_verdict(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")

@@ -19,6 +19,7 @@ from .keys import (
 from .metrics import merged_results, metric_states
 from .quality import (
     Rule,
+    bad_values,
     check_suite,
     register_aggregate_rule,
     register_keyed_rule,

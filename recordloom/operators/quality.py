@@ -370,10 +370,10 @@ def _listed(found: list[tuple[int, Column, Column]]) -> Column:
     return F.inline(F.array_compact(F.array(*entries)))
 
 
-def _samples(df: DataFrame, row_rules: list, unique_rules: dict[str, list], limit: int | None) -> DataFrame:
-    """Up to ``limit`` bad values per rule, the smallest ones, or all.
+def _found(df: DataFrame, row_rules: list, keyed_rules: dict[str, list]) -> DataFrame | None:
+    """``position`` and ``value`` of all bad values of rules on rows and keys.
 
-    Row rules take one scan; uniqueness rules reuse the exchange of their counts.
+    Row rules take one scan; keyed rules reuse the exchange of their counts.
     """
     parts = []
     row_rules = [(p, rule) for p, rule in row_rules if rule.kind in _ROW_RULES]
@@ -384,13 +384,47 @@ def _samples(df: DataFrame, row_rules: list, unique_rules: dict[str, list], limi
         ]
         any_bad = reduce(lambda a, b: a | b, [bad for _, bad, _ in found])
         parts.append(df.filter(any_bad).select(_listed(found)))
-    for column, rules in unique_rules.items():
+    for column, rules in keyed_rules.items():
         text = _as_text(df, column)
         found = [(p, _is_bad_value(rule, F.col(f"c{p}")), text) for p, rule in rules]
         parts.append(_per_value(df, column, rules).select(_listed(found)))
-    if not parts:
-        return conform(df.sparkSession.range(0).select(), T.StructType([T.StructField("position", T.IntegerType()), T.StructField("sample", T.ArrayType(T.StringType()))]))
-    return _first_samples(reduce(DataFrame.unionByName, parts), limit)
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def _samples(df: DataFrame, row_rules: list, keyed_rules: dict[str, list], limit: int | None) -> DataFrame:
+    """Up to ``limit`` bad values per rule, the smallest ones, or all."""
+    found = _found(df, row_rules, keyed_rules)
+    if found is None:
+        return df.sparkSession.createDataFrame([], "position int, sample array<string>")
+    return _first_samples(found, limit)
+
+
+def _sorted_out(df: DataFrame, numbered: list[tuple[int, Rule]]) -> tuple[list, dict[str, list]]:
+    """The rules on rows, and those on keys by column, that can run on a frame."""
+    row_rules, keyed_rules = [], {}
+    for p, rule in numbered:
+        if rule.kind in _ROW_RULES and _plan_error(df, rule) is None:
+            row_rules.append((p, rule))
+        elif rule.kind in _KEYED_RULES and _plan_error(df, rule) is None:
+            keyed_rules.setdefault(rule.column, []).append((p, rule))
+    return row_rules, keyed_rules
+
+
+def bad_values(df: DataFrame, suite: list[Rule]) -> DataFrame:
+    """All bad values of all rules on rows and keys as a table: ``position``, ``rule``, ``column``, ``value``.
+
+    A value of a keyed rule is listed once, one of a rule on rows as often as it
+    occurs. Nulls have no value to list. Nothing is gathered by rule, so any
+    number of values will do.
+    """
+    found = _found(df, *_sorted_out(df, list(enumerate(suite))))
+    if found is None:
+        found = df.sparkSession.createDataFrame([], "position int, value string")
+    named = F.array(*[F.struct(F.lit(r.kind).alias("rule"), F.lit(r.column).alias("column")) for r in suite]) if suite else F.array()
+    rule = F.get(named, F.col("position"))
+    return found.select("position", rule["rule"].alias("rule"), rule["column"].alias("column"), "value") if suite else found.select(
+        "position", F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("column"), "value"
+    )
 
 
 def run_suite(df: DataFrame, suite: list[Rule], detail: str = "basic", samples: int = SAMPLES) -> DataFrame:
@@ -399,7 +433,7 @@ def run_suite(df: DataFrame, suite: list[Rule], detail: str = "basic", samples:
     Rules on rows share one aggregate, rules on uniqueness one count per
     column; rules on names and types, and rules that cannot run, need no scan.
     ``detail='basic'`` adds up to ``samples`` bad values per rule, ``'complete'``
-    all of them (for tables of few bad values: they end in one row; :func:`unexpected_values` has them as a table),
+    all of them (for tables of few bad values: they end in one row; :func:`bad_values` has them as a table),
     ``'summary'`` none.
     """
     return _run(df, list(enumerate(suite)), detail, samples)
@@ -464,12 +498,7 @@ def check_suite(
     if detail == "complete":
         results = check_suite(df, suite, "summary", watched=watched)
         failed = {r["position"] for r in results.filter("NOT success OR unexpected_count > 0").filter("error IS NULL").collect()}
-        row_rules = [(p, rule) for p, rule in enumerate(suite) if p in failed and rule.kind in _ROW_RULES]
-        keyed: dict[str, list[tuple[int, Rule]]] = {}
-        for p, rule in enumerate(suite):
-            if p in failed and rule.kind in _KEYED_RULES:
-                keyed.setdefault(rule.column, []).append((p, rule))
-        bad = _samples(df, row_rules, keyed, None)
+        bad = _samples(df, *_sorted_out(df, [(p, rule) for p, rule in enumerate(suite) if p in failed]), None)
         return results.join(bad, "position", "left").withColumn("sample", F.coalesce("sample", F.array().cast("array<string>")))
     counted = None if watched is None else watched.results(df)
     with_samples = [T.StructField("sample", T.ArrayType(T.StringType()))] if detail != "summary" else []

@@ -256,3 +256,13 @@ def test_row_rules_are_counted_while_the_candidate_is_written(spark, tmp_path, m
     watched.frame.write.parquet(str(tmp_path / "again"))
     assert watched.results(df.limit(3)) is None and watched.results(spark.read.parquet(str(tmp_path / "again"))).count() == 5
     assert [p for p, _ in watched.rest] == [5, 6, 7, 8]
+
+
+def test_all_bad_values_are_a_table(df, spark):
+    suite = [rl.Rule(NOT_NULL, "flag"), rl.Rule(IN_SET, "flag", {"value_set": ["B"]}), rl.Rule(UNIQUE_PROPORTION, "id", {"min_value": 1}), rl.Rule(NON_EMPTY_UNIQUE, "url"),
+             rl.Rule(LIST_IN_SET, "tags", {"value_set": ["x"]}), rl.Rule(NOT_NULL, "no_such")]
+    assert values(rl.bad_values(df, suite)) == sorted(
+        [(1, IN_SET, "flag", "A"), (1, IN_SET, "flag", "A"), (1, IN_SET, "flag", "Z"), (2, UNIQUE_PROPORTION, "id", "4"), (3, NON_EMPTY_UNIQUE, "url", "u1"),
+         (4, LIST_IN_SET, "tags", '["x","q"]'), (4, LIST_IN_SET, "tags", '["y",null]')], key=repr)
+    for none in ([], [rl.Rule(NOT_NULL, "no_such")]):
+        assert rl.bad_values(df, none).columns == ["position", "rule", "column", "value"] and rl.bad_values(df, none).count() == 0
