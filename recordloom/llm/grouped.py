@@ -48,7 +48,12 @@ def minority_pairs(members: DataFrame, member: str, block: int = BLOCK) -> DataF
     rest = rows.where("label <> major").select(
         *members.columns, F.lit(True).alias("minor"), F.explode(F.sequence(F.lit(0), F.col("all") - 1)).alias("i"), F.pmod(own, "few").cast("int").alias("j")
     )
-    return many.union(rest.select(*many.columns)).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return in_groups(many.union(rest.select(*many.columns)))
+
+
+def in_groups(rows: DataFrame) -> DataFrame:
+    """Rows with those of one ``key``, ``i`` and ``j`` together."""
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
 
 def each_group(handle: Callable[[pa.Table], pa.RecordBatch | None]):

@@ -32,10 +32,11 @@ from pyspark.sql import functions as F
 
 from recordloom.llm.common import bytes_of, columns_of, mixed, sliced, small_batches, staged, text_bytes
 from recordloom.llm.components import components
-from recordloom.llm.grouped import block_pairs, by_group, each_group, minority_pairs, pairs_of_group, spanning
+from recordloom.llm.grouped import block_pairs, by_group, each_group, in_groups, minority_pairs, pairs_of_group, spanning
 from recordloom.llm.minhash import COORDINATES, SHINGLE, shingle_sets, signatures
 
 PERCENT = 85
+BROADCAST_CLASSES = 1_000_000
 # A pair at exactly the wanted similarity agrees in too few coordinates with this chance at most.
 MISS = 1e-4
 
@@ -242,28 +243,42 @@ def shared_counts(left: list[bytes], right: list[bytes], chunk: int = 4096) -> n
     return found.astype(np.int64)
 
 
+def candidates(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of a group's minority, those of its whole list, and which of their pairs agree enough, join
+    two components and belong to this list."""
+    ids, labels = group.column("rep").to_numpy(), group.column("label").to_numpy()
+    posts = group.column("posts").to_numpy().astype(np.int64).view(np.uint64)
+    low = np.frombuffer(b"".join(group.column("low").to_pylist()), dtype=np.uint8).reshape(len(ids), COORDINATES)
+    whole, few = whole_values(group, posts), group.column("minor").to_numpy(zero_copy_only=False)
+    left, right = np.flatnonzero(few), np.flatnonzero(~few)
+    here, need = int(group.column("key")[0].as_py()) >> 32, int(group.column("need")[0].as_py())
+    same = np.zeros((len(left), len(right)), dtype=np.uint8)
+    earlier = np.zeros(same.shape, dtype=bool)
+    for k in range(COORDINATES):
+        same += low[left, k][:, None] == low[right, k][None, :]
+        if k < here:
+            posted_here = (posts >> np.uint64(k)) & np.uint64(1) > 0
+            equal = whole[left, k][:, None] == whole[right, k][None, :]
+            earlier |= equal & posted_here[left][:, None] & posted_here[right][None, :]
+    return left, right, (same >= need) & ~earlier & (labels[left][:, None] != labels[right][None, :])
+
+
+def involved(group: pa.Table) -> pa.RecordBatch | None:
+    """The rows of a group that are in any of its pairs. A pair belongs to one list, so few rows stay of most."""
+    left, right, wanted = candidates(group)
+    rows = np.concatenate([left[wanted.any(axis=1)], right[wanted.any(axis=0)]])
+    return group.take(pa.array(rows)).combine_chunks().to_batches()[0] if len(rows) else None
+
+
 def verified(percent: int):
     """Links between members of different components, confirmed on whole sets, as many as connect them at most."""
 
     def links(group: pa.Table) -> pa.RecordBatch | None:
-        ids, labels = group.column("rep").to_numpy(), group.column("label").to_numpy()
-        posts = group.column("posts").to_numpy().astype(np.int64).view(np.uint64)
-        low = np.frombuffer(b"".join(group.column("low").to_pylist()), dtype=np.uint8).reshape(len(ids), COORDINATES)
-        whole, few = whole_values(group, posts), group.column("minor").to_numpy(zero_copy_only=False)
-        left, right = np.flatnonzero(few), np.flatnonzero(~few)
-        here, need = int(group.column("key")[0].as_py()) >> 32, int(group.column("need")[0].as_py())
-        same = np.zeros((len(left), len(right)), dtype=np.uint8)
-        earlier = np.zeros(same.shape, dtype=bool)
-        for k in range(COORDINATES):
-            same += low[left, k][:, None] == low[right, k][None, :]
-            if k < here:
-                posted_here = (posts >> np.uint64(k)) & np.uint64(1) > 0
-                equal = whole[left, k][:, None] == whole[right, k][None, :]
-                earlier |= equal & posted_here[left][:, None] & posted_here[right][None, :]
-        wanted = (same >= need) & ~earlier & (labels[left][:, None] != labels[right][None, :])
+        left, right, wanted = candidates(group)
         x, y = np.flatnonzero(wanted.any(axis=1)), np.flatnonzero(wanted.any(axis=0))
         if not len(x):
             return None
+        ids, labels = group.column("rep").to_numpy(), group.column("label").to_numpy()
         sets = group.column("shingles").to_pylist()
         a, b = [sets[i] for i in left[x]], [sets[i] for i in right[y]]
         shared = shared_counts(a, b)
@@ -345,18 +360,19 @@ def overlaps(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def bodies_of(reps: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+def bodies_of(reps: DataFrame, classes: DataFrame, texts: DataFrame, repeated: bool) -> DataFrame:
     """``rep`` and ``body``, the text of one row of each class."""
-    wanted = classes.join(reps.distinct(), "rep").select("rep", F.col("row.k1").alias("k1"), F.col("row.k2").alias("k2"))
-    # Repeated rows have one key: the first of them is taken where the join has brought them together.
-    return texts.drop("doc_id").join(wanted, [*ROW_KEY]).dropDuplicates([*ROW_KEY]).select("rep", "body")
+    wanted = staged(classes.join(reps.distinct(), "rep").select("rep", F.col("row.k1").alias("k1"), F.col("row.k2").alias("k2")), "wanted")
+    # Three numbers a class: sent to the texts while there are not too many, so that only texts that are wanted move.
+    right = F.broadcast(wanted) if wanted.count() <= BROADCAST_CLASSES else wanted
+    found = texts.drop("doc_id").join(right, [*ROW_KEY])
+    # Repeated rows have one key, and one of them is enough.
+    return (found.dropDuplicates([*ROW_KEY]) if repeated else found).select("rep", "body")
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, percent: int, repeated: bool) -> DataFrame:
     """``a``, ``b`` and ``link``: whether the full shingle sets are similar enough."""
-    reps = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep")))
-    bodies = staged(bodies_of(reps, classes, texts), "bodies")
-    left, right = bodies.toDF("a", "body_a"), bodies.toDF("b", "body_b")
+    left, right = (bodies_of(pairs.select(F.col(c).alias("rep")), classes, texts, repeated).toDF(c, f"body_{c}") for c in ("a", "b"))
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "body_a", "body_b")
     got = both.mapInArrow(overlaps, "a long, b long, shared long, total long")
     return got.select("a", "b", (100 * F.col("shared") >= percent * F.col("total")).alias("link"))
@@ -386,12 +402,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # Numbered once, when they are stored; the numbers stand for the classes from here on.
     classes = staged(found.withColumn("rep", F.monotonically_increasing_id()), "classes")
     lists = staged(posting_lists(classes, needed(percent)), "lists")
+    repeated = not rows.where("n_shingles > 0").groupBy(*ROW_KEY).count().where("count > 1").isEmpty()
     pairs = staged(first_pairs(lists), "pairs")
-    tested = staged(confirmed(pairs, classes, texts, percent), "tested")
+    tested = staged(confirmed(pairs, classes, texts, percent, repeated), "tested")
     linked = staged(components(tested.where("link")), "linked")
     pairs = block_pairs(labelled(lists, linked), "n", "rep").mapInArrow(by_group(forest, _small(True)), "a long, b long")
     pairs = staged(pairs.distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-    tested = tested.union(staged(confirmed(pairs, classes, texts, percent), "tested"))
+    tested = tested.union(staged(confirmed(pairs, classes, texts, percent, repeated), "tested"))
     links = tested.where("link").select("a", "b")
     linked = staged(components(links), "linked")
     failed = tested.where("NOT link")
@@ -402,9 +419,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         torn = failed.select(F.col("a").alias("rep")).distinct().join(whole, "rep").select("whole").distinct()
         reps = staged(whole.join(torn, "whole").select("rep"), "suspects")
         open_lists = staged(labelled(lists.join(reps, "rep"), linked), "open")
-        sets = bodies_of(open_lists.select("rep"), classes, texts).mapInArrow(shingled, "rep long, shingles binary")
-        dealt = minority_pairs(open_lists.join(staged(sets, "sets"), "rep").drop("n"), "rep")
-        more = staged(dealt.mapInArrow(each_group(verified(percent)), "a long, b long"), "more")
+        dealt = minority_pairs(open_lists.drop("n"), "rep")
+        few = staged(dealt.mapInArrow(each_group(involved), dealt.schema), "few")
+        sets = bodies_of(few.select("rep"), classes, texts, repeated).mapInArrow(shingled, "rep long, shingles binary")
+        more = in_groups(few.join(sets, "rep")).mapInArrow(each_group(verified(percent)), "a long, b long")
+        more = staged(more, "more")
         linked = staged(components(links.union(more)), "linked")
     groups = classes.join(linked.withColumnRenamed("node", "rep"), "rep", "left").select(
         "h1", "h2", "doc_id", F.coalesce("component", "rep").alias("group")
