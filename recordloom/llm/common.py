@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from recordloom.session import scratch_path
 
-BATCH_BYTES = 4 << 20
-BATCH_ROWS = 2000
+# Work on texts takes some fifty times their room.
+BATCH_BYTES = 2 << 20
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
