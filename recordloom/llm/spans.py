@@ -24,7 +24,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.llm.common import (
@@ -172,28 +172,33 @@ def cleaned(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def doc_key() -> Column:
+    """The id; documents without one come after all others."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
+
+
+def row_key() -> Column:
+    """With the id, what tells rows apart."""
+    return F.xxhash64(F.col("text"), F.col("text").isNull())
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """``row`` and its ``_spans`` (first sentence, number) that an earlier place has, too."""
-    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
-    rows = docs.select(doc.alias("doc"), row_key().alias("row"), text_bytes().alias("body"))
+    """``doc`` and ``row``, and the ``spans`` (first sentence, number) of the row that an earlier place has, too."""
+    rows = docs.select(doc_key().alias("doc"), row_key().alias("row"), text_bytes().alias("body"))
     runs = rows.mapInArrow(emitted, "doc long, row long, key long, begin int, size int")
     # Stored, so that the joins deal out both their sides themselves and can split a hot passage.
     twice = staged(runs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "twice")
     again = staged(runs.join(twice, "key"), "again")
     places = staged(again.groupBy("key").agg(F.min(F.struct("doc", "row", "begin")).alias("first")), "places")
     later = again.join(places, "key").where(F.struct("doc", "row", "begin") != F.col("first"))
-    return later.groupBy("row").agg(F.collect_set(F.struct("begin", "size")).alias("_spans"))
-
-
-def row_key():
-    return F.xxhash64(F.col("doc_id"), F.col("text"))
+    return later.groupBy("doc", "row").agg(F.collect_set(F.struct("begin", "size")).alias("spans"))
 
 
 def without_repeated_spans(docs: DataFrame) -> DataFrame:
     """All rows of ``docs`` with repeated passages taken out of ``text``.
 
     Adds ``n_sentences``, ``n_removed`` and ``removed_words`` (columns of these
-    names are replaced). A sentence ends with ``.``, ``!`` or ``?`` before white
+    names are replaced, all others kept). A sentence ends with ``.``, ``!`` or ``?`` before white
     space, with a line, or inside nine words without such an end; words are
     compared without case, white space is not compared. Texts with fewer than
     three sentences or 24 words have no runs
@@ -204,11 +209,12 @@ def without_repeated_spans(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     made = ("text", "n_sentences", "n_removed", "removed_words")
     rest = [c for c in docs.columns if c not in made]
-    spans = repeated_spans(docs)
-    wide = docs.withColumn("_row", row_key()).join(spans.withColumnRenamed("row", "_row"), "_row", "left").select(
+    packed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_rest"), F.col("text").isNotNull().alias("_known"),
-        text_bytes().alias("body"), "_spans",
+        text_bytes().alias("body"), doc_key().alias("_doc"), row_key().alias("_row"),
     )
+    wide = packed.join(repeated_spans(docs).toDF("_doc", "_row", "_spans"), ["_doc", "_row"], "left")
+    wide = wide.select("_rest", "_known", "body", "_spans")
     kind = wide.schema["_rest"].dataType.simpleString()
     got = wide.mapInArrow(cleaned, f"_rest {kind}, text string, n_sentences long, n_removed long, removed_words long")
     order = [F.col("text") if c == "text" else F.col("_rest").getField(c).alias(c) for c in docs.columns if c not in made[1:]]
