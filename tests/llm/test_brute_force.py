@@ -10,6 +10,7 @@ import pytest
 
 from recordloom.llm import scoring
 from recordloom.llm.common import BYTE_VALUES, prefix_sums, span_hashes
+from recordloom.llm.context_mixing import ORDERS, SpellingModel
 from recordloom.llm.pivots import near_vectors
 from recordloom.llm.repetition import LENGTHS, repetition_rules
 from recordloom.llm.spans import SENTENCES, WINDOW, WORDS, without_repeated_spans
@@ -206,3 +207,27 @@ def test_scores_agree_with_a_slow_coder(spark, monkeypatch):
     for a, b in ((63, 63), (0, 63), (1, 0)):
         known = sum(10.0 ** (table[a, b, scoring.code_of(w, anchors)] + share(w)) for w in count)
         assert 0 < known <= 1 + 1e-4
+
+
+def test_spelling_is_learnt_from_every_word(spark, monkeypatch):
+    """More words than the mixer's weights were once fitted on; parts are learnt apart and averaged by the bits they have seen."""
+    used = {}
+    plain = scoring.valued
+    monkeypatch.setattr(scoring, "valued", lambda *args: used.update(spelling=args[2]) or plain(*args))
+    rng = np.random.default_rng(53)
+    words = [f"{'éaüo'[k % 4]}{int(x):x}" for k, x in enumerate(rng.integers(0, 1 << 40, 27_000))]
+    docs = spark.createDataFrame([(i, " ".join(words[i::60])) for i in range(60)], "doc_id long, text string")
+    seen = {w for i in range(60) if zlib.crc32(str(i).encode()) % 7 != 2 for w in words[i::60]} | {""}
+    assert len(seen) > 20_000
+    scoring.corpus_scores(docs, part_words=9000)
+    spelling = used["spelling"]
+    rows = spark.createDataFrame([(bytearray(w.encode()),) for w in seen], "word binary").selectExpr("word", f"pmod(hash(word), {-(-len(seen) // 9000)}) AS part", "xxhash64(word) AS h")
+    parts = collections.defaultdict(list)
+    for r in rows.orderBy("part", "h", "word").collect():
+        parts[r.part].append(bytes(r.word))
+    learnt = [SpellingModel(spelling.zeros, spelling.ones).learn(p).mixer.learnt() for p in parts.values()]
+    assert len(learnt) == 3
+    total = sum(n for _, n in learnt)
+    want = np.where(total > 0, sum(v * n for v, n in learnt) / np.maximum(1, total), SpellingModel(spelling.zeros, spelling.ones).mixer.learnt()[0])
+    assert total[: len(ORDERS) * 40 : len(ORDERS)].sum() == sum(8 * (len(w.encode()) + 1) for w in seen)
+    assert np.allclose(spelling.mixer.learnt()[0], want, rtol=1e-9, atol=1e-12)
