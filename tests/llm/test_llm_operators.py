@@ -16,6 +16,8 @@ import tiktoken
 import corpus_pipeline
 from recordloom.llm import near_dup, sharding
 from recordloom.llm.bpe import Codec, Utf8Stream, bpe_round_trip, load_ranks
+from recordloom.llm import components as graph
+from recordloom.llm.common import staged
 from recordloom.llm.components import components
 from recordloom.llm.context_mixing import CodeModel, SpellingModel, spelling_counts
 from recordloom.llm.grouped import block_pairs, by_group, spanning
@@ -288,6 +290,32 @@ def test_components_of_chains_stars_and_loops(spark):
     assert components(links.limit(0)).count() == 0
 
 
+def test_components_take_few_stages_whatever_the_paths_are(spark, monkeypatch):
+    """Chains, hubs and repeated links by the plain rounds and by one lot, which needs no rounds."""
+    rng = np.random.default_rng(17)
+    pairs = [(i, i + 1) for i in range(1000, 1300)] + [(int(a), int(a) - int(d)) for a, d in zip(rng.integers(50, 600, 300), rng.integers(0, 9, 300))]
+    pairs += [(700, i) for i in range(701, 760)] + pairs[:50] + [(b, a) for a, b in pairs[:50]]
+    part = {}
+
+    def find(x):
+        while part.setdefault(x, x) != x:
+            x = part[x]
+        return x
+
+    for a, b in pairs:
+        x, y = find(a), find(b)
+        part[max(x, y)] = min(x, y)
+    want = {x: find(x) for x in part if find(x) != x}
+    rng.shuffle(pairs)
+    links = spark.createDataFrame([(int(a), int(b)) for a, b in pairs], "a long, b long").repartition(4)
+    stored = []
+    monkeypatch.setattr(graph, "staged", lambda df, name: stored.append(name) or staged(df, name))
+    for size in (100_000, 40):
+        got = components(links, size=size).collect()
+        assert len(got) == len(want) and {r.node: r.component for r in got} == want
+        assert size < 100_000 or len(stored) <= 2
+
+
 def test_spanning_edges_connect_what_weights_connect():
     weights = np.zeros((6, 6), dtype=np.uint8)
     for a, b, w in ((0, 1, 50), (1, 2, 60), (0, 2, 44), (3, 4, 64)):
