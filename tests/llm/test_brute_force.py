@@ -4,8 +4,11 @@ import collections
 import math
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from recordloom.llm import scoring
@@ -231,3 +234,49 @@ def test_spelling_is_learnt_from_every_word(spark, monkeypatch):
     want = np.where(total > 0, sum(v * n for v, n in learnt) / np.maximum(1, total), SpellingModel(spelling.zeros, spelling.ones).mixer.learnt()[0])
     assert total[: len(ORDERS) * 40 : len(ORDERS)].sum() == sum(8 * (len(w.encode()) + 1) for w in seen)
     assert np.allclose(spelling.mixer.learnt()[0], want, rtol=1e-9, atol=1e-12)
+
+
+def test_words_of_chunks_travel_packed(spark, monkeypatch):
+    """The last shuffles and the stage tables of the scores, as a multiple of the texts."""
+    paths = []
+    plain = scoring.staged
+    monkeypatch.setattr(scoring, "staged", lambda *args, **more: paths.append(plain(*args, **more)) or paths[-1])
+    local = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def shuffled():
+        return {f: f.stat().st_size for at in local for f in Path(at).rglob("shuffle_*.data")}
+
+    rng = np.random.default_rng(59)
+    texts = [" ".join(f"{'éaüo'[int(x) % 4]}{int(x):x}" for x in 20_000 * rng.random(1500) ** 3) for _ in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    scores = scoring.corpus_scores(docs)
+    before = shuffled()
+    assert len(scores.collect()) == len(texts)
+    moved = sum(size for f, size in shuffled().items() if f not in before)
+    stored = sum(Path(f.removeprefix("file:")).stat().st_size for df in paths for f in df.inputFiles())
+    size = sum(len(t.encode()) for t in texts)
+    print("disk", moved / size, stored / size)
+    assert moved + stored < 1.25 * size
+
+
+def test_packed_words_come_back(monkeypatch):
+    """Whatever is packed at once, a chunk gets each of its words once, known ones with the share of their code."""
+    monkeypatch.setattr(scoring, "GATHER_WORDS", 700)
+    rng = np.random.default_rng(61)
+    rows = {(int(c), int(n)) for c, n in zip(rng.integers(0, 3, 4000), rng.integers(0, 1 << 31, 4000) >> rng.integers(0, 31, 4000))}
+    rows = [(c, n, int(rng.integers(0, 1 << 40)) >> int(rng.integers(0, 50)), int(rng.integers(0, 256)), float(np.float32(-rng.random()))) for c, n in rows]
+    sizes = rng.integers(0, 1 << 41, 256)
+    names = ["of", "number", "c", "code", "share"]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.float32()]
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(col, t) for col, t in zip(zip(*rows[at : at + 300]), types)], names) for at in range(0, len(rows), 300)
+    ]
+    packs = pa.Table.from_batches(scoring.gathered(iter([batches[0].slice(0, 0), *batches])))
+    assert packs.num_rows < 30 and not list(scoring.gathered(iter([batches[0].slice(0, 0)])))
+    for chunk in range(3):
+        got = scoring.spread(packs.filter(pc.equal(packs.column("of"), chunk)), sizes).to_pylist()
+        want = {n: (c, code, share if c == 0 else math.log10(c / max(1, sizes[code]))) for of, n, c, code, share in rows if of == chunk}
+        assert len(got) == len(want) and any(c == 0 for c, _, _ in want.values())
+        for r in got:
+            c, code, share = want[r["number"]]
+            assert (r["c"], r["code"]) == (c, code) and math.isclose(r["share"], share, rel_tol=1e-6, abs_tol=1e-6)
