@@ -29,19 +29,22 @@ def block_pairs(members: DataFrame, count: str, member: str, block: int = BLOCK)
     return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
 
-def minority_pairs(members: DataFrame, member: str, block: int = BLOCK) -> DataFrame:
-    """The members of lists (``key``, ``label``) dealt so that each two of different labels meet, grouped by ``key``, ``i`` and ``j``.
+def minority_pairs(members: DataFrame, member: str, heavy: int, block: int = BLOCK) -> DataFrame:
+    """The members of lists (``key``, ``label``, ``weight``) dealt so that each two of different labels meet, grouped by ``key``, ``i`` and ``j``.
 
     In a list mostly of one label only the others, the minority, have to meet all
     members: blocks ``j`` of the minority (``minor``) against blocks ``i`` of
     the whole list, so that members of the majority are copied once a block of
-    the minority.
+    the minority. A block has about ``block`` members, of some ``heavy`` weight together.
     """
-    sizes = members.groupBy("key", "label").agg(F.count("*").alias("n"))
-    lists = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("most"))
-    blocks = lambda n: F.ceil(n / block).cast("int")
+    sizes = members.groupBy("key", "label").agg(F.count("*").alias("n"), F.sum("weight").alias("w"))
+    lists = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.sum("w").alias("w"), F.max(F.struct("n", "label", "w")).alias("most"))
+    blocks = lambda n, w: F.ceil(F.greatest(n / block, F.least(n, w / heavy))).cast("int")
+    lists = lists.select(
+        "key", F.col("most.label").alias("major"), blocks(F.col("n"), F.col("w")).alias("all"), blocks(F.col("n") - F.col("most.n"), F.col("w") - F.col("most.w")).alias("few")
+    )
     # Stored, so that the join deals out both its sides itself and can split a long list.
-    lists = staged(lists.select("key", F.col("most.label").alias("major"), blocks(F.col("n")).alias("all"), blocks(F.col("n") - F.col("most.n")).alias("few")), "lists")
+    members, lists = members.drop("weight"), staged(lists, "lists")
     rows = members.join(lists, "key")
     own = F.xxhash64(member, F.lit(11))
     many = rows.select(*members.columns, F.lit(False).alias("minor"), F.pmod(own, "all").cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("few") - 1)).alias("j"))

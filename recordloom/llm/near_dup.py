@@ -30,13 +30,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordloom.llm.common import bytes_of, columns_of, mixed, sliced, small_batches, staged, text_bytes
+from recordloom.llm.common import BATCH_BYTES, bytes_of, columns_of, mixed, sliced, small_batches, staged, staged_by_bytes, text_bytes
 from recordloom.llm.components import components
 from recordloom.llm.grouped import block_pairs, by_group, each_group, in_groups, minority_pairs, pairs_of_group, spanning
 from recordloom.llm.minhash import COORDINATES, SHINGLE, shingle_sets, signatures
 
 PERCENT = 85
 BROADCAST_CLASSES = 1_000_000
+# Texts of the pairs that are compared at once.
+PAIR_BYTES = BATCH_BYTES // 2
+# Shingles of the members of a block whose whole sets meet in one task.
+BLOCK_SHINGLES = 1 << 20
 # A pair at exactly the wanted similarity agrees in too few coordinates with this chance at most.
 MISS = 1e-4
 
@@ -339,25 +343,23 @@ def labelled(lists: DataFrame, linked: DataFrame) -> DataFrame:
 
 
 def overlaps(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shared and all shingles of pairs of texts."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, 200):
-            part = batch.slice(start, 200)
-            sets = []
-            for name in ("body_a", "body_b"):
-                keys, bounds = shingle_sets(*bytes_of(part.column(name)), SHINGLE)
-                sets.append((keys, bounds, np.repeat(np.arange(part.num_rows), np.diff(bounds))))
-            keys = np.concatenate([sets[0][0], sets[1][0]])
-            row = np.concatenate([sets[0][2], sets[1][2]])
-            order = np.lexsort((keys, row))
-            keys, row = keys[order], row[order]
-            twice = (keys[1:] == keys[:-1]) & (row[1:] == row[:-1])
-            shared = np.bincount(row[1:][twice], minlength=part.num_rows)
-            union = np.diff(sets[0][1]) + np.diff(sets[1][1]) - shared
-            yield pa.RecordBatch.from_arrays(
-                [part.column("a"), part.column("b"), pa.array(shared.astype(np.int64)), pa.array(union.astype(np.int64))],
-                ["a", "b", "shared", "total"],
-            )
+    """Shared and all shingles of pairs of texts; both texts of a pair count towards the bytes of a lot."""
+    for part in sliced(batches, "body_a", "body_b", limit=PAIR_BYTES):
+        sets = []
+        for name in ("body_a", "body_b"):
+            keys, bounds = shingle_sets(*bytes_of(part.column(name)), SHINGLE)
+            sets.append((keys, bounds, np.repeat(np.arange(part.num_rows), np.diff(bounds))))
+        keys = np.concatenate([sets[0][0], sets[1][0]])
+        row = np.concatenate([sets[0][2], sets[1][2]])
+        order = np.lexsort((keys, row))
+        keys, row = keys[order], row[order]
+        twice = (keys[1:] == keys[:-1]) & (row[1:] == row[:-1])
+        shared = np.bincount(row[1:][twice], minlength=part.num_rows)
+        union = np.diff(sets[0][1]) + np.diff(sets[1][1]) - shared
+        yield pa.RecordBatch.from_arrays(
+            [part.column("a"), part.column("b"), pa.array(shared.astype(np.int64)), pa.array(union.astype(np.int64))],
+            ["a", "b", "shared", "total"],
+        )
 
 
 def bodies_of(reps: DataFrame, classes: DataFrame, texts: DataFrame, repeated: bool) -> DataFrame:
@@ -397,18 +399,19 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     kind = "doc_id long, k1 long, k2 long, n_shingles long, h1 long, h2 long, sig binary"
     rows = staged(texts.mapInArrow(sketched, kind), "sketches")
     found = rows.where("n_shingles > 0").groupBy("h1", "h2").agg(
-        F.min("doc_id").alias("doc_id"), F.min(F.struct(*ROW_KEY)).alias("row"), F.min("sig").alias("sig")
+        F.min("doc_id").alias("doc_id"), F.min(F.struct(*ROW_KEY)).alias("row"), F.min("sig").alias("sig"),
+        F.min("n_shingles").alias("n_shingles"),
     )
     # Numbered once, when they are stored; the numbers stand for the classes from here on.
     classes = staged(found.withColumn("rep", F.monotonically_increasing_id()), "classes")
     lists = staged(posting_lists(classes, needed(percent)), "lists")
     repeated = not rows.where("n_shingles > 0").groupBy(*ROW_KEY).count().where("count > 1").isEmpty()
     pairs = staged(first_pairs(lists), "pairs")
-    tested = staged(confirmed(pairs, classes, texts, percent, repeated), "tested")
+    tested = staged_by_bytes(confirmed(pairs, classes, texts, percent, repeated), "tested")
     linked = staged(components(tested.where("link")), "linked")
     pairs = block_pairs(labelled(lists, linked), "n", "rep").mapInArrow(by_group(forest, _small(True)), "a long, b long")
     pairs = staged(pairs.distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-    tested = tested.union(staged(confirmed(pairs, classes, texts, percent, repeated), "tested"))
+    tested = tested.union(staged_by_bytes(confirmed(pairs, classes, texts, percent, repeated), "tested"))
     links = tested.where("link").select("a", "b")
     linked = staged(components(links), "linked")
     failed = tested.where("NOT link")
@@ -417,13 +420,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         suspects = components(tested).withColumnRenamed("component", "whole")
         whole = suspects.union(suspects.select("whole", "whole").distinct()).toDF("rep", "whole")
         torn = failed.select(F.col("a").alias("rep")).distinct().join(whole, "rep").select("whole").distinct()
-        reps = staged(whole.join(torn, "whole").select("rep"), "suspects")
+        reps = staged(whole.join(torn, "whole").join(classes.select("rep", F.col("n_shingles").alias("weight")), "rep").select("rep", "weight"), "suspects")
         open_lists = staged(labelled(lists.join(reps, "rep"), linked), "open")
-        dealt = minority_pairs(open_lists.drop("n"), "rep")
+        dealt = minority_pairs(open_lists.drop("n"), "rep", BLOCK_SHINGLES)
         few = staged(dealt.mapInArrow(each_group(involved), dealt.schema), "few")
         sets = bodies_of(few.select("rep"), classes, texts, repeated).mapInArrow(shingled, "rep long, shingles binary")
         more = in_groups(few.join(sets, "rep")).mapInArrow(each_group(verified(percent)), "a long, b long")
-        more = staged(more, "more")
+        more = staged_by_bytes(more, "more")
         linked = staged(components(links.union(more)), "linked")
     groups = classes.join(linked.withColumnRenamed("node", "rep"), "rep", "left").select(
         "h1", "h2", "doc_id", F.coalesce("component", "rep").alias("group")

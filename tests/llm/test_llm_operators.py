@@ -17,10 +17,10 @@ import corpus_pipeline
 from recordloom.llm import near_dup, sharding
 from recordloom.llm.bpe import Codec, Utf8Stream, bpe_round_trip, load_ranks
 from recordloom.llm import components as graph
-from recordloom.llm.common import staged
+from recordloom.llm.common import staged, staged_by_bytes
 from recordloom.llm.components import components
 from recordloom.llm.context_mixing import CodeModel, SpellingModel, spelling_counts
-from recordloom.llm.grouped import block_pairs, by_group, spanning
+from recordloom.llm.grouped import block_pairs, by_group, minority_pairs, spanning
 from recordloom.llm.mixing import mixed
 from recordloom.llm.near_dup import near_duplicates
 from recordloom.llm.pivots import near_vectors
@@ -281,6 +281,52 @@ def test_pipeline_links_near_copies_of_eighty_percent(spark):
     assert all(r.kept for r in near_duplicates(docs).collect())
 
 
+def test_pairs_of_long_texts_are_compared_a_bounded_lot_at_a_time(spark, monkeypatch):
+    """However many pairs a batch holds, both texts of those compared at once stay within the bytes of a lot."""
+    rng = np.random.default_rng(29)
+    base = words(rng, 9000)
+    bodies = []
+    for i in range(12):
+        near = list(base)
+        near[700 * i] = f"y{i}"
+        bodies.append(" ".join(near).encode())
+    at = rng.integers(0, 12, (150, 2))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(at[:, 0]), pa.array(at[:, 1]), pa.array([bodies[i] for i in at[:, 0]], pa.binary()), pa.array([bodies[i] for i in at[:, 1]], pa.binary())],
+        ["a", "b", "body_a", "body_b"],
+    )
+    lots, plain = [], near_dup.shingle_sets
+    monkeypatch.setattr(near_dup, "shingle_sets", lambda data, offsets, width: lots.append(len(data)) or plain(data, offsets, width))
+    got = [r for b in near_dup.overlaps([batch.slice(0, 140), batch.slice(140)]) for r in b.to_pylist()]
+    sets = [shingles(b.decode()) for b in bodies]
+    assert [(r["a"], r["b"], r["shared"], r["total"]) for r in got] == [(i, j, len(sets[i] & sets[j]), len(sets[i] | sets[j])) for i, j in at]
+    assert sum(lots) > 8 * 2**20 and max(a + b for a, b in zip(lots[::2], lots[1::2])) <= 2**20
+    # Rows that are stored by bytes also come to Python in batches of few bytes, and the session is left as it was.
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    sizes = spark.range(0, 400, 1, 1).selectExpr("cast(repeat('x', 20000) AS binary) AS body").mapInArrow(
+        lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in batches), "n long"
+    )
+    assert max(r.n for r in staged_by_bytes(sizes, "sizes").collect()) < 3 << 20
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+
+
+def test_blocks_of_whole_sets_are_dealt_by_weight(spark):
+    """Lists of heavy members fall into more blocks, and still each two members of different labels meet."""
+    rows = [(1, i, int(i % 4 == 0) * i, 50) for i in range(80)] + [(2, i, i % 2, 1) for i in range(80)] + [(3, i, i, 10_000) for i in range(3)]
+    dealt = minority_pairs(spark.createDataFrame(rows, "key long, rep long, label long, weight long"), "rep", 1000, block=60)
+    assert "weight" not in dealt.columns
+    groups = collections.defaultdict(list)
+    for r in dealt.collect():
+        groups[r.key, r.i, r.j].append(r)
+    label = {(key, rep): name for key, rep, name, _ in rows}
+    met = {(g[0], frozenset((x.rep, y.rep))) for g, many in groups.items() for x in many if x.minor for y in many if not y.minor and x.label != y.label}
+    want = {(key, frozenset((a, b))) for key, a in label for also, b in label if key == also and a < b and label[key, a] != label[key, b]}
+    assert met == want
+    # Without weights list 1 has two blocks of sixty; by weight four, of about twenty members each.
+    assert {i for key, i, _ in groups if key == 1} == set(range(4)) and {i for key, i, _ in groups if key == 2} == {0, 1}
+    assert max(len([r for r in many if not r.minor]) for g, many in groups.items() if g[0] == 1) < 36
+
+
 def test_components_of_chains_stars_and_loops(spark):
     chain = [(i, i + 1) for i in range(100, 140)]
     star = [(7, i) for i in range(200, 260)]
